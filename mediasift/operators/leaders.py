@@ -97,17 +97,15 @@ def greedy_rounds(conn: DataFrame, ix: DataFrame, pb: DataFrame, sigs: DataFrame
         first = ix.join(undecided, "id").groupBy("key").agg(F.min("ord").alias("mo"))
         earliest = (pb.join(undecided, "id").join(first, "key")
                     .groupBy("id", "ord").agg(F.min("mo").alias("m")))
-        promoted = _persist(earliest.where(F.col("m") == F.col("ord")).select("id", "ord"))
+        promoted = materialize(earliest.where(F.col("m") == F.col("ord")).select("id", "ord"), "leaders")
         rest = undecided.join(promoted.select("id"), "id", "left_anti")
         ix_l = ix.join(promoted.select(F.col("id").alias("lid")), F.col("id") == F.col("lid")).select("lid", "key")
         cands = (pb.join(rest.select("id"), "id").join(ix_l, "key")
                  .select(F.col("lid").alias("a"), F.col("id").alias("b")).distinct())
         hit = verify_pairs(cands, sigs, spec).select(F.col("b").alias("id"))
-        dups = _persist(rest.join(hit, "id", "left_semi"))
+        dups = materialize(rest.join(hit, "id", "left_semi"), "dups")
         decided.append(promoted.withColumn("is_leader", F.lit(True)))
         decided.append(dups.withColumn("is_leader", F.lit(False)))
-        # One write per round: it also fills the caches of `promoted` and `dups`,
-        # which can be recomputed from the previous round's table if lost.
         undecided = materialize(rest.join(dups.select("id"), "id", "left_anti"), "undecided")
         left = undecided.count()
         if left >= remaining:
@@ -139,9 +137,10 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     pb = ix if spec.probe_is_index else _persist(spec.probe_keys(reps))
     iso = _persist(_isolation(reps, ix, pb, spec))
     conn_ids = iso.where("connected").select("id")
+    # Inputs of the rounds are written once, so every round plans over flat scans.
     conn = materialize(reps.join(conn_ids, "id"), "connected")
-    ix_c = _persist(ix.join(conn.select("id"), "id"))
-    pb_c = ix_c if spec.probe_is_index else _persist(pb.join(conn.select("id"), "id"))
+    ix_c = materialize(ix.join(conn.select("id"), "id"), "index_keys")
+    pb_c = ix_c if spec.probe_is_index else materialize(pb.join(conn.select("id"), "id"), "probe_keys")
     sig_c = conn.select("id", "sig")
 
     status = greedy_rounds(conn, ix_c, pb_c, sig_c, spec)
