@@ -19,9 +19,9 @@ def norm(a: Column | str) -> Column:
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:
-    """Cosine similarity; a zero vector gives 0 (scikit-learn convention)."""
+    """Cosine similarity; a zero vector gives 0 (scikit-learn convention), NULL input gives NULL."""
     d = norm(a) * norm(b)
-    return F.when(d > 0, dot(a, b) / d).otherwise(F.lit(0.0))
+    return F.when(d > 0, dot(a, b) / d).when(d.isNotNull(), F.lit(0.0))
 
 
 def normalize(a: Column | str, scale: Column | float = 1.0) -> Column:
