@@ -220,37 +220,34 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
             .select("probe_id", F.col("m.a").alias("match_id"), F.col("m.score").cast("double").alias("score")))
 
 
-def connected_groups(nodes: DataFrame, edges: DataFrame, checkpoint_every: int = 2) -> DataFrame:
+def connected_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star / small-star rounds.
 
     ``nodes``: (id); ``edges``: (a, b). Returns (id, group_id) with group_id the
     smallest id of the component. Rounds are O(log^2 n); each is a join and a
-    group-by over the edge list only.
+    group-by over the edge list only, written to the checkpoint folder so the
+    plan stays flat.
     """
-    e = edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")) \
-             .where(F.col("u") != F.col("v")).distinct()
-    e = _persist(e)
-    rounds = 0
+    e = materialize(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+                    .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
     while True:
-        rounds += 1
-        # large star: each node links its larger neighbours to its smallest neighbour-or-self
+        # large star: link every larger neighbour of u to min(u, neighbours of u)
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         mins = both.groupBy("u").agg(F.min("v").alias("m"))
         ls = (both.join(mins, "u").where(F.col("v") > F.col("u"))
               .select(F.col("v").alias("x"), F.least("m", "u").alias("y")))
         e1 = ls.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")) \
                .where(F.col("u") != F.col("v")).distinct()
-        # small star: each node links its smaller neighbours (and itself) to the smallest of them
+        # small star: link v and its smaller neighbours to the smallest of them
         mins2 = e1.groupBy("v").agg(F.min("u").alias("m"))
         ss = (e1.join(mins2, "v").select(F.col("u").alias("x"), F.col("m").alias("y"))
               .unionByName(mins2.select(F.col("v").alias("x"), F.col("m").alias("y"))))
-        e2 = ss.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")) \
-               .where(F.col("u") != F.col("v")).distinct()
-        e2 = cut_lineage(e2) if rounds % checkpoint_every == 0 else _persist(e2)
-        changed = e2.join(e, ["u", "v"], "left_anti").limit(1).count() + \
-            e.join(e2, ["u", "v"], "left_anti").limit(1).count()
+        e2 = materialize(ss.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+                         .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
+        diff = e2.select("u", "v").exceptAll(e.select("u", "v")).unionByName(
+            e.select("u", "v").exceptAll(e2.select("u", "v")))
         e = e2
-        if changed == 0:
+        if diff.isEmpty():
             break
     label = e.groupBy("v").agg(F.min("u").alias("g"))
     return (nodes.select("id").join(label.withColumnRenamed("v", "id"), "id", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediasift.operators.leaders import greedy_leaders, lookup_index, similarity_pairs
+from mediasift.operators.leaders import connected_groups, greedy_leaders, lookup_index, similarity_pairs
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
                                         phash_signatures)
@@ -46,7 +46,46 @@ def phash_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(lookup_index(probes, index, PHASH))
 
 
+MISSING_EVERY, MISSING_AT = 7, 3
+
+
+def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """D5 (components mode): every video with its group (smallest id) and group size."""
+    sigs = phash_signatures(clone_frames(spark, sf))
+    edges = similarity_pairs(sigs, PHASH).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    groups = connected_groups(sigs.select(F.col("video_id").alias("id")), edges)
+    sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
+    return groups.join(sizes, "group_id").select(F.col("id").alias("video_id"), "group_id", "n")
+
+
+def fused_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs that match on both the visual hash and the embedding."""
+    frames = clone_frames(spark, sf)
+    ph = similarity_pairs(phash_signatures(frames), PHASH).withColumnRenamed("score", "phash_score")
+    em = similarity_pairs(embedding_signatures(frames), EMBED).withColumnRenamed("score", "embedding_score")
+    return (ph.join(em, ["id_a", "id_b"])
+            .select("id_a", "id_b", F.round("phash_score", 6).alias("phash_score"),
+                    F.round("embedding_score", 6).alias("embedding_score")))
+
+
+def assignment_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """P2/J5/2.7: part sizes under both missing-signature policies."""
+    sigs = phash_signatures(clone_frames(spark, sf))
+    sigs = sigs.withColumn("hashes", F.when(F.col("video_id") % MISSING_EVERY == MISSING_AT, None)
+                           .otherwise(F.col("hashes")))
+    out = None
+    for policy in ("keep", "drop"):
+        res = greedy_leaders(sigs, PHASH, on_missing=policy)
+        part = res.groupBy(F.when(F.col("is_unique"), "unique").otherwise("duplicate").alias("part")) \
+                  .agg(F.count(F.lit(1)).alias("n")).withColumn("policy", F.lit(policy))
+        out = part if out is None else out.unionByName(part)
+    return out.select("policy", "part", "n")
+
+
 QUERIES = {
+    "duplicate_groups": duplicate_groups,
+    "fused_pairs": fused_pairs,
+    "assignment_parts": assignment_parts,
     "phash_pairs": phash_pairs,
     "phash_leaders": phash_leaders,
     "embedding_pairs": embedding_pairs,
@@ -114,13 +153,26 @@ pairs AS (
 )"""
 
 
-def _greedy_sql(pairs_cte: str, best: str) -> str:
-    """Sequential greedy loop as a recursive CTE over the visiting order."""
+def _greedy_sql(pairs_cte: str, best: str, keep: str = "true", tail: str | None = None) -> str:
+    """Sequential greedy loop as a recursive CTE over the visiting order.
+
+    ``keep`` filters the items that have a signature; ``tail`` replaces the
+    final SELECT (it can use the CTEs ``lead`` and ``gp``).
+    """
+    body = f"""SELECT video_id, video_id AS primary_id, CAST(NULL AS DOUBLE) AS score, true AS is_unique FROM lead
+UNION ALL
+SELECT p.id_b AS video_id, {best} AS primary_id,
+       round(CAST({'min' if best.startswith('arg_min(p.id_a, (p.score') else 'max'}(p.score) AS DOUBLE), 6) AS score,
+       false AS is_unique
+FROM gp p
+WHERE p.id_a IN (SELECT video_id FROM lead) AND p.id_b NOT IN (SELECT video_id FROM lead)
+GROUP BY p.id_b"""
     return f"""WITH RECURSIVE {pairs_cte},
-items AS (SELECT video_id, row_number() OVER (ORDER BY video_id) AS rn FROM vnf),
+gp AS (SELECT * FROM pairs WHERE {keep.replace('video_id', 'id_a')} AND {keep.replace('video_id', 'id_b')}),
+items AS (SELECT video_id, row_number() OVER (ORDER BY video_id) AS rn FROM vnf WHERE {keep}),
 nb AS (
   SELECT i.video_id, i.rn, coalesce(list(p.id_a) FILTER (WHERE p.id_a IS NOT NULL), []) AS earlier
-  FROM items i LEFT JOIN pairs p ON p.id_b = i.video_id
+  FROM items i LEFT JOIN gp p ON p.id_b = i.video_id
   GROUP BY i.video_id, i.rn
 ),
 walk(rn, leaders) AS (
@@ -132,17 +184,31 @@ walk(rn, leaders) AS (
   FROM walk w JOIN nb n ON n.rn = w.rn + 1
 ),
 lead AS (SELECT unnest(leaders) AS video_id FROM (SELECT leaders FROM walk ORDER BY rn DESC LIMIT 1))
-SELECT video_id, video_id AS primary_id, CAST(NULL AS DOUBLE) AS score, true AS is_unique FROM lead
-UNION ALL
-SELECT p.id_b AS video_id, {best} AS primary_id,
-       round(CAST({'min' if best.startswith('arg_min') else 'max'}(p.score) AS DOUBLE), 6) AS score,
-       false AS is_unique
-FROM pairs p
-WHERE p.id_a IN (SELECT video_id FROM lead) AND p.id_b NOT IN (SELECT video_id FROM lead)
-GROUP BY p.id_b"""
+{tail or body}"""
+
+
+_FUSED = (PHASH_PAIRS_CTE.replace("\npairs AS (", "\nppairs AS (") + ",\n"
+          + EMBED_PAIRS_CTE[len(V_FRAMES) + 2:].replace("\npairs AS (", "\nepairs AS ("))
 
+_MISSING = f"video_id % {MISSING_EVERY} <> {MISSING_AT}"
+_PARTS_TAIL = f"""SELECT 'keep' AS policy, 'unique' AS part,
+       (SELECT count(*) FROM lead) + (SELECT count(*) FROM vnf WHERE NOT ({_MISSING})) AS n
+UNION ALL SELECT 'drop', 'unique', (SELECT count(*) FROM lead)
+UNION ALL SELECT 'keep', 'duplicate', (SELECT count(*) FROM items) - (SELECT count(*) FROM lead)
+UNION ALL SELECT 'drop', 'duplicate', (SELECT count(*) FROM items) - (SELECT count(*) FROM lead)"""
 
 ORACLE = {
+    "duplicate_groups": f"""WITH RECURSIVE {PHASH_PAIRS_CTE},
+e AS (SELECT id_a AS a, id_b AS b FROM pairs UNION ALL SELECT id_b, id_a FROM pairs),
+lab(video_id, g) AS (SELECT video_id, video_id FROM vnf
+                     UNION SELECT e.b, l.g FROM lab l JOIN e ON e.a = l.video_id),
+grp AS (SELECT video_id, min(g) AS group_id FROM lab GROUP BY video_id)
+SELECT video_id, group_id, count(*) OVER (PARTITION BY group_id) AS n FROM grp""",
+    "fused_pairs": f"""WITH {_FUSED}
+SELECT p.id_a, p.id_b, round(CAST(p.score AS DOUBLE), 6) AS phash_score,
+       round(CAST(e.score AS DOUBLE), 6) AS embedding_score
+FROM ppairs p JOIN epairs e ON e.id_a = p.id_a AND e.id_b = p.id_b""",
+    "assignment_parts": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))", _MISSING, _PARTS_TAIL),
     "phash_pairs": f"WITH {PHASH_PAIRS_CTE} SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs",
     "phash_leaders": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))"),
     "embedding_pairs": f"WITH {EMBED_PAIRS_CTE} SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs",
