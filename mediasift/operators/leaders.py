@@ -86,31 +86,33 @@ def greedy_rounds(conn: DataFrame, ix: DataFrame, pb: DataFrame, sigs: DataFrame
 
     A round promotes the items that are earliest among the undecided items of
     every key they probe, then marks as duplicates the undecided items that
-    match one of those new leaders. Each round's outputs are written to the
-    shared checkpoint folder, so plans stay flat however many rounds a chain
-    needs and a lost executor only repeats the current round.
+    match one of those new leaders. Each round writes one status table to the
+    shared checkpoint folder (leaders and duplicates together; the promoted
+    subplan is computed once thanks to exchange reuse), so the next round plans
+    over flat scans and a lost executor only repeats the current round.
     """
-    undecided = materialize(conn.select("id", "ord"), "undecided")
-    decided = []
-    remaining = undecided.count()
+    remaining = conn.count()
+    decided: list[DataFrame] = []
+    undecided = conn.select("id", "ord")
     while remaining > 0:
         first = ix.join(undecided, "id").groupBy("key").agg(F.min("ord").alias("mo"))
         earliest = (pb.join(undecided, "id").join(first, "key")
                     .groupBy("id", "ord").agg(F.min("mo").alias("m")))
-        promoted = materialize(earliest.where(F.col("m") == F.col("ord")).select("id", "ord"), "leaders")
+        promoted = earliest.where(F.col("m") == F.col("ord")).select("id", "ord")
         rest = undecided.join(promoted.select("id"), "id", "left_anti")
         ix_l = ix.join(promoted.select(F.col("id").alias("lid")), F.col("id") == F.col("lid")).select("lid", "key")
         cands = (pb.join(rest.select("id"), "id").join(ix_l, "key")
                  .select(F.col("lid").alias("a"), F.col("id").alias("b")).distinct())
         hit = verify_pairs(cands, sigs, spec).select(F.col("b").alias("id"))
-        dups = materialize(rest.join(hit, "id", "left_semi"), "dups")
-        decided.append(promoted.withColumn("is_leader", F.lit(True)))
-        decided.append(dups.withColumn("is_leader", F.lit(False)))
-        undecided = materialize(rest.join(dups.select("id"), "id", "left_anti"), "undecided")
-        left = undecided.count()
-        if left >= remaining:
+        dups = rest.join(hit, "id", "left_semi")
+        status = materialize(promoted.withColumn("is_leader", F.lit(True))
+                             .unionByName(dups.withColumn("is_leader", F.lit(False))), "round")
+        done = status.count()
+        if done == 0:
             raise RuntimeError("greedy rounds made no progress")
-        remaining = left
+        decided.append(status)
+        remaining -= done
+        undecided = undecided.join(status.select("id"), "id", "left_anti")
     out = conn.select("id", "ord", F.lit(True).alias("is_leader")).limit(0)
     for d in decided:
         out = out.unionByName(d)
@@ -139,8 +141,12 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     conn_ids = iso.where("connected").select("id")
     # Inputs of the rounds are written once, so every round plans over flat scans.
     conn = materialize(reps.join(conn_ids, "id"), "connected")
-    ix_c = materialize(ix.join(conn.select("id"), "id"), "index_keys")
-    pb_c = ix_c if spec.probe_is_index else materialize(pb.join(conn.select("id"), "id"), "probe_keys")
+    keys = ix.join(conn.select("id"), "id").withColumn("probe", F.lit(False))
+    if not spec.probe_is_index:
+        keys = keys.unionByName(pb.join(conn.select("id"), "id").withColumn("probe", F.lit(True)))
+    keys = materialize(keys, "connected_keys")
+    ix_c = keys.where(~F.col("probe")).select("id", "key")
+    pb_c = ix_c if spec.probe_is_index else keys.where("probe").select("id", "key")
     sig_c = conn.select("id", "sig")
 
     status = greedy_rounds(conn, ix_c, pb_c, sig_c, spec)
