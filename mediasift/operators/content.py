@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediasift.functions.text import canonical_url, words
+from mediasift.session import broadcast_if_small
 
 
 def url_dedup(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -27,12 +28,22 @@ def exact_dedup(items: DataFrame, id_col: str = "doc_id", content_col: str = "te
     return digests.join(keep, "digest").select(F.col("id").alias(id_col), "keep_id")
 
 
-def shingles(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, pos, shingle): every k-word window of the whole text, 0-based position."""
+def shingle_hashes(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, pos, sh, h): every k-word window of the whole text (0-based position),
+    its k words and a 64-bit hash of them. Each row carries only its own k words,
+    so the output is linear in the text length."""
     w = docs.select(F.col(id_col).alias("id"), words(text_col).alias("w"))
-    return (w.select("id", "w", F.posexplode(F.col("w")).alias("pos", "_t"))
+    # posexplode and the projection to the k-word slice run in one codegen
+    # stage; the whole word list is dropped there and never shuffled.
+    return (w.select("id", "w", F.posexplode("w").alias("pos", "_t"))
             .where(F.col("pos") <= F.size("w") - k)
-            .select("id", "pos", F.array_join(F.slice("w", F.col("pos") + 1, k), " ").alias("shingle")))
+            .select("id", "pos", F.slice("w", F.col("pos") + 1, k).alias("sh"))
+            .withColumn("h", F.xxhash64("sh")))
+
+
+def shingles(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """(id, pos, shingle): every k-word window of the whole text, 0-based position."""
+    return shingle_hashes(docs, id_col, text_col, k).select("id", "pos", F.array_join("sh", " ").alias("shingle"))
 
 
 def overlap_spans(docs: DataFrame, refs: DataFrame, k: int = 8,
@@ -46,12 +57,18 @@ def overlap_spans(docs: DataFrame, refs: DataFrame, k: int = 8,
     first matched word in the document, ``length`` in words and
     ``containment`` = matched shingles / shingles of the reference.
     """
-    ds = shingles(docs, doc_id, text_col, k).withColumn("h", F.xxhash64("shingle"))
-    rs = shingles(refs, ref_id, text_col, k).withColumn("h", F.xxhash64("shingle"))
+    # Join on the hash; the word lists confirm each hit, so a hash collision
+    # can never create a match.
+    ds = shingle_hashes(docs, doc_id, text_col, k)
+    rs = shingle_hashes(refs, ref_id, text_col, k)
     totals = rs.groupBy(F.col("id").alias("rid")).agg(F.count(F.lit(1)).alias("total"))
-    m = (ds.select(F.col("id").alias("did"), F.col("pos").alias("dpos"), "h", F.col("shingle").alias("ds"))
-         .join(rs.select(F.col("id").alias("rid"), F.col("pos").alias("rpos"), "h", F.col("shingle").alias("rsh")), "h")
-         .where(F.col("ds") == F.col("rsh")))
+    # The reference side is broadcast when its checked size allows: document
+    # shingles are then matched map-side and never shuffled.
+    ref = broadcast_if_small(rs.select(F.col("id").alias("rid"), F.col("pos").alias("rpos"), "h",
+                                       F.col("sh").alias("rsh")))
+    m = (ds.select(F.col("id").alias("did"), F.col("pos").alias("dpos"), "h", F.col("sh").alias("dsh"))
+         .join(ref, "h")
+         .where(F.col("dsh") == F.col("rsh")))
     g = (m.groupBy("did", "rid", (F.col("dpos") - F.col("rpos")).alias("diag"))
          .agg(F.min("dpos").alias("start"), F.count(F.lit(1)).alias("n")))
     return (g.join(totals, "rid")

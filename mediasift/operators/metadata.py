@@ -62,17 +62,22 @@ def extract_metadata(probes: DataFrame, id_col: str = "video_id", path_col: str
     stream or with an unreadable document are dropped there).
     """
     p = F.from_json(F.col(json_col), PROBE, {"mode": "PERMISSIVE"})
+    # Parse once, pick the streams once: each step is its own projection so the
+    # (interpreted) higher-order functions are not repeated per output field.
     base = probes.select(F.col(id_col), F.col(path_col).alias("filepath"), p.alias("p"))
-    v = _first(F.col("p.streams"), "video")
-    a = _first(F.col("p.streams"), "audio")
-    fmt = F.col("p.format")
+    base = base.select(id_col, "filepath", F.col("p.format").alias("fmt"),
+                       (F.col("p").isNull() | F.col("p.streams").isNull()).alias("_bad"),
+                       _first(F.col("p.streams"), "video").alias("v"),
+                       _first(F.col("p.streams"), "audio").alias("a"))
+    base = base.withColumn("duration_seconds", F.coalesce(
+        F.col("v.duration").try_cast("double"), F.col("fmt.duration").try_cast("double"), F.lit(0.0)))
+    v, a, fmt = F.col("v"), F.col("a"), F.col("fmt")
     has_a = a.isNotNull()
     width = v["width"]
-    duration = F.coalesce(v["duration"].try_cast("double"), fmt["duration"].try_cast("double"), F.lit(0.0))
+    duration = F.col("duration_seconds")
     out = base.select(
         F.col(id_col),
-        F.when(F.col("p").isNull() | F.col("p.streams").isNull(), "invalid")
-         .when(v.isNull(), "no_video").otherwise("ok").alias("status"),
+        F.when(F.col("_bad"), "invalid").when(v.isNull(), "no_video").otherwise("ok").alias("status"),
         basename(F.col("filepath")).alias("filename"),
         "filepath",
         fmt["format_name"].alias("format_name"),

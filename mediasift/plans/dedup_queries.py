@@ -73,9 +73,13 @@ def assignment_parts(spark: SparkSession, sf: str) -> DataFrame:
     sigs = phash_signatures(clone_frames(spark, sf))
     sigs = sigs.withColumn("hashes", F.when(F.col("video_id") % MISSING_EVERY == MISSING_AT, None)
                            .otherwise(F.col("hashes")))
+    # Items without a signature never take part in a comparison, so one greedy
+    # run serves both policies: "drop" only removes them from the output.
+    keep = greedy_leaders(sigs, PHASH, on_missing="keep")
+    missing = sigs.where(F.col("hashes").isNull()).select("video_id")
+    drop = keep.join(missing, "video_id", "left_anti")
     out = None
-    for policy in ("keep", "drop"):
-        res = greedy_leaders(sigs, PHASH, on_missing=policy)
+    for policy, res in (("keep", keep), ("drop", drop)):
         part = res.groupBy(F.when(F.col("is_unique"), "unique").otherwise("duplicate").alias("part")) \
                   .agg(F.count(F.lit(1)).alias("n")).withColumn("policy", F.lit(policy))
         out = part if out is None else out.unionByName(part)
