@@ -39,6 +39,10 @@ def infer(df: DataFrame, name: str, loader: Callable[[], object],
     ``out_schema`` lists the kept columns, the model outputs and a trailing
     ``status string``; ``keep`` are input columns copied to the output.
     """
+    from pyspark.sql.types import _parse_datatype_string
+
+    outputs = [f.name for f in _parse_datatype_string(out_schema).fields if f.name not in keep and f.name != "status"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _get_model(name, loader)
         for pdf in batches:
@@ -46,14 +50,14 @@ def infer(df: DataFrame, name: str, loader: Callable[[], object],
                 part = pdf.iloc[start:start + batch_size]
                 out = part[keep].reset_index(drop=True)
                 if model is None:
-                    res = pd.DataFrame(index=out.index)
+                    res = pd.DataFrame({c: [None] * len(out) for c in outputs}, index=out.index)
                     status = "unavailable"
                 else:
                     try:
                         res = fn(model, part).reset_index(drop=True)
                         status = "ok"
                     except Exception:  # noqa: BLE001 - per-batch isolation
-                        res = pd.DataFrame(index=out.index)
+                        res = pd.DataFrame({c: [None] * len(out) for c in outputs}, index=out.index)
                         status = "error"
                 yield pd.concat([out, res], axis=1).assign(status=status)
 

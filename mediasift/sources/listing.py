@@ -31,7 +31,8 @@ def list_media(spark: SparkSession, root: str, suffixes=VIDEO_SUFFIXES, non_empt
     """(path, length, modificationTime) of media files under ``root``.
 
     A missing root gives an empty DataFrame (the reference logs a warning and
-    returns an empty list). ``non_empty`` drops zero-byte files (S3).
+    returns an empty list). ``non_empty`` drops zero-byte files (S3); Spark's
+    file scan never emits zero-length files anyway, the filter states intent.
     """
     if not _exists(spark, root):
         return spark.createDataFrame([], ASSET_SCHEMA)

@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType, watermark: str,
-                 file_glob: str | None = None) -> DataFrame:
+                 file_glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """``path`` is a folder of event files; ``file_glob`` keeps only matching names."""
     r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if file_glob:
         r = r.option("pathGlobFilter", file_glob)
     s = r.parquet(path)
