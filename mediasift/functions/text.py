@@ -18,13 +18,12 @@ def _c(x: Column | str) -> Column:
 
 def tokens(text: Column | str) -> Column:
     """Lower-case letter/digit tokens, empty strings removed."""
-    return F.filter(F.split(F.lower(_c(text)), TOKEN_SPLIT), lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(F.lower(_c(text)), TOKEN_SPLIT), "")
 
 
 def words(text: Column | str) -> Column:
     """Whitespace-separated words of the whole text (no prefix cut)."""
-    return F.filter(F.split(F.regexp_replace(_c(text), EDGE_SPACE, ""), WORD_SPLIT),
-                    lambda t: F.length(t) > 0)
+    return F.array_remove(F.split(F.regexp_replace(_c(text), EDGE_SPACE, ""), WORD_SPLIT), "")
 
 
 def canonical_url(url: Column | str) -> Column:

@@ -206,23 +206,29 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
     """Nearest index entry within the threshold for every probe.
 
     Returns (probe_id, match_id, score); probes without a match get NULLs.
-    Ties go to the smallest index id.
+    Ties go to the smallest index id. Identical index signatures tie exactly, so
+    the index is cut to its smallest id per signature before the band join, and
+    identical probes share one answer: a signature held by a third of either
+    side costs one aggregation, not a pair list.
     """
     p = _persist(prepare_items(probes, spec, id_col))
-    i = _persist(prepare_items(index, spec, id_col).where("self_match"))
-    ix = spec.index_keys(i)
-    pb = spec.probe_keys(p)
+    i = prepare_items(index, spec, id_col).where("self_match")
+    i = i.groupBy("sig").agg(F.min("id").alias("id"))
+    pu = p.groupBy("sig").agg(F.min("id").alias("rep"))
+    ix = spec.index_keys(i.select("id", "sig", F.size("sig").alias("nf")))
+    pb = spec.probe_keys(pu.select(F.col("rep").alias("id"), "sig", F.size("sig").alias("nf")))
     cands = (ix.select(F.col("id").alias("a"), "key").join(pb.select(F.col("id").alias("b"), "key"), "key")
              .select("a", "b").distinct())
     sa = i.select(F.col("id").alias("a"), F.col("sig").alias("_sa"))
-    sb = p.select(F.col("id").alias("b"), F.col("sig").alias("_sb"))
+    sb = pu.select(F.col("rep").alias("b"), F.col("sig").alias("_sb"))
     scored = (cands.join(sa, "a").join(sb, "b")
               .where(spec.comparable(F.col("_sa"), F.col("_sb")))
               .withColumn("score", spec.score(F.col("_sa"), F.col("_sb")))
               .where(spec.is_match(F.col("score"))))
     best = scored.groupBy("b").agg(F.min(F.struct(spec.badness(F.col("score")).alias("bad"),
                                                   F.col("a"), F.col("score"))).alias("m"))
-    return (p.select(F.col("id").alias("probe_id")).join(best.withColumnRenamed("b", "probe_id"), "probe_id", "left")
+    answer = pu.select(F.col("rep").alias("b"), "sig").join(best, "b", "left")
+    return (p.select(F.col("id").alias("probe_id"), "sig").join(answer, "sig", "left")
             .select("probe_id", F.col("m.a").alias("match_id"), F.col("m.score").cast("double").alias("score")))
 
 

@@ -51,7 +51,10 @@ def basename(path: Column) -> Column:
 
 
 def _first(streams: Column, kind: str) -> Column:
-    return F.get(F.filter(streams, lambda s: s["codec_type"] == kind), 0)
+    """First stream of a kind. ``streams.codec_type`` is a plain field extraction
+    and ``array_position`` a codegen'd function: no per-row lambda."""
+    pos = F.array_position(streams["codec_type"], kind)
+    return F.when(pos > 0, F.element_at(streams, pos.cast("int")))
 
 
 def extract_metadata(probes: DataFrame, id_col: str = "video_id", path_col: str = "path",

@@ -147,3 +147,19 @@ def test_partition_invariant(spark):
     d = res.where(~F.col("is_unique")).select("video_id")
     assert u.intersect(d).count() == 0
     assert sorted(r[0] for r in u.unionByName(d).collect()) == sorted(r[0] for r in rows)
+
+
+def test_lsh_pairs_subset_of_exact(spark):
+    from conftest import SF_MID
+    from mediasift.plans import dedup_queries as dq
+    from mediasift.sources.fixtures import clone_frames, embedding_signatures
+
+    lsh = dq.embedding_lsh_pairs(spark, SF_MID).collect()
+    sigs = embedding_signatures(clone_frames(spark, SF_MID)).collect()
+    by_id = {r.video_id: r.frames for r in sigs}
+    exact = {(a, b) for a in by_id for b in by_id
+             if a < b and len(by_id[a]) == len(by_id[b]) and cos_score(by_id[a], by_id[b]) >= 0.95}
+    got = {(r.id_a, r.id_b) for r in lsh}
+    assert got <= exact
+    assert 0.9 < lsh[0].expected_recall <= 1.0
+    assert len(got) / len(exact) >= 0.8
