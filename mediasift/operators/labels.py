@@ -9,7 +9,8 @@ score tables it produces:
 * R1/R2 top action: top-k classes by logit, ties by class name, first kept.
 * J7 zero-shot: argmax cosine against a bounded prompt set (ties: lowest index).
 * L5 speech: has_speech, language from a ``<|xx|>`` token, trimmed snippet.
-* D16 motion class from frame-to-frame change, S6 flattening of label maps.
+* D14/D15 tags over time chunks and the audio-type rule; D16 motion class;
+  D17 tone histogram and shot type; S6 flattening of label maps.
 """
 
 from __future__ import annotations
@@ -137,3 +138,49 @@ def flatten_objects(objects: DataFrame, keys: list[str], id_col: str = "video_id
     """One column per map key from a fixed key list (pivot with known values)."""
     return (objects.groupBy(id_col).pivot("label", keys).agg(F.max("conf"))
             .select(id_col, *[F.col(k).alias(prefix + k) for k in keys]))
+
+
+def chunk_tags(logits: DataFrame, chunk_col: str, id_col: str = "video_id",
+               floor: float = SOUND_MIN_PROB) -> DataFrame:
+    """Per chunk, soft-max of mean logits; per video and tag the highest
+    chunk probability, kept above ``floor``: (video_id, label, confidence, chunks)."""
+    mean = logits.groupBy(id_col, chunk_col, "label").agg(F.avg("logit").alias("m"))
+    w = Window.partitionBy(id_col, chunk_col)
+    e = mean.withColumn("e", F.exp(F.col("m") - F.max("m").over(w)))
+    p = e.withColumn("prob", F.col("e") / F.sum("e").over(w))
+    return (p.groupBy(id_col, "label").agg(F.max("prob").alias("confidence"),
+                                           F.sum((F.col("prob") > floor).cast("int")).alias("chunks"))
+            .where(F.col("confidence") > floor)
+            .select(id_col, "label", F.round("confidence", 6).alias("confidence"), "chunks"))
+
+
+def audio_type(tags: DataFrame, music: str, speech: str, present: float, id_col: str = "video_id") -> DataFrame:
+    """D15: 'music-only' (music, no speech), 'narration' (speech), 'silence' (no tag present), else 'ambient'."""
+    g = tags.groupBy(id_col).agg(
+        F.max(F.when(F.col("label") == music, F.col("confidence"))).alias("mu"),
+        F.max(F.when(F.col("label") == speech, F.col("confidence"))).alias("sp"),
+        F.max("confidence").alias("top"))
+    has_m = F.coalesce(F.col("mu") > present, F.lit(False))
+    has_s = F.coalesce(F.col("sp") > present, F.lit(False))
+    kind = (F.when(has_m & ~has_s, "music-only").when(has_s, "narration")
+            .when(F.col("top") <= present, "silence").otherwise("ambient"))
+    return g.select(id_col, kind.alias("audio_type"))
+
+
+def tone_and_shot(frames: DataFrame, boxes: DataFrame, id_col: str = "video_id",
+                  luma_col: str = "luma", area_col: str = "area") -> DataFrame:
+    """Colour tone = most frequent of 4 luma bins (ties: darker bin);
+    shot type from the largest detection-box area ratio."""
+    tones = F.array(*[F.lit(t) for t in TONES])
+    hist = (frames.groupBy(id_col, F.least(F.floor(F.col(luma_col) / 64), F.lit(3)).cast("int").alias("bin"))
+            .agg(F.count(F.lit(1)).alias("c")))
+    tone = hist.groupBy(id_col).agg(F.max(F.struct("c", (-F.col("bin")).alias("nb"))).alias("m")) \
+               .select(id_col, F.element_at(tones, (1 - F.col("m.nb")).cast("int")).alias("tone"))
+    area = boxes.groupBy(id_col).agg(F.max(area_col).alias("a"))
+    shot = area.select(id_col, F.when(F.col("a") >= 0.5, "close-up").when(F.col("a") >= 0.15, "medium")
+                       .otherwise("wide").alias("shot_type"))
+    return tone.join(shot, id_col, "full_outer")
+
+
+# Fixed names of the four luma bins used by ``tone_and_shot``.
+TONES = ["dark", "dim", "bright", "very bright"]

@@ -12,6 +12,7 @@ from mediasift.operators import labels as lb
 from mediasift.operators import metadata as md
 from mediasift.operators.signatures import dct_hash as _dct_hash
 from mediasift.sources import fixtures as fx
+from mediasift.functions.timecols import epoch_micros
 from mediasift.sources.tables import table
 
 # Fixed query parameters.
@@ -126,6 +127,29 @@ def label_record(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(F.lit(RUN_TS).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ai_labeling_timestamp"))
 
 
+AUDIO_CHUNK_HOURS = 6
+MUSIC_CLASS, SPEECH_CLASS, PRESENT_PROB = "view", "click", 0.3
+
+
+def audio_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags over fixed time chunks, then the audio-type rule
+    (event type 'view' stands for music, 'click' for speech)."""
+    ev = table(spark, sf, "events")
+    logits = ev.select(F.col("user_id").alias("video_id"), F.col("event_type").alias("label"),
+                       (F.col("value") / 50.0).alias("logit"),
+                       F.floor(epoch_micros("ts") / F.lit(AUDIO_CHUNK_HOURS * 3_600_000_000)).alias("chunk"))
+    tags = lb.chunk_tags(logits, "chunk")
+    kinds = lb.audio_type(tags, MUSIC_CLASS, SPEECH_CLASS, PRESENT_PROB)
+    return tags.join(kinds, "video_id")
+
+
+def visual_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Tone of documents-derived frames; shot type from box areas (l_quantity / 50)."""
+    boxes = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("video_id"),
+                                               (F.col("l_quantity") / 50.0).alias("area"))
+    return lb.tone_and_shot(fx.doc_frames(spark, sf), boxes)
+
+
 def batch_infer(spark: SparkSession, sf: str) -> DataFrame:
     emb = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     return inf.infer(emb, "linear64", inf.linear_model_loader(64), inf.linear_model_fn,
@@ -154,6 +178,8 @@ QUERIES = {
     "label_record": label_record,
     "batch_infer": batch_infer,
     "dct_hash": dct_hash,
+    "audio_profile": audio_profile,
+    "visual_profile": visual_profile,
 }
 
 # ---------------------------------------------------------------------------
@@ -314,4 +340,33 @@ LEFT JOIN act a ON a.video_id = m.video_id % {fx.ACTION_VIDEOS} AND a.is_action"
                  lambda x, i: x * ((((i - 1) * 7) % 11 - 5) / CAST(10 AS DOUBLE)))) AS sc FROM embeddings)
 SELECT vec_id, round(sc, 6) AS score, CASE WHEN sc > 0 THEN 'positive' ELSE 'negative' END AS label, 'ok' AS status
 FROM s""",
+    "audio_profile": f"""WITH lg AS (
+  SELECT user_id AS video_id, floor(epoch_us(ts) / {AUDIO_CHUNK_HOURS * 3_600_000_000}) AS chunk, event_type AS label,
+         avg(value / 50.0) AS m
+  FROM events GROUP BY 1, 2, 3),
+e AS (SELECT *, exp(m - max(m) OVER (PARTITION BY video_id, chunk)) AS e FROM lg),
+p AS (SELECT *, e / sum(e) OVER (PARTITION BY video_id, chunk) AS prob FROM e),
+tags AS (SELECT video_id, label, round(max(prob), 6) AS confidence,
+                CAST(sum(CASE WHEN prob > 0.1 THEN 1 ELSE 0 END) AS BIGINT) AS chunks,
+                max(prob) AS raw
+         FROM p GROUP BY video_id, label HAVING max(prob) > 0.1),
+k AS (SELECT video_id,
+             CASE WHEN coalesce(max(CASE WHEN label = '{MUSIC_CLASS}' THEN raw END) > {PRESENT_PROB}, false)
+                   AND NOT coalesce(max(CASE WHEN label = '{SPEECH_CLASS}' THEN raw END) > {PRESENT_PROB}, false)
+                  THEN 'music-only'
+                  WHEN coalesce(max(CASE WHEN label = '{SPEECH_CLASS}' THEN raw END) > {PRESENT_PROB}, false)
+                  THEN 'narration'
+                  WHEN max(raw) <= {PRESENT_PROB} THEN 'silence' ELSE 'ambient' END AS audio_type
+      FROM tags GROUP BY video_id)
+SELECT t.video_id, t.label, t.confidence, t.chunks, k.audio_type FROM tags t JOIN k ON k.video_id = t.video_id""",
+    "visual_profile": f"""WITH {_FV}, {_FF},
+h AS (SELECT video_id, CAST(least(floor(luma / 64), 3) AS INTEGER) AS bin, count(*) AS c FROM ff GROUP BY 1, 2),
+tone AS (SELECT video_id, ['dark', 'dim', 'bright', 'very bright'][arg_max(bin, (c, -bin)) + 1] AS tone
+         FROM h GROUP BY video_id),
+shot AS (SELECT l_orderkey AS video_id,
+                CASE WHEN max(l_quantity / 50.0) >= 0.5 THEN 'close-up'
+                     WHEN max(l_quantity / 50.0) >= 0.15 THEN 'medium' ELSE 'wide' END AS shot_type
+         FROM lineitem GROUP BY l_orderkey)
+SELECT coalesce(tone.video_id, shot.video_id) AS video_id, tone, shot_type
+FROM tone FULL OUTER JOIN shot ON tone.video_id = shot.video_id""",
 }
