@@ -124,7 +124,10 @@ def label_record(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce("people_estimate", F.lit("0")).alias("ai_estimated_people_count"),
         "ai_action",
         F.lit(CAMERA_MOTION).alias("ai_camera_motion"),
-        F.date_format(F.lit(RUN_TS).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ai_labeling_timestamp"))
+        # the run time is a UTC wall-clock value: formatting a TIMESTAMP_NTZ does
+        # not depend on the session time zone
+        F.date_format(F.to_timestamp_ntz(F.lit(RUN_TS[:19].replace("T", " "))),
+                      "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ai_labeling_timestamp"))
 
 
 AUDIO_CHUNK_HOURS = 6
