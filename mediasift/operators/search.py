@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mediasift.functions.text import tokens
 from mediasift.functions.vectors import cosine
+from mediasift.session import materialize
 
 MAX_QUERY_VECTORS = 10_000
 
@@ -56,11 +57,16 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     Returns (item_id, rank, doc_id, score) for the k best documents per query,
     ties broken by the smaller doc id.
     """
+    # Texts are tokenised once: the (doc, term, tf) postings are written to the
+    # checkpoint folder and lengths, collection statistics and idf come from them.
     toks = docs.select(F.col(doc_id).alias("d"), tokens(text_col).alias("tk"))
-    lengths = toks.select("d", F.size("tk").alias("dl"))
+    tf = materialize(toks.select("d", F.explode("tk").alias("t"))
+                     .groupBy("d", "t").agg(F.count(F.lit(1)).alias("tf")), "bm25_postings")
+    lengths = (tf.groupBy("d").agg(F.sum("tf").alias("dl"))
+               .unionByName(docs.select(F.col(doc_id).alias("d"), F.lit(0).cast("bigint").alias("dl"))
+                            .join(tf.select("d").distinct(), "d", "left_anti")))
     stats = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    tf = toks.select("d", F.explode("tk").alias("t")).groupBy("d", "t").agg(F.count(F.lit(1)).alias("tf"))
     df_ = tf.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     idf = df_.select("t", F.log(1.0 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     qterms = queries.select(F.col(query_id).alias("q"), F.explode(F.array_distinct(tokens(text_col))).alias("t"))
