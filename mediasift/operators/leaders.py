@@ -15,13 +15,13 @@ Distributed form, without ever emitting all pairs of a hot bucket:
 2. Band keys are computed per representative; a representative none of whose
    probe keys is shared with another item is isolated and is a leader at once.
    Only the rest (the near-duplicate subgraph) iterates.
-3. Rounds. Elimination: undecided items probing a key of a leader promoted in
-   the previous round are verified against it; a match makes them duplicates.
-   Promotion: an undecided item that is the earliest undecided item in every
-   key it probes has no undecided earlier candidate, so no earlier leader can
-   be found later: it is a leader. At most one leader is promoted per key and
-   round, so the elimination join emits at most one partner per probe row.
-   Every round decides at least the earliest undecided item.
+3. Rounds. Promotion: an undecided item with no earlier undecided item that
+   can match it is a leader. In keys held by at most ``small_bucket`` undecided
+   items the earlier holders are verified exactly; in hotter keys the item must
+   be the earliest holder (exact fallback, no pairs). Elimination: undecided
+   items probing a key of a new leader are verified against it; a match makes
+   them duplicates. Verified partners per probe row are bounded by
+   ``small_bucket``; every round decides at least the earliest undecided item.
 4. Assignment: each duplicate takes the best match over all leaders earlier
    than itself (struct(badness, leader order) minimum).
 """
@@ -81,24 +81,39 @@ def _isolation(reps: DataFrame, ix: DataFrame, pb: DataFrame, spec: Spec) -> Dat
         "id", (F.coalesce(F.col("s"), F.lit(0)) > F.col("m")).alias("connected"))
 
 
-def greedy_rounds(conn: DataFrame, ix: DataFrame, pb: DataFrame, sigs: DataFrame, spec: Spec) -> DataFrame:
+SMALL_BUCKET = 64
+
+
+def greedy_rounds(conn: DataFrame, ix: DataFrame, pb: DataFrame, sigs: DataFrame, spec: Spec,
+                  small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """Leader/duplicate status of the connected items: (id, ord, is_leader).
 
-    A round promotes the items that are earliest among the undecided items of
-    every key they probe, then marks as duplicates the undecided items that
-    match one of those new leaders. Each round writes one status table to the
-    shared checkpoint folder (leaders and duplicates together; the promoted
-    subplan is computed once thanks to exchange reuse), so the next round plans
-    over flat scans and a lost executor only repeats the current round.
+    Promotion: an undecided item becomes a leader when no earlier undecided
+    item can match it. For a key held by at most ``small_bucket`` undecided
+    items the earlier holders are verified exactly (only a true match blocks);
+    for a larger, hot key the item must be the earliest holder (the exact
+    fallback, no pairs). So at most ``small_bucket`` partners per probe row are
+    ever verified, and false candidates in ordinary buckets do not lengthen the
+    chain of rounds. Elimination: undecided items probing a key of a new leader
+    are verified against it. Each round writes one status table to the shared
+    checkpoint folder (flat plans; a lost executor repeats only this round).
     """
     remaining = conn.count()
     decided: list[DataFrame] = []
     undecided = conn.select("id", "ord")
     while remaining > 0:
-        first = ix.join(undecided, "id").groupBy("key").agg(F.min("ord").alias("mo"))
-        earliest = (pb.join(undecided, "id").join(first, "key")
-                    .groupBy("id", "ord").agg(F.min("mo").alias("m")))
-        promoted = earliest.where(F.col("m") == F.col("ord")).select("id", "ord")
+        held = ix.join(undecided, "id").select(F.col("id").alias("u"), "key", F.col("ord").alias("uord"))
+        size = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("uord").alias("mo"))
+        probes = pb.join(undecided, "id").select(F.col("id").alias("v"), "key", F.col("ord").alias("vord"))
+        pk = probes.join(size, "key")
+        blocked_hot = pk.where((F.col("n") > small_bucket) & (F.col("mo") < F.col("vord"))).select("v")
+        small_held = held.join(size.where(F.col("n") <= small_bucket).select("key"), "key")
+        pairs = (pk.where(F.col("n") <= small_bucket).select("v", "key", "vord")
+                 .join(small_held, "key").where(F.col("uord") < F.col("vord"))
+                 .select(F.col("u").alias("a"), F.col("v").alias("b")).distinct())
+        blocked_match = verify_pairs(pairs, sigs, spec).select(F.col("b").alias("v"))
+        blocked = blocked_hot.unionByName(blocked_match).withColumnRenamed("v", "id")
+        promoted = undecided.join(blocked, "id", "left_anti")
         rest = undecided.join(promoted.select("id"), "id", "left_anti")
         ix_l = ix.join(promoted.select(F.col("id").alias("lid")), F.col("id") == F.col("lid")).select("lid", "key")
         cands = (pb.join(rest.select("id"), "id").join(ix_l, "key")
@@ -120,7 +135,8 @@ def greedy_rounds(conn: DataFrame, ix: DataFrame, pb: DataFrame, sigs: DataFrame
 
 
 def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
-                   order_col: str | None = None, on_missing: str = "keep") -> DataFrame:
+                   order_col: str | None = None, on_missing: str = "keep",
+                   small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """Greedy near-duplicate assignment: (video_id, primary_id, score, is_unique).
 
     Leaders have ``primary_id = video_id`` and a NULL score. ``on_missing``
@@ -149,7 +165,7 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     pb_c = ix_c if spec.probe_is_index else keys.where("probe").select("id", "key")
     sig_c = conn.select("id", "sig")
 
-    status = greedy_rounds(conn, ix_c, pb_c, sig_c, spec)
+    status = greedy_rounds(conn, ix_c, pb_c, sig_c, spec, small_bucket)
     leaders_c = status.where("is_leader").select("id", "ord")
     dups_c = status.where(~F.col("is_leader")).select("id", "ord", F.col("id").alias("sig_id"))
 

@@ -163,3 +163,26 @@ def test_lsh_pairs_subset_of_exact(spark):
     assert got <= exact
     assert 0.9 < lsh[0].expected_recall <= 1.0
     assert len(got) / len(exact) >= 0.8
+
+
+@pytest.mark.parametrize("small_bucket", [1, 2])
+def test_hot_bucket_fallback_matches_sequential(spark, small_bucket):
+    rnd = random.Random(11)
+    rows, vid = [], 0
+    hub = rnd.getrandbits(64)
+    for _ in range(12):          # a cluster of near copies: buckets bigger than small_bucket
+        rows.append((vid, [_flip(hub, rnd.sample(range(64), rnd.randint(0, 6)))]))
+        vid += 1
+    for _ in range(15):
+        base = rnd.getrandbits(64)
+        rows.append((vid, [base - (1 << 63)]))
+        rows.append((vid + 1, [_flip(base, rnd.sample(range(64), 3))]))
+        vid += 2
+    rnd.shuffle(rows)
+    rows = [(i, sig) for i, (_, sig) in enumerate(rows)]
+    df = spark.createDataFrame(rows, SIG)
+    spec = PhashSpec(5.0, 1)
+    got = {r.video_id: (r.primary_id, r.score, r.is_unique)
+           for r in greedy_leaders(df, spec, small_bucket=small_bucket).collect()}
+    want = sequential_greedy(sorted(rows), phash_score, lambda s: s <= 5.0, lambda a, b: a < b)
+    _same(got, want)
