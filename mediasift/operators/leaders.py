@@ -272,10 +272,10 @@ def connected_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
               .unionByName(mins2.select(F.col("v").alias("x"), F.col("m").alias("y"))))
         e2 = materialize(ss.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
                          .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
-        diff = e2.select("u", "v").exceptAll(e.select("u", "v")).unionByName(
-            e.select("u", "v").exceptAll(e2.select("u", "v")))
+        # Both edge sets are distinct: equal sizes and e2 within e means no change.
+        unchanged = e2.count() == e.count() and e2.join(e, ["u", "v"], "left_anti").isEmpty()
         e = e2
-        if diff.isEmpty():
+        if unchanged:
             break
     label = e.groupBy("v").agg(F.min("u").alias("g"))
     return (nodes.select("id").join(label.withColumnRenamed("v", "id"), "id", "left")
