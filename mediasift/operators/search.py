@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediasift.functions.text import tokens
-from mediasift.functions.vectors import cosine
 from mediasift.session import materialize
 
 MAX_QUERY_VECTORS = 10_000
@@ -81,41 +83,69 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("d").alias(doc_id), "score")
 
 
-def _query_literal(queries: DataFrame, qid: str, vec: str, extra: str | None = None) -> Column:
-    """Bounded query set as a literal array of structs (size checked, never data-sized)."""
+def _bounded_queries(queries: DataFrame, qid: str, vec: str, extra: str | None):
+    """The query set is a parameter-sized input: counted against a bound, then
+    shipped to the tasks inside the closure (never data-sized)."""
     n = queries.count()
     if n > MAX_QUERY_VECTORS:
         raise ValueError(f"{n} query vectors exceed the bound of {MAX_QUERY_VECTORS}")
     rows = queries.select(qid, vec, *([extra] if extra else [])).collect()
-    items = []
-    for r in rows:
-        fields = [F.lit(r[qid]).alias("q"),
-                  F.array(*[F.lit(float(x)) for x in r[vec]]).alias("v")]
-        if extra:
-            fields.append(F.lit(r[extra]).alias("x"))
-        items.append(F.struct(*fields))
-    return F.array(*items)
+    ids = np.array([r[qid] for r in rows], dtype=np.int64)
+    mat = np.array([np.asarray(r[vec], dtype=np.float64) for r in rows]).reshape(len(rows), -1)
+    tags = [r[extra] for r in rows] if extra else None
+    return ids, mat, tags
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
 
 def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                 vec_col: str = "embedding", filter_col: str | None = None) -> DataFrame:
     """Exact cosine top-k of every query over all items (ties: smaller id).
 
-    The query set is small and bounded, so it travels as a literal inside the
-    expression; each item scores every query in one pass (no join), and the
-    per-query top-k is limited before the shuffle. With ``filter_col`` an item
-    is only ranked for queries with the same value in that column (hybrid
-    search, filter before rank).
+    Items are scored in Arrow batches with one matrix product per batch
+    (numpy inside ``mapInPandas``); each batch forwards only its own top
+    candidates per query (the k best plus any within rounding distance of the
+    k-th), so the shuffle carries O(k) rows per batch and query, not one row per
+    item and query. The final rank is a ``row_number() <= k`` window on the
+    rounded similarity. With ``filter_col`` an item is only ranked for queries
+    with the same value in that column (hybrid search, filter before rank).
     """
-    lit = _query_literal(queries, id_col, vec_col, filter_col)
-    v = F.col(vec_col).cast("array<double>")
-    scored = items.select(F.col(id_col).alias("id"), *( [F.col(filter_col).alias("fx")] if filter_col else []),
-                          F.explode(F.transform(lit, lambda q: F.struct(
-                              q["q"].alias("q"), cosine(v, q["v"]).alias("sim"),
-                              *( [q["x"].alias("x")] if filter_col else []) ))).alias("s"))
-    if filter_col:
-        scored = scored.where(F.col("s.x") == F.col("fx"))
-    scored = scored.select(F.col("s.q").alias("q"), "id", F.round(F.col("s.sim"), 6).alias("sim"))
+    qids, qmat, qtags = _bounded_queries(queries, id_col, vec_col, filter_col)
+    qunit = _unit(qmat)
+    cols = [id_col, vec_col] + ([filter_col] if filter_col else [])
+
+    def run(batches):
+        for pdf in batches:
+            if not len(pdf) or not len(qids):
+                continue
+            x = _unit(np.stack(pdf[vec_col].to_numpy()).astype(np.float64))
+            sims = x @ qunit.T
+            ids = pdf[id_col].to_numpy()
+            if filter_col:
+                sims = np.where(pdf[filter_col].to_numpy()[:, None] == np.array(qtags, dtype=object)[None, :],
+                                sims, -np.inf)
+            out_q, out_id, out_s = [], [], []
+            for j in range(len(qids)):
+                col = sims[:, j]
+                ok = np.isfinite(col)
+                if not ok.any():
+                    continue
+                cand = np.nonzero(ok)[0]
+                if len(cand) > k:
+                    kth = np.partition(col[cand], len(cand) - k)[len(cand) - k]
+                    cand = cand[col[cand] >= kth - 1e-6]
+                out_q.append(np.full(len(cand), qids[j]))
+                out_id.append(ids[cand])
+                out_s.append(col[cand])
+            if out_q:
+                yield pd.DataFrame({"q": np.concatenate(out_q), "id": np.concatenate(out_id),
+                                    "sim": np.concatenate(out_s)})
+
+    scored = items.select(*cols).mapInPandas(run, "q long, id long, sim double")
+    scored = scored.withColumn("sim", F.round("sim", 6))
     ranked = topk(scored, ["q"], [F.col("sim").desc(), F.col("id")], k)
     return ranked.select("q", "rank", F.col("id").alias(id_col), "sim")
 
