@@ -157,12 +157,18 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     conn_ids = iso.where("connected").select("id")
     # Inputs of the rounds are written once, so every round plans over flat scans.
     conn = materialize(reps.join(conn_ids, "id"), "connected")
-    keys = ix.join(conn.select("id"), "id").withColumn("probe", F.lit(False))
-    if not spec.probe_is_index:
-        keys = keys.unionByName(pb.join(conn.select("id"), "id").withColumn("probe", F.lit(True)))
-    keys = materialize(keys, "connected_keys")
-    ix_c = keys.where(~F.col("probe")).select("id", "key")
-    pb_c = ix_c if spec.probe_is_index else keys.where("probe").select("id", "key")
+    if spec.name == "phash":
+        # band keys are plain expressions: recomputing them from the written
+        # connected set is cheaper than writing them
+        ix_c = spec.index_keys(conn)
+        pb_c = ix_c if spec.probe_is_index else spec.probe_keys(conn)
+    else:
+        keys = ix.join(conn.select("id"), "id").withColumn("probe", F.lit(False))
+        if not spec.probe_is_index:
+            keys = keys.unionByName(pb.join(conn.select("id"), "id").withColumn("probe", F.lit(True)))
+        keys = materialize(keys, "connected_keys")
+        ix_c = keys.where(~F.col("probe")).select("id", "key")
+        pb_c = ix_c if spec.probe_is_index else keys.where("probe").select("id", "key")
     sig_c = conn.select("id", "sig")
 
     status = greedy_rounds(conn, ix_c, pb_c, sig_c, spec, small_bucket)

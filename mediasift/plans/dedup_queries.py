@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mediasift.operators.leaders import connected_groups, greedy_leaders, lookup_index, similarity_pairs
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
+from mediasift.session import materialize
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
                                         phash_signatures)
 
@@ -87,7 +88,7 @@ def assignment_parts(spark: SparkSession, sf: str) -> DataFrame:
                            .otherwise(F.col("hashes")))
     # Items without a signature never take part in a comparison, so one greedy
     # run serves both policies: "drop" only removes them from the output.
-    keep = greedy_leaders(sigs, PHASH, on_missing="keep")
+    keep = materialize(greedy_leaders(sigs, PHASH, on_missing="keep"), "assignments")
     missing = sigs.where(F.col("hashes").isNull()).select("video_id")
     drop = keep.join(missing, "video_id", "left_anti")
     out = None
