@@ -109,3 +109,29 @@ def write_outputs(res: CurationResult, out_dir: str, cfg: CurateConfig) -> None:
     sinks.write_jsonl(res.records, f"{out_dir}/final_labeled_metadata.jsonl")
     sinks.write_csv(res.records, f"{out_dir}/final_labeled_metadata.csv")
     sinks.write_duplicate_map(res.assignments, f"{out_dir}/duplicate_map")
+
+
+# The reference's in-band strings for labels that could not be
+# produced, by label column (written only on output; inside the engine a
+# missing label is NULL).
+SENTINELS = {
+    "ai_caption": "[Captioning unavailable]",
+    "ai_actions": ["[Action recognition unavailable]"],
+    "ai_scene_type": "[Scene classification unavailable]",
+    "ai_sound_events": ["[No significant audio events detected]"],
+    "ai_visual_style": "[Unavailable]",
+    "ai_mood_estimation": "[Unavailable]",
+    "ai_camera_motion": "[Not implemented]",
+}
+
+
+def render_sentinels(records: DataFrame) -> DataFrame:
+    """Replace NULL label values by the reference's sentinel strings for the
+    columns present (arrays stay arrays)."""
+    out = records
+    for col, value in SENTINELS.items():
+        if col not in records.columns:
+            continue
+        fill = F.array(*[F.lit(v) for v in value]) if isinstance(value, list) else F.lit(value)
+        out = out.withColumn(col, F.coalesce(F.col(col), fill))
+    return out

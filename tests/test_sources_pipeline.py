@@ -82,3 +82,13 @@ def test_curate_end_to_end(spark):
         raise AssertionError("invalid method accepted")
     except ValueError:
         pass
+
+
+def test_render_sentinels(spark):
+    from mediasift.plans.pipeline import render_sentinels
+
+    df = spark.createDataFrame([(1, None, None), (2, ["run"], ["music (0.83)"])],
+                               "video_id long, ai_actions array<string>, ai_sound_events array<string>")
+    got = {r.video_id: (r.ai_actions, r.ai_sound_events) for r in render_sentinels(df).collect()}
+    assert got[1] == (["[Action recognition unavailable]"], ["[No significant audio events detected]"])
+    assert got[2] == (["run"], ["music (0.83)"])
