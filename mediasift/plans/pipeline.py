@@ -64,6 +64,23 @@ class CurationResult:
     counts: DataFrame = field(default=None)
 
 
+def signatures_from_frames(videos: DataFrame, frames: DataFrame, cfg: CurateConfig,
+                           value_col: str = "hash") -> DataFrame:
+    """F1 + F4 inputs: sample ``cfg.num_frames`` frames per video (with the
+    next-frame fallback) and list their per-frame values in sample order.
+    Videos with no readable frame get a NULL signature (see ``on_missing``).
+    ``videos``: (video_id, n_frames); ``frames``: (video_id, frame_idx, value)."""
+    from mediasift.operators.frames import sample_frames
+
+    picked = sample_frames(videos, frames, cfg.num_frames)
+    vals = picked.join(frames.select("video_id", "frame_idx", value_col), ["video_id", "frame_idx"])
+    sig = (vals.groupBy("video_id")
+           .agg(F.array_sort(F.collect_list(F.struct("pos", value_col))).alias("_s"))
+           .select("video_id", F.transform("_s", lambda x: x[value_col]).alias(
+               "hashes" if cfg.dedup_method == "phash" else "frames")))
+    return videos.select("video_id").join(sig, "video_id", "left")
+
+
 def curate(signatures: DataFrame, probes: DataFrame, cfg: CurateConfig,
            detections: DataFrame | None = None, logits: DataFrame | None = None,
            audio_logits: DataFrame | None = None) -> CurationResult:

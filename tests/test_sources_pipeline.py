@@ -92,3 +92,12 @@ def test_render_sentinels(spark):
     got = {r.video_id: (r.ai_actions, r.ai_sound_events) for r in render_sentinels(df).collect()}
     assert got[1] == (["[Action recognition unavailable]"], ["[No significant audio events detected]"])
     assert got[2] == (["run"], ["music (0.83)"])
+
+
+def test_signatures_honour_num_frames(spark):
+    from mediasift.plans.pipeline import signatures_from_frames
+
+    videos = spark.createDataFrame([(1, 10), (2, 0)], "video_id long, n_frames int")
+    frames = spark.createDataFrame([(1, i, 100 + i) for i in range(10)], "video_id long, frame_idx int, hash long")
+    got = {r.video_id: r.hashes for r in signatures_from_frames(videos, frames, CurateConfig(num_frames=3)).collect()}
+    assert got == {1: [100, 104, 109], 2: None}
