@@ -77,3 +77,18 @@ def test_infer_unavailable_model_and_batches(spark):
                "vec_id long, score double, label string, status string", keep=["vec_id"], batch_size=3).collect()
     w = linear_weights(64)
     assert all(abs(r.score - round(float(np.full(64, r.vec_id) @ w), 6)) < 1e-9 for r in ok)
+
+
+def test_registered_dct_hash_equals_brute_force(spark):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+
+    got = {r.vec_id: r.hash_hex for r in entry.queries()["dct_hash"](spark, SF_SMALL).collect()}
+    rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{SF_SMALL}/embeddings.parquet'").fetchall()
+    assert len(got) == len(rows)
+    for vid, emb in rows:
+        bits = _naive_phash(np.asarray(emb, dtype=np.float64).reshape(8, 8), 8)
+        want = format(int("".join("1" if b else "0" for b in bits), 2), "016x")
+        assert got[vid] == want, vid
