@@ -186,3 +186,14 @@ def test_hot_bucket_fallback_matches_sequential(spark, small_bucket):
            for r in greedy_leaders(df, spec, small_bucket=small_bucket).collect()}
     want = sequential_greedy(sorted(rows), phash_score, lambda s: s <= 5.0, lambda a, b: a < b)
     _same(got, want)
+
+
+def test_deterministic_across_partitioning(spark):
+    from conftest import SF_SMALL
+    from mediasift.plans.dedup_queries import PHASH
+    from mediasift.sources.fixtures import clone_frames, phash_signatures
+
+    sigs = phash_signatures(clone_frames(spark, SF_SMALL)).cache()
+    one = {tuple(r) for r in greedy_leaders(sigs.coalesce(1), PHASH).collect()}
+    many = {tuple(r) for r in greedy_leaders(sigs.repartition(64).orderBy(F.rand(7)), PHASH).collect()}
+    assert one == many and len(one) == sigs.count()
