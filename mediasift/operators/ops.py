@@ -4,7 +4,7 @@ label distributions with rollup (D26)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The event type that marks a failed stage attempt and the one
@@ -21,7 +21,8 @@ def stage_counts(events: DataFrame, stage_col: str = "event_type", ts_col: str =
         F.countDistinct(worker_col).alias("workers"),
         F.avg(latency_col).alias("mean_latency"),
         F.min(ts_col).alias("t0"), F.max(ts_col).alias("t1"))
-    per = per.withColumn("total", F.sum("n").over(Window.partitionBy()))  # one row per stage
+    total = events.count()  # one scalar; the shares divide by it
+    per = per.withColumn("total", F.lit(total))
     span_h = (F.unix_micros(F.col("t1").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp"))) / 3.6e9
     return (per
             .select(F.col(stage_col).alias("event_type"), "n", "workers",
