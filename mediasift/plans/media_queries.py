@@ -288,7 +288,8 @@ FROM l GROUP BY video_id""",
        arg_min(event_id, (ts, event_id)) AS event_id
 FROM events GROUP BY user_id, CAST(floor(epoch_us(ts) / {KEYFRAME_SECONDS * 1_000_000}) AS BIGINT)""",
     "clip_chunks": f"""WITH d AS (SELECT doc_id, n_chars / {CHARS_PER_SECOND} AS duration FROM documents WHERE n_chars > 0)
-SELECT doc_id, chunk, chunk * {CHUNK_SECONDS} AS start_s, least((chunk + 1) * {CHUNK_SECONDS}, duration) AS end_s
+SELECT doc_id, chunk, CAST(chunk * {CHUNK_SECONDS} AS DOUBLE) AS start_s,
+       CAST(least((chunk + 1) * {CHUNK_SECONDS}, duration) AS DOUBLE) AS end_s
 FROM (SELECT doc_id, duration, unnest(range(0, CAST(ceil(duration / {CHUNK_SECONDS}) AS BIGINT))) AS chunk FROM d)""",
     "shot_segments": f"""WITH {_EF},
 l AS (SELECT *, lag(v) OVER (PARTITION BY video_id ORDER BY frame_idx) AS pv FROM ef),
