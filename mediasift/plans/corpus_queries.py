@@ -130,7 +130,7 @@ def _vec_sql(extra: str) -> str:
            WHERE vec_id % {VEC_QUERY_EVERY} = 0),
 e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
 s AS (SELECT q.q, e.vec_id, {_cos('e.v', 'q.qv')} AS sim FROM q JOIN e ON true {extra})
-SELECT q, rank, vec_id, sim
+SELECT q, CAST(rank AS INTEGER) AS rank, vec_id, sim
 FROM (SELECT q, vec_id, round(sim, 6) AS sim,
              row_number() OVER (PARTITION BY q ORDER BY round(sim, 6) DESC, vec_id) AS rank FROM s)
 WHERE rank <= {VEC_K}"""
@@ -155,7 +155,7 @@ rs AS {_shingles('benchmark', 'item_id', SHINGLE_WORDS)},
 tot AS (SELECT id, count(*) AS total FROM rs GROUP BY id),
 g AS (SELECT d.id AS did, r.id AS rid, d.pos - r.pos AS diag, min(d.pos) AS start, count(*) AS n
       FROM ds d JOIN rs r ON d.sh = r.sh GROUP BY d.id, r.id, d.pos - r.pos)
-SELECT did AS doc_id, rid AS item_id, start, n + {SHINGLE_WORDS - 1} AS length,
+SELECT did AS doc_id, rid AS item_id, CAST(start AS INTEGER) AS start, n + {SHINGLE_WORDS - 1} AS length,
        round(n / total, 6) AS containment
 FROM g JOIN tot ON tot.id = g.rid""",
     "boolean_search": f"""SELECT doc_id FROM (
@@ -172,7 +172,7 @@ sc AS (SELECT qt.q, tf.d, sum(idf.idf * tf.tf * {BM25_K1 + 1} /
               (tf.tf + {BM25_K1} * ({1 - BM25_B} + {BM25_B} * ln_.dl / st.avgdl))) AS score
        FROM qt JOIN idf ON idf.t = qt.t JOIN tf ON tf.t = qt.t JOIN ln_ ON ln_.d = tf.d, st
        GROUP BY qt.q, tf.d)
-SELECT q AS item_id, rank, d AS doc_id, score
+SELECT q AS item_id, CAST(rank AS INTEGER) AS rank, d AS doc_id, score
 FROM (SELECT q, d, round(score, 6) AS score,
              row_number() OVER (PARTITION BY q ORDER BY round(score, 6) DESC, d) AS rank FROM sc)
 WHERE rank <= {BM25_K}""",

@@ -243,7 +243,7 @@ people AS (SELECT video_id, CAST(max(c) AS INTEGER) AS max_people,
        CASE WHEN coalesce(max(pc), 0) > 0 THEN '1' ELSE '0' END AS people_estimate
 FROM pf GROUP BY video_id)"""
 _LOGITS = "lg AS (SELECT user_id AS video_id, event_type AS label, avg(value / 50.0) AS m FROM events GROUP BY user_id, event_type)"
-_ACT = """act AS (SELECT video_id, rank, label, round(m, 6) AS logit, rank = 1 AS is_action
+_ACT = """act AS (SELECT video_id, CAST(rank AS INTEGER) AS rank, label, round(m, 6) AS logit, rank = 1 AS is_action
   FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY m DESC, label) AS rank FROM lg) WHERE rank <= 5)"""
 
 _PROBE = """meta AS (
@@ -288,7 +288,7 @@ FROM l GROUP BY video_id""",
        arg_min(event_id, (ts, event_id)) AS event_id
 FROM events GROUP BY user_id, CAST(floor(epoch_us(ts) / {KEYFRAME_SECONDS * 1_000_000}) AS BIGINT)""",
     "clip_chunks": f"""WITH d AS (SELECT doc_id, n_chars / {CHARS_PER_SECOND} AS duration FROM documents WHERE n_chars > 0)
-SELECT doc_id, chunk, CAST(chunk * {CHUNK_SECONDS} AS DOUBLE) AS start_s,
+SELECT doc_id, CAST(chunk AS INTEGER) AS chunk, CAST(chunk * {CHUNK_SECONDS} AS DOUBLE) AS start_s,
        CAST(least((chunk + 1) * {CHUNK_SECONDS}, duration) AS DOUBLE) AS end_s
 FROM (SELECT doc_id, duration, unnest(range(0, CAST(ceil(duration / {CHUNK_SECONDS}) AS BIGINT))) AS chunk FROM d)""",
     "shot_segments": f"""WITH {_EF},
@@ -304,7 +304,7 @@ FROM s GROUP BY video_id, segment""",
 e AS (SELECT *, exp(m - max(m) OVER (PARTITION BY video_id)) AS e FROM lg),
 p AS (SELECT *, e / sum(e) OVER (PARTITION BY video_id) AS prob FROM e),
 r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY prob DESC, label) AS rank FROM p)
-SELECT video_id, rank, label, round(prob, 6) AS prob, printf('%s (%.2f)', label, prob) AS tag
+SELECT video_id, CAST(rank AS INTEGER) AS rank, label, round(prob, 6) AS prob, printf('%s (%.2f)', label, prob) AS tag
 FROM r WHERE rank <= 5 AND prob > 0.1""",
     "top_action": f"WITH {_LOGITS}, {_ACT} SELECT * FROM act",
     "zero_shot": f"""WITH p AS (SELECT label AS i, arg_min(CAST(embedding AS DOUBLE[]), vec_id) AS pv FROM embeddings GROUP BY label),
@@ -326,7 +326,7 @@ FROM a""",
 SELECT conv_id, turn, coalesce(length(sn) > 0, false) AS has_speech,
        CASE WHEN length(sn) > 0 AND starts_with(tok, '<') AND ends_with(tok, '>')
             THEN substr(tok, 3, length(tok) - 4) END AS language,
-       CASE WHEN length(sn) > 0 THEN length(sn) END AS snippet_chars
+       CASE WHEN length(sn) > 0 THEN CAST(length(sn) AS INTEGER) END AS snippet_chars
 FROM t""",
     "flatten_record": f"""WITH {_DET}, {_OBJ}
 SELECT video_id, """ + ", ".join(f"max(CASE WHEN label = '{k}' THEN conf END) AS ai_objects_{k}" for k in OBJECT_KEYS)
