@@ -13,11 +13,11 @@ import math
 import numpy as np
 import pandas as pd
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from mediasift.functions.text import tokens
-from mediasift.session import materialize
+from mediasift.session import broadcast_if_small, materialize
 
 MAX_QUERY_VECTORS = 10_000
 
@@ -59,22 +59,26 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     Returns (item_id, rank, doc_id, score) for the k best documents per query,
     ties broken by the smaller doc id.
     """
-    # Texts are tokenised once: the (doc, term, tf) postings are written to the
-    # checkpoint folder and lengths, collection statistics and idf come from them.
-    toks = docs.select(F.col(doc_id).alias("d"), tokens(text_col).alias("tk"))
-    tf = materialize(toks.select("d", F.explode("tk").alias("t"))
-                     .groupBy("d", "t").agg(F.count(F.lit(1)).alias("tf")), "bm25_postings")
-    lengths = (tf.groupBy("d").agg(F.sum("tf").alias("dl"))
-               .unionByName(docs.select(F.col(doc_id).alias("d"), F.lit(0).cast("bigint").alias("dl"))
-                            .join(tf.select("d").distinct(), "d", "left_anti")))
-    stats = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    # One pass over the texts: tokens are counted per document (document count
+    # and mean length are observed metrics of the same job), exploded, cut to
+    # the query terms map-side (checked broadcast) and grouped into postings
+    # that carry the document length. Only query-term postings are shuffled.
+    obs = Observation("bm25_stats")
+    toks = (docs.select(F.col(doc_id).alias("d"), tokens(text_col).alias("tk"))
+            .select("d", "tk", F.size("tk").cast("bigint").alias("dl"))
+            .observe(obs, F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")))
+    qset = broadcast_if_small(queries.select(F.explode(F.array_distinct(tokens(text_col))).alias("t")).distinct())
+    tf = (toks.select("d", "dl", F.explode("tk").alias("t")).join(qset, "t", "left_semi")
+          .groupBy("d", "dl", "t").agg(F.count(F.lit(1)).alias("tf")))
+    tf = materialize(tf, "bm25_postings")
+    stats = obs.get
     n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
     df_ = tf.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     idf = df_.select("t", F.log(1.0 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     qterms = queries.select(F.col(query_id).alias("q"), F.explode(F.array_distinct(tokens(text_col))).alias("t"))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    scores = (qterms.join(idf, "t").join(tf, "t").join(lengths, "d")
+    scores = (qterms.join(idf, "t").join(tf, "t")
               .groupBy("q", "d").agg(F.sum(part).alias("score")))
     # Rank on the rounded score: equal documents then tie exactly and the
     # smaller id wins, whatever order the partial sums were added in.
