@@ -67,7 +67,9 @@ def extract_metadata(probes: DataFrame, id_col: str = "video_id", path_col: str
     p = F.from_json(F.col(json_col), PROBE, {"mode": "PERMISSIVE"})
     # Parse once, pick the streams once: each step is its own projection so the
     # (interpreted) higher-order functions are not repeated per output field.
-    base = probes.select(F.col(id_col), F.col(path_col).alias("filepath"), p.alias("p"))
+    # explode of a one-element array is a generator: the optimiser cannot inline
+    # the parse into every output column, so each document is parsed once.
+    base = probes.select(F.col(id_col), F.col(path_col).alias("filepath"), F.explode(F.array(p)).alias("p"))
     base = base.select(id_col, "filepath", F.col("p.format").alias("fmt"),
                        (F.col("p").isNull() | F.col("p.streams").isNull()).alias("_bad"),
                        _first(F.col("p.streams"), "video").alias("v"),
