@@ -105,8 +105,9 @@ def zero_shot(items: DataFrame, prompts: Column, id_col: str, vec_col: str) -> D
     v = F.col(vec_col).cast("array<double>")
     scored = F.transform(prompts, lambda p: F.struct(F.round(cosine(v, p["v"]), 12).alias("s"),
                                                       (-p["i"]).alias("ni"), p["l"].alias("l")))
-    best = F.array_max(scored)
-    return items.select(id_col, best["l"].alias("prompt_label"), F.round(best["s"], 6).alias("sim"))
+    # the generator keeps the scoring from being inlined once per output field
+    best = items.select(id_col, F.explode(F.array(F.array_max(scored))).alias("b"))
+    return best.select(id_col, F.col("b.l").alias("prompt_label"), F.round(F.col("b.s"), 6).alias("sim"))
 
 
 def speech_fields(transcripts: DataFrame, id_cols: list[str], text_col: str = "text",
