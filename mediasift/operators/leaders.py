@@ -245,7 +245,7 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
     sb = pu.select(F.col("rep").alias("b"), F.col("sig").alias("_sb"))
     scored = (cands.join(sa, "a").join(sb, "b")
               .where(spec.comparable(F.col("_sa"), F.col("_sb")))
-              .withColumn("score", spec.score(F.col("_sa"), F.col("_sb")))
+              .select("a", "b", F.explode(F.array(spec.score(F.col("_sa"), F.col("_sb")))).alias("score"))
               .where(spec.is_match(F.col("score"))))
     best = scored.groupBy("b").agg(F.min(F.struct(spec.badness(F.col("score")).alias("bad"),
                                                   F.col("a"), F.col("score"))).alias("m"))

@@ -214,9 +214,12 @@ def verify_pairs(cands: DataFrame, sigs: DataFrame, spec: Spec,
     sa = sigs.select(F.col("id").alias(a), F.col("sig").alias("_sa"))
     sb = sigs.select(F.col("id").alias(b), F.col("sig").alias("_sb"))
     joined = cands.join(sa, a).join(sb, b)
-    scored = joined.where(spec.comparable(F.col("_sa"), F.col("_sb"))) \
-                   .withColumn("score", spec.score(F.col("_sa"), F.col("_sb")))
-    return scored.where(spec.is_match(F.col("score"))).drop("_sa", "_sb")
+    # The score is produced by a generator so the match filter cannot be pushed
+    # below it and evaluate the (interpreted) score expression a second time.
+    keep = [c for c in joined.columns if c not in ("_sa", "_sb")]
+    scored = (joined.where(spec.comparable(F.col("_sa"), F.col("_sb")))
+              .select(*keep, F.explode(F.array(spec.score(F.col("_sa"), F.col("_sb")))).alias("score")))
+    return scored.where(spec.is_match(F.col("score")))
 
 
 def candidate_pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
