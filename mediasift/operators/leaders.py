@@ -211,19 +211,30 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
 
 
 def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
-    """All matching pairs (id_a < id_b, score) between signatures.
+    """Matching pairs (id_a < id_b, score) between distinct signatures.
 
+    Exact copies are collapsed first (one representative, the smallest id, per
+    signature), so a signature shared by a third of the corpus adds one row to
+    the candidate join, not a quadratic block; ``copy_edges`` lists the copies.
     Candidates come from the band-key equi-join, never from a cross join.
     """
     items = prepare_items(sigs, spec, id_col).where("self_match")
-    items = _persist(items)
-    ix = spec.index_keys(items)
-    pb = spec.probe_keys(items)
+    reps = _persist(items.groupBy("sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf")))
+    ix = spec.index_keys(reps)
+    pb = spec.probe_keys(reps)
     cands = candidate_pairs(ix, pb).where(F.col("a") < F.col("b"))
-    return verify_pairs(cands, items.select("id", "sig"), spec).select(
+    return verify_pairs(cands, reps.select("id", "sig"), spec).select(
         F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("score").cast("double").alias("score"))
 
 
+def copy_edges(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
+    """(a, b) = (representative, copy) for every exact copy of a self-matching
+    signature: linear in the number of copies."""
+    items = prepare_items(sigs, spec, id_col).where("self_match")
+    reps = items.groupBy("sig").agg(F.min("id").alias("a"))
+    return items.join(reps, "sig").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"))
+
+
 def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
     """Nearest index entry within the threshold for every probe.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediasift.operators.leaders import connected_groups, greedy_leaders, lookup_index, similarity_pairs
+from mediasift.operators.leaders import (connected_groups, copy_edges, greedy_leaders, lookup_index,
+                                        similarity_pairs)
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
 from mediasift.session import materialize
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
@@ -65,7 +66,8 @@ MISSING_EVERY, MISSING_AT = 7, 3
 def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
     """D5 (components mode): every video with its group (smallest id) and group size."""
     sigs = phash_signatures(clone_frames(spark, sf))
-    edges = similarity_pairs(sigs, PHASH).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    edges = (similarity_pairs(sigs, PHASH).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+             .unionByName(copy_edges(sigs, PHASH)))
     groups = connected_groups(sigs.select(F.col("video_id").alias("id")), edges)
     sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
     return groups.join(sizes, "group_id").select(F.col("id").alias("video_id"), "group_id", "n")
@@ -137,6 +139,10 @@ vframes AS (
 ),
 vnf AS (SELECT video_id, count(*) AS nf FROM vframes GROUP BY video_id)"""
 
+_REPS = """,
+vsig AS (SELECT video_id, list(bits ORDER BY frame_idx) AS s FROM vframes GROUP BY video_id),
+reps AS (SELECT min(video_id) AS video_id FROM vsig GROUP BY s)"""
+
 PHASH_PAIRS_CTE = V_FRAMES + """,
 fpairs AS (
   SELECT a.video_id AS id_a, b.video_id AS id_b,
@@ -227,9 +233,13 @@ SELECT p.id_a, p.id_b, round(CAST(p.score AS DOUBLE), 6) AS phash_score,
        round(CAST(e.score AS DOUBLE), 6) AS embedding_score
 FROM ppairs p JOIN epairs e ON e.id_a = p.id_a AND e.id_b = p.id_b""",
     "assignment_parts": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))", _MISSING, _PARTS_TAIL),
-    "phash_pairs": f"WITH {PHASH_PAIRS_CTE} SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs",
+    "phash_pairs": f"""WITH {PHASH_PAIRS_CTE}{_REPS}
+SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
+WHERE id_a IN (SELECT video_id FROM reps) AND id_b IN (SELECT video_id FROM reps)""",
     "phash_leaders": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))"),
-    "embedding_pairs": f"WITH {EMBED_PAIRS_CTE} SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs",
+    "embedding_pairs": f"""WITH {EMBED_PAIRS_CTE}{_REPS.replace("list(bits", "list(vec")}
+SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
+WHERE id_a IN (SELECT video_id FROM reps) AND id_b IN (SELECT video_id FROM reps)""",
     "embedding_leaders": _greedy_sql(EMBED_PAIRS_CTE, "arg_min(p.id_a, (-p.score, p.id_a))"),
     "phash_index_lookup": f"""WITH {PHASH_PAIRS_CTE.replace('a.video_id < b.video_id', 'a.video_id <> b.video_id')},
 probes AS (SELECT video_id FROM vnf WHERE video_id >= {NEAR_COPY[0]})
