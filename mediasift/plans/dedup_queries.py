@@ -228,10 +228,14 @@ lab(video_id, g) AS (SELECT video_id, video_id FROM vnf
                      UNION SELECT e.b, l.g FROM lab l JOIN e ON e.a = l.video_id),
 grp AS (SELECT video_id, min(g) AS group_id FROM lab GROUP BY video_id)
 SELECT video_id, group_id, count(*) OVER (PARTITION BY group_id) AS n FROM grp""",
-    "fused_pairs": f"""WITH {_FUSED}
+    "fused_pairs": f"""WITH {_FUSED}{_REPS},
+ereps AS (SELECT min(video_id) AS video_id FROM (SELECT video_id, list(vec ORDER BY frame_idx) AS s
+                                                  FROM vframes GROUP BY video_id) GROUP BY s)
 SELECT p.id_a, p.id_b, round(CAST(p.score AS DOUBLE), 6) AS phash_score,
        round(CAST(e.score AS DOUBLE), 6) AS embedding_score
-FROM ppairs p JOIN epairs e ON e.id_a = p.id_a AND e.id_b = p.id_b""",
+FROM ppairs p JOIN epairs e ON e.id_a = p.id_a AND e.id_b = p.id_b
+WHERE p.id_a IN (SELECT video_id FROM reps) AND p.id_b IN (SELECT video_id FROM reps)
+  AND e.id_a IN (SELECT video_id FROM ereps) AND e.id_b IN (SELECT video_id FROM ereps)""",
     "assignment_parts": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))", _MISSING, _PARTS_TAIL),
     "phash_pairs": f"""WITH {PHASH_PAIRS_CTE}{_REPS}
 SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
