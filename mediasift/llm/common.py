@@ -65,6 +65,13 @@ def map_text(df: DataFrame, text_col: str, schema: str,
     return base.mapInArrow(run, full)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Arrow schema of a DDL string (on the driver: tasks get it in the closure)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
 def lower_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8 with A-Z lower-cased (bytes methods touch ASCII only)."""
     return [] if text is None else text.encode("utf-8", "surrogatepass").lower().split()

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from mediasift.llm import bpe, decontam, simhash, urls
+from mediasift.llm import bpe, chat, decontam, html_text, langid, lm, quality, simhash, toxicity, urls
 
 QUERIES = {}
 ORACLE = {}
-for _mod in (bpe, decontam, urls, simhash):
+for _mod in (langid, quality, bpe, chat, toxicity, decontam, urls, simhash, html_text, lm):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
