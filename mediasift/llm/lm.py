@@ -80,12 +80,16 @@ def _pack_counts(counts: np.ndarray) -> bytes:
     return np.int64(len(counts)).tobytes() + small.tobytes() + counts[big].astype("<i8").tobytes()
 
 
-def unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    gaps = np.ascontiguousarray(np.frombuffer(keys, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+def _unpack_counts(counts: bytes) -> np.ndarray:
     n = int(np.frombuffer(counts, "<i8", 1)[0])
     out = np.frombuffer(counts, np.uint8, n, 8).astype(np.int64)
     out[out == 255] = np.frombuffer(counts, "<i8", offset=8 + n)
-    return np.cumsum(gaps, dtype=np.uint64), out
+    return out
+
+
+def unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    gaps = np.ascontiguousarray(np.frombuffer(keys, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return np.cumsum(gaps, dtype=np.uint64), _unpack_counts(counts)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +109,12 @@ def block_counts(texts: list[str | None], learn: np.ndarray):
 
 
 _ASK = "shard int, file long, no long, kind int, keys binary, counts binary"
-_ANSWER = "file long, no long, kind int, keys binary, counts binary"
+_ANSWER = "file long, no long, kind int, shard int, marks binary, counts binary"
+
+
+def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where each shard's range begins in sorted keys (and the end)."""
+    return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64), np.arange(shards + 1))
 
 
 def _asked(shards: int):
@@ -120,8 +129,7 @@ def _asked(shards: int):
                 learn = part.column(1).to_numpy(zero_copy_only=False)
                 rows = []
                 for kind, (keys, counts) in enumerate(block_counts(part.column(0).to_pylist(), learn), 1):
-                    shard = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                    at = np.searchsorted(shard, np.arange(shards + 1))
+                    at = _cuts(keys, shards)
                     for s in range(shards):  # every shard hears of every block: it answers with its totals
                         if kind == 1 or at[s] < at[s + 1]:
                             rows.append((s, int(files[lo]), int(nos[lo]), kind, *pack(keys[at[s]:at[s + 1]], counts[at[s]:at[s + 1]])))
@@ -132,9 +140,11 @@ def _asked(shards: int):
 
 
 def _answered(messages: pa.Table) -> pa.Table:
-    """All messages of one shard -> its answers: totals that the asking block does not know already, and
-    (kind 0) the shard's number of words seen in training and of training tokens."""
+    """All messages of one shard -> its answers: for each block marks on those of its keys whose total the
+    block does not know already, and these totals; and (kind 0) the shard's number of words seen in training
+    and of training tokens."""
     by_kind: dict = {1: defaultdict(list), 2: defaultdict(list)}
+    shard = messages.column("shard")[0].as_py()
     for _, file, no, kind, keys, counts in zip(*(c.to_pylist() for c in messages.columns), strict=True):
         by_kind[kind][file, no].append(unpack(keys, counts))
     rows = []
@@ -147,78 +157,74 @@ def _answered(messages: pa.Table) -> pa.Table:
         for (file, no), (k, c) in own.items():
             total = totals[np.searchsorted(keys, k)]
             tell = total != c
-            rows.append((file, no, kind, *pack(k[tell], total[tell])))
+            rows.append((file, no, kind, shard, np.packbits(tell).tobytes(), _pack_counts(total[tell])))
             if kind == 1:
-                rows.append((file, no, 0, b"", np.array([(totals > 0).sum(), totals.sum()], "<i8").tobytes()))
-    schema = pa.schema([("file", pa.int64()), ("no", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-    columns = zip(*rows, strict=True) if rows else [[]] * 5
+                rows.append((file, no, 0, shard, b"", np.array([(totals > 0).sum(), totals.sum()], "<i8").tobytes()))
+    schema = pa.schema([("file", pa.int64()), ("no", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()),
+                        ("marks", pa.binary()), ("counts", pa.binary())])
+    columns = zip(*rows, strict=True) if rows else [[]] * 6
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 class BackoffAutomaton:
-    """States are words seen in training (and the begin mark); state 0 is the root."""
+    """States are the root (0), the words seen in training (1 + word number) and the begin mark (the last)."""
 
     def __init__(self, word_counts: np.ndarray, total: int, distinct: int, begin_count: int,
                  pairs: np.ndarray, pair_counts: np.ndarray, prior: float = PRIOR):
-        """``pairs`` are (previous word number or -1 for the begin mark, word number) rows."""
+        """``pairs`` are rows (previous word number or -1 for the begin mark, word number)."""
         n = len(word_counts)
         p = (word_counts + 0.5) / (total + 0.5 * (distinct + 1))
-        self.base = np.log10(p).tolist()  # arcs of the root
-        context = np.append(word_counts, begin_count).astype(float)  # the last one is the begin mark
-        state = np.where(context > 0, np.arange(1, n + 2), 0)
-        self.state_of = state[:-1].tolist()  # where a word leads to
-        self.begin = int(state[-1])
-        self.fail = [0.0, *np.log10(prior / (context + prior)).tolist()]
-        self.width = n
+        self.base = np.log10(p)  # the root's arcs
+        context = np.append(word_counts, begin_count).astype(float)
+        self.state_of = np.where(context > 0, np.arange(1, n + 2), 0)  # where a word, or the begin, leads to
+        self.fail = np.append(0.0, np.log10(prior / (context + prior)))  # failure arcs to the root
+        u, v = pairs[:, 0], pairs[:, 1]
         seen = pair_counts > 0
-        u, v, c = pairs[seen, 0], pairs[seen, 1], pair_counts[seen]
-        weight = np.log10((c + prior * p[v]) / (context[u] + prior))
-        self.arcs = dict(zip((state[u] * n + v).tolist(), weight.tolist(), strict=True))
-
-    def score(self, words: list[int]) -> float:
-        """log10 probability of a text: one walk that carries the state and takes failure arcs."""
-        arcs, fail, base, state_of, width = self.arcs.get, self.fail, self.base, self.state_of, self.width
-        state, total = self.begin, 0.0
-        for w in words:
-            step = arcs(state * width + w) if state else None
-            if step is None:
-                step = fail[state] + base[w]
-            total += step
-            state = state_of[w]
-        return total
-
-
-def score_block(texts: list[str | None], learn: np.ndarray, answers: list[tuple[int, bytes, bytes]], prior: float = PRIOR):
-    """(n_tokens, n_known, train_tokens, base score, score) of the texts of one block."""
+        self.arc = np.full(len(pairs), np.nan)  # weight of the arc of a pair; none: not a number
+        self.arc[seen] = np.log10((pair_counts[seen] + prior * p[v[seen]]) / (context[u[seen]] + prior))
+
+    def walk(self, words: np.ndarray, previous: np.ndarray, pair: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """log10 probability of each text, all texts of a block in one pass from left to right.
+
+        ``previous`` is the word that made the state at each position (-1: begin), ``pair`` the number of
+        (previous, word) and ``first`` where each text starts. A step takes the state's arc if there is one,
+        else its failure arc and then the root's arc."""
+        state = self.state_of[previous]
+        step = self.arc[pair]
+        fails = np.flatnonzero(np.isnan(step))
+        step[fails] = self.fail[state[fails]] + self.base[words[fails]]
+        return np.add.reduceat(step, first)
+
+
+def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int, prior: float = PRIOR):
+    """(n_tokens, n_known, train_tokens, base score, score) of the texts of one block. ``answers`` are rows
+    (kind, shard, marks, counts)."""
     t = Tokens(texts)
     weight = np.repeat(learn.astype(np.int64), t.sizes)
-    local = np.bincount(t.ids, weight, minlength=len(t.hashes)).astype(np.int64)
-    keys = t.bigram_keys()
-    pair_keys, at, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    pair_counts = np.bincount(inverse.ravel(), weight, minlength=len(pair_keys)).astype(np.int64)
-    distinct = total = 0
     order = np.argsort(t.hashes)
-    for kind, k, c in answers:
+    word_counts = np.bincount(t.ids, weight, minlength=len(t.hashes)).astype(np.int64)[order]
+    pair_keys, at, pair = np.unique(t.bigram_keys(), return_index=True, return_inverse=True)
+    pair = pair.ravel()
+    pair_counts = np.bincount(pair, weight, minlength=len(pair_keys)).astype(np.int64)
+    known = {1: (word_counts, _cuts(t.hashes[order], shards)), 2: (pair_counts, _cuts(pair_keys, shards))}
+    distinct = total = 0
+    for kind, shard, marks, counts in answers:
         if kind == 0:
-            d, n = np.frombuffer(c, "<i8")
+            d, n = np.frombuffer(counts, "<i8")
             distinct, total = distinct + int(d), total + int(n)
             continue
-        k, c = unpack(k, c)
-        if kind == 1:
-            local[order[np.searchsorted(t.hashes, k, sorter=order)]] = c
-        else:
-            pair_counts[np.searchsorted(pair_keys, k)] = c
-    left = np.concatenate(([-1], t.ids[:-1]))
-    left[t.first] = -1
-    pairs = np.column_stack((left[at], t.ids[at]))
-    begins = int(local[0])  # as many texts end as begin
-    automaton = BackoffAutomaton(local, total, distinct, begins, pairs, pair_counts, prior)
-    ends = t.first + t.sizes
-    ids = t.ids.tolist()
-    score = [automaton.score(ids[a:b]) for a, b in zip(t.first.tolist(), ends.tolist(), strict=True)]
-    base = np.add.reduceat(np.array(automaton.base)[t.ids], t.first)
-    known = np.add.reduceat((local > 0)[t.ids].astype(np.int64), t.first)
-    return t.sizes, known, np.full(len(texts), total, np.int64), base, np.array(score)
+        values, cuts = known[kind]
+        lo, hi = cuts[shard], cuts[shard + 1]
+        told = np.flatnonzero(np.unpackbits(np.frombuffer(marks, np.uint8), count=hi - lo))
+        values[lo + told] = _unpack_counts(counts)
+    count = np.empty_like(word_counts)
+    count[order] = word_counts
+    previous = np.concatenate(([-1], t.ids[:-1]))
+    previous[t.first] = -1
+    automaton = BackoffAutomaton(count, total, distinct, int(count[0]),  # as many texts begin as end
+                                 np.column_stack((previous[at], t.ids[at])), pair_counts, prior)
+    return (t.sizes, np.add.reduceat((count > 0)[t.ids].astype(np.int64), t.first), np.full(len(texts), total, np.int64),
+            np.add.reduceat(automaton.base[t.ids], t.first), automaton.walk(t.ids, previous, pair, t.first))
 
 
 def _with_blocks(df: DataFrame, columns: list, block_rows: int) -> DataFrame:
@@ -253,7 +259,8 @@ def score_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", l
             values = [[]] * 5
         else:
             values = score_block(texts.column("_text").to_pylist(), texts.column("_learn").to_numpy(),
-                                 list(zip(*(told.column(c).to_pylist() for c in ("kind", "keys", "counts")), strict=True)), prior)
+                                 zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "marks", "counts")), strict=True),
+                                 shards, prior)
         return pa.Table.from_arrays([ids, *(pa.array(v) for v in values)],
                                     names=[id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
