@@ -224,8 +224,10 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with crc32(id) modulo 5 not 0, a language and at most ``chars`` characters."""
     src = docs.select(col(id_col).alias("i"), col(lang_col).alias("l"), col(text_col).alias("t")).filter(
         F.col("l").isNotNull() & (fold("i") != 0) & (F.length("t") <= chars) & (F.length("t") > 0))
-    first = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    ids = src.select("i", "l").distinct().withColumn("r", F.row_number().over(first)).filter(F.col("r") <= rows)
+    mark, least = F.xxhash64("i"), F.row_number()
+    ids = src.select("i", "l").distinct().withColumn("s", F.pmod(F.xxhash64("i", F.lit("salt")), F.lit(64)))
+    for keys in (["l", "s"], ["l"]):  # first in 64 parts of a language: no task gets a whole language's ids
+        ids = ids.withColumn("r", least.over(Window.partitionBy(*keys).orderBy(mark, "i"))).filter(F.col("r") <= rows)
     chosen = src.join(F.broadcast(ids.select("i", "l")), ["i", "l"]).groupBy("i", "l").agg(F.min("t").alias("t"))
     return [(r.t, r.l) for r in sorted(chosen.collect(), key=lambda r: (r.l, str(r.i)))]
 
