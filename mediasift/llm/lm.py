@@ -55,6 +55,7 @@ class Tokens:
         lists = [[*map(index.__getitem__, lower_words(t)), 0] for t in texts]
         self.sizes = np.array([len(x) for x in lists], np.int64)
         self.ids = np.fromiter(chain.from_iterable(lists), np.int64, int(self.sizes.sum()))
+        index.default_factory = None  # it holds the index: without this cycle the memory is free at once
         words = iter(index)
         next(words)
         self.hashes = np.array([int(_END), *map(xxhash.xxh64_intdigest, words)], np.uint64)
