@@ -79,7 +79,7 @@ class ByteBpe:
 
     def encode_piece(self, piece: bytes) -> np.ndarray:
         """Tokens of one piece that the split pattern leaves whole."""
-        return np.array(self.encoding._encode_single_piece(piece), IDS)
+        return np.array(self.encoding._encode_single_piece(piece) if piece else [], IDS)
 
     def join(self, left: np.ndarray, right: np.ndarray, k: int = 4) -> np.ndarray:
         """Encoding of the joined text from the encodings of both sides (within one unsplit piece)."""

@@ -181,10 +181,10 @@ def format_conversations(df: DataFrame, template=None, conv: str = "conv_id", tu
     rows = _prepare(df, conv, turn, role, text)
     if not local:
         rows = rows.withColumn("block", F.lit(0).cast("long"))
-    first = rows.groupBy("conv").agg(F.min("block").alias("low")) if local else None
-    if first is not None:
-        rows = rows.join(first, rows["conv"].eqNullSafe(first["conv"])).select(
-            rows["conv"], "block", "turn", "role", "text", (F.col("block") == F.col("low")).alias("first"))
+    if local:  # only a conversation's first block starts it
+        low = rows.groupBy(F.col("conv").alias("_conv")).agg(F.min("block").alias("_low"))
+        rows = rows.join(low, F.col("conv").eqNullSafe(F.col("_conv"))).select(
+            "conv", "block", "turn", "role", "text", (F.col("block") == F.col("_low")).alias("first"))
     else:
         rows = rows.withColumn("first", F.lit(True))
     ordered = rows.repartition("conv", "block").sortWithinPartitions("conv", "block", "turn", "role", "text")

@@ -102,7 +102,7 @@ class Segmenter:
         """(scaled sums over the segmentations of each prefix, log of their scales): [position, word, language]."""
         n, width, k = len(lens), int(lens.max()), prob.shape[1]
         padded = np.vstack((prob, np.zeros((1, k))))  # piece -1 has no probability
-        alpha, scale = np.zeros((width + 1, n, k)), np.zeros((width + 1, n))
+        alpha, scale = np.zeros((2, width + 1, n, k))
         alpha[0] = 1
         for i in range(1, width + 1):
             total = np.zeros((n, k))
@@ -112,11 +112,11 @@ class Segmenter:
                 if len(use):
                     part = alpha[i - ln, use] * padded[p[use]]
                     if i > 24:
-                        part = part * np.exp(scale[i - ln, use] - scale[i - 1, use])[:, None]
+                        part = part * np.exp(scale[i - ln, use] - scale[i - 1, use])
                     total[use] += part
-            if i >= 24:  # long words: keep the sums near one
-                top = np.where(total.max(axis=1) > 0, total.max(axis=1), 1)
-                total /= top[:, None]
+            if i >= 24:  # long words: keep each language's sums near one
+                top = np.where(total > 0, total, 1)
+                total /= top
                 scale[i] = scale[i - 1] + np.log(top)
             alpha[i] = total
         return alpha, scale
@@ -134,7 +134,7 @@ class Segmenter:
             lens, found = self.lattice([words[i] for i in part])
             alpha, scale = self.forward(lens, found, prob)
             rows = np.arange(len(part))
-            out[part] = np.log(np.maximum(alpha[lens, rows], 1e-300)) + scale[lens, rows][:, None]
+            out[part] = np.log(np.maximum(alpha[lens, rows], 1e-300)) + scale[lens, rows]
             lo = hi
         return out
 

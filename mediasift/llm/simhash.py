@@ -50,12 +50,13 @@ def fingerprint(text: str | None, size: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(df: DataFrame, text_col: str = "text", size: int = SHINGLE, seed: int = SEED) -> DataFrame:
+def with_fingerprint(df: DataFrame, text_col: str = "text", size: int = SHINGLE, seed: int = SEED,
+                     name: str = "fp") -> DataFrame:
     """Add ``fp`` (the fingerprint as signed long). Null and empty texts have fingerprint zero."""
     def make():
         return lambda texts: [np.array([fingerprint(t, size, seed) for t in texts], np.uint64).view(np.int64)]
 
-    return map_text(df, text_col, "fp long", make)
+    return map_text(df, text_col, f"`{name}` long", make)
 
 
 def block_masks(bits: list[int], max_bits: int) -> list[int]:
@@ -230,10 +231,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     _, labels = _label(df, id_col, text_col, size, max_bits, seed, max_bucket)
     first = labels.groupBy("root").agg(F.min_by("fp", F.struct(F.col("first_id").isNull(), "first_id", "fp")).alias("_fp"))
     stay = labels.join(first, (labels["root"] == first["root"]) & (labels["fp"] == first["_fp"])).select(
-        F.col("fp").alias("_fp"), "first_id")
-    marked = with_fingerprint(without(df, ["fp", "_fp", "_n", "first_id"]), text_col, size, seed)
-    held = marked.withColumnRenamed("fp", "_fp").join(stay.withColumnRenamed("first_id", "_first"), "_fp").filter(
-        col(id_col).eqNullSafe(F.col("_first")))
+        F.col("fp").alias("_stays"), F.col("first_id").alias("_first"))
+    rows = with_fingerprint(without(df, ["_fp", "_stays", "_first", "_n"]), text_col, size, seed, "_fp")
+    held = rows.join(stay, F.col("_fp") == F.col("_stays")).filter(col(id_col).eqNullSafe(F.col("_first")))
     order = Window.partitionBy("_fp").orderBy(F.xxhash64(*[col(c) for c in df.columns]))
     return held.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*[col(c) for c in df.columns])
 

@@ -21,7 +21,7 @@ WINDOW, STRIDE = 32, 24
 SAMPLE_ROWS, SAMPLE_CHARS = (1500, 2500), 3000
 HIDDEN, WORD_DIM, CHAR_DIM = 12, 8, 16
 WORD_BITS, CHAR_BITS = 15, 15
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 _TOKEN = re.compile(r"[^\W_]{1,24}")
 _GRAMS = (3, 4, 5)
 
@@ -63,7 +63,8 @@ def word_inputs(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def windows(ids: np.ndarray, ends: np.ndarray, size: int = WINDOW, stride: int = STRIDE):
     """Row numbers of the tokens of all windows (0: none) and the text of each window. Every token is in one."""
-    begins = np.concatenate(([0], ends[:-1]))
+    ends = np.asarray(ends, np.int64)
+    begins = np.concatenate((np.zeros(min(1, len(ends)), np.int64), ends[:-1]))
     length = ends - begins
     count = np.where(length > 0, np.maximum(0, -(-(length - size) // stride)) + 1, 0)
     owner = np.repeat(np.arange(len(ends)), count)
