@@ -26,10 +26,18 @@ def words(text: Column | str) -> Column:
     return F.array_remove(F.split(F.regexp_replace(_c(text), EDGE_SPACE, ""), WORD_SPLIT), "")
 
 
+# Fixed list: query parameters that say where a visit came from, not what the page is.
+TRACKING_PARAM = r"^(utm_[^=]*|ref|fbclid|gclid)(=.*)?$"
+
+
 def canonical_url(url: Column | str) -> Column:
-    """Drop scheme, query, fragment and trailing slashes; lower-case the host."""
+    """Drop scheme, fragment, tracking parameters and trailing slashes of the path;
+    lower-case the host; sort the other query parameters."""
     u = F.regexp_replace(_c(url), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    u = F.regexp_replace(u, r"[?#].*$", "")
-    u = F.regexp_replace(u, r"/+$", "")
-    host = F.regexp_extract(u, r"^([^/]*)", 1)
-    return F.concat(F.lower(host), F.substring(u, F.length(host) + 1, 1 << 30))
+    u = F.regexp_replace(u, r"#.*$", "")
+    place = F.regexp_replace(F.regexp_extract(u, r"^([^?]*)", 1), r"/+$", "")
+    params = F.array_sort(F.filter(F.split(F.regexp_extract(u, r"^[^?]*\?(.*)$", 1), "&"),
+                                   lambda p: (p != "") & ~p.rlike(TRACKING_PARAM)))
+    host = F.regexp_extract(place, r"^([^/]*)", 1)
+    return F.concat(F.lower(host), F.substring(place, F.length(host) + 1, 1 << 30),
+                    F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise(""))

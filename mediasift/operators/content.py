@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediasift.functions.text import canonical_url, words
-from mediasift.session import broadcast_if_small
+from mediasift.session import materialize
 
 
 def url_dedup(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -20,12 +20,17 @@ def exact_dedup(items: DataFrame, id_col: str = "doc_id", content_col: str = "te
     """Every item with the id it keeps: (id, keep_id) by SHA-256 of the whole content.
 
     Group-by on the digest pre-aggregates map-side, so a digest shared by a third
-    of the rows is one partial minimum per task; the join back is split by AQE
-    skew handling when one digest dominates.
+    of the rows is one partial minimum per task. Only digests that occur twice or
+    more are joined back, from a written table: both sides of the join are then
+    plain exchanges, and AQE can split the partition of a dominating digest.
+    Null contents are copies of one another.
     """
-    digests = items.select(F.col(id_col).alias("id"), F.sha2(F.col(content_col), 256).alias("digest"))
-    keep = digests.groupBy("digest").agg(F.min("id").alias("keep_id"))
-    return digests.join(keep, "digest").select(F.col("id").alias(id_col), "keep_id")
+    digests = items.select(F.col(id_col).alias("id"),
+                           F.coalesce(F.sha2(F.col(content_col), 256), F.lit("")).alias("digest"))
+    keep = materialize(digests.groupBy("digest").agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
+                       .where("n > 1").select("digest", "keep_id"), "copies")
+    return digests.join(keep, "digest", "left").select(
+        F.col("id").alias(id_col), F.coalesce("keep_id", "id").alias("keep_id"))
 
 
 def shingle_hashes(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
@@ -41,18 +46,14 @@ def shingle_hashes(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataF
             .withColumn("h", F.xxhash64("sh")))
 
 
-def shingles(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(id, pos, shingle): every k-word window of the whole text, 0-based position."""
-    return shingle_hashes(docs, id_col, text_col, k).select("id", "pos", F.array_join("sh", " ").alias("shingle"))
-
-
 def overlap_spans(docs: DataFrame, refs: DataFrame, k: int = 8,
                   doc_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text") -> DataFrame:
     """Copied passages of reference items inside documents.
 
     Both sides are cut into k-word shingles, joined on the shingle's 64-bit hash
-    (then on the text itself), and grouped per (doc, ref, diagonal) where the
-    diagonal is ``pos_doc - pos_ref``: a verbatim copy keeps it constant.
+    (then on the text itself), and grouped into runs of consecutive positions per
+    (doc, ref, diagonal), where the diagonal is ``pos_doc - pos_ref``: a verbatim
+    copy keeps it constant, and a changed word ends its span.
     Returns (doc_id, item_id, start, length, containment) with ``start`` the
     first matched word in the document, ``length`` in words and
     ``containment`` = matched shingles / shingles of the reference.
@@ -62,14 +63,15 @@ def overlap_spans(docs: DataFrame, refs: DataFrame, k: int = 8,
     ds = shingle_hashes(docs, doc_id, text_col, k)
     rs = shingle_hashes(refs, ref_id, text_col, k)
     totals = rs.groupBy(F.col("id").alias("rid")).agg(F.count(F.lit(1)).alias("total"))
-    # The reference side is broadcast when its checked size allows: document
-    # shingles are then matched map-side and never shuffled.
-    ref = broadcast_if_small(rs.select(F.col("id").alias("rid"), F.col("pos").alias("rpos"), "h",
-                                       F.col("sh").alias("rsh")))
+    ref = rs.select(F.col("id").alias("rid"), F.col("pos").alias("rpos"), "h", F.col("sh").alias("rsh"))
     m = (ds.select(F.col("id").alias("did"), F.col("pos").alias("dpos"), "h", F.col("sh").alias("dsh"))
          .join(ref, "h")
          .where(F.col("dsh") == F.col("rsh")))
-    g = (m.groupBy("did", "rid", (F.col("dpos") - F.col("rpos")).alias("diag"))
+    # consecutive positions of a diagonal are one span; a gap starts another
+    m = m.select("did", "rid", "dpos", (F.col("dpos") - F.col("rpos")).alias("diag"))
+    along = Window.partitionBy("did", "rid", "diag").orderBy("dpos")
+    g = (m.withColumn("island", F.col("dpos") - F.row_number().over(along))
+         .groupBy("did", "rid", "diag", "island")
          .agg(F.min("dpos").alias("start"), F.count(F.lit(1)).alias("n")))
     return (g.join(totals, "rid")
             .select(F.col("did").alias(doc_id), F.col("rid").alias(ref_id), "start",

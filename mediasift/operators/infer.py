@@ -16,19 +16,31 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 _MODELS: dict[str, object] = {}
-_FAILED: set[str] = set()
+LOAD_TRIES = 2  # per task: a later task on the same worker tries again
 
 
 def _get_model(name: str, loader: Callable[[], object]):
-    if name in _FAILED:
-        return None
-    if name not in _MODELS:
+    for _ in range(LOAD_TRIES):
+        if name in _MODELS:
+            break
         try:
             _MODELS[name] = loader()
         except Exception:  # noqa: BLE001 - a broken model means "unavailable", not a failed job
-            _FAILED.add(name)
-            return None
-    return _MODELS[name]
+            pass
+    return _MODELS.get(name)
+
+
+def _apply(fn, model, part: pd.DataFrame, outputs: list[str]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame, str, str | None]]:
+    """(rows, outputs, status, error) of a batch; a failing batch is halved down to the rows at fault."""
+    try:
+        yield part, fn(model, part).reset_index(drop=True), "ok", None
+    except Exception as e:  # noqa: BLE001 - isolation of bad rows
+        if len(part) > 1:
+            half = len(part) // 2
+            yield from _apply(fn, model, part.iloc[:half], outputs)
+            yield from _apply(fn, model, part.iloc[half:], outputs)
+        else:
+            yield part, pd.DataFrame({c: [None] for c in outputs}), "error", f"{type(e).__name__}: {e}"
 
 
 def infer(df: DataFrame, name: str, loader: Callable[[], object],
@@ -37,29 +49,28 @@ def infer(df: DataFrame, name: str, loader: Callable[[], object],
     """Apply ``fn(model, batch) -> outputs`` batch by batch.
 
     ``out_schema`` lists the kept columns, the model outputs and a trailing
-    ``status string``; ``keep`` are input columns copied to the output.
+    ``status string``; ``keep`` are input columns copied to the output. A column
+    ``error string`` in the schema takes the message of a row that failed; rows
+    beside it keep their outputs.
     """
     from pyspark.sql.types import _parse_datatype_string
 
-    outputs = [f.name for f in _parse_datatype_string(out_schema).fields if f.name not in keep and f.name != "status"]
+    outputs = [f.name for f in _parse_datatype_string(out_schema).fields if f.name not in keep and f.name not in ("status", "error")]
+    order = [f.name for f in _parse_datatype_string(out_schema).fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _get_model(name, loader)
         for pdf in batches:
             for start in range(0, len(pdf), batch_size):
                 part = pdf.iloc[start:start + batch_size]
-                out = part[keep].reset_index(drop=True)
                 if model is None:
-                    res = pd.DataFrame({c: [None] * len(out) for c in outputs}, index=out.index)
-                    status = "unavailable"
+                    none = pd.DataFrame({c: [None] * len(part) for c in outputs})
+                    done = [(part, none, "unavailable", None)]
                 else:
-                    try:
-                        res = fn(model, part).reset_index(drop=True)
-                        status = "ok"
-                    except Exception:  # noqa: BLE001 - per-batch isolation
-                        res = pd.DataFrame({c: [None] * len(out) for c in outputs}, index=out.index)
-                        status = "error"
-                yield pd.concat([out, res], axis=1).assign(status=status)
+                    done = _apply(fn, model, part, outputs)
+                for rows, res, status, error in done:
+                    yield pd.concat([rows[keep].reset_index(drop=True), res], axis=1).assign(
+                        status=status, error=error)[order]
 
     return df.mapInPandas(run, out_schema)
 

@@ -41,6 +41,11 @@ def objects_map(objects: DataFrame, id_col: str = "video_id") -> DataFrame:
             .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "conf")))).alias("ai_objects")))
 
 
+def object_keys(objects: DataFrame) -> list[str]:
+    """All labels that occur: the model's classes, not a fixed list."""
+    return sorted(r.label for r in objects.select("label").distinct().collect() if r.label is not None)
+
+
 def people_bucket(detections: DataFrame, person: str = "person", min_conf: float = 0.5,
                   id_col: str = "video_id") -> DataFrame:
     """(video_id, max_people, bucket, people_estimate) over all videos with detections.
@@ -136,7 +141,7 @@ def motion_class(frames: DataFrame, id_col: str = "video_id", vec_col: str = "em
 
 def flatten_objects(objects: DataFrame, keys: list[str], id_col: str = "video_id",
                     prefix: str = "ai_objects_") -> DataFrame:
-    """One column per map key from a fixed key list (pivot with known values)."""
+    """One column per map key of ``keys`` (pivot with known values)."""
     return (objects.groupBy(id_col).pivot("label", keys).agg(F.max("conf"))
             .select(id_col, *[F.col(k).alias(prefix + k) for k in keys]))
 

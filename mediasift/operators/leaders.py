@@ -49,11 +49,17 @@ def _order(df: DataFrame, id_col: str, order_col: str | None):
     return df.withColumn("ord", F.struct(F.col(order_col).alias("o"), F.col(id_col).alias("i")))
 
 
+def _has_signature(spec: Spec):
+    """A signature with an unreadable (null) frame is no signature."""
+    sig = F.col(spec.sig_col)
+    return sig.isNotNull() & ~F.coalesce(F.exists(sig, lambda x: x.isNull()), F.lit(False))
+
+
 def prepare_items(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
                   order_col: str | None = None) -> DataFrame:
     """(id, ord, sig, nf, self_match) for rows with a non-null signature."""
     items = _order(sigs, id_col, order_col).withColumnRenamed(id_col, "id")
-    items = items.where(F.col(spec.sig_col).isNotNull())
+    items = items.where(_has_signature(spec))
     return spec.prepare(items).select("id", "ord", "sig", "nf", "self_match")
 
 
@@ -145,6 +151,7 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     """
     if on_missing not in ("keep", "drop"):
         raise ValueError("on_missing must be 'keep' or 'drop'")
+    sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
     items = _persist(prepare_items(sigs, spec, id_col, order_col))
 
     # Items that cannot match anything: empty, or (embeddings) too many zero frames.

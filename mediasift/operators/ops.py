@@ -7,9 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The event type that marks a failed stage attempt and the one
-# that marks completion of an item.
-FAILED = "error"
+# Fixed value: the event type that marks completion of an item.
 COMPLETED = "purchase"
 
 
@@ -51,8 +49,9 @@ def stale_labels(labels: DataFrame, version_col: str, target: int, key: str = "d
 def review_routing(preds: DataFrame, human: DataFrame, key: str, pred_col: str, conf_col: str,
                    human_col: str, min_conf: float) -> DataFrame:
     """Route every item: human label wins ('human' or 'corrected' when it differs
-    from the model); otherwise low confidence goes to 'review', the rest 'auto'."""
-    j = preds.join(human.select(key, F.col(human_col).alias("_h")), key, "left")
+    from the model, or the model has no prediction); otherwise low confidence goes
+    to 'review', the rest 'auto'. Items that only a human labelled are kept."""
+    j = preds.join(human.select(key, F.col(human_col).alias("_h")), key, "full")
     route = (F.when(F.col("_h").isNotNull() & (F.col("_h") != F.col(pred_col)), "corrected")
              .when(F.col("_h").isNotNull(), "human")
              .when(F.col(conf_col) < min_conf, "review")
@@ -63,8 +62,9 @@ def review_routing(preds: DataFrame, human: DataFrame, key: str, pred_col: str,
 
 
 def stable_sample(key_col: str, percent: int) -> Column:
-    """Hash-based, reproducible sample membership (no random state)."""
-    return F.pmod(F.col(key_col) * F.lit(2654435761), F.lit(100)) < percent
+    """Reproducible sample membership by the first 32 bits of the key's MD5 (any key, no overflow)."""
+    digest = F.conv(F.substring(F.md5(F.col(key_col).cast("string")), 1, 8), 16, 10).cast("bigint")
+    return digest % 100 < percent
 
 
 def label_rollup(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:

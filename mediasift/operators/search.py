@@ -8,7 +8,6 @@ per group and a hot group never lands whole in one task.
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
@@ -17,9 +16,10 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from mediasift.functions.text import tokens
-from mediasift.session import broadcast_if_small, materialize
+from mediasift.session import materialize
 
-MAX_QUERY_VECTORS = 10_000
+# Queries scored in one pass over the items; a larger query set takes several passes.
+QUERY_BLOCK = 10_000
 
 
 def topk(df: DataFrame, group_cols: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
@@ -67,7 +67,7 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     toks = (docs.select(F.col(doc_id).alias("d"), tokens(text_col).alias("tk"))
             .select("d", "tk", F.size("tk").cast("bigint").alias("dl"))
             .observe(obs, F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")))
-    qset = broadcast_if_small(queries.select(F.explode(F.array_distinct(tokens(text_col))).alias("t")).distinct())
+    qset = queries.select(F.explode(F.array_distinct(tokens(text_col))).alias("t")).distinct()
     tf = (toks.select("d", "dl", F.explode("tk").alias("t")).join(qset, "t", "left_semi")
           .groupBy("d", "dl", "t").agg(F.count(F.lit(1)).alias("tf")))
     tf = materialize(tf, "bm25_postings")
@@ -87,12 +87,8 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("d").alias(doc_id), "score")
 
 
-def _bounded_queries(queries: DataFrame, qid: str, vec: str, extra: str | None):
-    """The query set is a parameter-sized input: counted against a bound, then
-    shipped to the tasks inside the closure (never data-sized)."""
-    n = queries.count()
-    if n > MAX_QUERY_VECTORS:
-        raise ValueError(f"{n} query vectors exceed the bound of {MAX_QUERY_VECTORS}")
+def _block_of_queries(queries: DataFrame, qid: str, vec: str, extra: str | None):
+    """One block of queries (about ``QUERY_BLOCK``), shipped to the tasks inside the closure."""
     rows = queries.select(qid, vec, *([extra] if extra else [])).collect()
     ids = np.array([r[qid] for r in rows], dtype=np.int64)
     mat = np.array([np.asarray(r[vec], dtype=np.float64) for r in rows]).reshape(len(rows), -1)
@@ -116,8 +112,23 @@ def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     item and query. The final rank is a ``row_number() <= k`` window on the
     rounded similarity. With ``filter_col`` an item is only ranked for queries
     with the same value in that column (hybrid search, filter before rank).
+    A query set of any size is taken in blocks of about ``QUERY_BLOCK``; with
+    several blocks each one's result is written before the next is read.
     """
-    qids, qmat, qtags = _bounded_queries(queries, id_col, vec_col, filter_col)
+    blocks = -(-queries.count() // QUERY_BLOCK)
+    if blocks > 1:
+        out = None
+        for b in range(blocks):
+            part = queries.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == b)
+            done = materialize(_topk_of_block(items, part, k, id_col, vec_col, filter_col), "topk")
+            out = done if out is None else out.unionByName(done)
+        return out
+    return _topk_of_block(items, queries, k, id_col, vec_col, filter_col)
+
+
+def _topk_of_block(items: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str,
+                   filter_col: str | None) -> DataFrame:
+    qids, qmat, qtags = _block_of_queries(queries, id_col, vec_col, filter_col)
     qunit = _unit(qmat)
     cols = [id_col, vec_col] + ([filter_col] if filter_col else [])
 
@@ -152,8 +163,3 @@ def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     scored = scored.withColumn("sim", F.round("sim", 6))
     ranked = topk(scored, ["q"], [F.col("sim").desc(), F.col("id")], k)
     return ranked.select("q", "rank", F.col("id").alias(id_col), "sim")
-
-
-def recall_at(score: float, bits: int, bands: int) -> float:
-    p = 1.0 - math.acos(score) / math.pi
-    return 1.0 - (1.0 - p ** bits) ** bands

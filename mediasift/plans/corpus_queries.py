@@ -144,17 +144,24 @@ _BOOL_TERMS = ", ".join(f"'{t}'" for t in BOOL_ALL + BOOL_ANY + BOOL_NONE)
 
 ORACLE = {
     "url_dedup": r"""WITH c AS (
-  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''),
-                                                '[?#].*$', ''), '/+$', '') AS u FROM pages),
-h AS (SELECT page_id, u, regexp_extract(u, '^([^/]*)', 1) AS host FROM c)
-SELECT lower(host) || substr(u, length(host) + 1) AS canonical, min(page_id) AS keep_id, count(*) AS n
+  SELECT page_id, split_part(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#', 1) AS u FROM pages),
+p AS (SELECT page_id, rtrim(split_part(u, '?', 1), '/') AS u,
+             CASE WHEN strpos(u, '?') > 0 THEN substr(u, strpos(u, '?') + 1) ELSE '' END AS query FROM c),
+h AS (SELECT page_id, u, split_part(u, '/', 1) AS host,
+             list_sort(list_filter(string_split(query, '&'), lambda x: x <> ''
+               AND NOT starts_with(split_part(x, '=', 1), 'utm_')
+               AND split_part(x, '=', 1) NOT IN ('ref', 'fbclid', 'gclid'))) AS params FROM p)
+SELECT lower(host) || substr(u, length(host) + 1)
+       || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical,
+       min(page_id) AS keep_id, count(*) AS n
 FROM h GROUP BY 1""",
     "exact_dedup": "SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS keep_id FROM documents",
     "overlap_spans": f"""WITH ds AS {_shingles('documents', 'doc_id', SHINGLE_WORDS)},
 rs AS {_shingles('benchmark', 'item_id', SHINGLE_WORDS)},
 tot AS (SELECT id, count(*) AS total FROM rs GROUP BY id),
-g AS (SELECT d.id AS did, r.id AS rid, d.pos - r.pos AS diag, min(d.pos) AS start, count(*) AS n
-      FROM ds d JOIN rs r ON d.sh = r.sh GROUP BY d.id, r.id, d.pos - r.pos)
+m AS (SELECT d.id AS did, r.id AS rid, d.pos - r.pos AS diag, d.pos AS pos FROM ds d JOIN rs r ON d.sh = r.sh),
+i AS (SELECT *, pos - row_number() OVER (PARTITION BY did, rid, diag ORDER BY pos) AS island FROM m),
+g AS (SELECT did, rid, diag, min(pos) AS start, count(*) AS n FROM i GROUP BY did, rid, diag, island)
 SELECT did AS doc_id, rid AS item_id, CAST(start AS INTEGER) AS start, n + {SHINGLE_WORDS - 1} AS length,
        round(n / total, 6) AS containment
 FROM g JOIN tot ON tot.id = g.rid""",
@@ -193,12 +200,12 @@ WHERE doc_id NOT IN (SELECT doc_id FROM latest WHERE status = 'purchase')""",
   SELECT doc_id, CASE WHEN n_chars >= {PRED_CUTOFF_CHARS} THEN 1 ELSE 0 END AS pred,
          abs(n_chars - {PRED_CUTOFF_CHARS}) / (n_chars + CAST({PRED_CUTOFF_CHARS} AS DOUBLE)) AS conf
   FROM documents),
-j AS (SELECT p.*, l.quality AS h FROM p LEFT JOIN labels l ON l.doc_id = p.doc_id)
+j AS (SELECT doc_id, pred, conf, l.quality AS h FROM p FULL JOIN labels l USING (doc_id))
 SELECT doc_id,
        CASE WHEN h IS NOT NULL AND h <> pred THEN 'corrected' WHEN h IS NOT NULL THEN 'human'
             WHEN conf < {MIN_CONF} THEN 'review' ELSE 'auto' END AS route,
        CASE WHEN h IS NOT NULL THEN h WHEN conf >= {MIN_CONF} THEN pred END AS final_quality,
-       (h IS NOT NULL AND h <> pred) OR (h IS NOT NULL) OR ((doc_id * 2654435761) % 100 < {SAMPLE_PERCENT}) AS in_training
+       (h IS NOT NULL AND h <> pred) OR (h IS NOT NULL) OR (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < {SAMPLE_PERCENT}) AS in_training
 FROM j""",
     "label_rollup": """SELECT lang, source, count(*) AS n, count(quality) AS labeled,
        round(avg(quality), 6) AS quality_rate, round(avg(toxic), 6) AS toxic_rate

@@ -23,7 +23,7 @@ KEYFRAME_SECONDS = 3600
 CHUNK_SECONDS = 5.0
 CHARS_PER_SECOND = 100.0
 STATIC_BELOW, SLOW_BELOW = 0.5, 1.0
-OBJECT_KEYS = ["car", "dog", "person"]
+OBJECT_KEYS = ["car", "dog", "person"]  # the fixture's labels, for the SQL only
 RUN_TS = "2024-01-01T00:00:00Z"
 CAMERA_MOTION = "[Not implemented]"
 
@@ -98,7 +98,8 @@ def speech_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flatten_record(spark: SparkSession, sf: str) -> DataFrame:
-    return lb.flatten_objects(lb.object_labels(fx.detections(spark, sf)), OBJECT_KEYS)
+    objects = lb.object_labels(fx.detections(spark, sf))
+    return lb.flatten_objects(objects, lb.object_keys(objects))
 
 
 def label_record(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,7 +117,7 @@ def label_record(spark: SparkSession, sf: str) -> DataFrame:
     action = (lb.top_actions(fx.audio_logits(spark, sf)).where("is_action")
               .select(F.col("video_id").alias("action_video"), F.col("label").alias("ai_action")))
     rec = (meta.join(obj_summary, "video_id", "left").join(people, "video_id", "left")
-           .join(action, F.col("video_id") % fx.ACTION_VIDEOS == F.col("action_video"), "left"))
+           .join(action, F.col("video_id") == F.col("action_video"), "left"))
     return rec.select(
         "video_id", "filename", "filepath", "duration_seconds", "width", "quality_flag_short",
         F.coalesce("n_objects", F.lit(0).cast("bigint")).alias("n_objects"),
@@ -338,7 +339,7 @@ SELECT m.video_id, m.filename, m.filepath, m.duration_seconds, m.width, m.qualit
        coalesce(pe.people_estimate, '0') AS ai_estimated_people_count,
        a.label AS ai_action, '{CAMERA_MOTION}' AS ai_camera_motion, '{RUN_TS}' AS ai_labeling_timestamp
 FROM meta m LEFT JOIN os ON os.video_id = m.video_id LEFT JOIN people pe ON pe.video_id = m.video_id
-LEFT JOIN act a ON a.video_id = m.video_id % {fx.ACTION_VIDEOS} AND a.is_action""",
+LEFT JOIN act a ON a.video_id = m.video_id AND a.is_action""",
     "batch_infer": """WITH s AS (
   SELECT vec_id, list_sum(list_transform(CAST(embedding AS DOUBLE[]),
                  lambda x, i: x * ((((i - 1) * 7) % 11 - 5) / CAST(10 AS DOUBLE)))) AS sc FROM embeddings)

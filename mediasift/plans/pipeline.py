@@ -32,9 +32,8 @@ class CurateConfig:
     embedding_bits: int = 20
     num_frames: int = 5
     on_missing: str = "keep"          # local pipeline: keep; cluster pipeline: drop
-    strict_labels: bool = False       # cluster pipeline: an item without every group is dropped
+    strict_labels: bool = False       # cluster pipeline: an item whose labelling failed is dropped
     label_groups: tuple = LABEL_GROUPS
-    object_keys: tuple = ("car", "dog", "person")
     run_ts: str = "2024-01-01T00:00:00Z"
     order_col: str | None = None
 
@@ -83,39 +82,34 @@ def signatures_from_frames(videos: DataFrame, frames: DataFrame, cfg: CurateConf
 
 def curate(signatures: DataFrame, probes: DataFrame, cfg: CurateConfig,
            detections: DataFrame | None = None, logits: DataFrame | None = None,
-           audio_logits: DataFrame | None = None) -> CurationResult:
+           audio_logits: DataFrame | None = None, failures: DataFrame | None = None) -> CurationResult:
     """X1/X2. ``signatures``: (video_id, hashes | frames); ``probes``:
-    (video_id, path, probe_json); score tables keyed by video_id."""
+    (video_id, path, probe_json); score tables keyed by video_id. ``failures``:
+    (video_id, label_group) rows of label functions that raised; in strict mode
+    such items are dropped if the group is selected. An item without objects,
+    actions or sounds has not failed."""
     assign = greedy_leaders(signatures, cfg.spec(), "video_id", cfg.order_col, cfg.on_missing)
     uniques = assign.where("is_unique").select("video_id")
     meta_all = md.extract_metadata(probes.join(uniques, "video_id", "left_semi"))
     meta = meta_all.where(F.col("status") == "ok").drop("status")
     rec = meta
-    present = []
     if "objects" in cfg.label_groups and detections is not None:
-        objs = lb.object_labels(detections)
-        rec = rec.join(lb.flatten_objects(objs, list(cfg.object_keys)), "video_id", "left")
-        present.append("ai_objects_" + cfg.object_keys[0])
+        rec = rec.join(lb.objects_map(lb.object_labels(detections)), "video_id", "left")
     if "people" in cfg.label_groups and detections is not None:
         rec = rec.join(lb.people_bucket(detections).select(
             "video_id", F.col("people_estimate").alias("ai_estimated_people_count")), "video_id", "left")
-        present.append("ai_estimated_people_count")
     if "actions" in cfg.label_groups and logits is not None:
         rec = rec.join(lb.top_actions(logits).where("is_action").select(
             "video_id", F.array("label").alias("ai_actions")), "video_id", "left")
-        present.append("ai_actions")
     if "audio" in cfg.label_groups and audio_logits is not None:
         ev = lb.sound_events(audio_logits).groupBy("video_id").agg(
             F.transform(F.array_sort(F.collect_list(F.struct("rank", "tag"))), lambda s: s["tag"]).alias("ai_sound_events"))
         rec = rec.join(ev, "video_id", "left")
-        present.append("ai_sound_events")
     rec = rec.withColumn("ai_camera_motion", F.lit("[Not implemented]")) \
              .withColumn("ai_labeling_timestamp", F.lit(cfg.run_ts))
-    if cfg.strict_labels and present:
-        cond = F.lit(True)
-        for c in present:
-            cond = cond & F.col(c).isNotNull()
-        rec = rec.where(cond)
+    if cfg.strict_labels and failures is not None:
+        bad = failures.where(F.col("label_group").isin(list(cfg.label_groups))).select("video_id").distinct()
+        rec = rec.join(bad, "video_id", "left_anti")
     counts = (assign.groupBy(F.when(F.col("is_unique"), "unique").otherwise("duplicate").alias("part"))
               .agg(F.count(F.lit(1)).alias("n")))
     return CurationResult(assign, uniques, meta, rec, counts)
@@ -124,7 +118,11 @@ def curate(signatures: DataFrame, probes: DataFrame, cfg: CurateConfig,
 def write_outputs(res: CurationResult, out_dir: str, cfg: CurateConfig) -> None:
     """S5 JSONL, S6 CSV, S7 duplicate map."""
     sinks.write_jsonl(res.records, f"{out_dir}/final_labeled_metadata.jsonl")
-    sinks.write_csv(res.records, f"{out_dir}/final_labeled_metadata.csv")
+    keys = {}
+    if "ai_objects" in res.records.columns:  # all labels that occur, as in the JSON lines
+        found = res.records.select(F.explode(F.map_keys("ai_objects")).alias("label"))
+        keys["ai_objects"] = lb.object_keys(found)
+    sinks.write_csv(res.records, f"{out_dir}/final_labeled_metadata.csv", keys)
     sinks.write_duplicate_map(res.assignments, f"{out_dir}/duplicate_map")
 
 

@@ -53,12 +53,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -69,14 +63,3 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{base.rstrip('/')}/mediasift-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after the row count is checked against a bound; a
-    larger side stays a shuffled join (AQE may still pick broadcast at run time)."""
-    from pyspark.sql import functions as F
-
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -81,7 +81,6 @@ VIDEO_CODECS = ["h264", "hevc", "vp9"]
 FORMAT_NAME = "mov,mp4,m4a,3gp,3g2,mj2"
 FRAME_RATES = ["30000/1001", "25/1", "0/0", "24/1"]  # index 4 = missing
 LANG_TOKENS = ["<|en|>", "<|fr|>", "de", "<|es|>", "<|de|>"]
-ACTION_VIDEOS = 150
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:

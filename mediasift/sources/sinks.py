@@ -16,7 +16,7 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def flatten_for_csv(df: DataFrame, map_keys: dict[str, list[str]] | None = None, sep: str = "_") -> DataFrame:
     """Structs become prefixed columns (``a_b``); maps become one column per
-    key from a fixed key list (``ai_objects_person``); arrays become JSON text.
+    key of the given key list (``ai_objects_person``); arrays become JSON text.
     Repeats until no nested column is left."""
     map_keys = map_keys or {}
     while True:
@@ -54,7 +54,6 @@ def write_duplicate_map(duplicates: DataFrame, path: str) -> None:
 def write_lake(df: DataFrame, path: str, partition_cols: list[str], sort_col: str | None = None) -> None:
     """Parquet partitioned by e.g. source/date; rows clustered by
     ``sort_col`` within each partition so readers can skip row groups."""
-    w = df.repartition(*[F.col(c) for c in partition_cols])
-    if sort_col:
-        w = w.sortWithinPartitions(*partition_cols, sort_col)
+    order = [*partition_cols, *([sort_col] if sort_col else [])]
+    w = df.repartitionByRange(*order).sortWithinPartitions(*order)  # a large partition takes several tasks
     w.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)

@@ -62,8 +62,10 @@ def run_to_table(agg: DataFrame, out_dir: str) -> str:
 
 def flatten_windows(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.parquet(path)
-    if "w" not in df.columns:
-        return df
+    return df if "w" not in df.columns else window_columns(df)
+
+
+def window_columns(df: DataFrame) -> DataFrame:
     return df.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                      F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                      *[c for c in df.columns if c not in ("w", "batch_id")])
