@@ -218,28 +218,52 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
 
 
 def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
-    """Matching pairs (id_a < id_b, score) between distinct signatures.
+    """Matching pairs (id_a < id_b, score).
 
-    Exact copies are collapsed first (one representative, the smallest id, per
-    signature), so a signature shared by a third of the corpus adds one row to
-    the candidate join, not a quadratic block; ``copy_edges`` lists the copies.
-    Candidates come from the band-key equi-join, never from a cross join.
+    Between distinct signatures every pair of representatives (the smallest id of
+    a signature); and one pair (representative, copy) for each exact copy, so a
+    signature shared by a third of the corpus is linear in the list, and no
+    matching item is missing from it. Candidates come from the band-key
+    equi-join, never from a cross join.
     """
     items = prepare_items(sigs, spec, id_col).where("self_match")
-    reps = _persist(items.groupBy("sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf")))
-    ix = spec.index_keys(reps)
-    pb = spec.probe_keys(reps)
-    cands = candidate_pairs(ix, pb).where(F.col("a") < F.col("b"))
-    return verify_pairs(cands, reps.select("id", "sig"), spec).select(
-        F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("score").cast("double").alias("score"))
+    reps = items.groupBy("sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf"))
+    same = (items.select("id", "sig").join(reps.select(F.col("id").alias("a"), "sig"), "sig").where(F.col("id") != F.col("a"))
+            .select("a", F.col("id").alias("b"), spec.score(F.col("sig"), F.col("sig")).alias("score")))
+    found = matching_pairs(reps, spec).unionByName(same)
+    return found.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("score").cast("double").alias("score"))
 
 
-def copy_edges(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
-    """(a, b) = (representative, copy) for every exact copy of a self-matching
-    signature: linear in the number of copies."""
-    items = prepare_items(sigs, spec, id_col).where("self_match")
-    reps = items.groupBy("sig").agg(F.min("id").alias("a"))
-    return items.join(reps, "sig").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b"))
+def matching_pairs(items: DataFrame, spec: Spec) -> DataFrame:
+    """(a < b, score) of all matching ``items`` (id, sig, nf)."""
+    items = _persist(items)
+    cands = candidate_pairs(spec.index_keys(items), spec.probe_keys(items)).where(F.col("a") < F.col("b"))
+    return verify_pairs(cands, items.select("id", "sig"), spec).select("a", "b", "score")
+
+
+def fused_matches(first: DataFrame, first_spec: Spec, second: DataFrame, second_spec: Spec,
+                  id_col: str = "video_id") -> DataFrame:
+    """Pairs that match in both modalities: (id_a < id_b, first_score, second_score).
+
+    Items equal in both are copies: one pair with their smallest id each. All
+    others stay apart although one modality is equal: the second modality gives
+    the candidates, and both scores are taken on each, so no pair is lost to a
+    collapse in one modality only.
+    """
+    a = prepare_items(first, first_spec, id_col).where("self_match").select("id", F.col("sig").alias("_first"))
+    both = a.join(prepare_items(second, second_spec, id_col).where("self_match").select("id", "sig", "nf"), "id")
+    reps = materialize(both.groupBy("_first", "sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf")), "fused")
+    left, right = (reps.select(F.col("id").alias(n), F.col("_first").alias("_" + n)) for n in "ab")
+    near = (matching_pairs(reps.select("id", "sig", "nf"), second_spec).withColumnRenamed("score", "second")
+            .join(left, "a").join(right, "b").where(first_spec.comparable(F.col("_a"), F.col("_b")))
+            .select("a", "b", "second", F.explode(F.array(first_spec.score(F.col("_a"), F.col("_b")))).alias("first"))
+            .where(first_spec.is_match(F.col("first"))))
+    same = (both.join(reps.select(F.col("id").alias("a"), "_first", "sig"), ["_first", "sig"]).where(F.col("id") != F.col("a"))
+            .select("a", F.col("id").alias("b"), second_spec.score(F.col("sig"), F.col("sig")).alias("second"),
+                    first_spec.score(F.col("_first"), F.col("_first")).alias("first")))
+    return near.unionByName(same).select(F.col("a").alias("id_a"), F.col("b").alias("id_b"),
+                                         F.col("first").cast("double").alias("first_score"),
+                                         F.col("second").cast("double").alias("second_score"))
 
 
 def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:

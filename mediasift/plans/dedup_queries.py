@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediasift.operators.leaders import (connected_groups, copy_edges, greedy_leaders, lookup_index,
-                                        similarity_pairs)
+from mediasift.operators.leaders import (connected_groups, greedy_leaders, lookup_index,
+                                        fused_matches, similarity_pairs)
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
 from mediasift.session import materialize
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
@@ -66,8 +66,7 @@ MISSING_EVERY, MISSING_AT = 7, 3
 def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
     """D5 (components mode): every video with its group (smallest id) and group size."""
     sigs = phash_signatures(clone_frames(spark, sf))
-    edges = (similarity_pairs(sigs, PHASH).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-             .unionByName(copy_edges(sigs, PHASH)))
+    edges = similarity_pairs(sigs, PHASH).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     groups = connected_groups(sigs.select(F.col("video_id").alias("id")), edges)
     sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
     return groups.join(sizes, "group_id").select(F.col("id").alias("video_id"), "group_id", "n")
@@ -76,11 +75,9 @@ def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
 def fused_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs that match on both the visual hash and the embedding."""
     frames = clone_frames(spark, sf)
-    ph = similarity_pairs(phash_signatures(frames), PHASH).withColumnRenamed("score", "phash_score")
-    em = similarity_pairs(embedding_signatures(frames), EMBED).withColumnRenamed("score", "embedding_score")
-    return (ph.join(em, ["id_a", "id_b"])
-            .select("id_a", "id_b", F.round("phash_score", 6).alias("phash_score"),
-                    F.round("embedding_score", 6).alias("embedding_score")))
+    both = fused_matches(phash_signatures(frames), PHASH, embedding_signatures(frames), EMBED)
+    return both.select("id_a", "id_b", F.round("first_score", 6).alias("phash_score"),
+                       F.round("second_score", 6).alias("embedding_score"))
 
 
 def assignment_parts(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +138,11 @@ vnf AS (SELECT video_id, count(*) AS nf FROM vframes GROUP BY video_id)"""
 
 _REPS = """,
 vsig AS (SELECT video_id, list(bits ORDER BY frame_idx) AS s FROM vframes GROUP BY video_id),
-reps AS (SELECT min(video_id) AS video_id FROM vsig GROUP BY s)"""
+reps AS (SELECT video_id, min(video_id) OVER (PARTITION BY s) AS rep FROM vsig)"""
+
+# Pairs of representatives, and each copy with its representative.
+_LISTED = """JOIN reps ra ON ra.video_id = id_a JOIN reps rb ON rb.video_id = id_b
+WHERE ra.rep = id_a AND (rb.rep = id_b OR rb.rep = id_a)"""
 
 PHASH_PAIRS_CTE = V_FRAMES + """,
 fpairs AS (
@@ -228,22 +229,19 @@ lab(video_id, g) AS (SELECT video_id, video_id FROM vnf
                      UNION SELECT e.b, l.g FROM lab l JOIN e ON e.a = l.video_id),
 grp AS (SELECT video_id, min(g) AS group_id FROM lab GROUP BY video_id)
 SELECT video_id, group_id, count(*) OVER (PARTITION BY group_id) AS n FROM grp""",
-    "fused_pairs": f"""WITH {_FUSED}{_REPS},
-ereps AS (SELECT min(video_id) AS video_id FROM (SELECT video_id, list(vec ORDER BY frame_idx) AS s
-                                                  FROM vframes GROUP BY video_id) GROUP BY s)
+    "fused_pairs": f"""WITH {_FUSED}{_REPS.replace("list(bits ORDER", "list((bits, vec) ORDER")}
 SELECT p.id_a, p.id_b, round(CAST(p.score AS DOUBLE), 6) AS phash_score,
        round(CAST(e.score AS DOUBLE), 6) AS embedding_score
 FROM ppairs p JOIN epairs e ON e.id_a = p.id_a AND e.id_b = p.id_b
-WHERE p.id_a IN (SELECT video_id FROM reps) AND p.id_b IN (SELECT video_id FROM reps)
-  AND e.id_a IN (SELECT video_id FROM ereps) AND e.id_b IN (SELECT video_id FROM ereps)""",
+""" + _LISTED.replace("= id_", "= p.id_"),
     "assignment_parts": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))", _MISSING, _PARTS_TAIL),
     "phash_pairs": f"""WITH {PHASH_PAIRS_CTE}{_REPS}
 SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
-WHERE id_a IN (SELECT video_id FROM reps) AND id_b IN (SELECT video_id FROM reps)""",
+""" + _LISTED,
     "phash_leaders": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))"),
     "embedding_pairs": f"""WITH {EMBED_PAIRS_CTE}{_REPS.replace("list(bits", "list(vec")}
 SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
-WHERE id_a IN (SELECT video_id FROM reps) AND id_b IN (SELECT video_id FROM reps)""",
+""" + _LISTED,
     "embedding_leaders": _greedy_sql(EMBED_PAIRS_CTE, "arg_min(p.id_a, (-p.score, p.id_a))"),
     "phash_index_lookup": f"""WITH {PHASH_PAIRS_CTE.replace('a.video_id < b.video_id', 'a.video_id <> b.video_id')},
 probes AS (SELECT video_id FROM vnf WHERE video_id >= {NEAR_COPY[0]})

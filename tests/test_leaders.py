@@ -199,15 +199,12 @@ def test_deterministic_across_partitioning(spark):
     assert one == many and len(one) == sigs.count()
 
 
-def test_pairs_collapse_exact_copies_and_components_keep_them(spark):
-    from mediasift.operators.leaders import copy_edges
-
+def test_pairs_list_copies_linearly_and_components_keep_them(spark):
     rows = [(1, [5]), (2, [5]), (3, [5]), (4, [_flip(5, [0, 1])]), (9, [_flip(5, range(30))])]
     df = spark.createDataFrame(rows, SIG)
     spec = PhashSpec(5.0, 1)
     pairs = {(r.id_a, r.id_b) for r in similarity_pairs(df, spec).collect()}
-    assert pairs == {(1, 4)}                      # copies 2 and 3 are represented by 1
-    edges = similarity_pairs(df, spec).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")) \
-        .unionByName(copy_edges(df, spec))
+    assert pairs == {(1, 4), (1, 2), (1, 3)}      # each copy once, with the smallest id of its signature
+    edges = similarity_pairs(df, spec).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     groups = {r.id: r.group_id for r in connected_groups(df.select(F.col("video_id").alias("id")), edges).collect()}
     assert groups == {1: 1, 2: 1, 3: 1, 4: 1, 9: 9}

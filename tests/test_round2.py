@@ -94,3 +94,18 @@ def test_all_object_labels_and_strict_mode(spark, tmp_path):
     csv = spark.read.option("header", True).csv(str(tmp_path / "out/final_labeled_metadata.csv"))
     assert {"ai_objects_bicycle", "ai_objects_person"} <= set(csv.columns)
     assert labels.object_keys(labels.object_labels(det)) == ["bicycle", "person"]
+
+
+def test_pairs_keep_copies(spark):
+    from mediasift.operators.leaders import fused_matches, similarity_pairs
+    from mediasift.operators.simjoin import EmbeddingSpec
+
+    hashes = spark.createDataFrame([(1, [0]), (2, [0]), (3, [1]), (4, [0]), (9, [-1])], "video_id long, hashes array<long>")
+    got = {(r.id_a, r.id_b): r.score for r in similarity_pairs(hashes, PhashSpec(5.0, 1)).collect()}
+    assert got == {(1, 2): 0.0, (1, 4): 0.0, (1, 3): 1.0}
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=16)
+    vecs = {1: v, 2: v + 1e-4, 3: -v, 4: v, 9: v}  # 1 and 2: one hash, two vectors; 1 and 4: copies in both
+    frames = spark.createDataFrame([(i, [x.tolist()]) for i, x in vecs.items()], "video_id long, frames array<array<double>>")
+    pairs = {(r.id_a, r.id_b) for r in fused_matches(hashes, PhashSpec(5.0, 1), frames, EmbeddingSpec(0.95, 64, 8)).collect()}
+    assert pairs == {(1, 2), (1, 4)}
