@@ -6,42 +6,36 @@ duplicate of the best-scoring leader (ties: the earliest leader), otherwise it
 becomes a leader. The relation is not transitive: A~B, B~C, A!~C gives leaders
 A and C.
 
-Distributed form, without ever emitting all pairs of a hot bucket:
+Distributed form, on edges verified once:
 
 1. Exact copies are collapsed first (group by the compared signature): every
    copy but the first is a duplicate, so only one representative per distinct
-   signature enters the rounds. A third of the corpus sharing one signature is
-   one group-by with map-side combine.
-2. Band keys are computed per representative; a representative none of whose
-   probe keys is shared with another item is isolated and is a leader at once.
-   Only the rest (the near-duplicate subgraph) iterates.
-3. Rounds. Promotion: an undecided item with no earlier undecided item that
-   can match it is a leader. In keys held by at most ``small_bucket`` undecided
-   items the earlier holders are verified exactly; in hotter keys the item must
-   be the earliest holder (exact fallback, no pairs). Elimination: undecided
-   items probing a key of a new leader are verified against it; a match makes
-   them duplicates. Verified partners per probe row are bounded by
-   ``small_bucket``; every round decides at least the earliest undecided item.
+   signature goes on. A third of the corpus sharing one signature is one
+   group-by with map-side combine.
+2. Band keys that more than one representative holds are written. If one of
+   them has more than ``small_bucket`` holders, the earliest holders thin it
+   out first (``thin_hot_keys``): a cluster of near copies never becomes a list
+   of all its pairs.
+3. The candidates left are verified once into a table of edges (earlier, later,
+   score). Rounds over that table decide the items: with an earlier leader a
+   duplicate, with no earlier undecided neighbour a leader. Only true matches
+   count, so the rounds follow the chains of true matches. Each round reads the
+   edges and one state table and writes the next one: plans stay flat.
 4. Assignment: each duplicate takes the best match over all leaders earlier
    than itself (struct(badness, leader order) minimum).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediasift.operators.simjoin import Spec, candidate_pairs, verify_pairs
+from mediasift.operators.simjoin import Spec, candidate_pairs, shared_keys, verify_pairs, with_holders
 from mediasift.session import materialize
 
 OUT_COLS = ["video_id", "primary_id", "score", "is_unique"]
 
 
-def _persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def _order(df: DataFrame, id_col: str, order_col: str | None):
     """Adds ``ord``: a comparable, unique visiting order (order column, then id)."""
     if order_col is None or order_col == id_col:
@@ -66,78 +60,74 @@ def prepare_items(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
 def collapse_copies(items: DataFrame):
     """Split self-matching items into representatives and copies.
 
-    Returns (reps[id, ord, sig, nf], copies[id, ord, rep_id]).
+    Returns (reps[id, ord, sig, nf], copies[id, ord, rep_id]). Only signatures
+    with copies are joined back, to a written table, so AQE can split a hot one.
     """
-    groups = (items.where("self_match")
-              .groupBy("sig")
-              .agg(F.min(F.struct("ord", "id")).alias("r"))
-              .select("sig", F.col("r.id").alias("rep_id")))
-    members = items.where("self_match").join(groups, "sig")
-    reps = members.where(F.col("id") == F.col("rep_id")).select("id", "ord", "sig", "nf")
-    copies = members.where(F.col("id") != F.col("rep_id")).select("id", "ord", "rep_id")
+    groups = materialize(items.where("self_match").groupBy("sig")
+                         .agg(F.min(F.struct("ord", "id")).alias("r"), F.first("nf").alias("nf"),
+                              F.count(F.lit(1)).alias("n")), "signatures")
+    reps = groups.select(F.col("r.id").alias("id"), F.col("r.ord").alias("ord"), "sig", "nf")
+    copied = groups.where("n > 1").select("sig", F.col("r.id").alias("rep_id"))
+    copies = (items.where("self_match").join(copied, "sig").where(F.col("id") != F.col("rep_id"))
+              .select("id", "ord", "rep_id"))
     return reps, copies
 
 
-def _isolation(reps: DataFrame, ix: DataFrame, pb: DataFrame, spec: Spec) -> DataFrame:
-    """(id, connected): connected when some probe key is shared with another item."""
-    cnt = ix.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-    hits = pb.join(cnt, "key").groupBy("id").agg(F.sum("c").alias("s"))
-    own = reps.select("id", spec.n_index_keys().alias("m"))
-    return own.join(hits, "id", "left").select(
-        "id", (F.coalesce(F.col("s"), F.lit(0)) > F.col("m")).alias("connected"))
-
-
-SMALL_BUCKET = 64
+SMALL_BUCKET = 64      # more holders of one key start the thinning
+WORTHWHILE = 0.1       # a thinning round that decides less of the items is the last
 
 
-def greedy_rounds(conn: DataFrame, ix: DataFrame, pb: DataFrame, sigs: DataFrame, spec: Spec,
-                  small_bucket: int = SMALL_BUCKET) -> DataFrame:
-    """Leader/duplicate status of the connected items: (id, ord, is_leader).
+def thin_hot_keys(keys: DataFrame, reps: DataFrame, spec: Spec, small_bucket: int):
+    """Decide by earliest holders while some key has over ``small_bucket`` holders.
 
-    Promotion: an undecided item becomes a leader when no earlier undecided
-    item can match it. For a key held by at most ``small_bucket`` undecided
-    items the earlier holders are verified exactly (only a true match blocks);
-    for a larger, hot key the item must be the earliest holder (the exact
-    fallback, no pairs). So at most ``small_bucket`` partners per probe row are
-    ever verified, and false candidates in ordinary buckets do not lengthen the
-    chain of rounds. Elimination: undecided items probing a key of a new leader
-    are verified against it. Each round writes one status table to the shared
-    checkpoint folder (flat plans; a lost executor repeats only this round).
+    An item with no earlier holder in any of its keys is a leader; the items of
+    its keys that match it are duplicates (one candidate per item and key, no
+    pairs among the holders). Both leave the keys. An item that leaves as a
+    leader matches nothing that stays, so the edges of the rest are complete.
+    Stops when a round decides under ``WORTHWHILE`` of the items; where it stops
+    changes the work, not the result. Returns (keys left, duplicates[id]).
     """
-    remaining = conn.count()
-    decided: list[DataFrame] = []
-    undecided = conn.select("id", "ord")
-    while remaining > 0:
-        held = ix.join(undecided, "id").select(F.col("id").alias("u"), "key", F.col("ord").alias("uord"))
-        size = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("uord").alias("mo"))
-        probes = pb.join(undecided, "id").select(F.col("id").alias("v"), "key", F.col("ord").alias("vord"))
-        pk = probes.join(size, "key")
-        blocked_hot = pk.where((F.col("n") > small_bucket) & (F.col("mo") < F.col("vord"))).select("v")
-        small_held = held.join(size.where(F.col("n") <= small_bucket).select("key"), "key")
-        pairs = (pk.where(F.col("n") <= small_bucket).select("v", "key", "vord")
-                 .join(small_held, "key").where(F.col("uord") < F.col("vord"))
-                 .select(F.col("u").alias("a"), F.col("v").alias("b")).distinct())
-        blocked_match = verify_pairs(pairs, sigs, spec).select(F.col("b").alias("v"))
-        blocked = blocked_hot.unionByName(blocked_match).withColumnRenamed("v", "id")
-        promoted = undecided.join(blocked, "id", "left_anti")
-        rest = undecided.join(promoted.select("id"), "id", "left_anti")
-        ix_l = ix.join(promoted.select(F.col("id").alias("lid")), F.col("id") == F.col("lid")).select("lid", "key")
-        cands = (pb.join(rest.select("id"), "id").join(ix_l, "key")
-                 .select(F.col("lid").alias("a"), F.col("id").alias("b")).distinct())
-        hit = verify_pairs(cands, sigs, spec).select(F.col("b").alias("id"))
-        dups = rest.join(hit, "id", "left_semi")
-        status = materialize(promoted.withColumn("is_leader", F.lit(True))
-                             .unionByName(dups.withColumn("is_leader", F.lit(False))), "round")
-        done = status.count()
-        if done == 0:
-            raise RuntimeError("greedy rounds made no progress")
-        decided.append(status)
-        remaining -= done
-        undecided = undecided.join(status.select("id"), "id", "left_anti")
-    out = conn.select("id", "ord", F.lit(True).alias("is_leader")).limit(0)
-    for d in decided:
-        out = out.unionByName(d)
-    return out
+    order = reps.select("id", "ord")
+    dups = keys.select("id").limit(0)
+    while True:
+        top = keys.agg(F.max("n"), F.approx_count_distinct("id")).first()
+        if (top[0] or 0) <= small_bucket:
+            return keys, dups
+        held = keys.join(order, "id")
+        firsts = materialize(held.where("is_index").groupBy("key").agg(F.min(F.struct("ord", "id")).alias("m"))
+                             .select("key", F.col("m.ord").alias("lord"), F.col("m.id").alias("a")), "firsts")
+        near = materialize(held.where("is_probe").join(firsts, "key").where(F.col("lord") < F.col("ord"))
+                           .select("a", F.col("id").alias("b")).distinct(), "near")
+        leaders = keys.select("id").distinct().join(near.select(F.col("b").alias("id")), "id", "left_anti")
+        found = verify_pairs(near.join(leaders.select(F.col("id").alias("a")), "a", "left_semi"),
+                             reps.select("id", "sig"), spec)
+        decided = materialize(found.select(F.col("b").alias("id")).distinct().withColumn("dup", F.lit(True))
+                              .unionByName(leaders.withColumn("dup", F.lit(False))), "thinned")
+        dups = dups.unionByName(decided.where("dup").select("id"))
+        keys = with_holders(keys.join(decided.select("id"), "id", "left_anti"), "keys")
+        if decided.count() < WORTHWHILE * top[1]:
+            return keys, dups
+
+
+def greedy_rounds(edges: DataFrame) -> DataFrame:
+    """Duplicates (id) of the greedy loop over written ``edges`` (a earlier, b later).
+
+    An item that is never the later end is a leader. Each round is one join, one
+    group-by and one state table in the shared checkpoint folder (a lost
+    executor repeats only this round).
+    """
+    state = materialize(edges.select(F.col("b").alias("id")).distinct()
+                        .select("id", F.lit("open").alias("state")), "state")
+    while not state.where("state = 'open'").isEmpty():
+        live = edges.select("a", "b").join(state.where("state = 'open'").select(F.col("id").alias("b")), "b")
+        seen = (live.join(state.select(F.col("id").alias("a"), "state"), "a", "left")
+                .groupBy(F.col("b").alias("id"))
+                .agg(F.max(F.coalesce("state", F.lit("leader")) == "leader").alias("led"),
+                     F.max(F.coalesce("state", F.lit("leader")) == "open").alias("waits")))
+        state = materialize(state.join(seen, "id", "left").select(
+            "id", F.when(F.col("state") != "open", F.col("state")).when(F.col("led"), "dup")
+            .when(F.col("waits"), "open").otherwise("leader").alias("state")), "state")
+    return state.where("state = 'dup'").select("id")
 
 
 def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
@@ -152,63 +142,50 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     if on_missing not in ("keep", "drop"):
         raise ValueError("on_missing must be 'keep' or 'drop'")
     sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
-    items = _persist(prepare_items(sigs, spec, id_col, order_col))
+    items = materialize(prepare_items(sigs, spec, id_col, order_col), "items")
 
     # Items that cannot match anything: empty, or (embeddings) too many zero frames.
     lonely = items.where(~F.col("self_match")).select("id")
     reps, copies = collapse_copies(items)
-    reps = _persist(reps)
-    ix = _persist(spec.index_keys(reps))
-    pb = ix if spec.probe_is_index else _persist(spec.probe_keys(reps))
-    iso = _persist(_isolation(reps, ix, pb, spec))
-    conn_ids = iso.where("connected").select("id")
-    # Inputs of the rounds are written once, so every round plans over flat scans.
-    conn = materialize(reps.join(conn_ids, "id"), "connected")
-    if spec.name == "phash":
-        # band keys are plain expressions: recomputing them from the written
-        # connected set is cheaper than writing them
-        ix_c = spec.index_keys(conn)
-        pb_c = ix_c if spec.probe_is_index else spec.probe_keys(conn)
-    else:
-        keys = ix.join(conn.select("id"), "id").withColumn("probe", F.lit(False))
-        if not spec.probe_is_index:
-            keys = keys.unionByName(pb.join(conn.select("id"), "id").withColumn("probe", F.lit(True)))
-        keys = materialize(keys, "connected_keys")
-        ix_c = keys.where(~F.col("probe")).select("id", "key")
-        pb_c = ix_c if spec.probe_is_index else keys.where("probe").select("id", "key")
-    sig_c = conn.select("id", "sig")
-
-    status = greedy_rounds(conn, ix_c, pb_c, sig_c, spec, small_bucket)
-    leaders_c = status.where("is_leader").select("id", "ord")
-    dups_c = status.where(~F.col("is_leader")).select("id", "ord", F.col("id").alias("sig_id"))
+    sig_of, ord_of = reps.select("id", "sig"), reps.select("id", "ord")
+    keys = shared_keys(reps, spec)
+    rest, thinned = thin_hot_keys(keys, reps, spec, small_bucket)
+    pairs = candidate_pairs(rest.where("is_index"), rest.where("is_probe")).where(F.col("a") < F.col("b"))
+    found = (verify_pairs(pairs, sig_of, spec)
+             .join(ord_of.select(F.col("id").alias("a"), F.col("ord").alias("_oa")), "a")
+             .join(ord_of.select(F.col("id").alias("b"), F.col("ord").alias("_ob")), "b"))
+    first = F.col("_oa") < F.col("_ob")
+    edges = materialize(found.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"),
+                                     F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), "score"), "edges")
+    dups = materialize(thinned.unionByName(greedy_rounds(edges)), "dups")
+    leaders = reps.select("id", "ord").join(dups, "id", "left_anti")
+
+    # Scored (d, leader) pairs: the edges between a duplicate and a leader, and for
+    # the duplicates found by thinning the leaders that hold one of their keys.
+    both = (edges.select(F.col("a").alias("lid"), F.col("b").alias("d"), "score")
+            .unionByName(edges.select(F.col("b").alias("lid"), F.col("a").alias("d"), "score"))
+            .join(dups.select(F.col("id").alias("d")), "d", "left_semi"))
+    late = candidate_pairs(keys.where("is_index").join(leaders.select("id"), "id", "left_semi"),
+                           keys.where("is_probe").join(thinned, "id", "left_semi"))
+    late = verify_pairs(late, sig_of, spec).select(F.col("a").alias("lid"), F.col("b").alias("d"), "score")
+    scored = both.unionByName(late).join(leaders.select(F.col("id").alias("lid"), F.col("ord").alias("lord")), "lid")
 
     # Copies: the representative's status decides theirs.
-    rep_status = reps.select(F.col("id").alias("rep_id")).join(
-        status.select(F.col("id").alias("rep_id"), "is_leader"), "rep_id", "left")
-    copies_s = copies.join(rep_status, "rep_id")
-    copy_of_leader = copies_s.where(F.coalesce(F.col("is_leader"), F.lit(True)))
-    copy_of_dup = copies_s.where(F.col("is_leader") == F.lit(False)).select(
-        "id", "ord", F.col("rep_id").alias("sig_id"))
-
-    # Assignment: best leader earlier than the item, over leaders it matches.
-    assignees = dups_c.unionByName(copy_of_dup)
-    pb_a = assignees.join(pb_c.withColumnRenamed("id", "sig_id"), "sig_id")
-    ix_l = ix_c.join(leaders_c, "id").select(F.col("id").alias("lid"), F.col("ord").alias("lord"), "key")
-    cands = (pb_a.join(ix_l, "key").where(F.col("lord") < F.col("ord"))
-             .select(F.col("lid").alias("a"), "sig_id", "id", "lord").distinct())
-    scored = verify_pairs(cands.withColumnRenamed("sig_id", "b"), sig_c, spec)
-    best = (scored.groupBy("id").agg(F.min(F.struct(spec.badness(F.col("score")).alias("bad"),
-                                                    F.col("lord"), F.col("a"), F.col("score"))).alias("m"))
-            .select(F.col("id").alias("video_id"), F.col("m.a").alias("primary_id"),
+    copies_s = copies.join(dups.select(F.col("id").alias("rep_id"), F.lit(True).alias("dup")), "rep_id", "left")
+    assignees = (reps.select("id", "ord").join(dups, "id").select("id", "ord", F.col("id").alias("d"))
+                 .unionByName(copies_s.where("dup").select("id", "ord", F.col("rep_id").alias("d"))))
+    best = (assignees.join(scored, "d").where(F.col("lord") < F.col("ord"))
+            .groupBy("id").agg(F.min(F.struct(spec.badness(F.col("score")).alias("bad"),
+                                              "lord", "lid", "score")).alias("m"))
+            .select(F.col("id").alias("video_id"), F.col("m.lid").alias("primary_id"),
                     F.col("m.score").cast("double").alias("score"), F.lit(False).alias("is_unique")))
 
     self_score = reps.select(F.col("id").alias("rep_id"), spec.score(F.col("sig"), F.col("sig")).alias("ss"))
-    copies_out = copy_of_leader.join(self_score, "rep_id").select(
+    copies_out = copies_s.where("dup IS NULL").join(self_score, "rep_id").select(
         F.col("id").alias("video_id"), F.col("rep_id").alias("primary_id"),
         F.col("ss").cast("double").alias("score"), F.lit(False).alias("is_unique"))
 
-    iso_leaders = iso.where(~F.col("connected")).select("id")
-    unique_ids = iso_leaders.unionByName(leaders_c.select("id")).unionByName(lonely)
+    unique_ids = leaders.select("id").unionByName(lonely)
     if on_missing == "keep":
         missing = sigs.where(F.col(spec.sig_col).isNull()).select(F.col(id_col).alias("id"))
         unique_ids = unique_ids.unionByName(missing)
@@ -226,18 +203,18 @@ def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> D
     matching item is missing from it. Candidates come from the band-key
     equi-join, never from a cross join.
     """
-    items = prepare_items(sigs, spec, id_col).where("self_match")
-    reps = items.groupBy("sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf"))
-    same = (items.select("id", "sig").join(reps.select(F.col("id").alias("a"), "sig"), "sig").where(F.col("id") != F.col("a"))
-            .select("a", F.col("id").alias("b"), spec.score(F.col("sig"), F.col("sig")).alias("score")))
+    items = materialize(prepare_items(sigs, spec, id_col).where("self_match"), "items")
+    reps, copies = collapse_copies(items)
+    itself = reps.select(F.col("id").alias("rep_id"), spec.score(F.col("sig"), F.col("sig")).alias("score"))
+    same = copies.join(itself, "rep_id").select(F.col("rep_id").alias("a"), F.col("id").alias("b"), "score")
     found = matching_pairs(reps, spec).unionByName(same)
     return found.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("score").cast("double").alias("score"))
 
 
 def matching_pairs(items: DataFrame, spec: Spec) -> DataFrame:
-    """(a < b, score) of all matching ``items`` (id, sig, nf)."""
-    items = _persist(items)
-    cands = candidate_pairs(spec.index_keys(items), spec.probe_keys(items)).where(F.col("a") < F.col("b"))
+    """(a < b, score) of all matching written ``items`` (id, sig, nf)."""
+    keys = shared_keys(items, spec)
+    cands = candidate_pairs(keys.where("is_index"), keys.where("is_probe")).where(F.col("a") < F.col("b"))
     return verify_pairs(cands, items.select("id", "sig"), spec).select("a", "b", "score")
 
 
@@ -275,14 +252,15 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
     identical probes share one answer: a signature held by a third of either
     side costs one aggregation, not a pair list.
     """
-    p = _persist(prepare_items(probes, spec, id_col))
+    p = materialize(prepare_items(probes, spec, id_col), "probes")
     i = prepare_items(index, spec, id_col).where("self_match")
-    i = i.groupBy("sig").agg(F.min("id").alias("id"))
-    pu = p.groupBy("sig").agg(F.min("id").alias("rep"))
+    i = materialize(i.groupBy("sig").agg(F.min("id").alias("id")), "index")
+    pu = materialize(p.groupBy("sig").agg(F.min("id").alias("rep")), "probe_reps")
     ix = spec.index_keys(i.select("id", "sig", F.size("sig").alias("nf")))
-    pb = spec.probe_keys(pu.select(F.col("rep").alias("id"), "sig", F.size("sig").alias("nf")))
-    cands = (ix.select(F.col("id").alias("a"), "key").join(pb.select(F.col("id").alias("b"), "key"), "key")
-             .select("a", "b").distinct())
+    held = materialize(ix.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "index_sizes")
+    pb = spec.probe_keys(pu.select(F.col("rep").alias("id"), "sig", F.size("sig").alias("nf"))).join(held, "key")
+    pb = materialize(pb, "probe_keys")
+    cands = candidate_pairs(ix.join(held, "key"), pb, distinct_items=False)
     sa = i.select(F.col("id").alias("a"), F.col("sig").alias("_sa"))
     sb = pu.select(F.col("rep").alias("b"), F.col("sig").alias("_sb"))
     scored = (cands.join(sa, "a").join(sb, "b")

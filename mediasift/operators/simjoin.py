@@ -4,12 +4,15 @@ A theta join "score(a, b) within threshold" is turned into an equi-join on band
 keys followed by an exact verification of the full score:
 
 * pHash (mean positional Hamming <= t): lossless. A pair within the threshold
-  has a total distance <= floor(t * n_frames) over n_frames * 64 bits. Split
-  every frame hash into B bands; if B * n_frames * (radius + 1) exceeds that
-  total, some band differs in at most ``radius`` bits (pigeonhole), so probing
-  each band value and its ``radius``-bit neighbours finds every pair
-  (multi-index hashing). ``radius=0`` is plain banding; ``radius=1`` allows
-  wider, more selective bands for large corpora.
+  has a total distance <= T = floor(t * n_frames) over n_frames * 64 bits. The
+  bits are dealt to B bands, bit i of frame f to band (i - f) mod B, so every
+  band mixes all frames: a frame shared by many clips (black, titles) equals no
+  band by itself, and as B >= n_frames the masked frames of a band fit one
+  64-bit value without overlap. If B * (radius + 1) > T, some band differs in at
+  most ``radius`` bits (pigeonhole). ``radius=0`` compares bands as they are,
+  ``radius=1`` flips each bit of the probe's bands, ``radius=2`` flips one bit
+  on both sides and meets in the middle: 9 bands of about 35 bits for 5 frames
+  at t=5, so about ten chance candidates per item among 100 M.
 * Embeddings (mean diagonal cosine >= t): the score equals one dot product of
   the concatenated, frame-normalised vectors scaled by 1/sqrt(n_frames).
   Candidates come from random-hyperplane (SimHash) bands computed with numpy
@@ -29,10 +32,24 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediasift.functions.bits import HASH_BITS, band_bits, flip_bit, total_hamming
+from mediasift.functions.bits import HASH_BITS, total_hamming
 from mediasift.functions.vectors import dot, norm
+from mediasift.session import materialize
 
-KEY_SCHEMA = "id long, key long"
+KEYS_PER_FRAME = 1 << 20      # keys made at once in a task
+BLOCK = 2048                  # holders of a key that one task pairs with each other
+
+
+def _key_schema(prepared: DataFrame) -> str:
+    return f"id {prepared.schema['id'].dataType.simpleString()}, key long"
+
+
+def _mix64(x: np.ndarray) -> np.ndarray:
+    """splitmix64 finaliser on uint64 arrays (wrapping arithmetic)."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
 
 
 @dataclass(frozen=True)
@@ -45,8 +62,8 @@ class PhashSpec:
     name: str = "phash"
 
     def __post_init__(self):
-        if self.radius not in (0, 1):
-            raise ValueError("radius must be 0 or 1")
+        if self.radius not in (0, 1, 2):
+            raise ValueError("radius must be 0, 1 or 2")
         if not 0 <= self.threshold < HASH_BITS:
             raise ValueError("threshold must be in [0, 64)")
 
@@ -57,41 +74,58 @@ class PhashSpec:
                 .withColumn("nf", F.size("sig"))
                 .withColumn("self_match", F.col("nf") > 0))
 
-    def _bands_per_frame(self) -> Column:
-        total = F.floor(F.lit(float(self.threshold)) * F.col("nf"))
-        b = F.ceil((total + 1) / F.lit((self.radius + 1)) / F.col("nf"))
-        return F.least(F.greatest(b, F.lit(1)), F.lit(HASH_BITS)).cast("int")
-
-    def _band_rows(self, prepared: DataFrame) -> DataFrame:
-        rows = (prepared.select("id", "nf", self._bands_per_frame().alias("nb"),
-                                F.posexplode("sig").alias("f", "h"))
-                .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))))
-        start = F.floor(F.col("b") * HASH_BITS / F.col("nb")).cast("int")
-        end = F.floor((F.col("b") + 1) * HASH_BITS / F.col("nb")).cast("int")
-        rows = rows.select("id", "nf", "nb", "f", "b", "h", start.alias("s"), (end - start).alias("w"))
-        return rows.select("id", "nf", "nb", "f", "b", "w", band_bits("h", "s", "w").alias("v"))
-
-    @staticmethod
-    def _key(v: Column) -> Column:
-        return F.xxhash64(F.col("nf"), F.col("f"), F.col("nb"), F.col("b"), v)
+    def bands(self, nf: int) -> int:
+        """Number of bands of a signature of ``nf`` frames."""
+        return max(nf, math.floor(self.threshold * nf) // (self.radius + 1) + 1)
+
+    def _layout(self, nf: int, flips: bool):
+        """(mask of each residue, band of each key, bit flipped in each key)."""
+        nb = self.bands(nf)
+        masks = np.zeros(nb, dtype=np.uint64)
+        band, flip = list(range(nb)), [0] * nb
+        for i in range(HASH_BITS):
+            masks[i % nb] |= np.uint64(1 << i)
+            if flips:
+                for f in range(nf):
+                    band.append((i - f) % nb)
+                    flip.append(1 << i)
+        return masks, np.array(band), np.array(flip, dtype=np.uint64)
+
+    def _keys(self, prepared: DataFrame, flips: bool) -> DataFrame:
+        def keys(batches):
+            layouts = {}
+            for pdf in batches:
+                sizes = pdf["sig"].map(len).to_numpy(dtype=np.int64)
+                for nf in np.unique(sizes[sizes > 0]):
+                    nf = int(nf)
+                    if nf not in layouts:
+                        layouts[nf] = self._layout(nf, flips)
+                    masks, band, flip = layouts[nf]
+                    nb = len(masks)
+                    salt = _mix64(np.uint64(nf << 32) + band.astype(np.uint64) + np.uint64(1))
+                    group = pdf[sizes == nf]
+                    step = max(1, KEYS_PER_FRAME // len(band))
+                    for at in range(0, len(group), step):
+                        part = group.iloc[at:at + step]
+                        sig = np.stack(part["sig"].to_numpy()).astype(np.int64).view(np.uint64)
+                        value = np.zeros((len(part), nb), dtype=np.uint64)
+                        for f in range(nf):
+                            value ^= sig[:, f:f + 1] & masks[(np.arange(nb) + f) % nb]
+                        key = _mix64((value[:, band] ^ flip) ^ salt)
+                        yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), len(band)),
+                                            "key": key.reshape(-1).view(np.int64)})
+
+        return prepared.select("id", "sig").mapInPandas(keys, _key_schema(prepared))
 
     def index_keys(self, prepared: DataFrame) -> DataFrame:
-        return self._band_rows(prepared).select("id", self._key(F.col("v")).alias("key"))
+        return self._keys(prepared, self.radius == 2)
 
     def probe_keys(self, prepared: DataFrame) -> DataFrame:
-        rows = self._band_rows(prepared)
-        if self.radius == 0:
-            return rows.select("id", self._key(F.col("v")).alias("key"))
-        flips = F.sequence(F.lit(-1), F.col("w") - 1)
-        rows = rows.withColumn("j", F.explode(flips))
-        return rows.select("id", self._key(flip_bit("v", "j")).alias("key"))
-
-    def n_index_keys(self) -> Column:
-        return F.col("nf") * self._bands_per_frame()
+        return self._keys(prepared, self.radius > 0)
 
     @property
     def probe_is_index(self) -> bool:
-        return self.radius == 0
+        return self.radius != 1
 
     # -- scoring ---------------------------------------------------------------
     def comparable(self, a: Column, b: Column) -> Column:
@@ -107,14 +141,6 @@ class PhashSpec:
         return score
 
 
-def _mix64(x: np.ndarray) -> np.ndarray:
-    """splitmix64 finaliser on uint64 arrays (wrapping arithmetic)."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 @dataclass(frozen=True)
 class EmbeddingSpec:
     """Mean diagonal cosine over frames, match when >= threshold.
@@ -178,14 +204,11 @@ class EmbeddingSpec:
                 if out_ids:
                     yield pd.DataFrame({"id": np.concatenate(out_ids), "key": np.concatenate(out_keys)})
 
-        return prepared.select("id", "nf", "sig").mapInPandas(keys, KEY_SCHEMA)
+        return prepared.select("id", "nf", "sig").mapInPandas(keys, _key_schema(prepared))
 
     def probe_keys(self, prepared: DataFrame) -> DataFrame:
         return self.index_keys(prepared)
 
-    def n_index_keys(self) -> Column:
-        return F.lit(self.bands)
-
     probe_is_index = True
 
     def comparable(self, a: Column, b: Column) -> Column:
@@ -222,8 +245,41 @@ def verify_pairs(cands: DataFrame, sigs: DataFrame, spec: Spec,
     return scored.where(spec.is_match(F.col("score")))
 
 
-def candidate_pairs(index: DataFrame, probe: DataFrame) -> DataFrame:
-    """Distinct (a, b) with a != b sharing a key (a probed by b's index key)."""
-    ix = index.select(F.col("id").alias("a"), "key")
-    pb = probe.select(F.col("id").alias("b"), "key")
-    return ix.join(pb, "key").where(F.col("a") != F.col("b")).select("a", "b").distinct()
+def shared_keys(items: DataFrame, spec: Spec, name: str = "keys") -> DataFrame:
+    """Written (id, key, is_index, is_probe, n) of the keys that more than one item of
+    ``items`` holds; n is the number of rows of the key. Keys of one holder,
+    most of them, end here."""
+    yes, no = F.lit(True), F.lit(False)
+    if spec.probe_is_index:
+        keys = spec.index_keys(items).select("id", "key", yes.alias("is_index"), yes.alias("is_probe"))
+    else:
+        keys = (spec.index_keys(items).select("id", "key", yes.alias("is_index"), no.alias("is_probe"))
+                .unionByName(spec.probe_keys(items).select("id", "key", no.alias("is_index"), yes.alias("is_probe"))))
+    return with_holders(keys, name)
+
+
+def with_holders(keys: DataFrame, name: str) -> DataFrame:
+    """``keys`` cut to those with an index row and a second item that probes it, with n."""
+    # The sizes are written before the join back, so that AQE sees two plain
+    # shuffles and can split a key that a large part of the items hold.
+    sizes = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_index").alias("ni"),
+                                                F.count_if("is_probe").alias("np"))
+                        .where("ni > 0 AND np > 1").select("key", "n"), name + "_sizes")
+    return materialize(keys.select("id", "key", "is_index", "is_probe").join(sizes, "key"), name)
+
+
+def candidate_pairs(index: DataFrame, probe: DataFrame, distinct_items: bool = True) -> DataFrame:
+    """Distinct (a, b) of an index row and a probe row (id, key, n) with one key;
+    with ``distinct_items`` (both sides hold the same items) only a != b.
+
+    A key of more than ``BLOCK`` rows is dealt out: its rows fall into blocks,
+    and each pair of blocks is a join key of its own, so no task holds the
+    whole key.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    every = F.explode(F.sequence(F.lit(0), blocks - 1))
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    left = index.select(F.col("id").alias("a"), "key", own.alias("i"), every.alias("j"))
+    right = probe.select(F.col("id").alias("b"), "key", every.alias("i"), own.alias("j"))
+    pairs = left.join(right, ["key", "i", "j"]).select("a", "b")
+    return (pairs.where(F.col("a") != F.col("b")) if distinct_items else pairs).distinct()

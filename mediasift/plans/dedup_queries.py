@@ -12,7 +12,7 @@ from mediasift.session import materialize
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
                                         phash_signatures)
 
-PHASH = PhashSpec(threshold=5.0, radius=1)
+PHASH = PhashSpec(threshold=5.0, radius=2)
 EMBED = EmbeddingSpec(threshold=0.95, bands=64, bits_per_band=20)
 # A cheaper, more selective configuration for very large corpora: fewer, wider
 # bands; its expected recall at the threshold is reported with the result.

@@ -26,7 +26,7 @@ LABEL_GROUPS = ("objects", "people", "actions", "audio")
 class CurateConfig:
     dedup_method: str = "phash"
     phash_threshold: float = 5.0
-    phash_radius: int = 1
+    phash_radius: int = 2
     embedding_threshold: float = 0.95
     embedding_bands: int = 64
     embedding_bits: int = 20

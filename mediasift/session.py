@@ -62,4 +62,4 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     base = checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/mediasift-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
