@@ -15,6 +15,8 @@ score tables it produces:
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,17 @@ SOUND_TOP_K = 5
 SOUND_MIN_PROB = 0.1
 MAX_PROMPTS = 10_000
 
+# The prompt sets of the zero-shot labels, in order (ties: the first).
+PROMPT_GROUPS = {
+    "scene_type": ["indoors", "outdoors", "cityscape", "landscape", "beach", "forest", "office", "kitchen",
+                   "street view", "aerial view"],
+    "environment": ["daytime", "nighttime", "urban setting", "natural setting"],
+    "visual_style": ["cinematic style", "amateur footage", "animation style", "vlog style", "documentary style",
+                     "black and white film", "monochrome colors", "vibrant colors"],
+    "mood_estimation": ["calm mood", "energetic mood", "dramatic mood", "neutral mood", "happy mood", "tense mood",
+                        "gloomy mood", "warm mood"],
+}
+
 
 def object_labels(detections: DataFrame, id_col: str = "video_id", min_conf: float = OBJECT_MIN_CONF) -> DataFrame:
     """(video_id, label, conf): max rounded confidence per label over all frames."""
@@ -115,16 +128,60 @@ def zero_shot(items: DataFrame, prompts: Column, id_col: str, vec_col: str) -> D
     return best.select(id_col, F.col("b.l").alias("prompt_label"), F.round(F.col("b.s"), 6).alias("sim"))
 
 
-def speech_fields(transcripts: DataFrame, id_cols: list[str], text_col: str = "text",
+def zero_shot_groups(items: DataFrame, prompts: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(id, one label column per prompt group): the prompt of each group nearest by
+    cosine (J7, L4, L7); ties go to the lowest index, a zero vector to the first
+    prompt, a NULL vector gives NULL labels.
+
+    ``prompts``: (group, idx, label, embedding), the model's fixed prompt sets
+    (at most ``MAX_PROMPTS`` rows). One matrix product per Arrow batch serves
+    all groups.
+    """
+    rows = prompts.select("group", "idx", "label", "embedding").orderBy("group", "idx").limit(MAX_PROMPTS + 1).collect()
+    if len(rows) > MAX_PROMPTS:
+        raise ValueError(f"prompts exceed the bound of {MAX_PROMPTS}")
+    groups = sorted({r["group"] for r in rows})
+    names = {g: np.array([r["label"] for r in rows if r["group"] == g], dtype=object) for g in groups}
+    units = {g: _unit_rows(np.array([r["embedding"] for r in rows if r["group"] == g], dtype=np.float64)) for g in groups}
+
+    def run(batches):
+        for pdf in batches:
+            out = {id_col: pdf[id_col]}
+            has = pdf[vec_col].notna().to_numpy()
+            x = _unit_rows(np.stack(pdf[vec_col][has].to_numpy()).astype(np.float64)) if has.any() else None
+            for g in groups:
+                best = np.full(len(pdf), None, dtype=object)
+                if x is not None:
+                    best[has] = names[g][np.argmax(np.round(x @ units[g].T, 12), axis=1)]
+                out[g] = best
+            yield pd.DataFrame(out)
+
+    schema = f"{id_col} {items.schema[id_col].dataType.simpleString()}, " + ", ".join(f"`{g}` string" for g in groups)
+    return items.select(id_col, vec_col).mapInPandas(run, schema)
+
+
+def _unit_rows(m: np.ndarray) -> np.ndarray:
+    n = np.linalg.norm(m, axis=1, keepdims=True)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
+def speech_record(transcripts: DataFrame, id_cols: list[str], text_col: str = "text",
                   token_col: str = "lang_token") -> DataFrame:
-    """(ids..., has_speech, language, snippet_chars)."""
+    """(ids..., has_speech, language, transcription_snippet); without speech the last two are NULL."""
     snippet = F.regexp_replace(F.col(text_col), EDGE_SPACE, "")
     has = F.coalesce(F.length(snippet) > 0, F.lit(False))
     tok = F.col(token_col)
     lang = F.when(has & tok.startswith("<") & tok.endswith(">"),
                   F.expr(f"substring({token_col}, 3, length({token_col}) - 4)"))
     return transcripts.select(*id_cols, has.alias("has_speech"), lang.alias("language"),
-                              F.when(has, F.length(snippet)).alias("snippet_chars"))
+                              F.when(has, snippet).alias("transcription_snippet"))
+
+
+def speech_fields(transcripts: DataFrame, id_cols: list[str], text_col: str = "text",
+                  token_col: str = "lang_token") -> DataFrame:
+    """(ids..., has_speech, language, snippet_chars)."""
+    return speech_record(transcripts, id_cols, text_col, token_col).select(
+        *id_cols, "has_speech", "language", F.length("transcription_snippet").alias("snippet_chars"))
 
 
 def motion_class(frames: DataFrame, id_col: str = "video_id", vec_col: str = "embedding",
