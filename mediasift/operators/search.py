@@ -20,6 +20,8 @@ from mediasift.session import materialize
 
 # Queries scored in one pass over the items; a larger query set takes several passes.
 QUERY_BLOCK = 10_000
+BM25_BLOCK = 500       # text queries (with their terms) in one pass
+SCORE_ROWS = 512       # documents scored at once in a task
 
 
 def topk(df: DataFrame, group_cols: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
@@ -57,32 +59,90 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = 10, k1: float = 1.2,
     """Okapi BM25 with idf = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
     Returns (item_id, rank, doc_id, score) for the k best documents per query,
-    ties broken by the smaller doc id.
+    ties broken by the smaller doc id. Each document is scored where it lies: no
+    shuffle by term and no row per (query, document), so a word that nearly every
+    document holds costs no more than a rare one. Queries go in blocks of about
+    ``BM25_BLOCK``; a block's terms and the k best documents a task has seen per
+    query are all that a task holds beside its documents.
     """
-    # One pass over the texts: tokens are counted per document (document count
-    # and mean length are observed metrics of the same job), exploded, cut to
-    # the query terms map-side (checked broadcast) and grouped into postings
-    # that carry the document length. Only query-term postings are shuffled.
+    blocks = max(1, -(-queries.count() // BM25_BLOCK))
+    out = None
+    for n in range(blocks):
+        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == n)
+        done = _bm25_block(docs, part, k, k1, b, doc_id, query_id, text_col)
+        done = done if blocks == 1 else materialize(done, "bm25")
+        out = done if out is None else out.unionByName(done)
+    return out
+
+
+def _bm25_block(docs: DataFrame, queries: DataFrame, k: int, k1: float, b: float,
+                doc_id: str, query_id: str, text_col: str) -> DataFrame:
+    asked = [(r["q"], r["t"]) for r in queries.select(
+        F.col(query_id).alias("q"), F.array_distinct(tokens(text_col)).alias("t")).collect() if r["t"]]
+    vocabulary = {t: i for i, t in enumerate(sorted({t for _, ts in asked for t in ts}))}
+    terms = [np.array([vocabulary[t] for t in ts]) for _, ts in asked]
+    dtype = docs.schema[doc_id].dataType.simpleString()
+    qtype = queries.schema[query_id].dataType.simpleString()
+
+    def count_terms(batches):
+        for pdf in batches:
+            ts, fs = [], []
+            for words in pdf["tk"]:
+                seen: dict[int, int] = {}
+                for w in words if words is not None else ():
+                    i = vocabulary.get(w)
+                    if i is not None:
+                        seen[i] = seen.get(i, 0) + 1
+                ts.append(list(seen))
+                fs.append(list(seen.values()))
+            yield pd.DataFrame({"d": pdf["d"], "dl": pdf["dl"], "ts": ts, "fs": fs})
+
+    # The first pass writes the query terms of each document; the document count
+    # and mean length are observed metrics of the same job.
     obs = Observation("bm25_stats")
     toks = (docs.select(F.col(doc_id).alias("d"), tokens(text_col).alias("tk"))
             .select("d", "tk", F.size("tk").cast("bigint").alias("dl"))
             .observe(obs, F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")))
-    qset = queries.select(F.explode(F.array_distinct(tokens(text_col))).alias("t")).distinct()
-    tf = (toks.select("d", "dl", F.explode("tk").alias("t")).join(qset, "t", "left_semi")
-          .groupBy("d", "dl", "t").agg(F.count(F.lit(1)).alias("tf")))
-    tf = materialize(tf, "bm25_postings")
-    stats = obs.get
-    n_docs, avgdl = int(stats["n"]), float(stats["avgdl"] or 0.0)
-    df_ = tf.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    idf = df_.select("t", F.log(1.0 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    qterms = queries.select(F.col(query_id).alias("q"), F.explode(F.array_distinct(tokens(text_col))).alias("t"))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
-    part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    scores = (qterms.join(idf, "t").join(tf, "t")
-              .groupBy("q", "d").agg(F.sum(part).alias("score")))
+    postings = materialize(toks.mapInPandas(count_terms, f"d {dtype}, dl bigint, ts array<int>, fs array<int>")
+                           .where(F.size("ts") > 0), "bm25_postings")
+    n_docs, avgdl = int(obs.get["n"]), float(obs.get["avgdl"] or 0.0) or 1.0
+    idf = np.zeros(len(vocabulary))
+    for r in postings.select(F.explode("ts").alias("t")).groupBy("t").count().collect():  # at most the block's terms
+        idf[r["t"]] = np.log(1.0 + (n_docs - r["count"] + 0.5) / (r["count"] + 0.5))
+
+    def score(batches):
+        best_s = [np.zeros(0)] * len(asked)
+        best_d = [np.zeros(0, dtype=object)] * len(asked)
+        for pdf in batches:
+            for at in range(0, len(pdf), SCORE_ROWS):
+                part = pdf.iloc[at:at + SCORE_ROWS]
+                row = np.repeat(np.arange(len(part)), part["ts"].map(len).to_numpy())
+                term = np.concatenate(part["ts"].to_numpy()).astype(np.int64)
+                tf = np.concatenate(part["fs"].to_numpy()).astype(np.float64)
+                norm = k1 * ((1.0 - b) + b * part["dl"].to_numpy(dtype=np.float64) / avgdl)
+                weight = np.zeros((len(vocabulary), len(part)))
+                weight[term, row] = idf[term] * tf * (k1 + 1) / (tf + norm[row])
+                ids = part["d"].to_numpy(dtype=object)
+                for j, mine in enumerate(terms):
+                    col = weight[mine].sum(axis=0)
+                    hit = np.nonzero(col)[0]
+                    if not len(hit):
+                        continue
+                    s, d = np.concatenate([best_s[j], col[hit]]), np.concatenate([best_d[j], ids[hit]])
+                    if len(s) > k:
+                        # rank on the rounded score, as the final window does: equal documents tie
+                        r = np.floor(s * 1e6 + 0.5)
+                        near = np.nonzero(r >= -np.partition(-r, k - 1)[k - 1])[0]
+                        near = sorted(near, key=lambda i: (-r[i], d[i]))[:k]
+                        s, d = s[near], d[near]
+                    best_s[j], best_d[j] = s, d
+        for j, (q, _) in enumerate(asked):
+            if len(best_s[j]):
+                yield pd.DataFrame({"q": [q] * len(best_s[j]), "d": list(best_d[j]), "score": best_s[j]})
+
     # Rank on the rounded score: equal documents then tie exactly and the
     # smaller id wins, whatever order the partial sums were added in.
-    scores = scores.withColumn("score", F.round("score", 6))
+    scores = postings.mapInPandas(score, f"q {qtype}, d {dtype}, score double").withColumn("score", F.round("score", 6))
     ranked = topk(scores, ["q"], [F.col("score").desc(), F.col("d")], k)
     return ranked.select(F.col("q").alias(query_id), "rank", F.col("d").alias(doc_id), "score")
 
