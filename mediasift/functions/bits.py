@@ -1,8 +1,4 @@
-"""Bit-level Column helpers for 64-bit perceptual hashes stored as BIGINT.
-
-Shift amounts that are columns need the SQL form of ``shiftleft`` etc., so the
-helpers take column names and build SQL expressions.
-"""
+"""Bit-level Column helpers for 64-bit perceptual hashes stored as BIGINT."""
 
 from __future__ import annotations
 
@@ -29,17 +25,6 @@ def total_hamming(a: Column, b: Column) -> Column:
                        F.lit(0), lambda s, x: s + x)
 
 
-def band_bits(h: str, start: str, width: str) -> Column:
-    """Bits [start, start+width) of column ``h`` as a non-negative BIGINT (width <= 64)."""
-    return F.expr(f"shiftrightunsigned(`{h}`, `{start}`) & "
-                  f"IF(`{width}` >= 64, -1L, shiftleft(1L, `{width}`) - 1L)")
-
-
-def flip_bit(v: str, j: str) -> Column:
-    """``v`` with bit ``j`` flipped (``j`` < 0: unchanged)."""
-    return F.expr(f"IF(`{j}` < 0, `{v}`, `{v}` ^ shiftleft(1L, `{j}`))")
-
-
 def to_hex(h: Column) -> Column:
     """16-digit lowercase hex text of a 64-bit hash."""
     return F.lpad(F.lower(F.hex(h)), 16, "0")

@@ -3,9 +3,9 @@
 Each micro-batch is deduplicated against the index of leaders from earlier
 batches and against itself, in ``foreachBatch``:
 
-* only index leaders that share a band key with the batch are read (a
-  semi-join on the stored index keys), so a batch costs what it touches, not
-  the size of the index;
+* only index leaders that share a band key with the batch take part (a semi-join
+  on the stored index keys; the key columns of the whole index are read, its
+  signatures only for the leaders touched);
 * greedy runs over (those index leaders, then the batch in id order): index
   leaders never match each other, so they stay leaders; a batch item matching
   one of them is a duplicate, and the assignment takes the best score over the
