@@ -1,8 +1,9 @@
 """Main text of web pages by nearest-URL page differencing.
 
 Each page is read into text lines (one per block). Pages of a host are put in the order of their URL
-paths, and each is paired with the neighbour that shares the longer path prefix. The pair's lines are
-aligned by a longest common subsequence and shared lines are deleted. Markup helps twice: lines inside
+paths, and each is paired with the neighbour that shares the longer path prefix. A neighbour that is a copy
+(equal lines hold nine tenths of both texts) says nothing of what the site adds, so the next one that is no
+copy takes its place. The pair's lines are aligned by a longest common subsequence and shared lines are deleted. Markup helps twice: lines inside
 an ``article`` or ``main`` element stay although shared (else two copies of an article on neighbouring
 URLs would delete each other), and where a page has such an element, or a line stands in navigation,
 adverts, forms and the like, what is not shared goes too.
@@ -16,7 +17,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediasift.llm.common import arrow_schema, chunks, col
@@ -38,6 +39,10 @@ DROP_WORDS = frozenset("""ad ads advert adverts advertisement banner promo spons
 notice sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies share sharing
 social related newsletter subscribe popup modal pagination login signup""".split())
 
+#: Share of the text of the longer body from which on two pages are copies; pages that a chain remembers.
+COPY_SHARE, CHAIN = 0.9, 4
+_BODY = np.uint64(1)
+
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -132,8 +137,23 @@ def page_lines(page: str | None) -> list[tuple[str, bool, bool]]:
     return lines
 
 
-def line_hashes(lines) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t, _, _ in lines], "<u8")
+def signature(lines) -> np.ndarray:
+    """One number for each line outside dropped elements: 51 bits of its hash, its length (12 bits, at most 4,095)
+    and whether it is of the body. By the tags, the body is what stands in an ``article`` or ``main`` if that is
+    half of the page's text or more, else everything."""
+    lines = [(t, a) for t, a, d in lines if not d]
+    inside = sum(len(t) for t, a in lines if a)
+    tagged = inside > 0 and 2 * inside >= sum(len(t) for t, _ in lines)
+    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 13 << 13 | min(len(t), 4095) << 1
+                     | (a or not tagged) for t, a in lines], "<u8")
+
+
+def is_copy(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the bodies of two pages share nearly all of their text, as characters of equal lines in any order."""
+    (x, m), (y, n) = (np.unique(k[k & _BODY > 0], return_counts=True) for k in (a, b))
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    size = lambda keys, counts: int(((keys >> np.uint64(1) & np.uint64(4095)).astype(np.int64) * counts).sum())
+    return size(x[i], np.minimum(m[i], n[j])) >= COPY_SHARE * max(size(x, m), size(y, n))
 
 
 def common_lines(a: list, b: list) -> list[bool]:
@@ -185,46 +205,138 @@ def common_lines(a: list, b: list) -> list[bool]:
 
 
 def article_text(page: str | None, near: np.ndarray | None) -> str:
-    """Text of the page's blocks that stay, given the line hashes of the page next to it."""
+    """Text of the page's blocks that stay, given the signature of the page it is paired with."""
     lines = page_lines(page)
-    shared = common_lines(line_hashes(lines).tolist(), near.tolist()) if near is not None else [False] * len(lines)
+    shared = [False] * len(lines)
+    if near is not None:
+        same = iter(common_lines((signature(lines) & ~_BODY).tolist(), (near & ~_BODY).tolist()))
+        shared = [not d and next(same) for _, _, d in lines]
     guarded = any(a and not d for _, a, d in lines)
     return "\n\n".join(t for (t, a, d), s in zip(lines, shared, strict=True) if not d and (a or not s and not guarded))
 
 
+class _Chain:
+    """Pages of one host behind a walk: the last page, the nearest one before it that is no copy of it, and so
+    on. A copy of the last page takes over the rest of the chain: a run of copies, however long, is one step."""
+
+    def __init__(self):
+        self.host, self.pages = None, []
+
+    def pair(self, host: str, path: str, sig: np.ndarray):
+        """The nearest page that is no copy of this one, or None; then this page is the last."""
+        found = [] if host != self.host else next(
+            (self.pages[i:] for i, (_, other) in enumerate(self.pages) if not is_copy(sig, other)), [])
+        self.host, self.pages = host, [(path, sig), *found][:CHAIN]
+        return found[0] if found else None
+
+
+_DEALT = "pid int, at int, u1 long, u2 long, host string, path string, sig binary"
+
+
+def _rows(batches):
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def _ends(schema):
+    """The pages of one range pass; behind them come its chains: first pages (``at`` 1, 2, ...) and last ones (-1, ...)."""
+    def run(batches):
+        chain, head, host, pid = _Chain(), [], None, None
+        for batch in batches:
+            for pid, _, _, _, h, path, sig in _rows([batch]):
+                if not sig:
+                    continue
+                sig, host = np.frombuffer(sig, "<u8"), h if host is None else host
+                if h == host and len(head) < CHAIN and not (head and is_copy(head[-1][1], sig)):
+                    head.append((path, sig))
+                chain.pair(h, path, sig)
+            yield pa.RecordBatch.from_arrays(batch.columns, schema=schema)
+        ends = [(pid, at * k, 0, 0, h, path, sig.tobytes()) for at, h, pages in ((1, host, head), (-1, chain.host, chain.pages))
+                for k, (path, sig) in enumerate(pages, 1)]
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*ends, strict=True), schema, strict=True)], schema=schema)
+
+    return run
+
+
+def _across(schema, sign: int):
+    """Chains of the ranges, range by range and the farthest page first -> for each range the chain that leads to it."""
+    def run(batches):
+        chain, last = _Chain(), None
+        for pid, _, _, _, host, path, sig in _rows(batches):
+            if pid != last and chain.pages:
+                rows = [(pid, sign * k, 0, 0, chain.host, x, s.tobytes()) for k, (x, s) in enumerate(chain.pages, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+            last = pid
+            chain.pair(host, path, np.frombuffer(sig, "<u8"))
+
+    return run
+
+
+def _prefix(x: str, y: str) -> int:
+    k = 0
+    while k < min(len(x), len(y)) and x[k] == y[k]:
+        k += 1
+    return k
+
+
+def _pick(batches):
+    """Pages of ranges in order, each range between the chains that lead to it -> (u1, u2, near)."""
+    done: list = []
+    waiting: list = []  # pages of the last run of copies: the page behind the run is the next for all of them
+    chain, last = _Chain(), None
+
+    def settle(path=None, sig=None):
+        for u1, u2, x, own, before in waiting:
+            after = None if sig is None or is_copy(own, sig) else (path, sig)
+            if before and after:
+                before = after if _prefix(x, after[0]) > _prefix(x, before[0]) else before
+            near = before or after
+            done.append((u1, u2, None if near is None else near[1].tobytes()))
+        waiting.clear()
+
+    def batch():
+        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                                         names=["u1", "u2", "near"])
+        done.clear()
+        return out
+
+    for pid, at, u1, u2, host, path, sig in _rows(batches):
+        if not sig:
+            done.append((u1, u2, None))
+            continue
+        sig = np.frombuffer(sig, "<u8")
+        if pid != last:
+            settle()
+            chain, last = _Chain(), pid
+        if host != chain.host:
+            settle()
+        elif waiting and not is_copy(waiting[-1][3], sig):
+            settle(path, sig)
+        before = chain.pair(host, path, sig)
+        if at == 0:
+            waiting.append((u1, u2, path, sig, before))
+        if len(done) >= 1000:
+            yield batch()
+    settle()
+    if done:
+        yield batch()
+
+
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """(u1, u2, near): line hashes of each page's pair. ``keys``: u1, u2, host, path, sig, distinct."""
+    """(u1, u2, near): signature of each page's pair. ``keys``: u1, u2, host, path, sig, distinct."""
     n = max(1, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = ["host", "path", "u1", "u2"]
-    dealt = materialize(keys.repartitionByRange(n, *order).withColumn("pid", F.spark_partition_id()), "page-order")
-    item = F.struct("host", "path", "sig")
-    # pages at the ends of a range have their other neighbour in the next range that is not empty: one row a range
-    ends = dealt.groupBy("pid").agg(F.min_by(item, F.struct(*order)).alias("head"), F.max_by(item, F.struct(*order)).alias("tail"))
-    ranges = Window.orderBy("pid")
-    ends = ends.select("pid", F.lag("tail").over(ranges).alias("before"), F.lead("head").over(ranges).alias("behind"))
-    own = Window.partitionBy("pid").orderBy(*order)
-    seen = dealt.join(ends, "pid").select(
-        "u1", "u2", "host", "path", F.coalesce(F.lag(item).over(own), "before").alias("p"),
-        F.coalesce(F.lead(item).over(own), "behind").alias("n"))
-
-    def pick(batches):
-        for batch in batches:
-            u1, u2, host, path, p, q = (c.to_pylist() for c in batch.columns)
-            near = []
-            for h, x, a, b in zip(host, path, p, q, strict=True):
-                best, size = None, -1
-                for other in (a, b):
-                    if other is not None and other["host"] == h:
-                        k, y = 0, other["path"]
-                        while k < min(len(x), len(y)) and x[k] == y[k]:
-                            k += 1
-                        if k > size:
-                            best, size = other["sig"], k
-                near.append(best)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near, pa.binary())],
-                                             names=["u1", "u2", "near"])
-
-    return seen.mapInArrow(pick, "u1 long, u2 long, near binary")
+    order, schema = ["host", "path", "u1", "u2"], arrow_schema(_DEALT)
+    dealt = keys.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
+        F.spark_partition_id().alias("pid"), F.lit(0).alias("at"), "u1", "u2", "host", "path", "sig")
+    dealt = materialize(dealt.mapInArrow(_ends(schema), _DEALT), "page-order")
+    # pages at the ends of a range may have their neighbour in another range: at most CHAIN rows a range and side
+    one = dealt.filter("at <> 0").repartition(1)
+    before = one.filter("at < 0").sortWithinPartitions("pid", "at").mapInArrow(_across(schema, -1), _DEALT)
+    behind = one.filter("at > 0").sortWithinPartitions(F.desc("pid"), F.desc("at")).mapInArrow(_across(schema, 1), _DEALT)
+    pages = dealt.filter("at = 0").unionByName(before).unionByName(behind)
+    return pages.repartition(n, "pid").sortWithinPartitions("pid", "at", *order).mapInArrow(
+        _pick, "u1 long, u2 long, near binary")
 
 
 def extract_text(df: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -232,7 +344,8 @@ def extract_text(df: DataFrame, page_id: str = "page_id", url: str = "url", page
 
     A null page is empty, an empty page has the empty text. Pages with a null URL, or one without ``://``,
     form one host with an empty path. Equal rows share their neighbour and result; the first neighbour wins
-    a tie. Other columns are ignored. Only keys and line hashes are sorted, by ranges of (host, path), so a
+    a tie. A page that has nothing but copies of itself on its host has no pair: all its text counts as its own.
+    Other columns are ignored. Only keys and line hashes are sorted, by ranges of (host, path), so a
     hot host is spread over many tasks; the pages themselves move once, for the join with their neighbours.
     """
     src = df.select(col(page_id).alias("page_id"), col(url).alias("url"), col(page).alias("html")).withColumn(
@@ -243,7 +356,7 @@ def extract_text(df: DataFrame, page_id: str = "page_id", url: str = "url", page
         for part in chunks(batches, "html"):
             urls, pages = part.column(0).to_pylist(), part.column(1).to_pylist()
             split = [split_url(u) for u in urls]
-            sigs = [line_hashes(page_lines(p)).tobytes() for p in pages]
+            sigs = [signature(page_lines(p)).tobytes() for p in pages]
             yield pa.RecordBatch.from_arrays(
                 [part.column(2), part.column(3), pa.array([h for h, _ in split], pa.string()),
                  pa.array([p for _, p in split], pa.string()), pa.array(sigs, pa.binary())], schema=schema)

@@ -427,6 +427,26 @@ def test_pages(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_pages_copies_do_not_erase_each_other(spark):
+    site = "<div>Home | News</div><div>Contact us</div>"
+    story = lambda k: "".join(f"<div>Line {i} of story {k}, which is long enough</div>" for i in range(12))
+    own = lambda k: [f"Line {i} of story {k}, which is long enough" for i in range(12)]
+    rows = [(1, "http://h.com/a?utm=1", site + story(1)), (2, "http://h.com/a?utm=2", site + story(1)),
+            (3, "http://h.com/b", site + story(2)), (4, "http://only.com/x", story(3)), (5, "http://only.com/y", story(3))]
+    # a run of near copies over several ranges, and the pages before and behind it
+    rows += [(100 + i, f"http://run.com/m/{i:03}", site + story(4) + f"<div>visit {i}</div>") for i in range(40)]
+    rows += [(200, "http://run.com/a", site + story(5)), (201, "http://run.com/z", site + story(6))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in ("1", "8"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        text = {r.page_id: r.text.split("\n\n") for r in html_text.extract_text(df).collect()}
+        assert text[1] == text[2] == own(1) and text[3] == own(2)
+        assert text[4] == text[5] == own(3)
+        assert all(text[100 + i] == [*own(4), f"visit {i}"] for i in range(40))
+        assert text[200] == own(5) and text[201] == own(6)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 # --- LM scores ---
 
 def test_lm_blocks_equal_one_model(spark):
