@@ -3,10 +3,10 @@
 Each page is read into text lines (one per block). Pages of a host are put in the order of their URL
 paths, and each is paired with the neighbour that shares the longer path prefix. A neighbour that is a copy
 (equal lines hold nine tenths of both texts) says nothing of what the site adds, so the next one that is no
-copy takes its place. The pair's lines are aligned by a longest common subsequence and shared lines are deleted. Markup helps twice: lines inside
-an ``article`` or ``main`` element stay although shared (else two copies of an article on neighbouring
-URLs would delete each other), and where a page has such an element, or a line stands in navigation,
-adverts, forms and the like, what is not shared goes too.
+copy takes its place. The pair's lines are aligned by a longest common subsequence and shared lines are
+deleted, inside ``article`` and ``main`` too.
+Markup adds to that: text in navigation, adverts, forms and the like always goes, and where half or more of
+the text that is left stands in an ``article`` or ``main``, what is left outside them goes too.
 """
 
 from __future__ import annotations
@@ -211,8 +211,10 @@ def article_text(page: str | None, near: np.ndarray | None) -> str:
     if near is not None:
         same = iter(common_lines((signature(lines) & ~_BODY).tolist(), (near & ~_BODY).tolist()))
         shared = [not d and next(same) for _, _, d in lines]
-    guarded = any(a and not d for _, a, d in lines)
-    return "\n\n".join(t for (t, a, d), s in zip(lines, shared, strict=True) if not d and (a or not s and not guarded))
+    left = [(t, a) for (t, a, d), s in zip(lines, shared, strict=True) if not d and not s]
+    inside = sum(len(t) for t, a in left if a)
+    tagged = inside > 0 and 2 * inside >= sum(len(t) for t, _ in left)
+    return "\n\n".join(t for t, a in left if a or not tagged)
 
 
 class _Chain:

@@ -427,6 +427,16 @@ def test_pages(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_pages_differencing_decides_before_tags(spark):
+    long = lambda k: f"This is the body of page {k}, " + f"and it says a lot about matter {k} " * 5 + "."
+    rows = [(i, f"http://teaser.com/{i}", f"<article><p>Read more</p></article><div><p>{long(i)}</p></div>") for i in range(3)]
+    rows += [(10 + i, f"http://inside.com/{i}", f"<article><div class=box>Buy our book</div><p>{long(i)}</p><div>All rights kept</div></article><p>Top</p>")
+             for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    text = {r.page_id: r.text for r in html_text.extract_text(df).collect()}
+    assert text == {k + i: long(i) for k in (0, 10) for i in range(3)}
+
+
 def test_pages_copies_do_not_erase_each_other(spark):
     site = "<div>Home | News</div><div>Contact us</div>"
     story = lambda k: "".join(f"<div>Line {i} of story {k}, which is long enough</div>" for i in range(12))
