@@ -32,8 +32,9 @@ search section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup; it is never text of the article.
 RAW = frozenset("script style iframe noembed noframes xmp textarea title template".split())
-#: Elements, roles and words of class or id that hold no article text.
+#: Elements, roles and whole tokens of class or id that hold no article text; tokens say nothing of ``KEPT_TAGS``.
 DROP_TAGS = frozenset("nav footer aside form menu dialog button select noscript svg math canvas object audio video head".split())
+KEPT_TAGS = frozenset("html body main article".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 DROP_WORDS = frozenset("""ad ads advert adverts advertisement banner promo sponsor sponsored cookie cookies consent
 notice sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies share sharing
@@ -45,7 +46,6 @@ _BODY = np.uint64(1)
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_WORDS = re.compile(r"[a-z0-9]+")
 
 
 def _dropped(tag: str, attrs: str, inside: bool) -> bool:
@@ -55,7 +55,7 @@ def _dropped(tag: str, attrs: str, inside: bool) -> bool:
         return False
     for name, a, b, c in _ATTR.findall(attrs):
         value = html.unescape(a or b or c).lower()
-        if name.lower() in ("class", "id") and not DROP_WORDS.isdisjoint(_WORDS.findall(value)):
+        if name.lower() in ("class", "id") and tag not in KEPT_TAGS and not DROP_WORDS.isdisjoint(value.split()):
             return True
         if name.lower() == "role" and value.strip() in DROP_ROLES:
             return True

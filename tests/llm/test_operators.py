@@ -437,6 +437,15 @@ def test_pages_differencing_decides_before_tags(spark):
     assert text == {k + i: long(i) for k in (0, 10) for i in range(3)}
 
 
+@pytest.mark.parametrize("around", [
+    '<body class="post has-sidebar">{}', '<body class="comments">{}', '<html id=menu><body class="no-comments">{}',
+    '<article class="post category-social">{}</article>', '<main class="social">{}</main>', '<article id=related>{}</article>',
+    '<div id="content" class="content-sidebar">{}</div>'])
+def test_pages_class_words(around):
+    page = around.format('<p>Story</p><div class="Sidebar left">no</div><p id="comments">no</p>')
+    assert html_text.article_text(page, None) == "Story"
+
+
 def test_pages_copies_do_not_erase_each_other(spark):
     site = "<div>Home | News</div><div>Contact us</div>"
     story = lambda k: "".join(f"<div>Line {i} of story {k}, which is long enough</div>" for i in range(12))
