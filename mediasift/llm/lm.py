@@ -6,7 +6,8 @@ bigram is an arc; what has no arc takes the state's failure arc (m / (c(u) + m))
 are the words. Scoring is one walk from left to right that carries the state.
 
 The vocabulary and the bigrams grow with the corpus, so no task and no broadcast holds the model. The
-corpus is cut into blocks of consecutive rows. A block asks for the counts of the n-grams it has: it sends
+corpus is cut into blocks of consecutive rows, bounded in rows and in bytes; the number of shards follows the
+bytes of the corpus. A block asks for the counts of the n-grams it has: it sends
 their hashes and its own training counts to shards (ranges of the hash), packed in one message per shard.
 A shard sums up, and answers only where the total differs from what the asking block knows. Each block
 then builds its own part of the automaton, which holds all arcs its texts can walk, and scores them. An
@@ -23,15 +24,16 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediasift.llm.common import arrow_schema, col, fold, lower_words
 from mediasift.session import materialize
 from mediasift.sources.tables import table
 
-#: Rows of a block: the unit whose n-grams one task holds.
-BLOCK_ROWS = 4096
+#: Rows and bytes of text of a block, the unit whose n-grams one task holds (a block passes ``BLOCK_BYTES`` by its
+#: last text at most), and bytes of text of all blocks for each shard.
+BLOCK_ROWS, BLOCK_BYTES, SHARD_BYTES = 4096, 1 << 25, 1 << 25
 #: Weight of the unigram model in the bigram model, in tokens.
 PRIOR = 200.0
 _BEGIN, _END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
@@ -228,28 +230,47 @@ def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int
             np.add.reduceat(automaton.base[t.ids], t.first), automaton.walk(t.ids, previous, pair, t.first))
 
 
-def _with_blocks(df: DataFrame, columns: list, block_rows: int) -> DataFrame:
-    """``columns`` and the block of each row. A block is a run of rows of an input file, so both passes see
-    the same blocks whatever the partitions; a frame that is not a plain file scan is written first."""
-    place = [F.xxhash64(F.col("_metadata.file_path")).alias("_file"),
-             F.floor(F.col("_metadata.row_index") / block_rows).cast("long").alias("_no")]
+def _with_blocks(df: DataFrame, columns: list, block_rows: int, block_bytes: int) -> tuple[DataFrame, int]:
+    """``columns`` (one is ``_text``) and the block (``_file``, ``_no``) of each row; bytes of all texts. A block is
+    a run of rows of an input file, so both passes see the same blocks whatever the partitions; a frame that is
+    not a plain file scan is written first. Runs of ``block_rows`` rows with over ``block_bytes`` of text are cut
+    by cumulated bytes."""
+    at = F.col("_metadata.row_index")
+    place = [F.xxhash64(F.col("_metadata.file_path")).alias("_file"), F.floor(at / block_rows).cast("long").alias("_run"),
+             (at % block_rows).cast("long").alias("_row")]
     try:
-        return df.select(*columns, *place)
+        rows = df.select(*columns, *place)
     except AnalysisException:
-        return materialize(df, "lm-texts").select(*columns, *place)
+        rows = materialize(df, "lm-texts").select(*columns, *place)
+    sizes = rows.select("_file", "_run", "_row", F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("_size"))
+    runs = materialize(sizes.groupBy("_file", "_run").agg(F.sum("_size").alias("_bytes")), "lm-runs")
+    total = runs.agg(F.sum("_bytes")).first()[0] or 0
+    long = runs.filter(F.col("_bytes") > block_bytes).select("_file", "_run")
+    before = F.sum("_size").over(Window.partitionBy("_file", "_run").orderBy("_row")) - F.col("_size")
+    # both broadcasts: at most a number for each block_bytes of the corpus
+    cuts = materialize(sizes.join(F.broadcast(long), ["_file", "_run"]).withColumn("_cut", F.floor(before / block_bytes)).groupBy(
+        "_file", "_run", "_cut").agg(F.min("_row").alias("_first")).groupBy("_file", "_run").agg(
+        F.collect_list("_first").alias("_firsts")), "lm-cuts")
+    cut = F.coalesce(F.size(F.filter("_firsts", lambda x: x <= F.col("_row"))) - 1, F.lit(0))
+    cut = F.when(F.col("_firsts").isNull(), F.lit(0)).otherwise(cut)
+    return rows.join(F.broadcast(cuts), ["_file", "_run"], "left").withColumn(
+        "_no", (F.col("_run") * block_rows + cut).cast("long")).drop("_run", "_row", "_firsts"), int(total)
 
 
 def score_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", learn=None,
-                block_rows: int = BLOCK_ROWS, prior: float = PRIOR) -> DataFrame:
+                block_rows: int = BLOCK_ROWS, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES,
+                shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per row of ``df``: the id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     ``learn`` (a boolean column, default all rows) says what the model learns from; counts cover all of it.
     Null and empty texts are the end token alone. Repeated rows count as often as they occur and score alike.
-    Without any training text all n-grams are unknown. Other columns are ignored.
+    Without any training text all n-grams are unknown. Other columns are ignored. Neither ``block_rows``,
+    ``block_bytes`` nor ``shard_bytes`` changes the result.
     """
     learn = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
-    rows = _with_blocks(df, [col(text_col).alias("_text"), learn.alias("_learn"), col(id_col).alias("_id")], block_rows)
-    shards = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows, size = _with_blocks(df, [col(text_col).alias("_text"), learn.alias("_learn"), col(id_col).alias("_id")],
+                              block_rows, block_bytes)
+    shards = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
     asked = rows.select("_text", "_learn", "_file", "_no").mapInArrow(_asked(shards), _ASK)
     answers = asked.groupBy("shard").applyInArrow(_answered, _ANSWER)
     id_type = dict(rows.dtypes)["_id"]

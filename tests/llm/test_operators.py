@@ -499,3 +499,19 @@ def test_lm_blocks_equal_one_model(spark):
     assert lm.score_texts(df.limit(0)).count() == 0
     none = lm.score_texts(df, learn=F.lit(False)).agg(F.max("n_known"), F.max("train_tokens")).first()
     assert tuple(none) == (0, 0)
+
+
+def test_lm_blocks_and_shards_follow_bytes(spark, monkeypatch):
+    rng = random.Random(10)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(200 if 40 <= i < 80 else 5))) for i in range(200)]
+    df = spark.createDataFrame([*rows, (None, None), (200, "")], "doc_id long, text string").coalesce(1)
+    blocks, total = lm._with_blocks(df, [F.col("text").alias("_text")], 64, 2000)
+    sizes = [r.b for r in blocks.groupBy("_file", "_no").agg(F.sum(F.octet_length("_text")).alias("b")).collect()]
+    assert total == sum(len(t) for _, t in rows) and blocks.count() == 202
+    assert max(sizes) <= 2000 + max(len(t) for _, t in rows) and len(sizes) < 30
+    seen, inner = [], lm._asked
+    monkeypatch.setattr(lm, "_asked", lambda shards: seen.append(shards) or inner(shards))
+    columns = ("doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6), F.round("score", 6))
+    want = sorted(map(str, lm.score_texts(df).select(*columns).collect()))
+    small = sorted(map(str, lm.score_texts(df, block_rows=64, block_bytes=2000, shard_bytes=1000).select(*columns).collect()))
+    assert small == want and seen == [8, -(-total // 1000)]
