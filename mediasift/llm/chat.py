@@ -35,6 +35,7 @@ class MarkedTemplate:
     """``### role: text </turn>`` lines. A backslash guards backslashes and control strings in texts, so
     reading back is exact."""
 
+    local = True  # what a turn adds depends on nothing but the turn
     _GUARD = re.compile(r"\\|###|</turn>")
     _READ = re.compile(r"\\(\\|###|</turn>)")
     opening, closing = "### ", " </turn>\n"
@@ -106,6 +107,13 @@ def adds_the_same_text(render: Callable) -> bool:
     return True
 
 
+def is_local(template) -> bool:
+    """Whether the class (or object) that defines ``render`` declares itself ``local``, and the probes agree.
+    Probes alone can't tell: what they don't hold, a long history say, may change the output."""
+    owner = next(o for o in (template, *type(template).__mro__) if "render" in getattr(o, "__dict__", ()))
+    return bool(vars(owner).get("local")) and adds_the_same_text(template.render)
+
+
 def _windows(template, turns: Iterator[Turn], run: int | None, first: bool) -> Iterator[tuple[str, list]]:
     """(text added, [(role, text, start and end of the text in it, rewritten)]) for each window of turns."""
     start: list[Turn] = [] if first else [("user", "")]
@@ -172,12 +180,11 @@ def format_conversations(df: DataFrame, template=None, conv: str = "conv_id", tu
 
     Turns go by number, null numbers first, ties by role and text; null role and text are empty; a null
     conversation id is a conversation of its own; repeated rows are repeated turns. Other columns are
-    ignored. One shuffle by (conversation, block); tasks hold ``run`` turns. A template whose turns depend
-    on more than their own content gets whole conversations (held by one task each) and says in
-    ``rewritten`` if it changed earlier output.
+    ignored. One shuffle by (conversation, block); tasks hold ``run`` turns. A template that isn't declared ``local``
+    gets whole conversations (held by one task each) and says in ``rewritten`` if it changed earlier output.
     """
     template = template or MarkedTemplate()
-    local = adds_the_same_text(template.render)
+    local = is_local(template)
     rows = _prepare(df, conv, turn, role, text)
     if not local:
         rows = rows.withColumn("block", F.lit(0).cast("long"))
@@ -239,7 +246,7 @@ def conversation_digests(df: DataFrame, template=None, loss_roles=("assistant",)
     are formatted in blocks by several tasks first; only their digest, which is sequential, is one stream.
     """
     template = template or MarkedTemplate()
-    local = adds_the_same_text(template.render)
+    local = is_local(template)
     counts = df.groupBy(col(conv).cast("string").alias("conv")).count()
     total = df.count()
     hot = [r.conv for r in counts.filter(F.col("count") > max(HOT_ROWS, total // 1000)).select("conv").collect()]

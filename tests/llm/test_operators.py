@@ -515,3 +515,19 @@ def test_lm_blocks_and_shards_follow_bytes(spark, monkeypatch):
     want = sorted(map(str, lm.score_texts(df).select(*columns).collect()))
     small = sorted(map(str, lm.score_texts(df, block_rows=64, block_bytes=2000, shard_bytes=1000).select(*columns).collect()))
     assert small == want and seen == [8, -(-total // 1000)]
+
+
+def test_chat_undeclared_templates_get_real_prefixes(spark):
+    class LateTemplate(chat.MarkedTemplate):
+        """Shortens turns behind the 36th: no probe has a history of that length."""
+
+        def render(self, turns):
+            plain = chat.MarkedTemplate()
+            return plain.render([(r, t if k < 36 else t[:3]) for k, (r, t) in enumerate(turns)])
+
+    turns = [("user" if k % 2 else "assistant", f"turn {k}") for k in range(50)]
+    df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for template in (LateTemplate(), chat.MarkedTemplate()):
+        got = chat.format_conversations(df, template).orderBy("block", "part").collect()
+        assert "".join(r.formatted for r in got) == template.render(turns)
+    assert chat.is_local(chat.MarkedTemplate()) and not chat.is_local(LateTemplate())
