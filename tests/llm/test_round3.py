@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from mediasift.llm import byte_pieces, hard_negatives
+from mediasift.llm import align, byte_pieces, hard_negatives
 
 LONG = "lorem ipsum dolor " * 9000 + "x" * 150_000
 TEXTS = [None, "", " \t\n", "A b C", "a b c", "été über ñu 日本語 ½ ² \U0001f600", "one\ntwo\n\none\n", LONG, LONG,
@@ -152,3 +152,83 @@ def test_too_large_components(spark):
     df = spark.createDataFrame([(0, [1e300], 1)], "vec_id long, embedding array<double>, label int")
     with pytest.raises(Exception, match="too large"):
         hard_negatives.mine(df).count()
+
+
+# --- alignment of two tokenizers ---
+
+ends = st.lists(st.integers(1, 4), max_size=120)
+
+
+@given(ends, ends, st.integers(1, 40))
+@settings(max_examples=300, deadline=None)
+def test_merge_path_equals_plain_merge(x, y, work):
+    total = max(sum(x), sum(y))
+    a, b = (np.cumsum([*v, total - sum(v)] if sum(v) < total else v) if total else np.empty(0, np.int64) for v in (x, y))
+    i, j = align.diagonal_cuts(a, b, work)
+    assert (i[0], j[0], i[-1], j[-1]) == (0, 0, len(a), len(b))
+    assert (np.diff(i) + np.diff(j) <= work + 1).all()
+    starts_a, starts_b = np.concatenate(([0], a))[:-1], np.concatenate(([0], b))[:-1]
+    want = [(k, m, a[k] == b[m]) for k in range(len(a)) for m in range(len(b)) if max(starts_a[k], starts_b[m]) < min(a[k], b[m])]
+    assert list(zip(*(v.tolist() for v in align.merge(a, b, work)))) == want
+
+
+def brute_alignment(rows):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    lib_a = Tokenizer.from_file(align.path_a_default())
+    lib_a.encode_special_tokens = True
+    lib_b = sentencepiece.SentencePieceProcessor(model_file=align.path_b_default())
+    letter = align._byte_letters()
+    out, links, counts = [], [], Counter()
+    for key, text in rows:
+        a = lib_a.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = lib_b.encode(text) if text else []
+        raw_a = [bytes(letter[c] for c in lib_a.id_to_token(i)) for i in a]
+        pieces = [lib_b.id_to_piece(i) for i in b]
+        raw_b = [bytes([int(p[3:5], 16)]) if lib_b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(b, pieces)]
+        want = (" " + (text or "")).encode()
+        if not text or b"".join(raw_a) != want or b"".join(raw_b) != want:
+            a = b = raw_a = raw_b = []
+        ends_a, ends_b = (np.cumsum([len(r) for r in raw]).astype(int).tolist() for raw in (raw_a, raw_b))
+        both = sorted(set(ends_a) & set(ends_b))
+        groups, i, j, mine = [], 0, 0, []
+        for end in both:
+            p, q = ends_a.index(end) + 1, ends_b.index(end) + 1
+            groups.append(",".join(map(str, a[i:p])) + "|" + ",".join(map(str, b[j:q])))
+            mine.append((a[p - 1], b[q - 1]))
+            i, j = p, q
+        counts.update(mine)
+        links.append(mine)
+        out.append([key, len(a), len(b), len(groups), len(mine), hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""])
+    best = {}
+    for (_, y), n in counts.items():
+        best[y] = max(n, best.get(y, 0))
+    return sorted((*o[:5], sum(counts[m] == best[m[1]] for m in mine), sum(counts[m] for m in mine), o[5])
+                  for o, mine in zip(out, links))
+
+
+def test_alignment_equals_brute_force(spark):
+    rng = random.Random(4)
+    texts = [t for t in TEXTS if t is not LONG] + ["".join(rng.choice("ab c日é\n<s>12") for _ in range(rng.randint(0, 300))) for _ in range(60)]
+    texts += [None, "the same", "the same", "the same again", "x" * 5000]
+    rows = [(i if i != 5 else -5, t, "z") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, A_IDS string").withColumn("block", F.lit(1)).withColumn("pair", F.lit(1))
+    want = brute_alignment([(i, t) for i, t, _ in rows])
+    names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    for parts, work, block in ((3, 64, 100), (1, align.PIECE_WORK, align.BLOCK_LINKS)):
+        done = align.link_counts(align.align(df.repartition(parts), work=work), block_links=block)
+        assert tuple(done.columns) == names
+        assert sorted(tuple(r[n] for n in names) for r in done.collect()) == want
+    assert align.link_counts(align.align(df.limit(0))).count() == 0
+    nulls = spark.createDataFrame([(None, None), (None, ""), (None, "a b"), (7, "a b")], "doc_id long, text string")
+    got = align.link_counts(align.align(nulls)).collect()
+    assert sorted((r.n_links, r.count_sum) for r in got) == [(0, 0), (0, 0), (2, 4), (2, 4)]
+
+
+def test_alignment_of_a_long_text(spark):
+    df = spark.createDataFrame([(1, LONG), (2, "lorem")], "doc_id long, text string")
+    row = align.align(df).filter("doc_id = 1").head()
+    a, b, ca, cb = (np.frombuffer(row[c], "<u4") for c in ("a_ids", "b_ids", "a_cuts", "b_cuts"))
+    assert ca[-1] == len(a) and cb[-1] == len(b) and row.n_overlaps == len(a) + len(b) - len(ca)
+    assert align.link_counts(align.align(df)).filter("doc_id = 1").head().n_links == len(ca)
