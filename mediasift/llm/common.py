@@ -24,6 +24,17 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[col(c) for c in df.columns if c.lower() not in taken])
 
 
+def keep_rows(df: DataFrame, cols: list[str], keep: Callable[..., DataFrame]) -> DataFrame:
+    """Rows of ``df`` that ``keep`` leaves, with all columns as they were.
+
+    ``keep`` gets the rows under plain names (``_0``, ``_1``, ...) and the plain names of ``cols``; it may add
+    columns of any other name. So no column of the input can clash with a result or an inner column.
+    """
+    plain = [f"_{i}" for i in range(len(df.columns))]
+    done = keep(df.toDF(*plain), *(plain[df.columns.index(c)] for c in cols))
+    return done.select(*plain).toDF(*df.columns)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text_col: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of the batches with about ``limit`` bytes of text each."""
     for batch in batches:

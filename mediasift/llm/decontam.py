@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediasift.llm.common import col, map_text
+from mediasift.llm.common import col, keep_rows, map_text
 from mediasift.sources.tables import table
 
 WINDOW = 10
@@ -108,6 +108,11 @@ def find_contamination(df: DataFrame, items: DataFrame, text_col: str = "text",
                                   "spans array<struct<start:int,end:int>>", make)
 
 
+def drop_contaminated(df: DataFrame, items: DataFrame, text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``df`` without any hit, with all columns as they were, whatever their names."""
+    return keep_rows(df, [text_col], lambda rows, text: find_contamination(rows, items, text, **how).filter("n_hit = 0"))
+
+
 def op6_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mediasift.llm.common import col, lower_words, map_text, without
+from mediasift.llm.common import col, keep_rows, lower_words, map_text
 from mediasift.llm.components import connected_components
 from mediasift.session import materialize
 from mediasift.sources.tables import table
@@ -227,15 +227,18 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
              max_bits: int = MAX_BITS, seed: int = SEED, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """The rows of ``df`` that stay: of each component the one with the smallest id (rows without an id
-    come last, repeated rows count once). All columns are kept."""
-    _, labels = _label(df, id_col, text_col, size, max_bits, seed, max_bucket)
-    first = labels.groupBy("root").agg(F.min_by("fp", F.struct(F.col("first_id").isNull(), "first_id", "fp")).alias("_fp"))
-    stay = labels.join(first, (labels["root"] == first["root"]) & (labels["fp"] == first["_fp"])).select(
-        F.col("fp").alias("_stays"), F.col("first_id").alias("_first"))
-    rows = with_fingerprint(without(df, ["_fp", "_stays", "_first", "_n"]), text_col, size, seed, "_fp")
-    held = rows.join(stay, F.col("_fp") == F.col("_stays")).filter(col(id_col).eqNullSafe(F.col("_first")))
-    order = Window.partitionBy("_fp").orderBy(F.xxhash64(*[col(c) for c in df.columns]))
-    return held.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select(*[col(c) for c in df.columns])
+    come last, repeated rows count once). All columns stay as they were, whatever their names."""
+    def keep(rows, key, text):
+        _, labels = _label(rows, key, text, size, max_bits, seed, max_bucket)
+        first = labels.groupBy("root").agg(F.min_by("fp", F.struct(F.col("first_id").isNull(), "first_id", "fp")).alias("b"))
+        stay = labels.join(first, (labels["root"] == first["root"]) & (labels["fp"] == first["b"])).select(
+            F.col("fp").alias("stays"), F.col("first_id").alias("first"))
+        held = with_fingerprint(rows, text, size, seed, "fp").join(stay, F.col("fp") == F.col("stays")).filter(
+            F.col(key).eqNullSafe(F.col("first")))
+        order = Window.partitionBy("fp").orderBy(F.xxhash64(*rows.columns))
+        return held.withColumn("n", F.row_number().over(order)).filter("n = 1")
+
+    return keep_rows(df, [id_col, text_col], keep)
 
 
 def op8_simhash(spark, sf_dir):

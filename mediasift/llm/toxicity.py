@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediasift.llm.common import col, fold, map_text
+from mediasift.llm.common import col, fold, keep_rows, map_text
 from mediasift.sources.tables import table
 
 WINDOW, STRIDE = 32, 24
@@ -340,6 +340,11 @@ def score_toxicity(df: DataFrame, net: Net | None, text_col: str = "text", score
     return map_text(df, text_col, f"`{score_col}` double", make)
 
 
+def drop_toxic(df: DataFrame, net: Net | None, text_col: str = "text", limit: float = 0.5) -> DataFrame:
+    """The rows of ``df`` that score under ``limit``, with all columns as they were, whatever their names."""
+    return keep_rows(df, [text_col], lambda rows, text: score_toxicity(rows, net, text).filter(F.col("score") < limit))
+
+
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     net = train(training_rows(docs, table(spark, sf_dir, "labels")))
