@@ -2,7 +2,13 @@
 
 ``STAGES`` are (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next one's ``docs``. All but the last return the columns of
-``documents``. Null texts: toxicity keeps them (score 0), the quality rules reject them.
+``documents``.
+
+Nulls in any column: a null or empty text scores 0 in toxicity (kept) and fails the quality rules; a null
+language is one of its own; of documents without an id one may stay in each group of near copies. Very long
+texts are handled whole. Ties and repeated rows: of a group of copies one row stays, that with the smallest
+id. Empty tables give empty results. Columns beside those of ``documents`` pass through the first four stages
+unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,40 +23,29 @@ from mediasift.session import checkpoint_dir
 from mediasift.sources.tables import table
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Texts are long: a thousand rows to an Arrow batch bound the memory of a task and its worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose worst window scores under 0.5."""
-    _small_batches(spark)
     net = toxicity.train(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
-    return toxicity.score_toxicity(docs, net, score_col="_toxic").filter(F.col("_toxic") < 0.5).drop("_toxic")
+    return toxicity.drop_toxic(docs, net)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie in their language's perplexity band."""
-    _small_batches(spark)
+    """Documents that pass the base rules and lie in their language's perplexity bands."""
     return quality.keep_good(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked fingerprints the document with the smallest id."""
-    _small_batches(spark)
     return simhash.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    _small_batches(spark)
-    found = decontam.find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter("n_hit = 0").select(*docs.columns)
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, with their digest and that of the decoded text."""
-    _small_batches(spark)
     done = bpe.decode(bpe.encode(docs))
     return done.select(
         "doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
