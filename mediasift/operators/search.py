@@ -22,6 +22,7 @@ from mediasift.session import materialize
 QUERY_BLOCK = 10_000
 BM25_BLOCK = 500       # text queries (with their terms) in one pass
 SCORE_ROWS = 512       # documents scored at once in a task
+TILE = 512             # items and queries of one matrix product
 
 
 def topk(df: DataFrame, group_cols: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
@@ -165,11 +166,10 @@ def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
                 vec_col: str = "embedding", filter_col: str | None = None) -> DataFrame:
     """Exact cosine top-k of every query over all items (ties: smaller id).
 
-    Items are scored in Arrow batches with one matrix product per batch
-    (numpy inside ``mapInPandas``); each batch forwards only its own top
-    candidates per query (the k best plus any within rounding distance of the
-    k-th), so the shuffle carries O(k) rows per batch and query, not one row per
-    item and query. The final rank is a ``row_number() <= k`` window on the
+    Items are scored in tiles of ``TILE`` rows and queries (numpy inside
+    ``mapInPandas``) beside a running top list per query; a task forwards only that
+    (the k best plus any within rounding distance of the k-th), so the shuffle
+    carries O(k) rows per task and query, not one row per item and query. The final rank is a ``row_number() <= k`` window on the
     rounded similarity. With ``filter_col`` an item is only ranked for queries
     with the same value in that column (hybrid search, filter before rank).
     A query set of any size is taken in blocks of about ``QUERY_BLOCK``; with
@@ -186,6 +186,28 @@ def vector_topk(items: DataFrame, queries: DataFrame, k: int = 5, id_col: str =
     return _topk_of_block(items, queries, k, id_col, vec_col, filter_col)
 
 
+class RunningTop:
+    """Running best ``k`` (score descending on 6 digits, then id) per query; what ties in 6 digits stays."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.ids, self.scores = k, [np.empty(0, np.int64)] * n, [np.empty(0)] * n
+
+    def add(self, j: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate((self.ids[j], ids)), np.concatenate((self.scores[j], scores))
+        if len(scores) > self.k:
+            keep = scores >= np.partition(scores, len(scores) - self.k)[len(scores) - self.k] - 2e-6
+            if keep.sum() > 4 * self.k:  # many ties: rank them as the result does
+                at = np.flatnonzero(keep)
+                keep = at[np.lexsort((ids[at], -np.round(scores[at], 6)))[:2 * self.k]]
+            ids, scores = ids[keep], scores[keep]
+        self.ids[j], self.scores[j] = ids, scores
+
+    def frame(self, qids: np.ndarray) -> pd.DataFrame:
+        sizes = [len(x) for x in self.ids]
+        return pd.DataFrame({"q": np.repeat(qids, sizes), "id": np.concatenate([np.empty(0, np.int64), *self.ids]),
+                             "sim": np.concatenate([np.empty(0), *self.scores])})
+
+
 def _topk_of_block(items: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str,
                    filter_col: str | None) -> DataFrame:
     qids, qmat, qtags = _block_of_queries(queries, id_col, vec_col, filter_col)
@@ -193,31 +215,20 @@ def _topk_of_block(items: DataFrame, queries: DataFrame, k: int, id_col: str, ve
     cols = [id_col, vec_col] + ([filter_col] if filter_col else [])
 
     def run(batches):
+        top = RunningTop(len(qids), k)
+        tags = np.array(qtags, dtype=object) if filter_col else None
         for pdf in batches:
-            if not len(pdf) or not len(qids):
-                continue
-            x = _unit(np.stack(pdf[vec_col].to_numpy()).astype(np.float64))
-            sims = x @ qunit.T
-            ids = pdf[id_col].to_numpy()
-            if filter_col:
-                sims = np.where(pdf[filter_col].to_numpy()[:, None] == np.array(qtags, dtype=object)[None, :],
-                                sims, -np.inf)
-            out_q, out_id, out_s = [], [], []
-            for j in range(len(qids)):
-                col = sims[:, j]
-                ok = np.isfinite(col)
-                if not ok.any():
-                    continue
-                cand = np.nonzero(ok)[0]
-                if len(cand) > k:
-                    kth = np.partition(col[cand], len(cand) - k)[len(cand) - k]
-                    cand = cand[col[cand] >= kth - 1e-6]
-                out_q.append(np.full(len(cand), qids[j]))
-                out_id.append(ids[cand])
-                out_s.append(col[cand])
-            if out_q:
-                yield pd.DataFrame({"q": np.concatenate(out_q), "id": np.concatenate(out_id),
-                                    "sim": np.concatenate(out_s)})
+            for at in range(0, len(pdf), TILE):
+                part = pdf.iloc[at:at + TILE]
+                x = _unit(np.stack(part[vec_col].to_numpy()).astype(np.float64))
+                ids = part[id_col].to_numpy()
+                mine = part[filter_col].to_numpy() if filter_col else None
+                for lo in range(0, len(qids), TILE):
+                    sims = qunit[lo:lo + TILE] @ x.T
+                    for j in range(lo, min(lo + TILE, len(qids))):
+                        ok = np.isfinite(sims[j - lo]) if mine is None else np.isfinite(sims[j - lo]) & (mine == tags[j])
+                        top.add(j, ids[ok], sims[j - lo][ok])
+        yield top.frame(qids)
 
     scored = items.select(*cols).mapInPandas(run, "q long, id long, sim double")
     scored = scored.withColumn("sim", F.round("sim", 6))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediasift.operators import content, ops, search
+from mediasift.operators import content, ops, search, vector_index
 from mediasift.sources.tables import table
 
 # Fixed query parameters of the registered queries.
@@ -55,6 +55,23 @@ def hybrid_topk(spark: SparkSession, sf: str) -> DataFrame:
     return search.vector_topk(emb, q, VEC_K, filter_col="label")
 
 
+INDEX_CELLS, INDEX_CODES, INDEX_RECALL = 32, 16, 0.95
+
+
+def vector_index_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """D24 over the written index, exact mode: equal to the full scan."""
+    emb, q = _vectors(spark, sf)
+    return vector_index.search_index(vector_index.build_index(emb, INDEX_CELLS, INDEX_CODES), q, VEC_K, exact=True)
+
+
+def vector_index_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """D24, approximate mode: recall of the calibrated index against the full scan, over all queries."""
+    emb, q = _vectors(spark, sf)
+    index = vector_index.calibrate(vector_index.build_index(emb, INDEX_CELLS, INDEX_CODES), q, VEC_K, INDEX_RECALL)
+    done = vector_index.recall(vector_index.search_index(index, q, VEC_K), search.vector_topk(emb, q, VEC_K))
+    return done.select("queries", "neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
     return ops.stage_counts(table(spark, sf, "events"))
 
@@ -94,6 +111,8 @@ QUERIES = {
     "bm25_topk": bm25_topk,
     "vector_topk": vector_topk,
     "hybrid_topk": hybrid_topk,
+    "vector_index_topk": vector_index_topk,
+    "vector_index_recall": vector_index_recall,
     "stage_counts": stage_counts,
     "resume_pending": resume_pending,
     "stale_labels": stale_labels,
@@ -185,6 +204,9 @@ FROM (SELECT q, d, round(score, 6) AS score,
 WHERE rank <= {BM25_K}""",
     "vector_topk": _vec_sql(""),
     "hybrid_topk": _vec_sql("AND e.label = q.ql"),
+    "vector_index_topk": _vec_sql(""),
+    "vector_index_recall": f"""SELECT count(*) AS queries, CAST(sum(least(n, {VEC_K})) AS BIGINT) AS neighbours, true AS recall_reached
+FROM (SELECT q.vec_id, count(*) AS n FROM embeddings q, embeddings e WHERE q.vec_id % {VEC_QUERY_EVERY} = 0 GROUP BY q.vec_id)""",
     "stage_counts": """SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS workers,
        round(avg(value), 6) AS mean_latency,
        round(count(*) / sum(count(*)) OVER (), 6) AS share,
