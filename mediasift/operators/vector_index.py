@@ -103,12 +103,14 @@ def fit(vectors: np.ndarray, cells: int, parts: int) -> Model:
 
 @dataclass(frozen=True)
 class VectorIndex:
-    """A written index (``path``) with its model. ``probes`` cells are searched by default."""
+    """A written index (``path``) with its model. By default a query searches ``probes`` cells and scores
+    ``rerank`` * k rows exactly."""
 
     spark: SparkSession
     path: str
     model: Model
     probes: int
+    rerank: int = 4
 
     def rows(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
@@ -265,7 +267,7 @@ def _ranked(scored: DataFrame, k: int, id_col: str) -> DataFrame:
 
 
 def search_index(index: VectorIndex, queries: DataFrame, k: int = 5, exact: bool = False, probes: int | None = None,
-                 rerank: int = 4, id_col: str = "vec_id", vec_col: str = "embedding",
+                 rerank: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding",
                  filter_col: str | None = None) -> DataFrame:
     """(q, rank, id, sim): the ``k`` best rows by cosine for each query, ties to the smaller id.
 
@@ -275,7 +277,7 @@ def search_index(index: VectorIndex, queries: DataFrame, k: int = 5, exact: bool
     """
     out = None
     for block in _blocks(queries, id_col, vec_col, filter_col):
-        close = _rescore(index, _approximate(index, block, k, probes or index.probes, rerank, bool(filter_col)), block)
+        close = _rescore(index, _approximate(index, block, k, probes or index.probes, rerank or index.rerank, bool(filter_col)), block)
         close = materialize(_ranked(close, k, "id"), "ann")
         if exact:
             floor = np.full(len(block[0]), -2.0)
@@ -289,10 +291,17 @@ def search_index(index: VectorIndex, queries: DataFrame, k: int = 5, exact: bool
     return out.withColumnRenamed("id", id_col)
 
 
+RERANK = (4, 8, 16, 32, 64, 128)
+
+
 def calibrate(index: VectorIndex, queries: DataFrame, k: int = 5, target: float = 0.95, id_col: str = "vec_id",
               vec_col: str = "embedding", most: int = 200) -> VectorIndex:
-    """The index with the number of probes that covers ``target`` of the true neighbours' cells, measured with
-    exact answers for at most ``most`` of the queries (by the least hash of the id)."""
+    """The index with probes and re-rank set for a recall of ``target``, measured against exact answers for at
+    most ``most`` of the queries (by the least hash of the id).
+
+    The probes cover the cells of all but half of the allowed misses; the re-rank is the first of ``RERANK``
+    whose measured recall reaches the target (else the last).
+    """
     some = materialize(queries.orderBy(F.xxhash64(id_col), id_col).limit(most).select(id_col, vec_col), "calibrate")
     truth = search_index(index, some, k, exact=True, id_col=id_col, vec_col=vec_col)
     held = truth.select("q", F.col(id_col).alias("id")).join(index.rows().select("id", "cell"), "id").select("q", "cell").collect()
@@ -303,8 +312,12 @@ def calibrate(index: VectorIndex, queries: DataFrame, k: int = 5, target: float
         ranks.append(int(np.flatnonzero(order == r["cell"])[0]) + 1)
     if not ranks:
         return index
-    probes = int(np.quantile(ranks, target, method="higher"))
-    return VectorIndex(index.spark, index.path, index.model, probes)
+    probes = int(np.quantile(ranks, (1 + target) / 2, method="higher"))
+    for rerank in RERANK:
+        tuned = VectorIndex(index.spark, index.path, index.model, probes, rerank)
+        if recall(search_index(tuned, some, k, id_col=id_col, vec_col=vec_col), truth, id_col).first()["recall"] >= target:
+            break
+    return tuned
 
 
 def recall(found: DataFrame, truth: DataFrame, id_col: str = "vec_id") -> DataFrame:
