@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mediasift.operators.metric_join import ExactEmbeddingSpec
 from mediasift.operators.simjoin import Spec, candidate_pairs, shared_keys, verify_pairs, with_holders
 from mediasift.session import materialize
 
@@ -213,8 +214,11 @@ def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> D
 
 def matching_pairs(items: DataFrame, spec: Spec) -> DataFrame:
     """(a < b, score) of all matching written ``items`` (id, sig, nf)."""
-    keys = shared_keys(items, spec)
-    cands = candidate_pairs(keys.where("is_index"), keys.where("is_probe")).where(F.col("a") < F.col("b"))
+    if isinstance(spec, ExactEmbeddingSpec):
+        cands = spec.candidates(items)
+    else:
+        keys = shared_keys(items, spec)
+        cands = candidate_pairs(keys.where("is_index"), keys.where("is_probe")).where(F.col("a") < F.col("b"))
     return verify_pairs(cands, items.select("id", "sig"), spec).select("a", "b", "score")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mediasift.operators.leaders import (connected_groups, greedy_leaders, lookup_index,
                                         fused_matches, similarity_pairs)
+from mediasift.operators.metric_join import ExactEmbeddingSpec
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
 from mediasift.session import materialize
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
@@ -16,6 +17,7 @@ PHASH = PhashSpec(threshold=5.0, radius=2)
 EMBED = EmbeddingSpec(threshold=0.95, bands=64, bits_per_band=20)
 # A cheaper, more selective configuration for very large corpora: fewer, wider
 # bands; its expected recall at the threshold is reported with the result.
+EMBED_EXACT = ExactEmbeddingSpec(threshold=0.95)
 EMBED_LSH = EmbeddingSpec(threshold=0.95, bands=24, bits_per_band=16)
 
 
@@ -38,6 +40,12 @@ def embedding_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(similarity_pairs(sigs, EMBED))
 
 
+def embedding_exact_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2, exact: pivot cells with replication inside the threshold's distance; no hashing."""
+    sigs = embedding_signatures(clone_frames(spark, sf_dir))
+    return _round(similarity_pairs(sigs, EMBED_EXACT))
+
+
 def embedding_lsh_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 at scale: a subset of ``embedding_pairs`` with the configuration's
     expected recall at the threshold (rows-only check; tests compare it with
@@ -105,6 +113,7 @@ QUERIES = {
     "phash_pairs": phash_pairs,
     "phash_leaders": phash_leaders,
     "embedding_pairs": embedding_pairs,
+    "embedding_exact_pairs": embedding_exact_pairs,
     "embedding_lsh_pairs": embedding_lsh_pairs,
     "embedding_leaders": embedding_leaders,
     "phash_index_lookup": phash_index_lookup,
@@ -241,6 +250,9 @@ SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
     "phash_leaders": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))"),
     "embedding_pairs": f"""WITH {EMBED_PAIRS_CTE}{_REPS.replace("list(bits", "list(vec")}
 SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
+""" + _LISTED,
+    "embedding_exact_pairs": f"""WITH {EMBED_PAIRS_CTE}{_REPS.replace("list(bits", "list(vec")}
+SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
 """ + _LISTED,
     "embedding_leaders": _greedy_sql(EMBED_PAIRS_CTE, "arg_min(p.id_a, (-p.score, p.id_a))"),
     "phash_index_lookup": f"""WITH {PHASH_PAIRS_CTE.replace('a.video_id < b.video_id', 'a.video_id <> b.video_id')},

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mediasift.operators import search, vector_index
+from mediasift.operators import metric_join, search, vector_index
+from mediasift.operators.leaders import similarity_pairs
 
 
 def _vectors(spark, n=600, dims=24, seed=3, spread=0.5):
@@ -54,3 +55,60 @@ def test_index_of_awkward_rows(spark):
     assert sorted((r.q, r["rank"], r.vec_id) for r in got if r.q == 3) == [(3, 1, 3), (3, 2, 1)]
     with pytest.raises(ValueError, match="nothing"):
         vector_index.build_index(items.limit(0))
+
+
+# --- exact metric join ---
+
+def _clouds(rng, n, dims, clusters, spread):
+    centre = rng.normal(size=(clusters, dims))
+    x = centre[rng.integers(0, clusters, n)] + spread * rng.normal(size=(n, dims))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("clusters,spread,t", [(1, 1.0, 0.95), (30, 0.12, 0.95), (30, 0.05, 0.99), (200, 0.2, 0.8), (3, 0.01, 0.95)])
+def test_every_match_meets_in_one_cell(clusters, spread, t):
+    x = _clouds(np.random.default_rng(clusters), 500, 16, clusters, spread)
+    x[7] *= 0.98  # a vector with a zero frame is shorter
+    e = float(np.sqrt(2 - 2 * t))
+    for pivots in (metric_join.fit_pivots(x, e), metric_join.choose_pivots(x, 64)):
+        home, dist, near = metric_join.visits(x, pivots, e)
+        wide = np.array([dist[home == c, c].max(initial=-1) for c in range(len(pivots))])
+        member = near & (dist <= wide[None, :] + e + 1e-7)
+        member[np.arange(len(x)), home] = True
+        a, b = np.nonzero(np.triu(x @ x.T >= t, 1))
+        at_home = np.zeros_like(member)
+        at_home[np.arange(len(x)), home] = True
+        meet = (member[a] & member[b] & (at_home[a] | at_home[b])).sum(axis=1)
+        assert (meet == 1).all()
+
+
+@pytest.mark.parametrize("block", [metric_join.BLOCK, 16])
+def test_exact_join_equals_all_pairs(spark, block, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = _clouds(rng, 240, 12, 25, 0.12)
+    x = np.concatenate((x, x[:20], x[3] + 0.01 * rng.normal(size=(90, 12))))  # copies, and a third in one cluster
+    rows = [(i, [[float(v) for v in f] for f in y.reshape(3, 4)]) for i, y in enumerate(x)]
+    rows += [(1000, [[0.0] * 4, [1.0, 0.0, 0.0, 0.0], [0.0] * 4]), (1001, []), (1002, None), (1003, [[1.0, 0.0, 0.0, 0.0]]), (1004, [[2.0, 0.0, 0.0, 0.0]]),
+             (1005, [[0.0] * 4] * 3)]
+    df = spark.createDataFrame(rows, "video_id long, frames array<array<double>>")
+    spec = metric_join.ExactEmbeddingSpec(threshold=0.95)
+    if block < metric_join.BLOCK:
+        monkeypatch.setattr(metric_join.ExactEmbeddingSpec, "candidates",
+                            lambda self, items: metric_join.pivot_candidates(items, self.threshold, block))
+    got = {(r.id_a, r.id_b): r.score for r in similarity_pairs(df, spec).collect()}
+    unit = {}
+    for i, frames in rows:
+        if frames:
+            f = np.array(frames)
+            n = np.linalg.norm(f, axis=1, keepdims=True)
+            unit[i] = (np.divide(f, n, out=np.zeros_like(f), where=n > 0) / np.sqrt(len(f))).ravel()
+    first = {}
+    for i, frames in rows:
+        if frames and (np.abs(np.array(frames)).sum(axis=1) > 0).mean() >= 0.95:
+            first.setdefault(unit[i].tobytes(), []).append(i)
+    reps = [v[0] for v in first.values()]
+    want = {(a, b) for a in reps for b in reps if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.95}
+    want |= {(v[0], c) for v in first.values() for c in v[1:]}
+    assert set(got) == want and len(want) > 4000
+    assert all(abs(got[a, b] - unit[a] @ unit[b]) < 1e-9 for a, b in want)
+    assert similarity_pairs(df.limit(0), spec).count() == 0
