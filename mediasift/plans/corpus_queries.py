@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediasift.operators import content, ops, search, vector_index
+from mediasift.operators import content, ops, overlap, search, vector_index
 from mediasift.sources.tables import table
 
 # Fixed query parameters of the registered queries.
@@ -31,6 +31,11 @@ def overlap_spans(spark: SparkSession, sf: str) -> DataFrame:
     return content.overlap_spans(table(spark, sf, "documents"), table(spark, sf, "benchmark"), SHINGLE_WORDS)
 
 
+def document_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    """D3 among all documents: common passages of a document and an earlier one."""
+    return overlap.document_overlaps(table(spark, sf, "documents"))
+
+
 def boolean_search(spark: SparkSession, sf: str) -> DataFrame:
     return search.boolean_search(table(spark, sf, "documents"), BOOL_ALL, BOOL_ANY, BOOL_NONE)
 
@@ -109,6 +114,7 @@ QUERIES = {
     "url_dedup": url_dedup,
     "exact_dedup": exact_dedup,
     "overlap_spans": overlap_spans,
+    "document_overlaps": document_overlaps,
     "boolean_search": boolean_search,
     "bm25_topk": bm25_topk,
     "vector_topk": vector_topk,
@@ -157,6 +163,29 @@ FROM (SELECT q, vec_id, round(sim, 6) AS sim,
 WHERE rank <= {VEC_K}"""
 
 
+def _overlap_sql(k: int = overlap.SHINGLE, w: int = overlap.WINDOW, max_df: int = overlap.MAX_DF) -> str:
+    before = ("coalesce(list_min(list_filter(range(0, least(p.pos, p.q)), lambda j: x.w[p.pos - j] <> y.w[p.q - j])), "
+              "least(p.pos, p.q))")
+    left = f"least(len(x.w) - p.pos, len(y.w) - p.q) - {k}"
+    after = (f"coalesce(list_min(list_filter(range(0, {left}), lambda j: x.w[p.pos + {k + 1} + j] <> y.w[p.q + {k + 1} + j])), "
+             f"{left})")
+    return f"""WITH keep AS (SELECT min(doc_id) AS id, text FROM documents WHERE text IS NOT NULL GROUP BY text),
+d AS (SELECT id, {_WORDS.format(t='text')} AS w FROM keep WHERE id IS NOT NULL),
+sh AS (SELECT id, pos - 1 AS pos, n, CAST('0x' || substr(md5(array_to_string(list_slice(w, pos, pos + {k - 1}), ' ')), 1, 15) AS BIGINT) AS h
+       FROM (SELECT id, w, len(w) - {k - 1} AS n, unnest(range(1, len(w) - {k - 2})) AS pos FROM d WHERE len(w) >= {k})),
+sel AS (SELECT id, pos, n, arg_min(pos, (h, -pos)) OVER (PARTITION BY id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING) AS s FROM sh),
+seed AS (SELECT sh.id, sh.pos, sh.h, sh.pos = min(sh.pos) OVER (PARTITION BY sh.id, sh.h) AS first
+         FROM sh SEMI JOIN (SELECT id, s FROM sel WHERE pos <= greatest(n - {w}, 0)) c ON c.id = sh.id AND c.s = sh.pos),
+df AS (SELECT h, count(*) AS df, min(id) AS origin FROM seed WHERE first GROUP BY h HAVING count(*) > 1),
+p AS (SELECT a.id, b.id AS source, a.pos, b.pos AS q FROM seed a JOIN df ON df.h = a.h JOIN seed b ON b.h = a.h
+      WHERE b.first AND a.id > b.id AND (df.df <= {max_df} OR b.id = df.origin)),
+e AS (SELECT p.id, p.source, p.pos - p.q AS diag, p.pos - {before} AS lo, p.pos + {k} + {after} AS hi
+      FROM p JOIN d x ON x.id = p.id JOIN d y ON y.id = p.source)
+SELECT DISTINCT id AS doc_id, source AS source_id, CAST(lo AS INTEGER) AS start, CAST(lo - diag AS INTEGER) AS source_start,
+       CAST(hi - lo AS INTEGER) AS length
+FROM e WHERE hi - lo >= {k + w - 1}"""
+
+
 _BOOL_HAVING = " AND ".join(
     [f"bool_or(t = '{t}')" for t in BOOL_ALL]
     + ["(" + " OR ".join(f"bool_or(t = '{t}')" for t in BOOL_ANY) + ")"]
@@ -186,6 +215,7 @@ g AS (SELECT did, rid, diag, min(pos) AS start, count(*) AS n FROM i GROUP BY di
 SELECT did AS doc_id, rid AS item_id, CAST(start AS INTEGER) AS start, n + {SHINGLE_WORDS - 1} AS length,
        round(n / total, 6) AS containment
 FROM g JOIN tot ON tot.id = g.rid""",
+    "document_overlaps": _overlap_sql(),
     "boolean_search": f"""SELECT doc_id FROM (
   SELECT doc_id, unnest({_tok('text')}) AS t FROM documents) WHERE t IN ({_BOOL_TERMS})
 GROUP BY doc_id HAVING {_BOOL_HAVING}""",

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mediasift.operators import metric_join, search, vector_index
+from mediasift.operators import metric_join, overlap, search, vector_index
 from mediasift.operators.leaders import similarity_pairs
 
 
@@ -112,3 +112,64 @@ def test_exact_join_equals_all_pairs(spark, block, monkeypatch):
     assert set(got) == want and len(want) > 4000
     assert all(abs(got[a, b] - unit[a] @ unit[b]) < 1e-9 for a, b in want)
     assert similarity_pairs(df.limit(0), spec).count() == 0
+
+
+# --- overlaps between documents ---
+
+def test_winnow_leaves_no_window_without_a_seed():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 16, 17, 300):
+        h = rng.integers(0, 50, n)
+        chosen = overlap.winnow(h, 16)
+        for i in range(max(0, n - 15)):
+            inside = chosen[(chosen >= i) & (chosen < i + 16)]
+            assert h[inside].min() == h[i:i + 16].min()
+        assert n == 0 or len(chosen) > 0
+
+
+def _long_common(a, b, least):
+    """Maximal equal runs (start in a, start in b, length) of at least ``least`` words."""
+    out = []
+    for d in range(-len(b) + 1, len(a)):
+        i, run = max(d, 0), 0
+        while i < len(a) and i - d < len(b):
+            run = run + 1 if a[i] == b[i - d] else 0
+            i += 1
+            if run >= least and (i == len(a) or i - d == len(b) or a[i] != b[i - d]):
+                out.append((i - run, i - run - d, run))
+    return out
+
+
+@pytest.mark.parametrize("max_df", [20, 3])
+def test_document_overlaps(spark, max_df):
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 4000, n)]
+    passage, frequent, other = word(40), word(30), word(23)
+    texts = {i: word(60) for i in range(30)}
+    for i in (3, 9, 12):
+        texts[i] = texts[i][:17] + passage + texts[i][17:]
+    texts[5] = texts[5][:4] + other + texts[5][4:] + other
+    texts[6] = other + texts[6]
+    for i in range(10, 30):
+        texts[i] = texts[i] + frequent
+    texts[30] = list(texts[9])                    # an exact copy, and a group of near copies
+    for i in range(40, 70):
+        texts[i] = texts[9][:50] + [f"own{i}"] + texts[9][50:]
+    rows = [(i, "  " + " ".join(t), "x") for i, t in texts.items()]
+    rows += [rows[4], (None, " ".join(passage), "x"), (80, None, None), (81, "", "x"), (82, "few words", "x"), (83, " ".join(["a"] * 500), "x"),
+             (84, "b " + " ".join(["a"] * 400), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, H string").withColumn("source", F.lit(1))
+    got = {(r.doc_id, r.source_id, r.start, r.source_start, r.length)
+           for r in overlap.document_overlaps(df.repartition(4), max_df=max_df).collect()}
+    assert all(texts[a][s:s + n] == texts[b][q:q + n] and n >= 23 and b < a for a, b, s, q, n in got if a < 80)
+    pairs = {(a, b) for a, b, *_ in got}
+    rare = {(9, 3), (12, 3), (12, 9), (6, 5)}
+    assert rare - pairs == set() if max_df == 20 else {(9, 3), (12, 3), (6, 5)} <= pairs
+    assert 30 not in {a for a, *_ in got} | {b for _, b, *_ in got}
+    assert {a for a, b in pairs if b == 10} >= set(range(11, 30)) - {30}           # each linked with the first holder
+    assert len([p for p in pairs if p[0] >= 40 and p[0] < 70]) <= 30 * max_df      # near copies: no square of links
+    for a, b in rare & pairs:
+        want = set(_long_common(texts[a], texts[b], 23)) if (a, b) != (6, 5) else {(0, 4, 23)}  # a source's first place
+        assert {x[2:] for x in got if x[:2] == (a, b)} == want
+    assert {(s, q, n) for a, b, s, q, n in got if (a, b) == (84, 83)} and max(n for a, b, s, q, n in got if (a, b) == (84, 83)) == 400
+    assert overlap.document_overlaps(df.limit(0)).count() == 0
