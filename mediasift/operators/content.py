@@ -46,6 +46,9 @@ def shingle_hashes(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataF
             .withColumn("h", F.xxhash64("sh")))
 
 
+MAX_BROADCAST_HASHES = 1_000_000   # 8 bytes each
+
+
 def overlap_spans(docs: DataFrame, refs: DataFrame, k: int = 8,
                   doc_id: str = "doc_id", ref_id: str = "item_id", text_col: str = "text") -> DataFrame:
     """Copied passages of reference items inside documents.
@@ -59,9 +62,13 @@ def overlap_spans(docs: DataFrame, refs: DataFrame, k: int = 8,
     ``containment`` = matched shingles / shingles of the reference.
     """
     # Join on the hash; the word lists confirm each hit, so a hash collision
-    # can never create a match.
+    # can never create a match. Document shingles without a reference's hash end
+    # before the shuffle if the references' hashes are few enough to broadcast.
     ds = shingle_hashes(docs, doc_id, text_col, k)
     rs = shingle_hashes(refs, ref_id, text_col, k)
+    hashes = materialize(rs.select("h").distinct(), "hashes")
+    if hashes.count() <= MAX_BROADCAST_HASHES:
+        ds = ds.join(F.broadcast(hashes), "h", "left_semi")
     totals = rs.groupBy(F.col("id").alias("rid")).agg(F.count(F.lit(1)).alias("total"))
     ref = rs.select(F.col("id").alias("rid"), F.col("pos").alias("rpos"), "h", F.col("sh").alias("rsh"))
     m = (ds.select(F.col("id").alias("did"), F.col("pos").alias("dpos"), "h", F.col("sh").alias("dsh"))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediasift.operators.metric_join import ExactEmbeddingSpec
-from mediasift.operators.simjoin import Spec, candidate_pairs, shared_keys, verify_pairs, with_holders
+from mediasift.operators.simjoin import BLOCK, Spec, candidate_pairs, shared_keys, verify_pairs, with_holders
 from mediasift.session import materialize
 
 OUT_COLS = ["video_id", "primary_id", "score", "is_unique"]
@@ -278,6 +278,65 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
             .select("probe_id", F.col("m.a").alias("match_id"), F.col("m.score").cast("double").alias("score")))
 
 
+def _star_links(keys: DataFrame, items: DataFrame, spec: Spec) -> DataFrame:
+    """Verified links (a, b) of each key's first holder with its other holders: at most one per item and key."""
+    firsts = keys.where("is_index").groupBy("key").agg(F.min("id").alias("a"))
+    near = keys.where("is_probe").join(firsts, "key").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
+    return materialize(verify_pairs(near, items, spec).select("a", "b"), "stars")
+
+
+def _open_links(keys: DataFrame, labels: DataFrame, items: DataFrame, spec: Spec) -> DataFrame:
+    """Verified links between holders of one key that ``labels`` (id, group_id) keeps apart.
+
+    Of each key the label with the most holders is its main one. Every pair of holders with different labels
+    has one outside the main label, so only those holders probe; the pairs inside the main label, which a
+    group of near copies would make quadratic, are never formed. Large keys are dealt out in blocks.
+    """
+    held = keys.join(labels, "id")
+    per = held.groupBy("key", "group_id").agg(F.count(F.lit(1)).alias("c"))
+    several = materialize(per.groupBy("key").agg(F.max(F.struct("c", "group_id")).alias("m"), F.count(F.lit(1)).alias("labels"))
+                          .where("labels > 1").select("key", F.col("m.group_id").alias("main")), "open-keys")
+    held = materialize(held.join(several, "key"), "open-holders")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    every, own = F.explode(F.sequence(F.lit(0), blocks - 1)), F.pmod(F.xxhash64("id"), blocks).cast("int")
+    left = held.where("is_index").select(F.col("id").alias("x"), "key", F.col("group_id").alias("gx"), own.alias("i"), every.alias("j"))
+    right = held.where("is_probe AND group_id <> main").select(
+        F.col("id").alias("y"), "key", F.col("group_id").alias("gy"), every.alias("i"), own.alias("j"))
+    pairs = left.join(right, ["key", "i", "j"]).where("gx <> gy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return materialize(verify_pairs(pairs.distinct(), items, spec).select("a", "b"), "open-links")
+
+
+def similarity_groups(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
+    """(id, group_id, n): the component of each item over all matches, named by its smallest id, and its size.
+
+    The links are a forest in spirit: copies hang on their representative, each key gives the links of its
+    first holder, and only holders that are still apart are compared further. So a group of near copies gives
+    about one link per item and key, never its pairs. Items without a signature are groups of their own.
+    """
+    sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
+    items = materialize(prepare_items(sigs, spec, id_col), "items")
+    reps, copies = collapse_copies(items)
+    sig_of = materialize(reps.select("id", "sig", "nf"), "reps")
+    keys = shared_keys(sig_of, spec)
+    sig_of = sig_of.select("id", "sig")
+    labels = materialize(connected_groups(sig_of, _star_links(keys, sig_of, spec)), "labels")
+    more = _open_links(keys, labels, sig_of, spec)
+    if not more.isEmpty():  # the labels are the nodes of what is left
+        up = more.join(labels.select(F.col("id").alias("a"), F.col("group_id").alias("u")), "a").join(
+            labels.select(F.col("id").alias("b"), F.col("group_id").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
+        joined = connected_groups(labels.select(F.col("group_id").alias("id")).distinct(), up)
+        labels = materialize(labels.join(joined.select(F.col("id").alias("group_id"), F.col("group_id").alias("top")), "group_id")
+                             .select("id", F.col("top").alias("group_id")), "labels")
+    hung = copies.select("id", "rep_id").join(labels.select(F.col("id").alias("rep_id"), "group_id"), "rep_id").select("id", "group_id")
+    missing = sigs.where(F.col(spec.sig_col).isNull()).select(F.col(id_col).alias("id"))
+    alone = items.where("NOT coalesce(self_match, false)").select("id").unionByName(missing).distinct()
+    alone = alone.select("id", F.col("id").alias("group_id"))
+    # representatives are no smallest id of a group if the order is another column's
+    groups = labels.unionByName(hung).unionByName(alone)
+    sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+    return groups.join(sizes, "group_id").select("id", F.col("least").alias("group_id"), "n")
+
+
 def connected_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components by alternating large-star / small-star rounds.
 

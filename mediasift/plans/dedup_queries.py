@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediasift.operators.leaders import (connected_groups, greedy_leaders, lookup_index,
-                                        fused_matches, similarity_pairs)
+from mediasift.operators.leaders import (greedy_leaders, lookup_index,
+                                        fused_matches, similarity_groups, similarity_pairs)
 from mediasift.operators.metric_join import ExactEmbeddingSpec
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
 from mediasift.session import materialize
@@ -73,11 +73,8 @@ MISSING_EVERY, MISSING_AT = 7, 3
 
 def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
     """D5 (components mode): every video with its group (smallest id) and group size."""
-    sigs = phash_signatures(clone_frames(spark, sf))
-    edges = similarity_pairs(sigs, PHASH).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
-    groups = connected_groups(sigs.select(F.col("video_id").alias("id")), edges)
-    sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
-    return groups.join(sizes, "group_id").select(F.col("id").alias("video_id"), "group_id", "n")
+    groups = similarity_groups(phash_signatures(clone_frames(spark, sf)), PHASH)
+    return groups.select(F.col("id").alias("video_id"), "group_id", "n")
 
 
 def fused_pairs(spark: SparkSession, sf: str) -> DataFrame:

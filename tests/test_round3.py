@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from mediasift.operators import metric_join, overlap, search, vector_index
-from mediasift.operators.leaders import similarity_pairs
+from mediasift.operators import leaders
+from mediasift.operators.leaders import similarity_groups, similarity_pairs
+from mediasift.operators.simjoin import PhashSpec, shared_keys
 
 
 def _vectors(spark, n=600, dims=24, seed=3, spread=0.5):
@@ -173,3 +175,59 @@ def test_document_overlaps(spark, max_df):
         assert {x[2:] for x in got if x[:2] == (a, b)} == want
     assert {(s, q, n) for a, b, s, q, n in got if (a, b) == (84, 83)} and max(n for a, b, s, q, n in got if (a, b) == (84, 83)) == 400
     assert overlap.document_overlaps(df.limit(0)).count() == 0
+
+
+# --- groups without pairs ---
+
+def _hashes(rng, n, cluster):
+    """Random signatures of two frames; ``cluster`` of them within a few bits of one, and chains of close steps."""
+    sig = rng.integers(-2 ** 62, 2 ** 62, (n, 2))
+    for i in range(cluster):
+        sig[i] = sig[0]
+        for bit in rng.integers(0, 62, 3):
+            sig[i, i % 2] ^= 1 << int(bit)
+    for i in range(cluster + 1, cluster + 12):  # a chain: only neighbours match
+        sig[i] = sig[i - 1]
+        for bit in range((i - cluster) * 4, (i - cluster) * 4 + 4):
+            sig[i, 0] ^= 1 << bit
+    return sig
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2])
+def test_groups_equal_components_of_all_pairs(spark, radius):
+    rng = np.random.default_rng(radius)
+    sig = _hashes(rng, 160, 60)
+    rows = [(1000 - i, [int(x) for x in s]) for i, s in enumerate(sig)] + [(5, [int(x) for x in sig[100]]), (1, None), (2, [])]
+    df = spark.createDataFrame(rows, "video_id long, hashes array<long>")
+    spec = PhashSpec(threshold=2.0, radius=radius)
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, s in rows:
+        for b, t in rows:
+            if a < b and s and t and sum(bin((x ^ y) & (2 ** 64 - 1)).count("1") for x, y in zip(s, t)) <= 4:
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    got = {r.id: (r.group_id, r.n) for r in similarity_groups(df, spec).collect()}
+    size = {}
+    for i, _ in rows:
+        size[root(i)] = size.get(root(i), 0) + 1
+    assert got == {i: (root(i), size[root(i)]) for i, _ in rows} and max(size.values()) >= 60
+    assert similarity_groups(df.limit(0), spec).count() == 0
+
+
+def test_near_copies_give_linear_links(spark):
+    counts = []
+    for n in (90, 180):
+        sig = _hashes(np.random.default_rng(3), n, n // 3)
+        df = spark.createDataFrame([(i, [int(x) for x in s], 2) for i, s in enumerate(sig)], "id long, sig array<long>, nf int")
+        spec = PhashSpec(threshold=3.0, radius=0)
+        keys = shared_keys(df, spec)
+        stars = leaders._star_links(keys, df.select("id", "sig"), spec)
+        labels = leaders.connected_groups(df.select("id"), stars)
+        counts.append(stars.count() + leaders._open_links(keys, labels, df.select("id", "sig"), spec).count())
+    assert counts[1] < 3 * counts[0] and counts[1] < 180 * 8 < 60 * 59 / 2
