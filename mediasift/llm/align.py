@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from mediasift.llm.bpe import PATTERN, _byte_letters
 from mediasift.llm.bpe import default_path as path_a_default
-from mediasift.llm.common import col, map_text, without
+from mediasift.llm.common import chunks, col, map_text
 from mediasift.session import materialize
 from mediasift.sources.tables import table
 
@@ -37,7 +37,7 @@ IDS = np.dtype("<u4")
 #: Merged ends of one piece.
 PIECE_WORK = 65_536
 #: Links of one block (a text with more is a block of its own).
-BLOCK_LINKS = 1_000_000
+BLOCK_LINKS = 500_000
 
 
 def path_b_default() -> str:
@@ -141,9 +141,10 @@ ALIGNED = "a_ids binary, b_ids binary, a_cuts binary, b_cuts binary, n_overlaps
 
 
 def align_texts(texts: list, a: TokenizerA, b: TokenizerB, len_a: np.ndarray, len_b: np.ndarray,
-                work: int = PIECE_WORK) -> list[list]:
-    """The columns of ``ALIGNED`` for a batch of texts."""
-    out = [[b""] * len(texts) for _ in range(4)] + [[0] * len(texts)]
+                work: int = PIECE_WORK) -> list[tuple]:
+    """(A ids, B ids, A cuts, B cuts, number of overlaps) of each text of a batch, merged as one list."""
+    none = np.empty(0, np.int64)
+    out = [(none, none, none, none, 0)] * len(texts)
     there = [k for k, t in enumerate(texts) if t]
     given = [texts[k] for k in there]
     kept, ids_a, ids_b = [], [], []
@@ -156,25 +157,25 @@ def align_texts(texts: list, a: TokenizerA, b: TokenizerB, len_a: np.ndarray, le
             ids_b.append(y)
     if not kept:
         return out
-    all_a, all_b = np.concatenate(ids_a), np.concatenate(ids_b)
-    ends_a, ends_b = np.cumsum(len_a[all_a]), np.cumsum(len_b[all_b])
+    ends_a, ends_b = np.cumsum(len_a[np.concatenate(ids_a)]), np.cumsum(len_b[np.concatenate(ids_b)])
     over_a, over_b, both = merge(ends_a, ends_b, work)
     cuts_a, cuts_b = over_a[both] + 1, over_b[both] + 1
-    last_a = np.cumsum(list(map(len, ids_a)))
-    first_a, first_b = last_a - list(map(len, ids_a)), np.cumsum(list(map(len, ids_b))) - list(map(len, ids_b))
+    last_a, last_b = np.cumsum(list(map(len, ids_a))), np.cumsum(list(map(len, ids_b)))
     to_cut = np.searchsorted(cuts_a, last_a, side="right")
     to_over = np.searchsorted(over_a, last_a, side="left")
     c0 = o0 = 0
     for n, k in enumerate(kept):
         c1, o1 = to_cut[n], to_over[n]
-        out[0][k], out[1][k] = ids_a[n].astype(IDS).tobytes(), ids_b[n].astype(IDS).tobytes()
-        out[2][k] = (cuts_a[c0:c1] - first_a[n]).astype(IDS).tobytes()
-        out[3][k] = (cuts_b[c0:c1] - first_b[n]).astype(IDS).tobytes()
-        out[4][k] = int(o1 - o0)
+        out[k] = (ids_a[n], ids_b[n], cuts_a[c0:c1] - (last_a[n] - len(ids_a[n])), cuts_b[c0:c1] - (last_b[n] - len(ids_b[n])), int(o1 - o0))
         c0, o0 = c1, o1
     return out
 
 
+def _files(df: DataFrame, path_a: str | None, path_b: str | None):
+    with open(path_a or path_a_default(), encoding="utf-8") as f, open(path_b or path_b_default(), "rb") as g:
+        return df.sparkSession.sparkContext.broadcast((f.read(), g.read()))  # two vocabulary files
+
+
 def align(df: DataFrame, text_col: str = "text", path_a: str | None = None, path_b: str | None = None,
           work: int = PIECE_WORK) -> DataFrame:
     """Add ``a_ids``, ``b_ids`` (tokens of space + text), ``a_cuts``, ``b_cuts`` (for each group, how many A and
@@ -185,12 +186,16 @@ def align(df: DataFrame, text_col: str = "text", path_a: str | None = None, path
     names are replaced. Repeated rows each get their result; a text of any length is handled whole by one
     task. One map, no shuffle; an empty table gives an empty table.
     """
-    with open(path_a or path_a_default(), encoding="utf-8") as f, open(path_b or path_b_default(), "rb") as g:
-        files = df.sparkSession.sparkContext.broadcast((f.read(), g.read()))  # two vocabulary files
+    files = _files(df, path_a, path_b)
 
     def make():
         tokenizers = _tokenizers(*files.value)
-        return lambda texts: align_texts(texts, *tokenizers, work)
+
+        def run(texts):
+            done = align_texts(texts, *tokenizers, work)
+            return [*([x[c].astype(IDS).tobytes() for x in done] for c in range(4)), [x[4] for x in done]]
+
+        return run
 
     return map_text(df, text_col, ALIGNED, make)
 
@@ -216,14 +221,15 @@ def groups_text(a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.nda
     return b"".join(_numerals(most)[codes].tolist())[:-1]
 
 
-def _blocks(id_field: T.StructField, most: int, block_links: int):
-    """Rows of ``align`` -> one row per text, and one per distinct id pair of each block of texts."""
+def _blocks(id_field: T.StructField, files, most: int, work: int, block_links: int):
+    """Rows (id, text) -> one row per text, and one per distinct id pair of each block of texts."""
     schema = T.StructType([T.StructField("id", id_field.dataType), *T.StructType.fromDDL(
         "n_a long, n_b long, groups_sha256 string, codes binary, block long, code int, pair long, n long").fields])
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
+        tokenizers = _tokenizers(*files.value)
         target = to_arrow_schema(schema)
         task, seq = TaskContext.get().partitionId() << 32, 0
         rows: list[tuple] = []
@@ -248,33 +254,36 @@ def _blocks(id_field: T.StructField, most: int, block_links: int):
                      pa.array(np.arange(lo, lo + len(p), dtype=np.int32)), pa.array(p), pa.array(n[lo:lo + 65_536])], schema=target)
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for r, key in enumerate(ids):
-                a, b, ca, cb = (np.frombuffer(batch.column(c)[r].as_buffer(), IDS).astype(np.int64) for c in range(1, 5))
-                text = groups_text(a, b, ca, cb, most)
-                rows.append((key, len(a), len(b), hashlib.sha256(text).hexdigest() if text else ""))
-                links.append(a[ca - 1] << 32 | b[cb - 1])
-                held += len(ca) + 1
-                if held >= block_links:
-                    yield from flush()
-                    rows, links, held, seq = [], [], 0, seq + 1
+            for part in chunks(batch, "text"):
+                done = align_texts(part.column(1).to_pylist(), *tokenizers, work)
+                for key, (a, b, ca, cb, _) in zip(part.column(0).to_pylist(), done, strict=True):
+                    text = groups_text(a, b, ca, cb, most)
+                    rows.append((key, len(a), len(b), hashlib.sha256(text).hexdigest() if text else ""))
+                    links.append(a[ca - 1] << 32 | b[cb - 1])
+                    held += len(ca) + 1
+                    if held >= block_links:
+                        yield from flush()
+                        rows, links, held, seq = [], [], 0, seq + 1
         if rows:
             yield from flush()
 
     return run, schema
 
 
-def link_counts(aligned: DataFrame, id_col: str = "doc_id", block_links: int = BLOCK_LINKS) -> DataFrame:
-    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per row of ``align``'s result.
+def link_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_a: str | None = None,
+                path_b: str | None = None, work: int = PIECE_WORK, block_links: int = BLOCK_LINKS) -> DataFrame:
+    """(id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per row of ``df``, aligned as by ``align``.
 
     A link is a pair of an A and a B token that end at the same byte; the count of an id pair is the number
     of links that hold it in all rows (repeated rows count each time). ``n_best``: links whose pair has the
     highest count among the pairs of its B id, ties included; ``count_sum``: the sum of the links' counts.
-    Other columns are ignored. Rows without tokens have zeros and an empty ``groups_sha256``.
+    ``groups_sha256`` is the digest of ``groups_text``, empty for a row without tokens, whose numbers are 0. A
+    null id stays null. Other columns are ignored, whatever their names; an empty table gives no rows.
     """
     most = 1 << 17  # more than either vocabulary's size
-    run, schema = _blocks(aligned.schema[id_col], most, block_links)
-    stored = materialize(aligned.select(col(id_col), "a_ids", "b_ids", "a_cuts", "b_cuts").mapInArrow(run, schema), "align")
+    run, schema = _blocks(df.schema[id_col], _files(df, path_a, path_b), most, work, block_links)
+    texts = df.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    stored = materialize(texts.mapInArrow(run, schema), "align")
     texts = stored.filter("pair is null").select("id", "n_a", "n_b", "groups_sha256", "codes", "block")
     pairs = stored.filter("pair is not null").select(F.col("block").alias("of"), "code", "pair", "n")
     by_b = Window.partitionBy(F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)))  # a B id has one row for an A id
@@ -299,7 +308,7 @@ def link_counts(aligned: DataFrame, id_col: str = "doc_id", block_links: int = B
 
 def op11_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return link_counts(without(align(docs), ["text", "n_overlaps"]))
+    return link_counts(docs)
 
 
 QUERIES = {"op11_alignment": op11_alignment}
