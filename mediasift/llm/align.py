@@ -253,17 +253,16 @@ def _blocks(id_field: T.StructField, files, most: int, work: int, block_links: i
                     [*(pa.nulls(len(p), f.type) for f in list(target)[:5]), pa.array(np.full(len(p), task + seq)),
                      pa.array(np.arange(lo, lo + len(p), dtype=np.int32)), pa.array(p), pa.array(n[lo:lo + 65_536])], schema=target)
 
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                done = align_texts(part.column(1).to_pylist(), *tokenizers, work)
-                for key, (a, b, ca, cb, _) in zip(part.column(0).to_pylist(), done, strict=True):
-                    text = groups_text(a, b, ca, cb, most)
-                    rows.append((key, len(a), len(b), hashlib.sha256(text).hexdigest() if text else ""))
-                    links.append(a[ca - 1] << 32 | b[cb - 1])
-                    held += len(ca) + 1
-                    if held >= block_links:
-                        yield from flush()
-                        rows, links, held, seq = [], [], 0, seq + 1
+        for part in chunks(batches, "text"):
+            done = align_texts(part.column(1).to_pylist(), *tokenizers, work)
+            for key, (a, b, ca, cb, _) in zip(part.column(0).to_pylist(), done, strict=True):
+                text = groups_text(a, b, ca, cb, most)
+                rows.append((key, len(a), len(b), hashlib.sha256(text).hexdigest() if text else ""))
+                links.append(a[ca - 1] << 32 | b[cb - 1])
+                held += len(ca) + 1
+                if held >= block_links:
+                    yield from flush()
+                    rows, links, held, seq = [], [], 0, seq + 1
         if rows:
             yield from flush()
 
