@@ -38,44 +38,84 @@ KEPT_TAGS = frozenset("html body main article".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 DROP_WORDS = frozenset("""ad ads advert adverts advertisement banner promo sponsor sponsored cookie cookies consent
 notice sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments reply replies share sharing
-social related newsletter subscribe popup modal pagination login signup""".split())
-
+social related newsletter subscribe popup modal pagination login signup advertising respond disqus""".split())
+
+#: Elements that hold running text: what an article has in them is its own.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption caption".split())
+#: A class or id token also counts by its first part (``comment-list``), or by its last after one of these (``site-footer``).
+WHOLE_PAGE = frozenset("site page global".split())
+#: Bits of a line's length in its signature; a line of over a million characters counts as one of a million.
+LENGTH_BITS = 20
 #: Share of the text of the longer body from which on two pages are copies; pages that a chain remembers.
 COPY_SHARE, CHAIN = 0.9, 4
 _BODY = np.uint64(1)
+_LOW = LENGTH_BITS + 1
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
-def _dropped(tag: str, attrs: str, inside: bool) -> bool:
+def _drop_token(token: str) -> bool:
+    parts = re.split("[-_]", token)
+    return token in DROP_WORDS or parts[0] in DROP_WORDS or parts[0] in WHOLE_PAGE and parts[-1] in DROP_WORDS
+
+
+def _dropped(tag: str, attrs: str, inside: bool) -> int:
+    """2: a dropped element by its tag or role, 1: by a token of its class or id, 0: none."""
     if tag in DROP_TAGS or tag == "header" and not inside:
-        return True
+        return 2
     if not attrs.strip():
-        return False
+        return 0
+    found = 0
     for name, a, b, c in _ATTR.findall(attrs):
         value = html.unescape(a or b or c).lower()
-        if name.lower() in ("class", "id") and tag not in KEPT_TAGS and not DROP_WORDS.isdisjoint(value.split()):
-            return True
+        if name.lower() in ("class", "id") and tag not in KEPT_TAGS and any(map(_drop_token, value.split())):
+            found = 1
         if name.lower() == "role" and value.strip() in DROP_ROLES:
-            return True
-    return False
+            return 2
+    return found
+
+
+class _Open:
+    """An open element: what it starts, and what to restore at its end."""
+
+    __slots__ = ("tag", "article", "drop", "outer", "parts")
+
+    def __init__(self, tag, article, drop, outer, parts):
+        self.tag, self.article, self.drop, self.outer, self.parts = tag, article, drop, outer, parts
 
 
-def page_lines(page: str | None) -> list[tuple[str, bool, bool]]:
-    """(text, in an article, in a dropped element) of each block with text, in page order."""
+def page_lines(page: str | None) -> list[tuple[str, int, bool]]:
+    """(text, in an article, in a dropped element) of each block with text, in page order; the second is 2 in a
+    ``PROSE`` element of an article, 1 elsewhere in it, else 0.
+
+    An article or main inside an element that only its class or id would drop is not dropped with it. A
+    dropped inline element (a button or select within a paragraph) leaves its block in one piece.
+    """
     page = page or ""
-    lines: list[tuple[str, bool, bool]] = []
+    lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # (tag, starts an article, starts a dropped element)
-    article = dropped = pos = 0
+    stack: list[_Open] = []
+    prose = 0
+    article = strong = weak = pos = 0  # open articles, elements dropped by tag, elements dropped by class
 
     def flush():
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                lines.append((text, article > 0, dropped > 0))
+                lines.append((text, (2 if prose else 1) if article else 0, strong + weak > 0))
+
+    def leave():
+        nonlocal article, strong, weak, prose
+        e = stack.pop()
+        prose -= e.tag in PROSE
+        if e.parts is not None:  # a dropped inline element: its text goes, the block goes on
+            parts[:] = [*e.parts, " "]
+        elif e.article or e.drop:
+            flush()
+        article, strong, weak = article - e.article, strong - (e.drop == 2), e.outer if e.article else weak - (e.drop == 1)
+        return e.tag
 
     while True:
         lt = page.find("<", pos)
@@ -106,14 +146,9 @@ def page_lines(page: str | None) -> list[tuple[str, bool, bool]]:
         if tag in BLOCKS:
             flush()
         if close:
-            if any(t == tag for t, _, _ in stack):
-                while stack:
-                    t, a, d = stack.pop()
-                    if a or d:
-                        flush()
-                    article, dropped = article - a, dropped - d
-                    if t == tag:
-                        break
+            if any(e.tag == tag for e in stack):
+                while leave() != tag:
+                    pass
             continue
         if tag in RAW:
             end = re.compile(f"</{re.escape(tag)}[\\s/>]", re.I).search(page, pos)
@@ -125,34 +160,40 @@ def page_lines(page: str | None) -> list[tuple[str, bool, bool]]:
             continue
         if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             continue
-        if tag in BLOCKS and stack and stack[-1][0] == "p":
-            _, a, d = stack.pop()
-            article, dropped = article - a, dropped - d
+        if tag in BLOCKS and stack and stack[-1].tag == "p":
+            leave()
         a, d = tag in ("article", "main"), _dropped(tag, attrs, article > 0)
-        if a or d:
+        held = None
+        if d and tag not in BLOCKS and not a:
+            held = list(parts)
+            parts.clear()
+        elif a or d:
             flush()
-        stack.append((tag, a, d))
-        article, dropped = article + a, dropped + d
+        stack.append(_Open(tag, a, d, weak, held))
+        prose += tag in PROSE
+        article, strong, weak = article + a, strong + (d == 2), 0 if a else weak + (d == 1)
+    while stack:
+        leave()
     flush()
     return lines
 
 
 def signature(lines) -> np.ndarray:
-    """One number for each line outside dropped elements: 51 bits of its hash, its length (12 bits, at most 4,095)
-    and whether it is of the body. By the tags, the body is what stands in an ``article`` or ``main`` if that is
+    """One number for each line outside dropped elements: 43 bits of its hash, its length (``LENGTH_BITS``) and
+    whether it is of the body. By the tags, the body is what stands in an ``article`` or ``main`` if that is
     half of the page's text or more, else everything."""
     lines = [(t, a) for t, a, d in lines if not d]
     inside = sum(len(t) for t, a in lines if a)
     tagged = inside > 0 and 2 * inside >= sum(len(t) for t, _ in lines)
-    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> 13 << 13 | min(len(t), 4095) << 1
-                     | (a or not tagged) for t, a in lines], "<u8")
+    return np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) >> _LOW << _LOW
+                     | min(len(t), (1 << LENGTH_BITS) - 1) << 1 | (a > 0 or not tagged) for t, a in lines], "<u8")
 
 
 def is_copy(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the bodies of two pages share nearly all of their text, as characters of equal lines in any order."""
     (x, m), (y, n) = (np.unique(k[k & _BODY > 0], return_counts=True) for k in (a, b))
     _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    size = lambda keys, counts: int(((keys >> np.uint64(1) & np.uint64(4095)).astype(np.int64) * counts).sum())
+    size = lambda keys, counts: int(((keys >> np.uint64(1) & np.uint64((1 << LENGTH_BITS) - 1)).astype(np.int64) * counts).sum())
     return size(x[i], np.minimum(m[i], n[j])) >= COPY_SHARE * max(size(x, m), size(y, n))
 
 
@@ -204,12 +245,30 @@ def common_lines(a: list, b: list) -> list[bool]:
     return out
 
 
+def kept_inside(own: list, prose: list, there: list):
+    """For each line of a tagged article whether it stays although the other page has it. Two articles may hold
+    one sentence or heading: a line that the other body holds too stays if it stands in a ``PROSE`` element, else
+    it goes only where both bodies begin or end with it. A line that the other page has outside its body goes."""
+    head = next((i for i, (x, y) in enumerate(zip(own, there)) if x != y), min(len(own), len(there)))
+    tail = next((i for i, (x, y) in enumerate(zip(own[::-1], there[::-1])) if x != y), min(len(own), len(there)))
+    body = set(there)
+    for i, (k, p) in enumerate(zip(own, prose, strict=True)):
+        yield k in body and (p or head <= i < len(own) - tail)
+
+
 def article_text(page: str | None, near: np.ndarray | None) -> str:
     """Text of the page's blocks that stay, given the signature of the page it is paired with."""
     lines = page_lines(page)
+    inside = sum(len(t) for t, a, d in lines if a and not d)
+    guarded = inside > 0 and 2 * inside >= sum(len(t) for t, _, d in lines if not d)
     shared = [False] * len(lines)
     if near is not None:
-        same = iter(common_lines((signature(lines) & ~_BODY).tolist(), (near & ~_BODY).tolist()))
+        own = (signature(lines) & ~_BODY).tolist()
+        there = (near[near & _BODY > 0] & ~_BODY).tolist()
+        inner = [a for _, a, d in lines if not d]
+        held = kept_inside([k for k, a in zip(own, inner, strict=True) if a], [a > 1 for a in inner if a], there) if guarded else iter(())
+        stays = [a and next(held, False) for a in inner]
+        same = iter([s and not k for s, k in zip(common_lines(own, (near & ~_BODY).tolist()), stays, strict=True)])
         shared = [not d and next(same) for _, _, d in lines]
     left = [(t, a) for (t, a, d), s in zip(lines, shared, strict=True) if not d and not s]
     inside = sum(len(t) for t, a in left if a)

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from mediasift.llm import align, byte_pieces, hard_negatives
+from mediasift.llm import align, byte_pieces, hard_negatives, html_text
 
 LONG = "lorem ipsum dolor " * 9000 + "x" * 150_000
 TEXTS = [None, "", " \t\n", "A b C", "a b c", "été über ñu 日本語 ½ ² \U0001f600", "one\ntwo\n\none\n", LONG, LONG,
@@ -232,3 +232,57 @@ def test_alignment_of_a_long_text(spark):
     a, b, ca, cb = (np.frombuffer(row[c], "<u4") for c in ("a_ids", "b_ids", "a_cuts", "b_cuts"))
     assert ca[-1] == len(a) and cb[-1] == len(b) and row.n_overlaps == len(a) + len(b) - len(ca)
     assert align.link_counts(df).filter("doc_id = 1").head().n_links == len(ca)
+
+
+# --- page text ---
+
+def _text(page, near=None):
+    return html_text.article_text(page, None if near is None else html_text.signature(html_text.page_lines(near)))
+
+
+def test_inline_elements_do_not_split_a_block():
+    for tag in ("select", "button", "svg", "noscript", "span class=ad"):
+        name = tag.split()[0]
+        assert _text(f"<article><p>one <{tag}><i>x</i></{name}> two</p><p>three</p></article>") == "one two\n\nthree"
+    assert _text("<article><p>one <select>two") == "one"
+    assert _text("<p>a <button>b<div>c</div>d</button> e</p>") == "a e"
+
+
+def test_articles_keep_lines_that_another_article_has():
+    page = "<article><p>A story begins, and it goes on for a while.</p><p>Both say this.</p><p>It ends.</p></article><div>Site name</div>"
+    other = "<article><p>Another one that is long enough to be the body.</p><p>Both say this.</p><p>Its end.</p></article><div>Site name</div>"
+    assert _text(page, other) == "A story begins, and it goes on for a while.\n\nBoth say this.\n\nIt ends."
+    # furniture of the site inside the article goes, if the other page has it outside its own
+    moved = "<div>Both say this.</div>" + other.replace("<p>Both say this.</p>", "")
+    assert _text(page, moved) == "A story begins, and it goes on for a while.\n\nIt ends."
+    # without an article the shared lines are the site's
+    plain = [f"<div>Top bar</div><div>{t}</div><div>Imprint</div>" for t in ("One story.", "Second story.")]
+    assert _text(*plain) == "One story."
+
+
+def test_furniture_with_unlisted_class_names():
+    for name in ("comment-list", "comments-area", "site-footer", "cookie-banner", "ad-slot", "sidebar-left", "advertising", "ad_box"):
+        assert _text(f"<div>Story text here.</div><div class='{name}'>Great read!</div>") == "Story text here.", name
+    for name in ("content", "has-sidebar", "content-sidebar", "no-comments", "commentary", "address"):
+        assert _text(f"<div class='{name}'>Story text here.</div>") == "Story text here.", name
+    # an article is not dropped with a wrapper's class, but with an aside
+    assert _text("<div class='sidebar-left'><article><p>Story.</p></article><p>Link</p></div>") == "Story."
+    assert _text("<main><p>Long story text.</p></main><aside><article>Teaser</article></aside>") == "Long story text."
+
+
+def test_long_lines_count_whole_in_the_copy_test():
+    sig = lambda *lines: html_text.signature([(t, True, False) for t in lines])
+    long, other = "x" * 50_000, "y" * 6_000
+    assert html_text.is_copy(sig(long, other[:5_000]), sig(long, "z" * 3_000))  # 50,000 of 55,000 characters
+    assert not html_text.is_copy(sig(long, other), sig(other, "z" * 50_000))
+
+
+def test_no_article_line_is_lost(spark, sf="/root/testdata/sf0.01"):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    found = {r.page_id: r.text for r in html_text.extract_text(pages).select("page_id", "text").collect()}
+    lost = 0
+    for r in pages.collect():
+        want = [t for t, a, d in html_text.page_lines(r.html) if a and not d]
+        lost += len(want) - len(found[r.page_id].split("\n\n")) if want else 0
+        assert not want or found[r.page_id] == "\n\n".join(want)
+    assert lost == 0
