@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from mediasift.llm import align, byte_pieces, hard_negatives, html_text
+from mediasift.llm import align, byte_pieces, hard_negatives, html_text, quality
 
 LONG = "lorem ipsum dolor " * 9000 + "x" * 150_000
 TEXTS = [None, "", " \t\n", "A b C", "a b c", "été über ñu 日本語 ½ ² \U0001f600", "one\ntwo\n\none\n", LONG, LONG,
@@ -286,3 +286,46 @@ def test_no_article_line_is_lost(spark, sf="/root/testdata/sf0.01"):
         lost += len(want) - len(found[r.page_id].split("\n\n")) if want else 0
         assert not want or found[r.page_id] == "\n\n".join(want)
     assert lost == 0
+
+
+# --- quality bands ---
+
+def test_bands_reject_on_both_sides(spark, sf="/root/testdata/sf0.1"):
+    rng = random.Random(6)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("lang = 'en' AND text IS NOT NULL").select("doc_id", "text", "lang")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    plain = [t for t in texts if len(t.split()) > 150][:50]
+    common = Counter(w for t in texts for w in t.split()).most_common(3)
+    planted = {"shuffled": [], "tripled": [], "one word": []}
+    for t in plain:
+        w = t.split()
+        planted["tripled"].append(" ".join(x for y in w for x in (y, y, y)))
+        rng.shuffle(w)
+        planted["shuffled"].append(" ".join(w))
+    # new words after a very frequent one each: no 5-word window twice, and a perplexity far below the rest
+    planted["one word"] = [" ".join(f"{common[0][0]} {common[0][0]}" + ("." if i % 7 == k % 7 else "") * (i % (k + 2)) for i in range(120))
+                           for k in range(5)]
+    rows = [(10 ** 6 + i, t, "en") for i, t in enumerate(t for v in planted.values() for t in v)]
+    got = {r.doc_id: r for r in quality.judge_quality(docs.unionByName(spark.createDataFrame(rows, docs.schema))).collect()}
+    at = 10 ** 6
+    for name, v in planted.items():
+        rejected = sum(not got[at + i].kept for i in range(len(v))) / len(v)
+        at += len(v)
+        assert rejected >= (0.75 if name != "one word" else 1.0), (name, rejected)
+    clean = [r for i, r in got.items() if i < 10 ** 6 and not r.base_failed and r.n_symbols <= 0.1 * r.n_words]
+    assert sum(r.kept for r in clean) >= 0.95 * len(clean)
+
+
+def test_lower_limit_rejects_by_perplexity_alone():
+    z = lambda text, model: (lambda k: (-model.log10(k).astype(float).mean(), len(k)))(quality.trigram_keys(text))
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(300)] + ["the"]
+    texts = [" ".join(rng.choices(words, [1] * 300 + [60], k=200)) for _ in range(200)]
+    keys = np.concatenate([quality.trigram_keys(t) for t in texts])
+    model = quality.KneserNey(*np.unique(keys, return_counts=True))
+    values = np.array([z(t, model) for t in texts])
+    mid = np.median(values[:, 0])
+    scaled = (values[:, 0] - mid) * np.sqrt(values[:, 1])
+    low = quality.BAND_DEVIATIONS * 1.4826 * np.median(-scaled[scaled < 0])
+    value, n = z(" ".join(["the"] * 200), model)
+    assert (value - mid) * np.sqrt(n) < -low and (scaled >= -low).all()
