@@ -1,18 +1,23 @@
 """Language-model scoring with a weighted backoff automaton whose counts come from the whole corpus.
 
-The model is a word bigram model with Dirichlet smoothing: p(v|u) = (c(uv) + m p(v)) / (c(u) + m), with
-p(v) = (c(v) + 0.5) / (N + 0.5 (V + 1)). As an automaton: each word seen in training is a state; a seen
-bigram is an arc; what has no arc takes the state's failure arc (m / (c(u) + m)) to the root, whose arcs
-are the words. Scoring is one walk from left to right that carries the state.
-
-The vocabulary and the bigrams grow with the corpus, so no task and no broadcast holds the model. The
+The model is a word trigram model with Dirichlet smoothing at each order:
+p(w|uv) = (c(uvw) + m3 p(w|v)) / (c(uv) + m3), p(w|v) = (c(vw) + m2 p(w)) / (c(v) + m2) and
+p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)). As an automaton: each bigram and each word seen in training is a state,
+and so is the begin of a text; a seen n-gram is an arc. A state without an arc for the next word takes its
+failure arc (a bigram's leads to its last word, a word's to the root; weight m / (c + m)), as often as needed; the
+root has an arc for every word. Scoring is one traversal from left to right that carries the state and sums up
+log-probabilities.
+
+The vocabulary and the n-grams grow with the corpus, so no task and no broadcast holds the model. The
 corpus is cut into blocks of consecutive rows, bounded in rows and in bytes; the number of shards follows the
 bytes of the corpus. A block asks for the counts of the n-grams it has: it sends
-their hashes and its own training counts to shards (ranges of the hash), packed in one message per shard.
-A shard sums up, and answers only where the total differs from what the asking block knows. Each block
+their hashes and its own training counts to shards (ranges of the hash), packed in one message per shard that has
+any of them, so there are never more messages than n-grams. A shard sums up, and answers only where the total
+differs from what the asking block knows. Each block
 then builds its own part of the automaton, which holds all arcs its texts can walk, and scores them. An
 n-gram is shuffled once for each block that has it, however often it occurs there, so frequent words are
-no hot keys.
+no hot keys. Words are told apart by 64 bits of hash; longer n-grams by 20 bits more than the corpus' bytes need
+(48 at least, 64 at most): two share a key by a chance of under one in a million.
 """
 
 from __future__ import annotations
@@ -34,8 +39,10 @@ from mediasift.sources.tables import table
 #: Rows and bytes of text of a block, the unit whose n-grams one task holds (a block passes ``BLOCK_BYTES`` by its
 #: last text at most), and bytes of text of all blocks for each shard.
 BLOCK_ROWS, BLOCK_BYTES, SHARD_BYTES = 4096, 1 << 25, 1 << 25
-#: Weight of the unigram model in the bigram model, in tokens.
-PRIOR = 200.0
+#: Weight, in tokens, of the word model in the bigram model and of the bigram model in the trigram model.
+PRIORS = (500.0, 10.0)
+#: Tokens of a run, the part of a text that one row of the traversal's vectors walks.
+SPAN = 256
 _BEGIN, _END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC3A5C85C97CB3127)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -63,17 +70,33 @@ class Tokens:
         self.hashes = np.array([int(_END), *map(xxhash.xxh64_intdigest, words)], np.uint64)
         self.first = np.cumsum(self.sizes) - self.sizes
 
-    def bigram_keys(self) -> np.ndarray:
-        """Key of (previous word, word) at each position; a text's first word follows the begin mark."""
+    def inner(self) -> np.ndarray:
+        """Positions but each text's first: there a trigram ends."""
+        keep = np.ones(len(self.ids), bool)
+        keep[self.first] = False
+        return np.flatnonzero(keep)
+
+    def bigram_keys(self, drop: int = 0) -> np.ndarray:
+        """Key of (previous word, word) at each position; a text's first word follows the begin mark. The last
+        ``drop`` bits are zero."""
         h = self.hashes[self.ids]
         left = np.concatenate(([_BEGIN], h[:-1]))
         left[self.first] = _BEGIN
-        return _mix(left, h)
+        return _cleared(_mix(left, h), drop)
+
+    def trigram_keys(self, drop: int = 0) -> np.ndarray:
+        """Key of (word or begin mark, word, word) at each of ``inner()``."""
+        at = self.inner()
+        return _cleared(_mix(self.bigram_keys()[at - 1], self.hashes[self.ids[at]]), drop)
+
 
+def _cleared(keys: np.ndarray, drop: int) -> np.ndarray:
+    return keys >> np.uint64(drop) << np.uint64(drop)
 
-def pack(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+
+def pack(keys: np.ndarray, counts: np.ndarray, drop: int = 0) -> tuple[bytes, bytes]:
     """Sorted keys as byte planes of their differences, and small counts (both compress well in a shuffle)."""
-    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    gaps = np.diff(keys >> np.uint64(drop), prepend=np.uint64(0)).astype("<u8")
     return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T).tobytes(), _pack_counts(counts)
 
 
@@ -90,9 +113,9 @@ def _unpack_counts(counts: bytes) -> np.ndarray:
     return out
 
 
-def unpack(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpack(keys: bytes, counts: bytes, drop: int = 0) -> tuple[np.ndarray, np.ndarray]:
     gaps = np.ascontiguousarray(np.frombuffer(keys, np.uint8).reshape(8, -1).T).view("<u8").ravel()
-    return np.cumsum(gaps, dtype=np.uint64), _unpack_counts(counts)
+    return np.cumsum(gaps, dtype=np.uint64) << np.uint64(drop), _unpack_counts(counts)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,17 +125,18 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
 
 
-def block_counts(texts: list[str | None], learn: np.ndarray):
-    """(keys, training counts) of the words and of the bigrams of some texts, sorted by key. N-grams of
-    texts that are not learned from are there with their training count, maybe 0."""
+def block_counts(texts: list[str | None], learn: np.ndarray, drop: int = 0):
+    """(order, keys, training counts) of the words, the bigrams and the trigrams of some texts, sorted by key.
+    N-grams of texts that are not learned from are there with their training count, maybe 0."""
     t = Tokens(texts)
     weight = np.repeat(learn.astype(np.int64), t.sizes)
-    words = _summed(t.hashes, np.bincount(t.ids, weight, minlength=len(t.hashes)).astype(np.int64))
-    return words, _summed(t.bigram_keys(), weight)
+    yield 1, *_summed(t.hashes, np.bincount(t.ids, weight, minlength=len(t.hashes)).astype(np.int64))
+    yield 2, *_summed(t.bigram_keys(drop), weight)
+    yield 3, *_summed(t.trigram_keys(drop), weight[t.inner()])
 
 
 _ASK = "shard int, file long, no long, kind int, keys binary, counts binary"
-_ANSWER = "file long, no long, kind int, shard int, marks binary, counts binary"
+_ANSWER = "file long, no long, kind int, shard int, marks binary, counts binary, words long, tokens long"
 
 
 def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -120,7 +144,7 @@ def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
     return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64), np.arange(shards + 1))
 
 
-def _asked(shards: int):
+def _asked(shards: int, drop: int):
     schema = arrow_schema(_ASK)
 
     def run(batches):
@@ -130,104 +154,166 @@ def _asked(shards: int):
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 part = batch.slice(lo, hi - lo)
                 learn = part.column(1).to_numpy(zero_copy_only=False)
-                rows = []
-                for kind, (keys, counts) in enumerate(block_counts(part.column(0).to_pylist(), learn), 1):
-                    at = _cuts(keys, shards)
-                    for s in range(shards):  # every shard hears of every block: it answers with its totals
-                        if kind == 1 or at[s] < at[s + 1]:
-                            rows.append((s, int(files[lo]), int(nos[lo]), kind, *pack(keys[at[s]:at[s + 1]], counts[at[s]:at[s + 1]])))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)],
-                                                 schema=schema)
+                for kind, keys, counts in block_counts(part.column(0).to_pylist(), learn, drop):
+                    at, cut = _cuts(keys, shards), drop if kind > 1 else 0
+                    rows = [(s, int(files[lo]), int(nos[lo]), kind, *pack(keys[at[s]:at[s + 1]], counts[at[s]:at[s + 1]], cut))
+                            for s in np.flatnonzero(at[:-1] < at[1:]).tolist()]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-def _answered(messages: pa.Table) -> pa.Table:
-    """All messages of one shard -> its answers: for each block marks on those of its keys whose total the
-    block does not know already, and these totals; and (kind 0) the shard's number of words seen in training
-    and of training tokens."""
-    by_kind: dict = {1: defaultdict(list), 2: defaultdict(list)}
-    shard = messages.column("shard")[0].as_py()
-    for _, file, no, kind, keys, counts in zip(*(c.to_pylist() for c in messages.columns), strict=True):
-        by_kind[kind][file, no].append(unpack(keys, counts))
-    rows = []
-    for kind, blocks in by_kind.items():
-        own = {b: parts[0] if len(parts) == 1 else _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-               for b, parts in blocks.items()}
-        if not own:
-            continue
-        keys, totals = _summed(*(np.concatenate(x) for x in zip(*own.values(), strict=True)))
-        for (file, no), (k, c) in own.items():
-            total = totals[np.searchsorted(keys, k)]
-            tell = total != c
-            rows.append((file, no, kind, shard, np.packbits(tell).tobytes(), _pack_counts(total[tell])))
+def _answered(drop: int):
+    schema = arrow_schema(_ANSWER)
+
+    def run(messages: pa.Table) -> pa.Table:
+        """All messages of one shard -> its answers: for each block marks on those of its keys whose total the
+        block does not know already, and these totals; and one row of kind 0 with the shard's number of words seen
+        in training and of training tokens."""
+        by_kind: dict = defaultdict(lambda: defaultdict(list))
+        shard = messages.column("shard")[0].as_py()
+        for _, file, no, kind, keys, counts in zip(*(c.to_pylist() for c in messages.columns), strict=True):
+            by_kind[kind][file, no].append(unpack(keys, counts, drop if kind > 1 else 0))
+        rows = []
+        for kind, blocks in by_kind.items():
+            own = {b: parts[0] if len(parts) == 1 else _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+                   for b, parts in blocks.items()}
+            keys, totals = _summed(*(np.concatenate(x) for x in zip(*own.values(), strict=True)))
+            for (file, no), (k, c) in own.items():
+                total = totals[np.searchsorted(keys, k)]
+                tell = total != c
+                rows.append((file, no, kind, shard, np.packbits(tell).tobytes(), _pack_counts(total[tell]), None, None))
             if kind == 1:
-                rows.append((file, no, 0, shard, b"", np.array([(totals > 0).sum(), totals.sum()], "<i8").tobytes()))
-    schema = pa.schema([("file", pa.int64()), ("no", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()),
-                        ("marks", pa.binary()), ("counts", pa.binary())])
-    columns = zip(*rows, strict=True) if rows else [[]] * 6
-    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                rows.append((None, None, 0, shard, None, None, int((totals > 0).sum()), int(totals.sum())))
+        columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    return run
 
 
 class BackoffAutomaton:
-    """States are the root (0), the words seen in training (1 + word number) and the begin mark (the last)."""
-
-    def __init__(self, word_counts: np.ndarray, total: int, distinct: int, begin_count: int,
-                 pairs: np.ndarray, pair_counts: np.ndarray, prior: float = PRIOR):
-        """``pairs`` are rows (previous word number or -1 for the begin mark, word number)."""
-        n = len(word_counts)
-        p = (word_counts + 0.5) / (total + 0.5 * (distinct + 1))
-        self.base = np.log10(p)  # the root's arcs
-        context = np.append(word_counts, begin_count).astype(float)
-        self.state_of = np.where(context > 0, np.arange(1, n + 2), 0)  # where a word, or the begin, leads to
-        self.fail = np.append(0.0, np.log10(prior / (context + prior)))  # failure arcs to the root
-        u, v = pairs[:, 0], pairs[:, 1]
-        seen = pair_counts > 0
-        self.arc = np.full(len(pairs), np.nan)  # weight of the arc of a pair; none: not a number
-        self.arc[seen] = np.log10((pair_counts[seen] + prior * p[v[seen]]) / (context[u[seen]] + prior))
-
-    def walk(self, words: np.ndarray, previous: np.ndarray, pair: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of each text, all texts of a block in one pass from left to right.
-
-        ``previous`` is the word that made the state at each position (-1: begin), ``pair`` the number of
-        (previous, word) and ``first`` where each text starts. A step takes the state's arc if there is one,
-        else its failure arc and then the root's arc."""
-        state = self.state_of[previous]
-        step = self.arc[pair]
-        fails = np.flatnonzero(np.isnan(step))
-        step[fails] = self.fail[state[fails]] + self.base[words[fails]]
-        return np.add.reduceat(step, first)
-
-
-def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int, prior: float = PRIOR):
-    """(n_tokens, n_known, train_tokens, base score, score) of the texts of one block. ``answers`` are rows
-    (kind, shard, marks, counts)."""
-    t = Tokens(texts)
+    """States are the root (0), the words (1 + word number), the begin of a text (n + 1) and the bigrams
+    (n + 2 + bigram number), of ``n`` words; only those seen in training are ever entered."""
+
+    def __init__(self, words: np.ndarray, total: int, distinct: int, begins: int, pairs: tuple, triples: tuple,
+                 priors: tuple[float, float] = PRIORS):
+        """Training counts: ``words`` by word number, ``begins`` of texts, ``pairs`` (previous word number or -1 for
+        the begin, word number, count) and ``triples`` (numbers of the first and of the last bigram, count)."""
+        self.n = n = len(words)
+        (left, word, c2), (head, tail, c3) = pairs, triples
+        m2, m3 = priors
+        p1 = (words + 0.5) / (total + 0.5 * (distinct + 1))
+        context = np.append(words, begins).astype(float)
+        p2 = (c2 + m2 * p1[word]) / (context[left] + m2)
+        self.start = n + 1 if begins > 0 else 0
+        # failure arcs by state: weight and goal
+        self.fail = np.concatenate(([0.0], np.log10(m2 / (context + m2)), np.log10(m3 / (c2 + m3))))
+        self.fail_to = np.concatenate((np.zeros(n + 2, np.int64), 1 + word))
+        # arcs by length of the n-gram, then its number: weight (none: not a number) and goal
+        seen2, seen3 = np.where(c2 > 0, 1.0, np.nan), np.where(c3 > 0, 1.0, np.nan)
+        self.arc = {1: np.log10(p1), 2: seen2 * np.log10(p2),
+                    3: seen3 * np.log10((c3 + m3 * p2[tail]) / (c2[head] + m3))}
+        self.goal = {1: np.where(words > 0, np.arange(1, n + 1), 0), 2: n + 2 + np.arange(len(c2)), 3: n + 2 + tail}
+
+    def step(self, state: np.ndarray, gram: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(next states, weights) when each state reads a word; ``gram`` has the numbers of the n-grams that end
+        with it, by length. Where a state has no arc its failure arc is taken, down to the root."""
+        state, weight, goal = state.copy(), np.zeros(len(state)), np.full(len(state), -1)
+        for size in (3, 2, 1):
+            depth = (state > 0).astype(np.int64) + (state > self.n + 1)
+            here = np.flatnonzero((goal < 0) & (depth == size - 1))
+            number = gram[size][here]
+            arc = self.arc[size][number]
+            none = np.isnan(arc)
+            fails, takes = here[none], here[~none]
+            weight[takes] += arc[~none]
+            goal[takes] = self.goal[size][number[~none]]
+            weight[fails] += self.fail[state[fails]]
+            state[fails] = self.fail_to[state[fails]]
+        return goal, weight
+
+    def walk(self, gram: dict[int, np.ndarray], first: np.ndarray, sizes: np.ndarray, span: int = SPAN) -> np.ndarray:
+        """log10 probability of each text; ``gram`` by length has the number of the n-gram that ends at each position.
+
+        All texts are walked side by side, a word a step, in runs of ``span`` tokens. A run inside a text begins at
+        the root two words early and counts nothing there: two words lead to the same state from anywhere."""
+        runs = -(-sizes // span)
+        text = np.repeat(np.arange(len(sizes)), runs)
+        lo = (np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)) * span
+        warm = np.where(lo > 0, 2, 0)
+        length = np.minimum(span, sizes[text] - lo) + warm
+        order = np.argsort(-length, kind="stable")
+        text, warm, length = text[order], warm[order], length[order]
+        at, state = (first[text] + lo[order]) - warm, np.where(warm > 0, 0, self.start)
+        score = np.zeros(len(text))
+        for i in range(int(length.max(initial=0))):
+            m = int(np.searchsorted(-length, -i))  # the runs that are longer
+            here = at[:m] + i
+            state[:m], weight = self.step(state[:m], {size: g[here] for size, g in gram.items()})
+            score[:m] += np.where(i >= warm[:m], weight, 0.0)
+        return np.bincount(text, score, minlength=len(sizes))
+
+
+def _with_totals(counts: np.ndarray, keys: np.ndarray, answers: list, shards: int) -> np.ndarray:
+    """A block's own counts (by sorted key) with the totals that the shards told it: rows (shard, marks, counts)."""
+    cuts = _cuts(keys, shards)
+    for shard, marks, told in answers:
+        lo, hi = cuts[shard], cuts[shard + 1]
+        counts[lo + np.flatnonzero(np.unpackbits(np.frombuffer(marks, np.uint8), count=hi - lo))] = _unpack_counts(told)
+    return counts
+
+
+def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int, distinct: int, total: int,
+                drop: int = 0, priors: tuple[float, float] = PRIORS):
+    """(n_tokens, n_known, base score, score) of the texts of one block. ``answers`` are rows
+    (kind, shard, marks, counts); ``distinct`` words and ``total`` tokens are those of training."""
+    t, by_kind = Tokens(texts), defaultdict(list)
+    for kind, *answer in answers:
+        by_kind[kind].append(answer)
     weight = np.repeat(learn.astype(np.int64), t.sizes)
     order = np.argsort(t.hashes)
-    word_counts = np.bincount(t.ids, weight, minlength=len(t.hashes)).astype(np.int64)[order]
-    pair_keys, at, pair = np.unique(t.bigram_keys(), return_index=True, return_inverse=True)
-    pair = pair.ravel()
-    pair_counts = np.bincount(pair, weight, minlength=len(pair_keys)).astype(np.int64)
-    known = {1: (word_counts, _cuts(t.hashes[order], shards)), 2: (pair_counts, _cuts(pair_keys, shards))}
-    distinct = total = 0
-    for kind, shard, marks, counts in answers:
-        if kind == 0:
-            d, n = np.frombuffer(counts, "<i8")
-            distinct, total = distinct + int(d), total + int(n)
-            continue
-        values, cuts = known[kind]
-        lo, hi = cuts[shard], cuts[shard + 1]
-        told = np.flatnonzero(np.unpackbits(np.frombuffer(marks, np.uint8), count=hi - lo))
-        values[lo + told] = _unpack_counts(counts)
-    count = np.empty_like(word_counts)
-    count[order] = word_counts
+    count = np.empty(len(order), np.int64)
+    count[order] = _with_totals(np.bincount(t.ids, weight, minlength=len(order)).astype(np.int64)[order],
+                                t.hashes[order], by_kind[1], shards)
+    keys, at, pair = np.unique(t.bigram_keys(drop), return_index=True, return_inverse=True)
+    c2 = _with_totals(np.bincount(pair, weight, minlength=len(keys)).astype(np.int64), keys, by_kind[2], shards)
     previous = np.concatenate(([-1], t.ids[:-1]))
     previous[t.first] = -1
+    pairs, inner = (previous[at], t.ids[at], c2), t.inner()
+    del previous
+    keys, at, number = np.unique(t.trigram_keys(drop), return_index=True, return_inverse=True)
+    c3 = _with_totals(np.bincount(number, weight[inner], minlength=len(keys)).astype(np.int64), keys, by_kind[3], shards)
+    triple = np.zeros(len(t.ids), np.int64)
+    triple[inner] = number
+    last = inner[at]
     automaton = BackoffAutomaton(count, total, distinct, int(count[0]),  # as many texts begin as end
-                                 np.column_stack((previous[at], t.ids[at])), pair_counts, prior)
-    return (t.sizes, np.add.reduceat((count > 0)[t.ids].astype(np.int64), t.first), np.full(len(texts), total, np.int64),
-            np.add.reduceat(automaton.base[t.ids], t.first), automaton.walk(t.ids, previous, pair, t.first))
+                                 pairs, (pair[last - 1], pair[last], c3), priors)
+    del keys, at, number, last, weight
+    return (t.sizes, np.add.reduceat((count > 0)[t.ids].astype(np.int64), t.first),
+            np.add.reduceat(automaton.arc[1][t.ids], t.first),
+            automaton.walk({1: t.ids, 2: pair, 3: triple}, t.first, t.sizes))
+
+
+_PACKED = "file long, no long, rows binary"
+
+
+def _packed(batches):
+    """Rows with their block (the last two columns) -> one row for each run of a block's rows, as a compressed
+    Arrow stream."""
+    for batch in batches:
+        files, nos = (batch.column(k).to_numpy() for k in (-2, -1))
+        cuts = np.flatnonzero(np.concatenate(([True], (files[1:] != files[:-1]) | (nos[1:] != nos[:-1]), [True])))
+        rows = []
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            sink = pa.BufferOutputStream()
+            part = batch.slice(lo, hi - lo).select(batch.schema.names[:-2])
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(part)
+            rows.append((int(files[lo]), int(nos[lo]), sink.getvalue().to_pybytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["file", "no", "rows"])
 
 
 def _with_blocks(df: DataFrame, columns: list, block_rows: int, block_bytes: int) -> tuple[DataFrame, int]:
@@ -258,7 +344,7 @@ def _with_blocks(df: DataFrame, columns: list, block_rows: int, block_bytes: int
 
 
 def score_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", learn=None,
-                block_rows: int = BLOCK_ROWS, prior: float = PRIOR, block_bytes: int = BLOCK_BYTES,
+                block_rows: int = BLOCK_ROWS, priors: tuple[float, float] = PRIORS, block_bytes: int = BLOCK_BYTES,
                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per row of ``df``: the id, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
@@ -271,22 +357,24 @@ def score_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", l
     rows, size = _with_blocks(df, [col(text_col).alias("_text"), learn.alias("_learn"), col(id_col).alias("_id")],
                               block_rows, block_bytes)
     shards = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
-    asked = rows.select("_text", "_learn", "_file", "_no").mapInArrow(_asked(shards), _ASK)
-    answers = asked.groupBy("shard").applyInArrow(_answered, _ANSWER)
+    drop = 64 - min(64, max(48, size.bit_length() + 20))
+    asked = rows.select("_text", "_learn", "_file", "_no").mapInArrow(_asked(shards, drop), _ASK)
+    answers = materialize(asked.groupBy("shard").applyInArrow(_answered(drop), _ANSWER), "lm-answers")
+    distinct, total = (n or 0 for n in answers.agg(F.sum("words"), F.sum("tokens")).first())
     id_type = dict(rows.dtypes)["_id"]
 
-    def finish(texts: pa.Table, told: pa.Table) -> pa.Table:
-        ids = texts.column("_id")
-        if not texts.num_rows:
-            values = [[]] * 5
-        else:
-            values = score_block(texts.column("_text").to_pylist(), texts.column("_learn").to_numpy(),
-                                 zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "marks", "counts")), strict=True),
-                                 shards, prior)
-        return pa.Table.from_arrays([ids, *(pa.array(v) for v in values)],
-                                    names=[id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return rows.groupBy("_file", "_no").cogroup(answers.groupBy("file", "no")).applyInArrow(
+    def finish(packed: pa.Table, told: pa.Table) -> pa.Table:
+        names = [id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        texts = pa.concat_tables(pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed.column("rows"))
+        sizes, known, base, score = score_block(
+            texts.column("_text").to_pylist(), texts.column("_learn").to_numpy(),
+            zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "marks", "counts")), strict=True),
+            shards, distinct, total, drop, priors)
+        return pa.Table.from_arrays([texts.column("_id"), *map(pa.array, (sizes, known, np.full(len(sizes), total), base, score))],
+                                    names=names)
+
+    blocks = rows.select("_text", "_learn", "_id", "_file", "_no").mapInArrow(_packed, _PACKED)
+    return blocks.groupBy("file", "no").cogroup(answers.filter("kind > 0").groupBy("file", "no")).applyInArrow(
         finish, f"`{id_col}` {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

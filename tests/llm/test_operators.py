@@ -472,30 +472,46 @@ def test_lm_blocks_equal_one_model(spark):
     rng = random.Random(9)
     rows = [(i, " ".join(rng.choice(["the", "The", "of", "x", f"w{rng.randrange(30)}"]) for _ in range(rng.randrange(40))))
             for i in range(300)] + [(None, None), (None, ""), (7, "the the"), (7, "the the"), (400, LONG)]
+    rows += [(500 + i, f"the own{i} word{i} of {i}") for i in range(20)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("SCORE", F.lit("x"))
     learns = [crc("" if i is None else i) % 5 != 1 for i, _ in rows]
     words = [[w for w in (t or "").lower().split()] + [None] for _, t in rows]
-    uni, pairs = Counter(), Counter()
+    uni, pairs, triples = Counter(), Counter(), Counter()
     for w, ok in zip(words, learns):
         if ok:
             uni.update(w)
             pairs.update(zip([0, *w[:-1]], w))
+            triples.update(zip([0, *w[:-2]], w[:-1], w[1:]))
     n, v = sum(uni.values()), len(uni)
     p = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
-    want = []
+    want, levels = [], set()
+
+    def backed_off(a, b, w):  # a plain recursive back-off model; ``a`` is False where there is no word before ``b``
+        c2 = pairs[a, b] if a is not False else 0
+        if c2:
+            if triples[a, b, w]:
+                levels.add(3)
+                return (triples[a, b, w] + m3 * backed_off(False, b, w)) / (c2 + m3)
+            return m3 / (c2 + m3) * backed_off(False, b, w)
+        c = uni[None] if b == 0 else uni[b]
+        if not c or not pairs[b, w]:
+            levels.add(1 if c else 0)
+            return (m2 / (c + m2) if c else 1) * p(w)
+        levels.add(2)
+        return (pairs[b, w] + m2 * p(w)) / (c + m2)
+
+    m2, m3 = lm.PRIORS
     for (i, _), w in zip(rows, words):
         base = sum(np.log10(p(x)) for x in w)
-        score = 0.0
-        for a, b in zip([0, *w[:-1]], w):
-            c = uni[None] if a == 0 else uni[a]
-            score += np.log10((pairs[a, b] + lm.PRIOR * p(b)) / (c + lm.PRIOR)) if c else np.log10(p(b))
+        before = [(False, 0), (0, w[0]), *zip(w, w[1:])][:len(w)]
+        score = sum(np.log10(backed_off(a, b, x)) for (a, b), x in zip(before, w))
         want.append((-1 if i is None else i, len(w), sum(uni[x] > 0 for x in w), n, round(base, 6), round(score, 6)))
     from mediasift.llm.common import fold
 
     got = lm.score_texts(df, learn=fold() != 1, block_rows=16)
     got = [(-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6))
            for r in got.collect()]
-    assert sorted(got) == sorted(want)
+    assert sorted(got) == sorted(want) and levels == {0, 1, 2, 3}
     assert lm.score_texts(df.limit(0)).count() == 0
     none = lm.score_texts(df, learn=F.lit(False)).agg(F.max("n_known"), F.max("train_tokens")).first()
     assert tuple(none) == (0, 0)
@@ -510,7 +526,7 @@ def test_lm_blocks_and_shards_follow_bytes(spark, monkeypatch):
     assert total == sum(len(t) for _, t in rows) and blocks.count() == 202
     assert max(sizes) <= 2000 + max(len(t) for _, t in rows) and len(sizes) < 30
     seen, inner = [], lm._asked
-    monkeypatch.setattr(lm, "_asked", lambda shards: seen.append(shards) or inner(shards))
+    monkeypatch.setattr(lm, "_asked", lambda shards, drop: seen.append(shards) or inner(shards, drop))
     columns = ("doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6), F.round("score", 6))
     want = sorted(map(str, lm.score_texts(df).select(*columns).collect()))
     small = sorted(map(str, lm.score_texts(df, block_rows=64, block_bytes=2000, shard_bytes=1000).select(*columns).collect()))
