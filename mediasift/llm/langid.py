@@ -23,6 +23,8 @@ SAMPLE_ROWS, SAMPLE_CHARS = 300, 4000
 ROUNDS, SMOOTHING = 4, 0.05
 UNKNOWN_LANGUAGE = "und"
 CACHE_WORDS = 200_000
+#: Words of a batch, and its words times the letters of its longest word.
+BATCH, CELLS = 4096, 1 << 18
 _START = "▁"  # the vocabulary's mark for a word's beginning
 _RUN = re.compile(r"[^\W\d_]+")
 _LETTERS = regex.compile(r"\p{L}+")
@@ -121,46 +123,59 @@ class Segmenter:
             alpha[i] = total
         return alpha, scale
 
-    def log_prob(self, words: list[str], prob: np.ndarray) -> np.ndarray:
-        """log probability of each word in each language, marginal over its segmentations."""
-        out = np.empty((len(words), prob.shape[1]))
+    def batches(self, words: list[str]):
+        """Numbers of the words in order of length, in batches of at most ``BATCH`` words and, where more than one,
+        ``CELLS`` letters of the longest word's width."""
         order = np.argsort([len(w) for w in words], kind="stable")
         lo = 0
         while lo < len(order):
-            hi = min(len(order), lo + 4096)
-            while hi > lo + 1 and len(words[order[hi - 1]]) > 2 * len(words[order[lo]]) + 8:
+            hi = min(len(order), lo + BATCH)
+            while hi > lo + 1 and (len(words[order[hi - 1]]) > 2 * len(words[order[lo]]) + 8
+                                   or len(words[order[hi - 1]]) * (hi - lo) > CELLS):
                 hi = lo + (hi - lo) // 2
-            part = order[lo:hi]
+            yield order[lo:hi]
+            lo = hi
+
+    def log_prob(self, words: list[str], prob: np.ndarray) -> np.ndarray:
+        """log probability of each word in each language, marginal over its segmentations."""
+        out = np.empty((len(words), prob.shape[1]))
+        for part in self.batches(words):
             lens, found = self.lattice([words[i] for i in part])
             alpha, scale = self.forward(lens, found, prob)
             rows = np.arange(len(part))
             out[part] = np.log(np.maximum(alpha[lens, rows], 1e-300)) + scale[lens, rows]
-            lo = hi
         return out
 
     def expected(self, words: list[str], counts: np.ndarray, prob: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece in each language; ``counts`` are [word, language]. Words under 24 letters."""
+        """Expected uses of each piece in each language; ``counts`` are [word, language]. Words of any length: both
+        directions keep their sums near one in long words."""
         total = np.zeros((self.n + 1, prob.shape[1]))
         padded = np.vstack((prob, np.zeros((1, prob.shape[1]))))
-        order = np.argsort([len(w) for w in words], kind="stable")
-        for lo in range(0, len(order), 4096):
-            part = order[lo:lo + 4096]
+        for part in self.batches(words):
             lens, found = self.lattice([words[i] for i in part])
-            alpha, _ = self.forward(lens, found, prob)
+            alpha, scale = self.forward(lens, found, prob)
             rows, width = np.arange(len(part)), int(lens.max())
-            beta = np.zeros_like(alpha)
+            beta, back = np.zeros((2, *alpha.shape))  # sums over the segmentations of each suffix, log of their scales
             beta[lens, rows] = 1
-            weight = counts[part] / np.maximum(alpha[lens, rows], 1e-300)
+            weight, end = counts[part] / np.maximum(alpha[lens, rows], 1e-300), scale[lens, rows]
             for i in range(width - 1, -1, -1):
                 for ln in range(1, min(width - i, len(found)) + 1):
                     p = found[ln - 1][:, i]
                     use = np.flatnonzero(p >= 0)
                     if len(use):
                         q = beta[i + ln, use] * padded[p[use]]
+                        if width > 24:
+                            q *= np.exp(back[i + ln, use] - back[i + 1, use])
                         beta[i, use] += q
                         e = alpha[i, use] * q * weight[use]
+                        if width > 24:
+                            e *= np.exp(scale[i, use] + back[i + 1, use] - end[use])
                         for j in range(prob.shape[1]):
                             total[:, j] += np.bincount(p[use], e[:, j], minlength=self.n + 1)
+                if width > 24:
+                    top = np.where(beta[i] > 0, beta[i], 1)
+                    beta[i] /= top
+                    back[i] = back[i + 1] + np.log(top)
         return total
 
 
@@ -172,9 +187,8 @@ def fit(rows: list[tuple[str, str]], pieces: list[str], rounds: int = ROUNDS) ->
     for text, lang in rows:
         j = langs.index(lang)
         for w in words_of(text):
-            if len(w) < 23:
-                key = (at.setdefault(w, len(at)), j)
-                pairs[key] = pairs.get(key, 0) + 1
+            key = (at.setdefault(w, len(at)), j)
+            pairs[key] = pairs.get(key, 0) + 1
     prob = np.full((len(pieces) + 1, len(langs)), 1 / (len(pieces) + 1))
     if at:
         counts = np.zeros((len(at), len(langs)))

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from mediasift.llm import align, byte_pieces, hard_negatives, html_text, quality
+from mediasift.llm import align, byte_pieces, hard_negatives, html_text, langid, quality
 
 LONG = "lorem ipsum dolor " * 9000 + "x" * 150_000
 TEXTS = [None, "", " \t\n", "A b C", "a b c", "été über ñu 日本語 ½ ² \U0001f600", "one\ntwo\n\none\n", LONG, LONG,
@@ -346,3 +346,33 @@ def test_segment_medians():
 def test_a_passage_does_not_move_the_median():
     values = np.concatenate((np.full(900, 0.7), np.full(200, 3.0), np.full(900, 0.7)))
     assert np.isclose(quality.segment_medians(values, np.array([2000]))[0], 0.7)
+
+
+# --- language ID: words of any length ---
+
+def test_expected_uses_of_long_words_are_the_gradient():
+    pieces = sorted(["▁", "▁a", "a", "b", "ab", "ba", "aab", "c", "bc"])
+    seg, rng = langid.Segmenter(pieces), np.random.default_rng(4)
+    prob = rng.random((len(pieces) + 1, 2)) / 20
+    for words in (["".join(rng.choice(list("abcd"), 60)), "abc", "".join(rng.choice(list("abc"), 31)), ""], ["ab" * 900], ["bca"]):
+        counts = rng.integers(1, 4, (len(words), 2)).astype(float)
+        got = seg.expected(words, counts, prob)
+        for piece in range(len(pieces) + 1):
+            up, down = prob.copy(), prob.copy()
+            up[piece] *= 1.0001
+            down[piece] /= 1.0001
+            slope = (counts * (seg.log_prob(words, up) - seg.log_prob(words, down))).sum(axis=0) / (2 * np.log(1.0001))
+            np.testing.assert_allclose(got[piece], slope, rtol=1e-4, atol=1e-4)
+
+
+def test_languages_without_spaces_are_learned():
+    rng = np.random.default_rng(5)
+    letters = {"one": ["の人", "日本", "国に", "月は"], "two": ["中国", "人民", "日月", "本的"]}
+    def sentence(lang):
+        return "".join(rng.choice(letters[lang], 30))
+    rows = [(sentence(lang), lang) for lang in letters for _ in range(20)]
+    pieces = langid.vocabulary()
+    langs, prob = langid.fit(rows, pieces)
+    fresh = [lang for lang in letters for _ in range(50)]
+    pred, _ = langid.Identifier(langs, prob, pieces).predict([sentence(lang) for lang in fresh])
+    assert pred == fresh
