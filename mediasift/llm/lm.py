@@ -38,7 +38,7 @@ from mediasift.sources.tables import table
 
 #: Rows and bytes of text of a block, the unit whose n-grams one task holds (a block passes ``BLOCK_BYTES`` by its
 #: last text at most), and bytes of text of all blocks for each shard.
-BLOCK_ROWS, BLOCK_BYTES, SHARD_BYTES = 4096, 1 << 25, 1 << 25
+BLOCK_ROWS, BLOCK_BYTES, SHARD_BYTES = 2048, 12 << 20, 1 << 25
 #: Weight, in tokens, of the word model in the bigram model and of the bigram model in the trigram model.
 PRIORS = (500.0, 10.0)
 #: Tokens of a run, the part of a text that one row of the traversal's vectors walks.
@@ -270,6 +270,7 @@ def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int
     """(n_tokens, n_known, base score, score) of the texts of one block. ``answers`` are rows
     (kind, shard, marks, counts); ``distinct`` words and ``total`` tokens are those of training."""
     t, by_kind = Tokens(texts), defaultdict(list)
+    del texts
     for kind, *answer in answers:
         by_kind[kind].append(answer)
     weight = np.repeat(learn.astype(np.int64), t.sizes)
@@ -282,7 +283,6 @@ def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int
     previous = np.concatenate(([-1], t.ids[:-1]))
     previous[t.first] = -1
     pairs, inner = (previous[at], t.ids[at], c2), t.inner()
-    del previous
     keys, at, number = np.unique(t.trigram_keys(drop), return_index=True, return_inverse=True)
     c3 = _with_totals(np.bincount(number, weight[inner], minlength=len(keys)).astype(np.int64), keys, by_kind[3], shards)
     triple = np.zeros(len(t.ids), np.int64)
@@ -290,7 +290,7 @@ def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int
     last = inner[at]
     automaton = BackoffAutomaton(count, total, distinct, int(count[0]),  # as many texts begin as end
                                  pairs, (pair[last - 1], pair[last], c3), priors)
-    del keys, at, number, last, weight
+    del keys, at, number, last, weight, pairs, c2, c3, inner, previous
     return (t.sizes, np.add.reduceat((count > 0)[t.ids].astype(np.int64), t.first),
             np.add.reduceat(automaton.arc[1][t.ids], t.first),
             automaton.walk({1: t.ids, 2: pair, 3: triple}, t.first, t.sizes))
@@ -366,11 +366,13 @@ def score_texts(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", l
     def finish(packed: pa.Table, told: pa.Table) -> pa.Table:
         names = [id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         texts = pa.concat_tables(pa.ipc.open_stream(x.as_buffer()).read_all() for x in packed.column("rows"))
+        ids, learn = texts.column("_id"), texts.column("_learn").to_numpy()
+        texts = texts.column("_text").to_pylist()
         sizes, known, base, score = score_block(
-            texts.column("_text").to_pylist(), texts.column("_learn").to_numpy(),
+            texts, learn,
             zip(*(told.column(c).to_pylist() for c in ("kind", "shard", "marks", "counts")), strict=True),
             shards, distinct, total, drop, priors)
-        return pa.Table.from_arrays([texts.column("_id"), *map(pa.array, (sizes, known, np.full(len(sizes), total), base, score))],
+        return pa.Table.from_arrays([ids, *map(pa.array, (sizes, known, np.full(len(sizes), total), base, score))],
                                     names=names)
 
     blocks = rows.select("_text", "_learn", "_id", "_file", "_no").mapInArrow(_packed, _PACKED)
