@@ -38,7 +38,7 @@ from mediasift.sources.tables import table
 
 #: Rows and bytes of text of a block, the unit whose n-grams one task holds (a block passes ``BLOCK_BYTES`` by its
 #: last text at most), and bytes of text of all blocks for each shard.
-BLOCK_ROWS, BLOCK_BYTES, SHARD_BYTES = 2048, 12 << 20, 1 << 25
+BLOCK_ROWS, BLOCK_BYTES, SHARD_BYTES = 2048, 8 << 20, 1 << 25
 #: Weight, in tokens, of the word model in the bigram model and of the bigram model in the trigram model.
 PRIORS = (500.0, 10.0)
 #: Tokens of a run, the part of a text that one row of the traversal's vectors walks.
@@ -63,7 +63,7 @@ class Tokens:
         index[None]  # the end token
         lists = [[*map(index.__getitem__, lower_words(t)), 0] for t in texts]
         self.sizes = np.array([len(x) for x in lists], np.int64)
-        self.ids = np.fromiter(chain.from_iterable(lists), np.int64, int(self.sizes.sum()))
+        self.ids = np.fromiter(chain.from_iterable(lists), np.int32, int(self.sizes.sum()))
         index.default_factory = None  # it holds the index: without this cycle the memory is free at once
         words = iter(index)
         next(words)
@@ -280,17 +280,18 @@ def score_block(texts: list[str | None], learn: np.ndarray, answers, shards: int
                                 t.hashes[order], by_kind[1], shards)
     keys, at, pair = np.unique(t.bigram_keys(drop), return_index=True, return_inverse=True)
     c2 = _with_totals(np.bincount(pair, weight, minlength=len(keys)).astype(np.int64), keys, by_kind[2], shards)
-    previous = np.concatenate(([-1], t.ids[:-1]))
+    pair = pair.astype(np.int32)
+    previous = np.roll(t.ids, 1)
     previous[t.first] = -1
     pairs, inner = (previous[at], t.ids[at], c2), t.inner()
     keys, at, number = np.unique(t.trigram_keys(drop), return_index=True, return_inverse=True)
     c3 = _with_totals(np.bincount(number, weight[inner], minlength=len(keys)).astype(np.int64), keys, by_kind[3], shards)
-    triple = np.zeros(len(t.ids), np.int64)
+    triple = np.zeros(len(t.ids), np.int32)
     triple[inner] = number
     last = inner[at]
     automaton = BackoffAutomaton(count, total, distinct, int(count[0]),  # as many texts begin as end
                                  pairs, (pair[last - 1], pair[last], c3), priors)
-    del keys, at, number, last, weight, pairs, c2, c3, inner, previous
+    del keys, at, number, last, weight, pairs, c2, c3, inner, previous, answers, by_kind
     return (t.sizes, np.add.reduceat((count > 0)[t.ids].astype(np.int64), t.first),
             np.add.reduceat(automaton.arc[1][t.ids], t.first),
             automaton.walk({1: t.ids, 2: pair, 3: triple}, t.first, t.sizes))
