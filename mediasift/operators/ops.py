@@ -74,3 +74,22 @@ def label_rollup(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Dat
             .agg(F.count(F.lit(1)).alias("n"), F.count("quality").alias("labeled"),
                  F.round(F.avg("quality").cast("double"), 6).alias("quality_rate"),
                  F.round(F.avg("toxic").cast("double"), 6).alias("toxic_rate")))
+
+
+def label_cube(docs: DataFrame, labels: DataFrame, key: str = "doc_id", chars: str = "n_chars") -> DataFrame:
+    """Counts, rates and length distribution by every subset of (lang, source).
+
+    ``level`` is the grouping id (0: both columns, 1: lang, 2: source, 3: all rows), which tells a subtotal row from
+    a null key. Lengths are counts by power of ten, so cubes of parts add up to the cube of the whole. Labels must be
+    one row per key; rows without a label or a length count in ``n`` only. All aggregates are partial before the shuffle.
+    """
+    j = docs.select(key, "lang", "source", F.col(chars).alias("_len")).join(labels.select(key, "quality", "toxic"), key, "left")
+    size = F.col("_len")
+    return (j.cube("lang", "source")
+            .agg(F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("n"), F.count("quality").alias("labeled"),
+                 F.round(F.avg("quality").cast("double"), 6).alias("quality_rate"),
+                 F.round(F.avg("toxic").cast("double"), 6).alias("toxic_rate"),
+                 F.min(size).cast("long").alias("min_chars"), F.max(size).cast("long").alias("max_chars"),
+                 F.count_if(size < 100).alias("below_100"), F.count_if((size >= 100) & (size < 1000)).alias("below_1000"),
+                 F.count_if((size >= 1000) & (size < 10000)).alias("below_10000"),
+                 F.count_if(size >= 10000).alias("from_10000")))

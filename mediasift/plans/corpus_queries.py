@@ -110,6 +110,10 @@ def label_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return ops.label_rollup(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def label_cube(spark: SparkSession, sf: str) -> DataFrame:
+    return ops.label_cube(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES = {
     "url_dedup": url_dedup,
     "exact_dedup": exact_dedup,
@@ -126,6 +130,7 @@ QUERIES = {
     "stale_labels": stale_labels,
     "review_queue": review_queue,
     "label_rollup": label_rollup,
+    "label_cube": label_cube,
 }
 
 # ---------------------------------------------------------------------------
@@ -265,4 +270,11 @@ FROM j""",
        round(avg(quality), 6) AS quality_rate, round(avg(toxic), 6) AS toxic_rate
 FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 GROUP BY ROLLUP (lang, source)""",
+    "label_cube": """SELECT lang, source, CAST(grouping_id(lang, source) AS INTEGER) AS level, count(*) AS n, count(quality) AS labeled,
+       round(avg(quality), 6) AS quality_rate, round(avg(toxic), 6) AS toxic_rate,
+       CAST(min(n_chars) AS BIGINT) AS min_chars, CAST(max(n_chars) AS BIGINT) AS max_chars,
+       count(*) FILTER (n_chars < 100) AS below_100, count(*) FILTER (n_chars >= 100 AND n_chars < 1000) AS below_1000,
+       count(*) FILTER (n_chars >= 1000 AND n_chars < 10000) AS below_10000, count(*) FILTER (n_chars >= 10000) AS from_10000
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+GROUP BY CUBE (lang, source)""",
 }

@@ -231,3 +231,18 @@ def test_near_copies_give_linear_links(spark):
         labels = leaders.connected_groups(df.select("id"), stars)
         counts.append(stars.count() + leaders._open_links(keys, labels, df.select("id", "sig"), spec).count())
     assert counts[1] < 3 * counts[0] and counts[1] < 180 * 8 < 60 * 59 / 2
+
+
+def test_cube_tells_subtotals_from_null_keys(spark):
+    from mediasift.operators import ops
+
+    docs = spark.createDataFrame([(1, "en", None, 5), (2, None, "a", 100), (3, None, None, None), (4, "en", "a", 20000)],
+                                 "doc_id long, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    got = {(r.lang, r.source, r.level): r for r in ops.label_cube(docs, labels).collect()}
+    assert len(got) == 4 + 2 + 2 + 1
+    assert [got[None, None, level].n for level in (0, 1, 2, 3)] == [1, 2, 2, 4]
+    whole = got[None, None, 3]
+    assert (whole.labeled, whole.quality_rate, whole.min_chars, whole.max_chars) == (2, 0.5, 5, 20000)
+    assert (whole.below_100, whole.below_1000, whole.below_10000, whole.from_10000) == (1, 1, 0, 1)
+    assert ops.label_cube(docs.limit(0), labels).filter("level < 3").count() == 0
