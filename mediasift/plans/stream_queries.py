@@ -11,13 +11,14 @@ from mediasift.plans.dedup_queries import ORACLE as DEDUP_ORACLE
 from mediasift.plans.dedup_queries import PHASH
 from mediasift.session import checkpoint_dir, materialize
 from mediasift.sources.fixtures import FAR_COPY, NEAR_COPY, clone_frames, phash_signatures
-from mediasift.streaming import monitor
+from mediasift.streaming import backlog, monitor
 from mediasift.streaming.incremental import run_incremental
 
 WATERMARK = "1 hour"
 TUMBLE = "1 hour"
 SLIDE_LEN, SLIDE_STEP = "2 hours", "1 hour"
 SESSION_GAP = "30 minutes"
+IDLE_HOURS, HOUR_US = 12, 3_600_000_000
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -76,11 +77,22 @@ def worker_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return _windows(spark, sf, agg, "worker").select("window_start", "window_end", "worker", "n")
 
 
+def stage_backlog(spark: SparkSession, sf: str) -> DataFrame:
+    """Users are items, event types their stages, a move to ``error`` is a failure of the stage left. Hourly
+    arrivals, departures, failures and backlog; users without an event for 12 hours leave their stage."""
+    stream = backlog.stage_moves(_events(spark, sf), IDLE_HOURS * HOUR_US, "user_id", "event_type")
+    closed = backlog.run_moves(stream, _scratch(spark, "backlog"))
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    rest = backlog.open_moves(closed, events, HOUR_US, IDLE_HOURS * HOUR_US, "user_id", "event_type")
+    return backlog.backlog_windows(closed.unionByName(rest), 1, F.col("to_stage") == "error")
+
+
 QUERIES = {
     "incremental_dedup": incremental_dedup,
     "stage_rate_windows": stage_rate_windows,
     "stage_sliding_windows": stage_sliding_windows,
     "worker_sessions": worker_sessions,
+    "stage_backlog": stage_backlog,
 }
 
 ORACLE = {
@@ -106,4 +118,24 @@ s AS (SELECT *, sum(brk) OVER (PARTITION BY worker ORDER BY ts ROWS BETWEEN UNBO
 SELECT * FROM (
   SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, worker, count(*) AS n
   FROM s GROUP BY worker, sid)""",
+    "stage_backlog": f"""WITH e AS (
+  SELECT ts, event_type, lag(event_type) OVER w AS prev, lag(ts) OVER w AS prev_ts, lead(ts) OVER w AS next_ts
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+m AS (
+  SELECT ts, CASE WHEN ts <= prev_ts + INTERVAL {IDLE_HOURS} HOUR THEN prev END AS src, event_type AS dst FROM e
+  UNION ALL
+  SELECT ts + INTERVAL {IDLE_HOURS} HOUR, event_type, NULL FROM e
+  WHERE (next_ts IS NULL OR next_ts > ts + INTERVAL {IDLE_HOURS} HOUR)
+    AND ts + INTERVAL {IDLE_HOURS} HOUR <= (SELECT max(ts) FROM events)),
+c AS (
+  SELECT ts, dst AS stage, 1 AS came, 0 AS gone, 0 AS bad FROM m WHERE src IS DISTINCT FROM dst AND dst IS NOT NULL
+  UNION ALL
+  SELECT ts, src, 0, 1, CASE WHEN dst = 'error' THEN 1 ELSE 0 END FROM m
+  WHERE src IS DISTINCT FROM dst AND src IS NOT NULL),
+p AS (SELECT date_trunc('hour', ts) AS window_start, stage, sum(came) AS came, sum(gone) AS gone, sum(bad) AS failed
+      FROM c GROUP BY 1, 2)
+SELECT window_start, stage, came::BIGINT AS came, gone::BIGINT AS gone, failed::BIGINT AS failed,
+       CASE WHEN gone > 0 THEN round(failed / gone, 6) END AS error_rate,
+       (sum(came - gone) OVER (PARTITION BY stage ORDER BY window_start))::BIGINT AS backlog
+FROM p""",
 }
