@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mediasift.operators import frame_dedup
 from mediasift.operators.leaders import (greedy_leaders, lookup_index,
                                         fused_matches, similarity_groups, similarity_pairs)
 from mediasift.operators.metric_join import ExactEmbeddingSpec
 from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
 from mediasift.session import materialize
 from mediasift.sources.fixtures import (FAR_COPY, NEAR_COPY, clone_frames, embedding_signatures,
-                                        phash_signatures)
+                                        image_frames, image_videos, phash_signatures)
 
 PHASH = PhashSpec(threshold=5.0, radius=2)
 EMBED = EmbeddingSpec(threshold=0.95, bands=64, bits_per_band=20)
@@ -103,7 +104,25 @@ def assignment_parts(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("policy", "part", "n")
 
 
+FRAME_K, WIDE_HASH, WIDE_THRESHOLD, PATCHES = 3, 16, 32.0, 8
+
+
+def frames_phash_leaders(spark: SparkSession, sf: str) -> DataFrame:
+    """Images of sampled frames, 256-bit hashes, duplicates."""
+    return _round(frame_dedup.phash_duplicates(image_videos(spark, sf), image_frames(spark, sf), FRAME_K, WIDE_HASH,
+                                               WIDE_THRESHOLD))
+
+
+def frames_embedding_leaders(spark: SparkSession, sf: str) -> DataFrame:
+    """Images of sampled frames, a vector per frame, duplicates by the exact join."""
+    return _round(frame_dedup.embedding_duplicates(
+        image_videos(spark, sf), image_frames(spark, sf), f"patches-{PATCHES}", frame_dedup.patch_loader(PATCHES),
+        frame_dedup.patch_means, FRAME_K, spec=EMBED_EXACT))
+
+
 QUERIES = {
+    "frames_phash_leaders": frames_phash_leaders,
+    "frames_embedding_leaders": frames_embedding_leaders,
     "duplicate_groups": duplicate_groups,
     "fused_pairs": fused_pairs,
     "assignment_parts": assignment_parts,
@@ -218,6 +237,47 @@ lead AS (SELECT unnest(leaders) AS video_id FROM (SELECT leaders FROM walk ORDER
 {tail or body}"""
 
 
+# Images of the sampled frames: index 0, 2, 4 of five, the next index if one is missing.
+_IMAGES = f"""{V_FRAMES.replace("vnf AS (SELECT", "vnf0 AS (SELECT")},
+vnf AS (SELECT DISTINCT video_id FROM vframes),
+there AS (SELECT video_id, frame_idx, vec FROM vframes WHERE (video_id + frame_idx) % 17 <> 5),
+reads AS (
+  SELECT v.video_id, i AS pos, coalesce(a.vec, b.vec) AS vec,
+         coalesce(a.frame_idx, b.frame_idx) AS frame_idx
+  FROM vnf v CROSS JOIN range(0, 5, 2) t(i)
+  LEFT JOIN there a ON a.video_id = v.video_id AND a.frame_idx = i
+  LEFT JOIN there b ON b.video_id = v.video_id AND b.frame_idx = i + 1
+  WHERE coalesce(a.frame_idx, b.frame_idx) IS NOT NULL),
+good AS (SELECT video_id, count(*) AS nf FROM reads GROUP BY video_id
+         HAVING NOT bool_or(video_id % 23 = 4 AND frame_idx = 2)),
+imrows AS (
+  SELECT video_id, pos, r, [CAST(greatest(0, least(255, floor(128 + 2000 * vec[r + 1] * vec[(3 * c + 7) % 64 + 1]))) AS DOUBLE)
+                            FOR c IN range(0, 64)] AS px
+  FROM reads SEMI JOIN good USING (video_id) CROSS JOIN range(0, 64) t(r))"""
+
+_IMAGE_HASHES = _IMAGES + f""",
+basis AS (SELECT k, [2 * cos(pi() * k * (2 * m + 1) / 128) FOR m IN range(0, 64)] AS c FROM range(0, {WIDE_HASH}) t(k)),
+half AS (SELECT video_id, pos, k AS l, list(list_dot_product(px, c) ORDER BY r) AS t
+         FROM imrows CROSS JOIN basis GROUP BY video_id, pos, k),
+coef AS (SELECT video_id, pos, k, l, list_dot_product(t, c) AS v FROM half CROSS JOIN basis),
+mid AS (SELECT video_id, pos, median(v) AS m FROM coef GROUP BY video_id, pos),
+bits AS (SELECT video_id, pos, string_agg(CASE WHEN v > m THEN '1' ELSE '0' END, '' ORDER BY k, l)::BIT AS h
+         FROM coef JOIN mid USING (video_id, pos) GROUP BY video_id, pos),
+ranked AS (SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY pos) AS p, h, nf FROM bits JOIN good USING (video_id)),
+pairs AS (SELECT a.video_id AS id_a, b.video_id AS id_b, sum(bit_count(xor(a.h, b.h))) / max(a.nf) AS score
+          FROM ranked a JOIN ranked b ON a.p = b.p AND a.nf = b.nf AND a.video_id < b.video_id
+          GROUP BY 1, 2 HAVING sum(bit_count(xor(a.h, b.h))) / max(a.nf) <= {WIDE_THRESHOLD})"""
+
+_IMAGE_VECTORS = _IMAGES + f""",
+cells AS (SELECT video_id, pos, r // 8 AS pr, pc, avg(list_sum(px[pc * 8 + 1:pc * 8 + 8]) / 8) AS v
+          FROM imrows CROSS JOIN range(0, {PATCHES}) t(pc) GROUP BY 1, 2, 3, 4),
+vecs AS (SELECT video_id, pos, list(v - m ORDER BY pr, pc) AS x
+         FROM (SELECT *, avg(v) OVER (PARTITION BY video_id, pos) AS m FROM cells) GROUP BY 1, 2),
+ranked AS (SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY pos) AS p, x, nf FROM vecs JOIN good USING (video_id)),
+pairs AS (SELECT a.video_id AS id_a, b.video_id AS id_b, avg(list_cosine_similarity(a.x, b.x)) AS score
+          FROM ranked a JOIN ranked b ON a.p = b.p AND a.nf = b.nf AND a.video_id < b.video_id
+          GROUP BY 1, 2 HAVING avg(list_cosine_similarity(a.x, b.x)) >= 0.95)"""
+
 _FUSED = (PHASH_PAIRS_CTE.replace("\npairs AS (", "\nppairs AS (") + ",\n"
           + EMBED_PAIRS_CTE[len(V_FRAMES) + 2:].replace("\npairs AS (", "\nepairs AS ("))
 
@@ -229,6 +289,8 @@ UNION ALL SELECT 'keep', 'duplicate', (SELECT count(*) FROM items) - (SELECT cou
 UNION ALL SELECT 'drop', 'duplicate', (SELECT count(*) FROM items) - (SELECT count(*) FROM lead)"""
 
 ORACLE = {
+    "frames_phash_leaders": _greedy_sql(_IMAGE_HASHES, "arg_min(p.id_a, (p.score, p.id_a))"),
+    "frames_embedding_leaders": _greedy_sql(_IMAGE_VECTORS, "arg_min(p.id_a, (-p.score, p.id_a))"),
     "duplicate_groups": f"""WITH RECURSIVE {PHASH_PAIRS_CTE},
 e AS (SELECT id_a AS a, id_b AS b FROM pairs UNION ALL SELECT id_b, id_a FROM pairs),
 lab(video_id, g) AS (SELECT video_id, video_id FROM vnf

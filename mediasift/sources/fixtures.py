@@ -54,6 +54,25 @@ def clone_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .unionByName(_copy(picked, *FAR_COPY)))
 
 
+# Fixed values of the image fixture: side of a frame, frames that are missing, frames that can't be read.
+IMAGE_SIDE = 64
+
+
+def image_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(video_id, n_frames) of ``clone_frames``."""
+    return clone_frames(spark, sf_dir).select("video_id").distinct().withColumn("n_frames", F.lit(FRAMES_PER_VIDEO))
+
+
+def image_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(video_id, frame_idx, luma): 64 x 64 pixels from products of a frame's first 64 components; some frames are
+    missing, some have no pixels."""
+    pixels = F.expr(f"""transform(sequence(0, {IMAGE_SIDE * IMAGE_SIDE - 1}), p -> cast(greatest(0, least(255, floor(
+        128 + 2000 * embedding[p div {IMAGE_SIDE}] * embedding[(3 * (p % {IMAGE_SIDE}) + 7) % {IMAGE_SIDE}]))) as int))""")
+    f = clone_frames(spark, sf_dir).where((F.col("video_id") + F.col("frame_idx")) % 17 != 5)
+    broken = (F.col("video_id") % 23 == 4) & (F.col("frame_idx") == 2)
+    return f.select("video_id", "frame_idx", F.when(~broken, pixels).alias("luma"))
+
+
 def phash_signatures(frames: DataFrame) -> DataFrame:
     """One row per video: hashes ordered by frame index.
 
