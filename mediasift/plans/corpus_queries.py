@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediasift.operators import content, ops, overlap, search, vector_index
+from mediasift.session import checkpoint_dir
+from mediasift.sources.manifest import StageRuns, input_version
 from mediasift.sources.tables import table
 
 # Fixed query parameters of the registered queries.
@@ -17,6 +21,7 @@ VEC_K, VEC_QUERY_EVERY = 5, 50
 SHINGLE_WORDS = 8
 PRED_CUTOFF_CHARS, MIN_CONF, SAMPLE_PERCENT = 300, 0.2, 30
 LABEL_VERSIONS, TARGET_VERSION = 3, 2
+WAVES, FIRST_WAVES = 4, 2
 
 
 def url_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,7 +119,21 @@ def label_cube(spark: SparkSession, sf: str) -> DataFrame:
     return ops.label_cube(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def stage_provenance(spark: SparkSession, sf: str) -> DataFrame:
+    """Word counts of all documents by a stage that stops after two waves and is run again; every row with the
+    wave and run that made it."""
+    base = f"{checkpoint_dir(spark).rstrip('/')}/mediasift-stages/{uuid.uuid4().hex}"
+    stage = StageRuns(spark, base, "word_counts", code_version="1", waves=WAVES)
+    docs, source = table(spark, sf, "documents"), input_version(spark, f"{sf}/documents.parquet")
+    words = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^ \t-\r]+"), F.lit(0)))
+    count = lambda part: part.select("doc_id", words.cast("long").alias("n_words"))
+    stage.run(docs, source, "doc_id", count, run="first", stop_after=FIRST_WAVES)
+    version = stage.run(docs, source, "doc_id", count, run="second")
+    return stage.read(version, provenance=True).select("doc_id", "n_words", "made_by.stage", "made_by.wave", "made_by.run")
+
+
 QUERIES = {
+    "stage_provenance": stage_provenance,
     "url_dedup": url_dedup,
     "exact_dedup": exact_dedup,
     "overlap_spans": overlap_spans,
@@ -198,6 +217,10 @@ _BOOL_HAVING = " AND ".join(
 _BOOL_TERMS = ", ".join(f"'{t}'" for t in BOOL_ALL + BOOL_ANY + BOOL_NONE)
 
 ORACLE = {
+    "stage_provenance": f"""SELECT *, CASE WHEN wave < {FIRST_WAVES} THEN 'first' ELSE 'second' END AS run FROM (
+  SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS n_words, 'word_counts' AS stage,
+         CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % {WAVES} AS INTEGER) AS wave
+  FROM documents)""",
     "url_dedup": r"""WITH c AS (
   SELECT page_id, split_part(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#', 1) AS u FROM pages),
 p AS (SELECT page_id, rtrim(split_part(u, '?', 1), '/') AS u,
