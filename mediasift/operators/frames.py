@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from mediasift.functions.timecols import epoch_micros
 from mediasift.functions.vectors import cosine
+from mediasift.session import materialize
+
+SHOT_BLOCK = 4096  # frame numbers that one task compares in a row
 
 
 def _c(x):
@@ -96,6 +99,37 @@ def shot_segments(frames: DataFrame, threshold: float, id_col: str = "video_id",
                  F.count(F.lit(1)).alias("frames")))
 
 
+def shot_segments_in_blocks(frames: DataFrame, threshold: float, id_col: str = "video_id", vec_col: str = "embedding",
+                            block: int = SHOT_BLOCK) -> DataFrame:
+    """D7 for videos of any length: as ``shot_segments``, a video spread over many tasks.
+
+    Frames are cut into blocks of frame numbers. A block takes the last vector of the video's block before it, numbers
+    its own segments from there, and is then summed up by its cuts; the running sum of cuts over a video's blocks (one
+    row a block) turns them into numbers of the whole video. A frame without a vector starts no shot, nor does the
+    frame after it. Frame numbers must be distinct in a video; those without a number are left out, a null id is one
+    video.
+    """
+    f = frames.where(F.col("frame_idx").isNotNull()).select(
+        F.col(id_col).alias("v"), F.floor(F.col("frame_idx") / block).alias("blk"), F.col("frame_idx").alias("i"),
+        F.col(vec_col).cast("array<double>").alias("x"))
+    by_video = Window.partitionBy("ev").orderBy("eb")
+    ends = (f.groupBy(F.col("v").alias("ev"), F.col("blk").alias("eb")).agg(F.max_by("x", "i").alias("end"))
+            .select("ev", "eb", F.lag("end").over(by_video).alias("carry")))
+    w = Window.partitionBy("v", "blk").orderBy("i")
+    prev = F.when(F.row_number().over(w) == 1, F.col("carry")).otherwise(F.lag("x").over(w))
+    joined = f.join(ends, F.col("v").eqNullSafe(F.col("ev")) & (F.col("blk") == F.col("eb")))
+    cut = joined.select("v", "blk", "i", F.coalesce((cosine(F.col("x"), prev) < threshold).cast("int"), F.lit(0)).alias("cut"))
+    parts = materialize(
+        cut.select("v", "blk", "i", F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("part"))
+        .groupBy("v", "blk", "part").agg(F.min("i").alias("lo"), F.max("i").alias("hi"), F.count(F.lit(1)).alias("n")), "shots")
+    before = Window.partitionBy("ov").orderBy("ob").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (parts.groupBy(F.col("v").alias("ov"), F.col("blk").alias("ob")).agg(F.max("part").alias("cuts"))
+               .select("ov", "ob", F.coalesce(F.sum("cuts").over(before), F.lit(0)).alias("offset")))
+    return (parts.join(offsets, F.col("v").eqNullSafe(F.col("ov")) & (F.col("blk") == F.col("ob")))
+            .groupBy(F.col("v").alias(id_col), (F.col("offset") + F.col("part")).alias("segment"))
+            .agg(F.min("lo").alias("first_frame"), F.max("hi").alias("last_frame"), F.sum("n").alias("frames")))
+
+
 def keyframes(events: DataFrame, group_col: str, ts_col: str, id_col: str, bucket_seconds: int) -> DataFrame:
     """First row (by time, then id) per group and time bucket."""
     bucket = F.floor(epoch_micros(ts_col) / F.lit(bucket_seconds * 1_000_000)).cast("long")

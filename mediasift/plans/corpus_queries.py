@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mediasift.operators import content, ops, overlap, search, vector_index
 from mediasift.session import checkpoint_dir
+from mediasift.sources import layout
 from mediasift.sources.manifest import StageRuns, input_version
 from mediasift.sources.tables import table
 
@@ -22,6 +23,8 @@ SHINGLE_WORDS = 8
 PRED_CUTOFF_CHARS, MIN_CONF, SAMPLE_PERCENT = 300, 0.2, 30
 LABEL_VERSIONS, TARGET_VERSION = 3, 2
 WAVES, FIRST_WAVES = 4, 2
+LAYOUT_COLUMNS, LAYOUT_FILES = ["o_custkey", "o_totalprice"], 64
+LAYOUT_RANGES = {"o_custkey": (100, 400), "o_totalprice": (None, 60000.0)}
 
 
 def url_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,6 +122,15 @@ def label_cube(spark: SparkSession, sf: str) -> DataFrame:
     return ops.label_cube(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders written along a Z-order curve of customer and price, then read by ranges of both, from the files
+    that the ranges leave."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/mediasift-layout/{uuid.uuid4().hex}"
+    layout.write_clustered(table(spark, sf, "orders"), path, LAYOUT_COLUMNS, LAYOUT_FILES)
+    ranges = layout.file_ranges(spark, path, LAYOUT_COLUMNS)
+    return layout.read_where(spark, path, ranges, LAYOUT_RANGES).select("o_orderkey", *LAYOUT_COLUMNS)
+
+
 def stage_provenance(spark: SparkSession, sf: str) -> DataFrame:
     """Word counts of all documents by a stage that stops after two waves and is run again; every row with the
     wave and run that made it."""
@@ -133,6 +145,7 @@ def stage_provenance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "clustered_layout": clustered_layout,
     "stage_provenance": stage_provenance,
     "url_dedup": url_dedup,
     "exact_dedup": exact_dedup,
@@ -217,6 +230,8 @@ _BOOL_HAVING = " AND ".join(
 _BOOL_TERMS = ", ".join(f"'{t}'" for t in BOOL_ALL + BOOL_ANY + BOOL_NONE)
 
 ORACLE = {
+    "clustered_layout": """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey BETWEEN 100 AND 400 AND o_totalprice <= 60000""",
     "stage_provenance": f"""SELECT *, CASE WHEN wave < {FIRST_WAVES} THEN 'first' ELSE 'second' END AS run FROM (
   SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS BIGINT) AS n_words, 'word_counts' AS stage,
          CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) % {WAVES} AS INTEGER) AS wave

@@ -19,6 +19,7 @@ from mediasift.sources.tables import table
 SAMPLE_K, ACTION_K = 5, 16
 BLANK_LUMA = 16.0
 SHOT_COS = 0.3
+LONG_SHOT_COS, LONG_SHOT_BLOCK = 0.0, 64
 KEYFRAME_SECONDS = 3600
 CHUNK_SECONDS = 5.0
 CHARS_PER_SECOND = 100.0
@@ -164,7 +165,14 @@ def dct_hash(spark: SparkSession, sf: str) -> DataFrame:
     return _dct_hash(table(spark, sf, "embeddings"), "vec_id", "embedding", 8)
 
 
+def shot_segments_long(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors of a label as the frames of one long video, numbered by vec_id, in blocks of 64 numbers."""
+    frames = table(spark, sf, "embeddings").select(F.col("label").alias("video_id"), F.col("vec_id").alias("frame_idx"), "embedding")
+    return fr.shot_segments_in_blocks(frames, LONG_SHOT_COS, block=LONG_SHOT_BLOCK)
+
+
 QUERIES = {
+    "shot_segments_long": shot_segments_long,
     "frame_sample": frame_sample,
     "quality_filter": quality_filter,
     "probe_metadata": probe_metadata,
@@ -277,6 +285,13 @@ def _cos(a: str, b: str) -> str:
 _EF = "ef AS (SELECT vec_id // 5 AS video_id, CAST(vec_id % 5 AS INTEGER) AS frame_idx, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 
 ORACLE = {
+    "shot_segments_long": f"""WITH f AS (
+  SELECT label AS video_id, vec_id AS frame_idx, CAST(embedding AS DOUBLE[]) AS x,
+         lag(CAST(embedding AS DOUBLE[])) OVER (PARTITION BY label ORDER BY vec_id) AS y FROM embeddings),
+s AS (SELECT video_id, frame_idx, sum(CASE WHEN list_cosine_similarity(x, y) < {LONG_SHOT_COS} THEN 1 ELSE 0 END)
+             OVER (PARTITION BY video_id ORDER BY frame_idx) AS segment FROM f)
+SELECT video_id, CAST(segment AS BIGINT) AS segment, min(frame_idx) AS first_frame, max(frame_idx) AS last_frame,
+       count(*) AS frames FROM s GROUP BY video_id, segment""",
     "frame_sample": _FRAME_SAMPLE,
     "quality_filter": f"""WITH {_FV}, {_FF},
 l AS (SELECT *, CASE WHEN lag(hash) OVER w IS NULL THEN NULL ELSE CAST(lag(hash) OVER w = hash AS INTEGER) END AS same
