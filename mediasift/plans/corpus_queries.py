@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediasift.operators import content, ops, overlap, search, vector_index
-from mediasift.session import checkpoint_dir
+from mediasift.session import checkpoint_dir, materialize
 from mediasift.sources import layout
 from mediasift.sources.manifest import StageRuns, input_version
 from mediasift.sources.tables import table
@@ -23,6 +23,8 @@ SHINGLE_WORDS = 8
 PRED_CUTOFF_CHARS, MIN_CONF, SAMPLE_PERCENT = 300, 0.2, 30
 LABEL_VERSIONS, TARGET_VERSION = 3, 2
 WAVES, FIRST_WAVES = 4, 2
+LENGTH_SHARES = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+PREVIEW_ROWS = 5
 LAYOUT_COLUMNS, LAYOUT_FILES = ["o_custkey", "o_totalprice"], 64
 LAYOUT_RANGES = {"o_custkey": (100, 400), "o_totalprice": (None, 60000.0)}
 
@@ -99,7 +101,18 @@ def resume_pending(spark: SparkSession, sf: str) -> DataFrame:
 
 def stale_labels(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").withColumn("version", F.col("doc_id") % LABEL_VERSIONS)
-    return ops.stale_labels(labels, "version", TARGET_VERSION)
+    return ops.stale_labels(labels, "version", TARGET_VERSION, items=table(spark, sf, "documents"))
+
+
+def length_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Sketches of document lengths by language and source, written, then merged over every subset."""
+    parts = materialize(ops.value_sketches(table(spark, sf, "documents"), ["lang", "source"], "n_chars"), "sketches")
+    return ops.sketch_cube(parts, ["lang", "source"], LENGTH_SHARES)
+
+
+def document_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """The first documents by id."""
+    return ops.preview(table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars"), ["doc_id"], PREVIEW_ROWS)
 
 
 def review_queue(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,6 +158,8 @@ def stage_provenance(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "length_profile": length_profile,
+    "document_preview": document_preview,
     "clustered_layout": clustered_layout,
     "stage_provenance": stage_provenance,
     "url_dedup": url_dedup,
@@ -292,7 +307,13 @@ FROM events GROUP BY event_type""",
 latest AS (SELECT doc_id, arg_max(status, (ts, status)) AS status FROM lg GROUP BY doc_id)
 SELECT doc_id FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM latest WHERE status = 'purchase')""",
-    "stale_labels": f"SELECT doc_id FROM labels WHERE doc_id % {LABEL_VERSIONS} < {TARGET_VERSION}",
+    "stale_labels": f"""SELECT doc_id FROM labels WHERE coalesce(doc_id % {LABEL_VERSIONS} < {TARGET_VERSION}, true)
+UNION ALL SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
+    "length_profile": """SELECT lang, source, CAST(grouping(lang, source) AS INTEGER) AS level, count(*) AS n,
+       count(DISTINCT n_chars) AS distinct_values, quantile_disc(n_chars, 0.5) AS p50, quantile_disc(n_chars, 0.9) AS p90,
+       quantile_disc(n_chars, 0.99) AS p99
+FROM documents GROUP BY CUBE (lang, source)""",
+    "document_preview": f"SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT {PREVIEW_ROWS}",
     "review_queue": f"""WITH p AS (
   SELECT doc_id, CASE WHEN n_chars >= {PRED_CUTOFF_CHARS} THEN 1 ELSE 0 END AS pred,
          abs(n_chars - {PRED_CUTOFF_CHARS}) / (n_chars + CAST({PRED_CUTOFF_CHARS} AS DOUBLE)) AS conf
