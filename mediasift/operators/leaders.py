@@ -262,9 +262,9 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
     pu = materialize(p.groupBy("sig").agg(F.min("id").alias("rep")), "probe_reps")
     ix = spec.index_keys(i.select("id", "sig", F.size("sig").alias("nf")))
     held = materialize(ix.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "index_sizes")
-    pb = spec.probe_keys(pu.select(F.col("rep").alias("id"), "sig", F.size("sig").alias("nf"))).join(held, "key")
+    pb = spec.probe_keys(pu.select(F.col("rep").alias("id"), "sig", F.size("sig").alias("nf"))).join(held.hint("merge"), "key")  # as in with_holders
     pb = materialize(pb, "probe_keys")
-    cands = candidate_pairs(ix.join(held, "key"), pb, distinct_items=False)
+    cands = candidate_pairs(ix.join(held.hint("merge"), "key"), pb, distinct_items=False)
     sa = i.select(F.col("id").alias("a"), F.col("sig").alias("_sa"))
     sb = pu.select(F.col("rep").alias("b"), F.col("sig").alias("_sb"))
     scored = (cands.join(sa, "a").join(sb, "b")

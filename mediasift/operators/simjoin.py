@@ -261,11 +261,12 @@ def shared_keys(items: DataFrame, spec: Spec, name: str = "keys") -> DataFrame:
 def with_holders(keys: DataFrame, name: str) -> DataFrame:
     """``keys`` cut to those with an index row and a second item that probes it, with n."""
     # The sizes are written before the join back, so that AQE sees two plain
-    # shuffles and can split a key that a large part of the items hold.
+    # shuffles and can split a key that a large part of the items hold. Merge: an
+    # item's hundreds of keys are estimated as one row, and would be broadcast.
     sizes = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_index").alias("ni"),
                                                 F.count_if("is_probe").alias("np"))
                         .where("ni > 0 AND np > 1").select("key", "n"), name + "_sizes")
-    return materialize(keys.select("id", "key", "is_index", "is_probe").join(sizes, "key"), name)
+    return materialize(keys.select("id", "key", "is_index", "is_probe").join(sizes.hint("merge"), "key"), name)
 
 
 def candidate_pairs(index: DataFrame, probe: DataFrame, distinct_items: bool = True) -> DataFrame:
@@ -274,12 +275,12 @@ def candidate_pairs(index: DataFrame, probe: DataFrame, distinct_items: bool = T
 
     A key of more than ``BLOCK`` rows is dealt out: its rows fall into blocks,
     and each pair of blocks is a join key of its own, so no task holds the
-    whole key.
+    whole key. Merge: a broadcast side would grow with the keys of the items.
     """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     every = F.explode(F.sequence(F.lit(0), blocks - 1))
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     left = index.select(F.col("id").alias("a"), "key", own.alias("i"), every.alias("j"))
     right = probe.select(F.col("id").alias("b"), "key", every.alias("i"), own.alias("j"))
-    pairs = left.join(right, ["key", "i", "j"]).select("a", "b")
+    pairs = left.hint("merge").join(right, ["key", "i", "j"]).select("a", "b")
     return (pairs.where(F.col("a") != F.col("b")) if distinct_items else pairs).distinct()
