@@ -75,6 +75,22 @@ def stable_sample(key_col: str, percent: int) -> Column:
     return digest % 100 < percent
 
 
+def least_hashed(df: DataFrame, id_col: str, limit: int) -> DataFrame:
+    """The ``limit`` rows with the least hash of the id (ties by the id).
+
+    The sort is of a cut of the hash that a few more rows pass; over the whole table each of its tasks
+    would send ``limit`` rows to the driver.
+    """
+    n, h = df.count(), F.xxhash64(id_col)
+    share, some = 1.5 * limit / n if n else 1.0, df
+    while share < 1:
+        some = df.where(h <= int(-2**63 + share * 2**64))
+        if some.count() >= limit:
+            break
+        share, some = 2 * share, df  # few different ids
+    return some.orderBy(h, id_col).limit(limit)
+
+
 def label_rollup(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts and quality rate by (lang, source) with ROLLUP subtotals."""
     j = docs.select(key, "lang", "source").join(labels.select(key, "quality", "toxic"), key, "left")

@@ -25,12 +25,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mediasift.operators.ops import least_hashed
 from mediasift.operators.search import TILE, RunningTop, topk
 from mediasift.session import checkpoint_dir, materialize
 
 FIT_ROWS = 20_000        # rows that centroids and code books are fitted on
 CODES = 256              # values of a code byte
 QUERY_BLOCK = 2_000      # queries in one pass over the index
+SENT_PAIRS = 400_000     # pairs of a block that are broadcast to the rows; more are shuffled
 ANGLE_SLACK = 1e-6       # far above the rounding of a sum of products
 
 
@@ -128,7 +130,7 @@ def build_index(items: DataFrame, cells: int = 64, parts: int = 16, id_col: str
     src = items.select(F.col(id_col).cast("long").alias("id"),
                        (F.col(filter_col).cast("string") if filter_col else F.lit(None).cast("string")).alias("tag"),
                        F.col(vec_col).cast("array<double>").alias("vec")).where("id IS NOT NULL AND size(vec) > 0")
-    sample = src.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("vec").collect()
+    sample = least_hashed(src, "id", fit_rows).select("vec").collect()
     if not sample:
         raise ValueError("nothing to index")
     model = fit(np.array([r["vec"] for r in sample], dtype=np.float64), cells, parts)
@@ -211,9 +213,11 @@ def _approximate(index: VectorIndex, block, k: int, probes: int, rerank: int, ta
     return topk(found, ["q"], [F.col("sim").desc(), F.col("id")], want).select("q", "id")
 
 
-def _rescore(index: VectorIndex, pairs: DataFrame, block) -> DataFrame:
-    """Exact cosine of (q, id) pairs: the rows of the ids are read once, joined on the id."""
+def _rescore(index: VectorIndex, pairs: DataFrame, block, want: int) -> DataFrame:
+    """Exact cosine of (q, id) pairs: the rows of the ids are read once, joined on the id. The vectors never go
+    through the driver (the size of an array column is estimated far too low, so the side is named here)."""
     qids, unit, _ = block
+    pairs = pairs.hint("broadcast" if len(qids) * want <= SENT_PAIRS else "merge")
     place = {int(q): j for j, q in enumerate(qids)}
 
     def run(batches):
@@ -277,7 +281,8 @@ def search_index(index: VectorIndex, queries: DataFrame, k: int = 5, exact: bool
     """
     out = None
     for block in _blocks(queries, id_col, vec_col, filter_col):
-        close = _rescore(index, _approximate(index, block, k, probes or index.probes, rerank or index.rerank, bool(filter_col)), block)
+        again = rerank or index.rerank
+        close = _rescore(index, _approximate(index, block, k, probes or index.probes, again, bool(filter_col)), block, again * k)
         close = materialize(_ranked(close, k, "id"), "ann")
         if exact:
             floor = np.full(len(block[0]), -2.0)
@@ -302,9 +307,9 @@ def calibrate(index: VectorIndex, queries: DataFrame, k: int = 5, target: float
     The probes cover the cells of all but half of the allowed misses; the re-rank is the first of ``RERANK``
     whose measured recall reaches the target (else the last).
     """
-    some = materialize(queries.orderBy(F.xxhash64(id_col), id_col).limit(most).select(id_col, vec_col), "calibrate")
+    some = materialize(least_hashed(queries, id_col, most).select(id_col, vec_col), "calibrate")
     truth = search_index(index, some, k, exact=True, id_col=id_col, vec_col=vec_col)
-    held = truth.select("q", F.col(id_col).alias("id")).join(index.rows().select("id", "cell"), "id").select("q", "cell").collect()
+    held = index.rows().select("id", "cell").join(F.broadcast(truth.select("q", F.col(id_col).alias("id"))), "id").select("q", "cell").collect()
     vecs = {r[id_col]: r[vec_col] for r in some.collect()}  # at most ``most`` rows
     ranks = []
     for r in held:
