@@ -16,6 +16,8 @@ Distributed form, on edges verified once:
    them has more than ``small_bucket`` holders, the earliest holders thin it
    out first (``thin_hot_keys``): a cluster of near copies never becomes a list
    of all its pairs.
+   The exact embedding join has no keys: its candidates come from the pivot cells, and
+   ``thin_near_copies`` thins out groups of near copies by its own exact matches.
 3. The candidates left are verified once into a table of edges (earlier, later,
    score). Rounds over that table decide the items: with an earlier leader a
    duplicate, with no earlier undecided neighbour a leader. Only true matches
@@ -110,6 +112,44 @@ def thin_hot_keys(keys: DataFrame, reps: DataFrame, spec: Spec, small_bucket: in
             return keys, dups
 
 
+FIRSTS = 1024          # earliest holders that one round of the exact join tries
+
+
+def thin_near_copies(reps: DataFrame, spec: ExactEmbeddingSpec, small_bucket: int):
+    """As ``thin_hot_keys`` for the exact join: decide by the earliest holders of large hashing buckets.
+
+    The buckets only say whom to try. A tried item without any earlier match among the items left is a leader,
+    its later matches are duplicates, and both leave; the matches come from the exact join. So no list of all
+    pairs of a group of near copies is made, and what the hashing misses is no loss. Returns (items left,
+    duplicates[id]).
+    """
+    dups = reps.select("id").limit(0)
+    keys = shared_keys(reps, spec, "thin-keys")
+    while True:
+        hot = keys.where(F.col("n") > small_bucket).join(reps.select("id", "ord"), "id")
+        firsts = hot.groupBy("key").agg(F.min(F.struct("ord", "id")).alias("m")).select("m.ord", "m.id").distinct()
+        firsts = materialize(firsts.orderBy("ord").limit(FIRSTS).select("id", F.lit(True).alias("is_index")), "tried")
+        if firsts.isEmpty():
+            return reps, dups
+        asked = (reps.join(firsts, "id", "left").na.fill(False, ["is_index"]).withColumn("is_probe", F.lit(True)))
+        ord_of = reps.select("id", "ord")
+        found = (verify_pairs(spec.candidates(asked), reps.select("id", "sig"), spec)
+                 .join(ord_of.select(F.col("id").alias("a"), F.col("ord").alias("_oa")), "a")
+                 .join(ord_of.select(F.col("id").alias("b"), F.col("ord").alias("_ob")), "b"))
+        first = F.col("_oa") < F.col("_ob")
+        near = materialize(found.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"),
+                                        F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")), "near")
+        leaders = firsts.select("id").join(near.select(F.col("b").alias("id")), "id", "left_anti")
+        led = near.join(leaders.select(F.col("id").alias("a")), "a", "left_semi").select(F.col("b").alias("id")).distinct()
+        decided = materialize(led.withColumn("dup", F.lit(True)).unionByName(leaders.withColumn("dup", F.lit(False))), "thinned")
+        dups = dups.unionByName(decided.where("dup").select("id"))
+        few = decided.count() < WORTHWHILE * reps.count()
+        reps = materialize(reps.join(decided.select("id"), "id", "left_anti"), "left")
+        if few:
+            return reps, dups
+        keys = with_holders(keys.join(decided.select("id"), "id", "left_anti"), "thin-keys")
+
+
 def greedy_rounds(edges: DataFrame) -> DataFrame:
     """Duplicates (id) of the greedy loop over written ``edges`` (a earlier, b later).
 
@@ -149,9 +189,14 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     lonely = items.where(~F.col("self_match")).select("id")
     reps, copies = collapse_copies(items)
     sig_of, ord_of = reps.select("id", "sig"), reps.select("id", "ord")
-    keys = shared_keys(reps, spec)
-    rest, thinned = thin_hot_keys(keys, reps, spec, small_bucket)
-    pairs = candidate_pairs(rest.where("is_index"), rest.where("is_probe")).where(F.col("a") < F.col("b"))
+    exact = isinstance(spec, ExactEmbeddingSpec)
+    if exact:
+        rest, thinned = thin_near_copies(reps, spec, small_bucket)
+        pairs = spec.candidates(rest)
+    else:
+        keys = shared_keys(reps, spec)
+        rest, thinned = thin_hot_keys(keys, reps, spec, small_bucket)
+        pairs = candidate_pairs(rest.where("is_index"), rest.where("is_probe")).where(F.col("a") < F.col("b"))
     found = (verify_pairs(pairs, sig_of, spec)
              .join(ord_of.select(F.col("id").alias("a"), F.col("ord").alias("_oa")), "a")
              .join(ord_of.select(F.col("id").alias("b"), F.col("ord").alias("_ob")), "b"))
@@ -162,12 +207,19 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     leaders = reps.select("id", "ord").join(dups, "id", "left_anti")
 
     # Scored (d, leader) pairs: the edges between a duplicate and a leader, and for
-    # the duplicates found by thinning the leaders that hold one of their keys.
+    # the duplicates found by thinning the leaders that hold one of their keys (exact join: all leaders).
     both = (edges.select(F.col("a").alias("lid"), F.col("b").alias("d"), "score")
             .unionByName(edges.select(F.col("b").alias("lid"), F.col("a").alias("d"), "score"))
             .join(dups.select(F.col("id").alias("d")), "d", "left_semi"))
-    late = candidate_pairs(keys.where("is_index").join(leaders.select("id"), "id", "left_semi"),
-                           keys.where("is_probe").join(thinned, "id", "left_semi"))
+    if exact:
+        lead = reps.join(leaders.select("id", F.lit(True).alias("is_index")), "id", "left").join(
+            thinned.select("id", F.lit(True).alias("is_probe")), "id", "left").na.fill(False, ["is_index", "is_probe"])
+        late = spec.candidates(lead) if not thinned.isEmpty() else pairs.limit(0)
+        late = late.join(thinned.withColumnRenamed("id", "a"), "a", "left_anti").unionByName(
+            late.join(thinned.select(F.col("id").alias("a")), "a").select(F.col("b").alias("a"), F.col("a").alias("b")))
+    else:
+        late = candidate_pairs(keys.where("is_index").join(leaders.select("id"), "id", "left_semi"),
+                               keys.where("is_probe").join(thinned, "id", "left_semi"))
     late = verify_pairs(late, sig_of, spec).select(F.col("a").alias("lid"), F.col("b").alias("d"), "score")
     scored = both.unionByName(late).join(leaders.select(F.col("id").alias("lid"), F.col("ord").alias("lord")), "lid")
 

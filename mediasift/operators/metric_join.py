@@ -29,12 +29,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mediasift.operators.ops import least_hashed
 from mediasift.operators.simjoin import EmbeddingSpec
 from mediasift.session import materialize
 
 PIVOTS = (1, 4, 16, 64, 256)
 SAMPLE = 4_000           # rows that choose the pivots
-BLOCK = 4_096            # rows of a cell that one task holds per side
+BLOCK = 16_384           # rows of a cell that one task holds per side; a row is sent once for each block of its cell
 TILE = 256
 SLACK = 1e-7             # of distances of order 1; far above rounding
 
@@ -94,7 +95,8 @@ class ExactEmbeddingSpec(EmbeddingSpec):
 
     def candidates(self, items: DataFrame) -> DataFrame:
         """Distinct (a, b), a < b, of the ``items`` (id, sig) with a score of the threshold or more (and no pair
-        whose score is lower than that by more than rounding)."""
+        whose score is lower than that by more than rounding). With columns ``is_index`` and ``is_probe`` only
+        pairs of an index row and a probe row."""
         return pivot_candidates(items, self.threshold)
 
 
@@ -104,10 +106,12 @@ def pivot_candidates(items: DataFrame, threshold: float, block: int = BLOCK) ->
         raise ValueError("threshold must be a cosine")
     e = math.sqrt(2 - 2 * threshold)
     id_type = items.schema["id"].dataType.simpleString()
-    rows = items.select("id", "sig", F.size("sig").alias("d")).where("d > 0")
+    roles = ["is_index", "is_probe"]
+    asked = roles if set(roles) <= set(items.columns) else [F.lit(True).alias(c) for c in roles]
+    rows = items.select("id", "sig", *asked, F.size("sig").alias("d")).where("d > 0 AND (is_index OR is_probe)")
     pivots = {}
     for d in [r["d"] for r in rows.select("d").distinct().collect()]:  # lengths of signatures
-        sample = rows.where(F.col("d") == d).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("sig").collect()
+        sample = least_hashed(rows.where(F.col("d") == d), "id", SAMPLE).select("sig").collect()
         pivots[d] = fit_pivots(np.array([r["sig"] for r in sample], np.float64), e)
     shared = spark.sparkContext.broadcast(pivots)  # at most 256 vectors per length
 
@@ -119,10 +123,12 @@ def pivot_candidates(items: DataFrame, threshold: float, block: int = BLOCK) ->
                 row, cell = np.nonzero(near)
                 row, cell = np.concatenate((np.arange(len(x)), row)), np.concatenate((home, cell))
                 yield pd.DataFrame({"d": np.int32(d), "cell": cell.astype(np.int32), "home": home[row] == cell,
-                                    "r": dist[row, cell], "id": part["id"].to_numpy()[row],
+                                    "r": dist[row, cell], "is_index": part["is_index"].to_numpy()[row],
+                                    "is_probe": part["is_probe"].to_numpy()[row], "id": part["id"].to_numpy()[row],
                                     "sig": part["sig"].to_numpy()[row]})
 
-    dealt = rows.mapInPandas(deal, f"d int, cell int, home boolean, r double, id {id_type}, sig array<double>")
+    dealt = rows.mapInPandas(deal, "d int, cell int, home boolean, r double, is_index boolean, is_probe boolean, "
+                                   f"id {id_type}, sig array<double>")
     dealt = materialize(dealt, "pivot-cells")
     sizes = dealt.groupBy("d", "cell").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(F.col("home"), F.col("r"))).alias("wide"))
     sizes = materialize(sizes, "pivot-sizes")
@@ -130,8 +136,8 @@ def pivot_candidates(items: DataFrame, threshold: float, block: int = BLOCK) ->
     held = dealt.join(sizes, ["d", "cell"]).where(F.col("home") | (F.col("r") <= F.col("wide") + F.lit(e + SLACK)))
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    held = held.select("d", "cell", "home", "r", "id", "sig", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    held = held.select("d", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "r", "id", "sig")
+    held = held.select("d", "cell", "home", "r", *roles, "id", "sig", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    held = held.select("d", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "r", *roles, "id", "sig")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("r", kind="stable")
@@ -143,13 +149,17 @@ def pivot_candidates(items: DataFrame, threshold: float, block: int = BLOCK) ->
             rx, ry = left["r"].to_numpy(), right["r"].to_numpy()
             hx, hy = left["home"].to_numpy(), right["home"].to_numpy()
             ix, iy = left["id"].to_numpy(), right["id"].to_numpy()
+            (nx, px), (ny, py) = ((s["is_index"].to_numpy(bool), s["is_probe"].to_numpy(bool)) for s in (left, right))
             for lo in range(0, len(x), TILE):
                 cut = slice(lo, lo + TILE)
                 a = lo if i == j else int(np.searchsorted(ry, rx[cut][0] - e - SLACK))
                 b = int(np.searchsorted(ry, rx[cut][-1] + e + SLACK, side="right"))
                 for at in range(a, b, 8 * TILE):
                     to = slice(at, min(b, at + 8 * TILE))
+                    if not (nx[cut].any() and py[to].any() or px[cut].any() and ny[to].any()):
+                        continue
                     match = (x[cut] @ y[to].T >= threshold - 1e-9) & (hx[cut][:, None] | hy[to][None, :])
+                    match &= nx[cut][:, None] & py[to][None, :] | px[cut][:, None] & ny[to][None, :]
                     p, q = np.nonzero(match)
                     if i == j:
                         keep = p + lo < q + at
