@@ -14,7 +14,7 @@ every match meets in exactly one cell; no hashing, no loss. Inside a cell rows a
 to the pivot: |a - b| <= e implies |r_a - r_b| <= e, so a tile of rows is multiplied only with the rows of its
 ring, and matches alone leave the task. Cells of more than ``BLOCK`` rows are dealt out as pairs of blocks.
 
-The number of pivots is the one of ``PIVOTS`` with the least comparisons on a bounded sample. On vectors
+The number of pivots is the one of ``PIVOTS`` with the least comparisons and sent rows, judged on a bounded sample. On vectors
 without any cluster structure e is as wide as the cells and one cell (a blocked comparison of all) is the
 best there is: that is the price of an exact answer; ``EmbeddingSpec`` is the approximate way.
 """
@@ -36,6 +36,7 @@ from mediasift.session import materialize
 PIVOTS = (1, 4, 16, 64, 256)
 SAMPLE = 4_000           # rows that choose the pivots
 BLOCK = 16_384           # rows of a cell that one task holds per side; a row is sent once for each block of its cell
+MOVE = 1_000             # comparisons that sending a row to a block costs as much as
 TILE = 256
 SLACK = 1e-7             # of distances of order 1; far above rounding
 
@@ -68,15 +69,18 @@ def visits(x: np.ndarray, pivots: np.ndarray, e: float) -> tuple[np.ndarray, np.
     return home, dist, near
 
 
-def fit_pivots(x: np.ndarray, e: float) -> np.ndarray:
-    """Pivots of the number with the fewest comparisons on the rows ``x`` (a larger one only if clearly less)."""
+def fit_pivots(x: np.ndarray, e: float, n: int | None = None, block: int = BLOCK) -> np.ndarray:
+    """Pivots of the number with the least work, judged on the rows ``x`` of ``n`` (a larger one only if clearly
+    less): comparisons, and rows sent to each block of each cell they visit."""
+    scale = (n or len(x)) / max(len(x), 1)
     best, least = x[:1], math.inf
     pool = choose_pivots(x, max(PIVOTS))
     for k in PIVOTS:
         pivots = pool[:k]
         home, _, near = visits(x, pivots, e)
         at_home = np.bincount(home, minlength=len(pivots)).astype(float)
-        cost = (at_home * (at_home / 2 + near.sum(axis=0))).sum()
+        held = scale * (at_home + near.sum(axis=0))
+        cost = scale ** 2 * (at_home * (at_home / 2 + near.sum(axis=0))).sum() + MOVE * (held * np.ceil(held / block)).sum()
         if cost < 0.9 * least:
             best, least = pivots, cost
         if len(pivots) < k:
@@ -110,9 +114,9 @@ def pivot_candidates(items: DataFrame, threshold: float, block: int = BLOCK) ->
     asked = roles if set(roles) <= set(items.columns) else [F.lit(True).alias(c) for c in roles]
     rows = items.select("id", "sig", *asked, F.size("sig").alias("d")).where("d > 0 AND (is_index OR is_probe)")
     pivots = {}
-    for d in [r["d"] for r in rows.select("d").distinct().collect()]:  # lengths of signatures
+    for d, n in [(r["d"], r["count"]) for r in rows.groupBy("d").count().collect()]:  # lengths of signatures
         sample = least_hashed(rows.where(F.col("d") == d), "id", SAMPLE).select("sig").collect()
-        pivots[d] = fit_pivots(np.array([r["sig"] for r in sample], np.float64), e)
+        pivots[d] = fit_pivots(np.array([r["sig"] for r in sample], np.float64), e, n, block)
     shared = spark.sparkContext.broadcast(pivots)  # at most 256 vectors per length
 
     def deal(batches):
