@@ -34,7 +34,8 @@ def sampled(videos: DataFrame, frames: DataFrame, k: int, luma_col: str = "luma"
     want = (videos.select(F.col(id_col).alias("id"), F.posexplode(sample_indices(n_col, k, True)).alias("pos", "i"))
             .select("id", "pos", F.posexplode(F.array(F.col("i"), F.col("i") + 1)).alias("later", "i")))
     fr = frames.select(F.col(id_col).alias("v"), F.col("frame_idx").alias("f"), F.col(luma_col).alias("luma"))
-    return want.join(fr, (F.col("id") == F.col("v")) & (F.col("i") == F.col("f"))).select("id", "pos", "later", "luma")
+    # merge: the wanted positions, several of a video, are estimated as one row of it and would be broadcast
+    return want.hint("merge").join(fr, (F.col("id") == F.col("v")) & (F.col("i") == F.col("f"))).select("id", "pos", "later", "luma")
 
 
 def square(luma) -> np.ndarray | None:
@@ -112,7 +113,7 @@ def signatures(videos: DataFrame, values: DataFrame, sig_col: str, id_col: str =
     sig = sig.select("id", F.when(~F.exists("s", lambda x: x["value"].isNull()),
                                   F.transform("s", lambda x: x["value"])).alias(sig_col))
     ids = videos.select(F.col(id_col).alias("id"))
-    return ids.join(sig, "id", "left").select(F.col("id").alias(id_col), sig_col)
+    return ids.join(sig.hint("merge"), "id", "left").select(F.col("id").alias(id_col), sig_col)
 
 
 def phash_duplicates(videos: DataFrame, frames: DataFrame, k: int = 5, hash_size: int = 8, threshold: float = 5.0,

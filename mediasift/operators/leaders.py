@@ -33,8 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mediasift.operators.metric_join import ExactEmbeddingSpec
-from mediasift.operators.simjoin import BLOCK, Spec, candidate_pairs, shared_keys, verify_pairs, with_holders
-from mediasift.session import materialize
+from mediasift.operators.simjoin import BLOCK, Spec, candidate_pairs, shared_keys, verify_pairs, with_holders, written
 
 OUT_COLS = ["video_id", "primary_id", "score", "is_unique"]
 
@@ -66,9 +65,9 @@ def collapse_copies(items: DataFrame):
     Returns (reps[id, ord, sig, nf], copies[id, ord, rep_id]). Only signatures
     with copies are joined back, to a written table, so AQE can split a hot one.
     """
-    groups = materialize(items.where("self_match").groupBy("sig")
-                         .agg(F.min(F.struct("ord", "id")).alias("r"), F.first("nf").alias("nf"),
-                              F.count(F.lit(1)).alias("n")), "signatures")
+    groups = written(items.where("self_match").groupBy("sig")
+                     .agg(F.min(F.struct("ord", "id")).alias("r"), F.first("nf").alias("nf"),
+                          F.count(F.lit(1)).alias("n")), "signatures")
     reps = groups.select(F.col("r.id").alias("id"), F.col("r.ord").alias("ord"), "sig", "nf")
     copied = groups.where("n > 1").select("sig", F.col("r.id").alias("rep_id"))
     copies = (items.where("self_match").join(copied, "sig").where(F.col("id") != F.col("rep_id"))
@@ -97,15 +96,15 @@ def thin_hot_keys(keys: DataFrame, reps: DataFrame, spec: Spec, small_bucket: in
         if (top[0] or 0) <= small_bucket:
             return keys, dups
         held = keys.join(order, "id")
-        firsts = materialize(held.where("is_index").groupBy("key").agg(F.min(F.struct("ord", "id")).alias("m"))
-                             .select("key", F.col("m.ord").alias("lord"), F.col("m.id").alias("a")), "firsts")
-        near = materialize(held.where("is_probe").join(firsts, "key").where(F.col("lord") < F.col("ord"))
-                           .select("a", F.col("id").alias("b")).distinct(), "near")
+        firsts = written(held.where("is_index").groupBy("key").agg(F.min(F.struct("ord", "id")).alias("m"))
+                         .select("key", F.col("m.ord").alias("lord"), F.col("m.id").alias("a")), "firsts")
+        near = written(held.where("is_probe").join(firsts, "key").where(F.col("lord") < F.col("ord"))
+                       .select("a", F.col("id").alias("b")).distinct(), "near")
         leaders = keys.select("id").distinct().join(near.select(F.col("b").alias("id")), "id", "left_anti")
         found = verify_pairs(near.join(leaders.select(F.col("id").alias("a")), "a", "left_semi"),
                              reps.select("id", "sig"), spec)
-        decided = materialize(found.select(F.col("b").alias("id")).distinct().withColumn("dup", F.lit(True))
-                              .unionByName(leaders.withColumn("dup", F.lit(False))), "thinned")
+        decided = written(found.select(F.col("b").alias("id")).distinct().withColumn("dup", F.lit(True))
+                          .unionByName(leaders.withColumn("dup", F.lit(False))), "thinned")
         dups = dups.unionByName(decided.where("dup").select("id"))
         keys = with_holders(keys.join(decided.select("id"), "id", "left_anti"), "keys")
         if decided.count() < WORTHWHILE * top[1]:
@@ -128,23 +127,23 @@ def thin_near_copies(reps: DataFrame, spec: ExactEmbeddingSpec, small_bucket: in
     while True:
         hot = keys.where(F.col("n") > small_bucket).join(reps.select("id", "ord"), "id")
         firsts = hot.groupBy("key").agg(F.min(F.struct("ord", "id")).alias("m")).select("m.ord", "m.id").distinct()
-        firsts = materialize(firsts.orderBy("ord").limit(FIRSTS).select("id", F.lit(True).alias("is_index")), "tried")
+        firsts = written(firsts.orderBy("ord").limit(FIRSTS).select("id", F.lit(True).alias("is_index")), "tried")
         if firsts.isEmpty():
             return reps, dups
-        asked = (reps.join(firsts, "id", "left").na.fill(False, ["is_index"]).withColumn("is_probe", F.lit(True)))
+        asked = (reps.join(F.broadcast(firsts), "id", "left").na.fill(False, ["is_index"]).withColumn("is_probe", F.lit(True)))
         ord_of = reps.select("id", "ord")
         found = (verify_pairs(spec.candidates(asked), reps.select("id", "sig"), spec)
                  .join(ord_of.select(F.col("id").alias("a"), F.col("ord").alias("_oa")), "a")
                  .join(ord_of.select(F.col("id").alias("b"), F.col("ord").alias("_ob")), "b"))
         first = F.col("_oa") < F.col("_ob")
-        near = materialize(found.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"),
-                                        F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")), "near")
+        near = written(found.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"),
+                                    F.when(first, F.col("b")).otherwise(F.col("a")).alias("b")), "near")
         leaders = firsts.select("id").join(near.select(F.col("b").alias("id")), "id", "left_anti")
         led = near.join(leaders.select(F.col("id").alias("a")), "a", "left_semi").select(F.col("b").alias("id")).distinct()
-        decided = materialize(led.withColumn("dup", F.lit(True)).unionByName(leaders.withColumn("dup", F.lit(False))), "thinned")
+        decided = written(led.withColumn("dup", F.lit(True)).unionByName(leaders.withColumn("dup", F.lit(False))), "thinned")
         dups = dups.unionByName(decided.where("dup").select("id"))
         few = decided.count() < WORTHWHILE * reps.count()
-        reps = materialize(reps.join(decided.select("id"), "id", "left_anti"), "left")
+        reps = written(reps.join(decided.select("id"), "id", "left_anti"), "left")
         if few:
             return reps, dups
         keys = with_holders(keys.join(decided.select("id"), "id", "left_anti"), "thin-keys")
@@ -157,15 +156,15 @@ def greedy_rounds(edges: DataFrame) -> DataFrame:
     group-by and one state table in the shared checkpoint folder (a lost
     executor repeats only this round).
     """
-    state = materialize(edges.select(F.col("b").alias("id")).distinct()
-                        .select("id", F.lit("open").alias("state")), "state")
+    state = written(edges.select(F.col("b").alias("id")).distinct()
+                    .select("id", F.lit("open").alias("state")), "state")
     while not state.where("state = 'open'").isEmpty():
         live = edges.select("a", "b").join(state.where("state = 'open'").select(F.col("id").alias("b")), "b")
         seen = (live.join(state.select(F.col("id").alias("a"), "state"), "a", "left")
                 .groupBy(F.col("b").alias("id"))
                 .agg(F.max(F.coalesce("state", F.lit("leader")) == "leader").alias("led"),
                      F.max(F.coalesce("state", F.lit("leader")) == "open").alias("waits")))
-        state = materialize(state.join(seen, "id", "left").select(
+        state = written(state.join(seen, "id", "left").select(
             "id", F.when(F.col("state") != "open", F.col("state")).when(F.col("led"), "dup")
             .when(F.col("waits"), "open").otherwise("leader").alias("state")), "state")
     return state.where("state = 'dup'").select("id")
@@ -183,7 +182,7 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     if on_missing not in ("keep", "drop"):
         raise ValueError("on_missing must be 'keep' or 'drop'")
     sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
-    items = materialize(prepare_items(sigs, spec, id_col, order_col), "items")
+    items = written(prepare_items(sigs, spec, id_col, order_col), "items")
 
     # Items that cannot match anything: empty, or (embeddings) too many zero frames.
     lonely = items.where(~F.col("self_match")).select("id")
@@ -201,10 +200,10 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
              .join(ord_of.select(F.col("id").alias("a"), F.col("ord").alias("_oa")), "a")
              .join(ord_of.select(F.col("id").alias("b"), F.col("ord").alias("_ob")), "b"))
     first = F.col("_oa") < F.col("_ob")
-    edges = materialize(found.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"),
-                                     F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), "score"), "edges")
-    dups = materialize(thinned.unionByName(greedy_rounds(edges)), "dups")
-    leaders = reps.select("id", "ord").join(dups, "id", "left_anti")
+    edges = written(found.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"),
+                                 F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"), "score"), "edges")
+    dups = written(thinned.unionByName(greedy_rounds(edges)), "dups")
+    leaders = reps.select("id", "ord").join(dups, "id", "left_anti").hint("merge")
 
     # Scored (d, leader) pairs: the edges between a duplicate and a leader, and for
     # the duplicates found by thinning the leaders that hold one of their keys (exact join: all leaders).
@@ -227,7 +226,7 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     copies_s = copies.join(dups.select(F.col("id").alias("rep_id"), F.lit(True).alias("dup")), "rep_id", "left")
     assignees = (reps.select("id", "ord").join(dups, "id").select("id", "ord", F.col("id").alias("d"))
                  .unionByName(copies_s.where("dup").select("id", "ord", F.col("rep_id").alias("d"))))
-    best = (assignees.join(scored, "d").where(F.col("lord") < F.col("ord"))
+    best = (assignees.join(scored.hint("merge"), "d").where(F.col("lord") < F.col("ord"))
             .groupBy("id").agg(F.min(F.struct(spec.badness(F.col("score")).alias("bad"),
                                               "lord", "lid", "score")).alias("m"))
             .select(F.col("id").alias("video_id"), F.col("m.lid").alias("primary_id"),
@@ -256,7 +255,7 @@ def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> D
     matching item is missing from it. Candidates come from the band-key
     equi-join, never from a cross join.
     """
-    items = materialize(prepare_items(sigs, spec, id_col).where("self_match"), "items")
+    items = written(prepare_items(sigs, spec, id_col).where("self_match"), "items")
     reps, copies = collapse_copies(items)
     itself = reps.select(F.col("id").alias("rep_id"), spec.score(F.col("sig"), F.col("sig")).alias("score"))
     same = copies.join(itself, "rep_id").select(F.col("rep_id").alias("a"), F.col("id").alias("b"), "score")
@@ -284,8 +283,8 @@ def fused_matches(first: DataFrame, first_spec: Spec, second: DataFrame, second_
     collapse in one modality only.
     """
     a = prepare_items(first, first_spec, id_col).where("self_match").select("id", F.col("sig").alias("_first"))
-    both = a.join(prepare_items(second, second_spec, id_col).where("self_match").select("id", "sig", "nf"), "id")
-    reps = materialize(both.groupBy("_first", "sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf")), "fused")
+    both = a.hint("merge").join(prepare_items(second, second_spec, id_col).where("self_match").select("id", "sig", "nf"), "id")
+    reps = written(both.groupBy("_first", "sig").agg(F.min("id").alias("id"), F.first("nf").alias("nf")), "fused")
     left, right = (reps.select(F.col("id").alias(n), F.col("_first").alias("_" + n)) for n in "ab")
     near = (matching_pairs(reps.select("id", "sig", "nf"), second_spec).withColumnRenamed("score", "second")
             .join(left, "a").join(right, "b").where(first_spec.comparable(F.col("_a"), F.col("_b")))
@@ -308,14 +307,14 @@ def lookup_index(probes: DataFrame, index: DataFrame, spec: Spec, id_col: str =
     identical probes share one answer: a signature held by a third of either
     side costs one aggregation, not a pair list.
     """
-    p = materialize(prepare_items(probes, spec, id_col), "probes")
+    p = written(prepare_items(probes, spec, id_col), "probes")
     i = prepare_items(index, spec, id_col).where("self_match")
-    i = materialize(i.groupBy("sig").agg(F.min("id").alias("id")), "index")
-    pu = materialize(p.groupBy("sig").agg(F.min("id").alias("rep")), "probe_reps")
+    i = written(i.groupBy("sig").agg(F.min("id").alias("id")), "index")
+    pu = written(p.groupBy("sig").agg(F.min("id").alias("rep")), "probe_reps")
     ix = spec.index_keys(i.select("id", "sig", F.size("sig").alias("nf")))
-    held = materialize(ix.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "index_sizes")
+    held = written(ix.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "index_sizes")
     pb = spec.probe_keys(pu.select(F.col("rep").alias("id"), "sig", F.size("sig").alias("nf"))).join(held.hint("merge"), "key")  # as in with_holders
-    pb = materialize(pb, "probe_keys")
+    pb = written(pb, "probe_keys")
     cands = candidate_pairs(ix.join(held.hint("merge"), "key"), pb, distinct_items=False)
     sa = i.select(F.col("id").alias("a"), F.col("sig").alias("_sa"))
     sb = pu.select(F.col("rep").alias("b"), F.col("sig").alias("_sb"))
@@ -334,7 +333,7 @@ def _star_links(keys: DataFrame, items: DataFrame, spec: Spec) -> DataFrame:
     """Verified links (a, b) of each key's first holder with its other holders: at most one per item and key."""
     firsts = keys.where("is_index").groupBy("key").agg(F.min("id").alias("a"))
     near = keys.where("is_probe").join(firsts, "key").where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
-    return materialize(verify_pairs(near, items, spec).select("a", "b"), "stars")
+    return written(verify_pairs(near, items, spec).select("a", "b"), "stars")
 
 
 def _open_links(keys: DataFrame, labels: DataFrame, items: DataFrame, spec: Spec) -> DataFrame:
@@ -346,16 +345,16 @@ def _open_links(keys: DataFrame, labels: DataFrame, items: DataFrame, spec: Spec
     """
     held = keys.join(labels, "id")
     per = held.groupBy("key", "group_id").agg(F.count(F.lit(1)).alias("c"))
-    several = materialize(per.groupBy("key").agg(F.max(F.struct("c", "group_id")).alias("m"), F.count(F.lit(1)).alias("labels"))
-                          .where("labels > 1").select("key", F.col("m.group_id").alias("main")), "open-keys")
-    held = materialize(held.join(several, "key"), "open-holders")
+    several = written(per.groupBy("key").agg(F.max(F.struct("c", "group_id")).alias("m"), F.count(F.lit(1)).alias("labels"))
+                      .where("labels > 1").select("key", F.col("m.group_id").alias("main")), "open-keys")
+    held = written(held.join(several, "key"), "open-holders")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     every, own = F.explode(F.sequence(F.lit(0), blocks - 1)), F.pmod(F.xxhash64("id"), blocks).cast("int")
     left = held.where("is_index").select(F.col("id").alias("x"), "key", F.col("group_id").alias("gx"), own.alias("i"), every.alias("j"))
     right = held.where("is_probe AND group_id <> main").select(
         F.col("id").alias("y"), "key", F.col("group_id").alias("gy"), every.alias("i"), own.alias("j"))
-    pairs = left.join(right, ["key", "i", "j"]).where("gx <> gy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return materialize(verify_pairs(pairs.distinct(), items, spec).select("a", "b"), "open-links")
+    pairs = left.hint("merge").join(right, ["key", "i", "j"]).where("gx <> gy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return written(verify_pairs(pairs.distinct(), items, spec).select("a", "b"), "open-links")
 
 
 def similarity_groups(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
@@ -366,19 +365,19 @@ def similarity_groups(sigs: DataFrame, spec: Spec, id_col: str = "video_id") ->
     about one link per item and key, never its pairs. Items without a signature are groups of their own.
     """
     sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
-    items = materialize(prepare_items(sigs, spec, id_col), "items")
+    items = written(prepare_items(sigs, spec, id_col), "items")
     reps, copies = collapse_copies(items)
-    sig_of = materialize(reps.select("id", "sig", "nf"), "reps")
+    sig_of = written(reps.select("id", "sig", "nf"), "reps")
     keys = shared_keys(sig_of, spec)
     sig_of = sig_of.select("id", "sig")
-    labels = materialize(connected_groups(sig_of, _star_links(keys, sig_of, spec)), "labels")
+    labels = written(connected_groups(sig_of, _star_links(keys, sig_of, spec)), "labels")
     more = _open_links(keys, labels, sig_of, spec)
     if not more.isEmpty():  # the labels are the nodes of what is left
         up = more.join(labels.select(F.col("id").alias("a"), F.col("group_id").alias("u")), "a").join(
             labels.select(F.col("id").alias("b"), F.col("group_id").alias("v")), "b").select(F.col("u").alias("a"), F.col("v").alias("b"))
         joined = connected_groups(labels.select(F.col("group_id").alias("id")).distinct(), up)
-        labels = materialize(labels.join(joined.select(F.col("id").alias("group_id"), F.col("group_id").alias("top")), "group_id")
-                             .select("id", F.col("top").alias("group_id")), "labels")
+        labels = written(labels.join(joined.select(F.col("id").alias("group_id"), F.col("group_id").alias("top")), "group_id")
+                         .select("id", F.col("top").alias("group_id")), "labels")
     hung = copies.select("id", "rep_id").join(labels.select(F.col("id").alias("rep_id"), "group_id"), "rep_id").select("id", "group_id")
     missing = sigs.where(F.col(spec.sig_col).isNull()).select(F.col(id_col).alias("id"))
     alone = items.where("NOT coalesce(self_match, false)").select("id").unionByName(missing).distinct()
@@ -386,7 +385,7 @@ def similarity_groups(sigs: DataFrame, spec: Spec, id_col: str = "video_id") ->
     # representatives are no smallest id of a group if the order is another column's
     groups = labels.unionByName(hung).unionByName(alone)
     sizes = groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
-    return groups.join(sizes, "group_id").select("id", F.col("least").alias("group_id"), "n")
+    return groups.join(sizes.hint("merge"), "group_id").select("id", F.col("least").alias("group_id"), "n")
 
 
 def connected_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -397,27 +396,27 @@ def connected_groups(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     group-by over the edge list only, written to the checkpoint folder so the
     plan stays flat.
     """
-    e = materialize(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
-                    .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
+    e = written(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+                .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
     while True:
         # large star: link every larger neighbour of u to min(u, neighbours of u)
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         mins = both.groupBy("u").agg(F.min("v").alias("m"))
-        ls = (both.join(mins, "u").where(F.col("v") > F.col("u"))
+        ls = (both.join(mins.hint("merge"), "u").where(F.col("v") > F.col("u"))
               .select(F.col("v").alias("x"), F.least("m", "u").alias("y")))
         e1 = ls.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")) \
                .where(F.col("u") != F.col("v")).distinct()
         # small star: link v and its smaller neighbours to the smallest of them
         mins2 = e1.groupBy("v").agg(F.min("u").alias("m"))
-        ss = (e1.join(mins2, "v").select(F.col("u").alias("x"), F.col("m").alias("y"))
+        ss = (e1.join(mins2.hint("merge"), "v").select(F.col("u").alias("x"), F.col("m").alias("y"))
               .unionByName(mins2.select(F.col("v").alias("x"), F.col("m").alias("y"))))
-        e2 = materialize(ss.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
-                         .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
+        e2 = written(ss.select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v"))
+                     .where(F.col("u") != F.col("v")).distinct(), "cc_edges")
         # Both edge sets are distinct: equal sizes and e2 within e means no change.
         unchanged = e2.count() == e.count() and e2.join(e, ["u", "v"], "left_anti").isEmpty()
         e = e2
         if unchanged:
             break
     label = e.groupBy("v").agg(F.min("u").alias("g"))
-    return (nodes.select("id").join(label.withColumnRenamed("v", "id"), "id", "left")
+    return (nodes.select("id").join(label.withColumnRenamed("v", "id").hint("merge"), "id", "left")
             .select("id", F.coalesce(F.col("g"), F.col("id")).alias("group_id")))

@@ -40,6 +40,15 @@ KEYS_PER_FRAME = 1 << 20      # keys made at once in a task
 BLOCK = 2048                  # holders of a key that one task pairs with each other
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table of items, keys, edges or states, written and joined by merge.
+
+    Such tables grow with the input, and a written file's compressed size, cut to a few columns,
+    says little of what its rows take in memory: unhinted they are sent whole through the driver.
+    """
+    return materialize(df, name).hint("merge")
+
+
 def _key_schema(prepared: DataFrame) -> str:
     return f"id {prepared.schema['id'].dataType.simpleString()}, key long"
 
@@ -234,8 +243,8 @@ def verify_pairs(cands: DataFrame, sigs: DataFrame, spec: Spec,
     ``cands`` has columns ``a``, ``b`` (ids); ``sigs`` has ``id``, ``sig``.
     Returns the candidate columns plus ``score``.
     """
-    sa = sigs.select(F.col("id").alias(a), F.col("sig").alias("_sa"))
-    sb = sigs.select(F.col("id").alias(b), F.col("sig").alias("_sb"))
+    sa = sigs.select(F.col("id").alias(a), F.col("sig").alias("_sa")).hint("merge")
+    sb = sigs.select(F.col("id").alias(b), F.col("sig").alias("_sb")).hint("merge")
     joined = cands.join(sa, a).join(sb, b)
     # The score is produced by a generator so the match filter cannot be pushed
     # below it and evaluate the (interpreted) score expression a second time.
@@ -263,10 +272,10 @@ def with_holders(keys: DataFrame, name: str) -> DataFrame:
     # The sizes are written before the join back, so that AQE sees two plain
     # shuffles and can split a key that a large part of the items hold. Merge: an
     # item's hundreds of keys are estimated as one row, and would be broadcast.
-    sizes = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_index").alias("ni"),
-                                                F.count_if("is_probe").alias("np"))
-                        .where("ni > 0 AND np > 1").select("key", "n"), name + "_sizes")
-    return materialize(keys.select("id", "key", "is_index", "is_probe").join(sizes.hint("merge"), "key"), name)
+    sizes = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_index").alias("ni"),
+                                            F.count_if("is_probe").alias("np"))
+                    .where("ni > 0 AND np > 1").select("key", "n"), name + "_sizes")
+    return written(keys.select("id", "key", "is_index", "is_probe").join(sizes, "key"), name)
 
 
 def candidate_pairs(index: DataFrame, probe: DataFrame, distinct_items: bool = True) -> DataFrame:
