@@ -52,10 +52,14 @@ def _has_signature(spec: Spec):
 
 
 def prepare_items(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
-                  order_col: str | None = None) -> DataFrame:
-    """(id, ord, sig, nf, self_match) for rows with a non-null signature."""
+                  order_col: str | None = None, missing: bool = False) -> DataFrame:
+    """(id, ord, sig, nf, self_match) for rows with a non-null signature; with ``missing`` for all rows, ``sig``
+    null where there is none."""
     items = _order(sigs, id_col, order_col).withColumnRenamed(id_col, "id")
-    items = items.where(_has_signature(spec))
+    if missing:
+        items = items.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
+    else:
+        items = items.where(_has_signature(spec))
     return spec.prepare(items).select("id", "ord", "sig", "nf", "self_match")
 
 
@@ -181,8 +185,9 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     """
     if on_missing not in ("keep", "drop"):
         raise ValueError("on_missing must be 'keep' or 'drop'")
-    sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
-    items = written(prepare_items(sigs, spec, id_col, order_col), "items")
+    # All rows are written, those without a signature too: ``sigs`` may be hours of hashing and is read once.
+    every = written(prepare_items(sigs, spec, id_col, order_col, missing=True), "items")
+    items = every.where("sig IS NOT NULL")
 
     # Items that cannot match anything: empty, or (embeddings) too many zero frames.
     lonely = items.where(~F.col("self_match")).select("id")
@@ -239,8 +244,7 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
 
     unique_ids = leaders.select("id").unionByName(lonely)
     if on_missing == "keep":
-        missing = sigs.where(F.col(spec.sig_col).isNull()).select(F.col(id_col).alias("id"))
-        unique_ids = unique_ids.unionByName(missing)
+        unique_ids = unique_ids.unionByName(every.where("sig IS NULL").select("id"))
     uniques = unique_ids.select(F.col("id").alias("video_id"), F.col("id").alias("primary_id"),
                                 F.lit(None).cast("double").alias("score"), F.lit(True).alias("is_unique"))
     return uniques.unionByName(best).unionByName(copies_out).select(*OUT_COLS)
@@ -364,8 +368,8 @@ def similarity_groups(sigs: DataFrame, spec: Spec, id_col: str = "video_id") ->
     first holder, and only holders that are still apart are compared further. So a group of near copies gives
     about one link per item and key, never its pairs. Items without a signature are groups of their own.
     """
-    sigs = sigs.withColumn(spec.sig_col, F.when(_has_signature(spec), F.col(spec.sig_col)))
-    items = written(prepare_items(sigs, spec, id_col), "items")
+    every = written(prepare_items(sigs, spec, id_col, missing=True), "items")
+    items = every.where("sig IS NOT NULL")
     reps, copies = collapse_copies(items)
     sig_of = written(reps.select("id", "sig", "nf"), "reps")
     keys = shared_keys(sig_of, spec)
@@ -379,8 +383,7 @@ def similarity_groups(sigs: DataFrame, spec: Spec, id_col: str = "video_id") ->
         labels = written(labels.join(joined.select(F.col("id").alias("group_id"), F.col("group_id").alias("top")), "group_id")
                          .select("id", F.col("top").alias("group_id")), "labels")
     hung = copies.select("id", "rep_id").join(labels.select(F.col("id").alias("rep_id"), "group_id"), "rep_id").select("id", "group_id")
-    missing = sigs.where(F.col(spec.sig_col).isNull()).select(F.col(id_col).alias("id"))
-    alone = items.where("NOT coalesce(self_match, false)").select("id").unionByName(missing).distinct()
+    alone = every.where("sig IS NULL OR NOT coalesce(self_match, false)").select("id").distinct()
     alone = alone.select("id", F.col("id").alias("group_id"))
     # representatives are no smallest id of a group if the order is another column's
     groups = labels.unionByName(hung).unionByName(alone)
