@@ -1,8 +1,8 @@
 """End-to-end curation (X1, X2) with a validated configuration.
 
 ``curate`` chains: signatures -> greedy dedup -> keep uniques (J5) ->
-technical metadata (P5) -> label join (P8/P9/J6) and returns lazy DataFrames;
-sinks are applied by ``write_outputs``. Media decoding and model inference are
+technical metadata (P5) -> label join (P8/P9/J6). Assignments and metadata are written
+once, as every output builds on them; the records stay lazy, and sinks are applied by ``write_outputs``. Media decoding and model inference are
 upstream of the tables it takes (frames, probes, score tables).
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from mediasift.operators import labels as lb
 from mediasift.operators import metadata as md
 from mediasift.operators.leaders import greedy_leaders
-from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec
+from mediasift.operators.simjoin import EmbeddingSpec, PhashSpec, written
 from mediasift.sources import sinks
 
 LABEL_GROUPS = ("caption", "objects", "people", "actions", "scene", "audio", "additional")
@@ -87,12 +87,13 @@ def _label_group(rec: DataFrame, group: str, source: DataFrame | None, values: D
     status = f"status_{group}"
     if source is None:
         return rec.withColumn(status, F.lit("unavailable"))
-    rec = rec.join(values, "video_id", "left")
-    rec = rec.join(source.select("video_id").distinct().withColumn("_input", F.lit(True)), "video_id", "left")
+    # merge: labels and inputs grow with the videos; all are grouped by video_id, so the joins add no shuffle
+    rec = rec.join(values.hint("merge"), "video_id", "left")
+    rec = rec.join(source.select("video_id").distinct().withColumn("_input", F.lit(True)).hint("merge"), "video_id", "left")
     failed = F.lit(False)
     if failures is not None:
         bad = failures.where(F.col("label_group") == group).select("video_id").distinct()
-        rec = rec.join(bad.withColumn("_failed", F.lit(True)), "video_id", "left")
+        rec = rec.join(bad.withColumn("_failed", F.lit(True)).hint("merge"), "video_id", "left")
         failed = F.col("_failed").isNotNull()
     rec = rec.withColumn(status, F.when(failed, "error").when(F.col("_input").isNull(), "no_input").otherwise("ok"))
     kept = [F.when(F.col(status) == "ok", F.col(c)).alias(c) if c in values.columns and c != "video_id" else F.col(c)
@@ -115,10 +116,10 @@ def curate(signatures: DataFrame, probes: DataFrame, cfg: CurateConfig,
     strict mode an item with status 'error' in a selected group is dropped; an
     item without objects, actions or sounds has not failed. Input tables without
     rows give empty outputs, not an error."""
-    assign = greedy_leaders(signatures, cfg.spec(), "video_id", cfg.order_col, cfg.on_missing)
+    assign = written(greedy_leaders(signatures, cfg.spec(), "video_id", cfg.order_col, cfg.on_missing), "assignments")
     uniques = assign.where("is_unique").select("video_id")
     meta_all = md.extract_metadata(probes.join(uniques, "video_id", "left_semi"))
-    meta = meta_all.where(F.col("status") == "ok").drop("status")
+    meta = written(meta_all.where(F.col("status") == "ok").drop("status"), "metadata")
     rec = meta
     for group in LABEL_GROUPS:
         if group not in cfg.label_groups:
@@ -149,7 +150,7 @@ def curate(signatures: DataFrame, probes: DataFrame, cfg: CurateConfig,
              .withColumn("ai_labeling_timestamp", F.lit(cfg.run_ts))
     if cfg.strict_labels and failures is not None:
         bad = failures.where(F.col("label_group").isin(list(cfg.label_groups))).select("video_id").distinct()
-        rec = rec.join(bad, "video_id", "left_anti")
+        rec = rec.join(bad.hint("merge"), "video_id", "left_anti")
     counts = (assign.groupBy(F.when(F.col("is_unique"), "unique").otherwise("duplicate").alias("part"))
               .agg(F.count(F.lit(1)).alias("n")))
     return CurationResult(assign, uniques, meta, rec, counts)

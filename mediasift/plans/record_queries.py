@@ -10,7 +10,6 @@ from mediasift.plans import dedup_queries as dq
 from mediasift.plans import media_queries as mq
 from mediasift.plans.pipeline import CurateConfig, curate, render_sentinels
 from mediasift.plans.pipeline import run_counts as count_run
-from mediasift.session import materialize
 from mediasift.sources import fixtures as fx
 from mediasift.sources.tables import table
 
@@ -63,9 +62,7 @@ def curate_records(spark: SparkSession, sf: str) -> DataFrame:
 def run_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of a strict run."""
     found = fx.phash_signatures(fx.clone_frames(spark, sf)).select("video_id")
-    res = _curated(spark, sf, True)
-    res.assignments = materialize(res.assignments, "assignments")
-    return count_run(found, found.where(F.col("video_id") % EMPTY_EVERY != 0), res)
+    return count_run(found, found.where(F.col("video_id") % EMPTY_EVERY != 0), _curated(spark, sf, True))
 
 
 QUERIES = {
