@@ -250,23 +250,57 @@ def greedy_leaders(sigs: DataFrame, spec: Spec, id_col: str = "video_id",
     return uniques.unionByName(best).unionByName(copies_out).select(*OUT_COLS)
 
 
-def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id") -> DataFrame:
+def similarity_pairs(sigs: DataFrame, spec: Spec, id_col: str = "video_id", every_copy: bool = False) -> DataFrame:
     """Matching pairs (id_a < id_b, score).
 
     Between distinct signatures every pair of representatives (the smallest id of
     a signature); and one pair (representative, copy) for each exact copy, so a
     signature shared by a third of the corpus is linear in the list, and no
-    matching item is missing from it. Candidates come from the band-key
-    equi-join, never from a cross join.
+    matching item is missing from it. With ``every_copy`` all matching pairs of
+    items, those of copies too: the list grows with the square of a signature's
+    copies. Candidates come from the band-key equi-join, never from a cross join.
     """
     items = written(prepare_items(sigs, spec, id_col).where("self_match"), "items")
     reps, copies = collapse_copies(items)
     itself = reps.select(F.col("id").alias("rep_id"), spec.score(F.col("sig"), F.col("sig")).alias("score"))
-    same = copies.join(itself, "rep_id").select(F.col("rep_id").alias("a"), F.col("id").alias("b"), "score")
-    found = matching_pairs(reps, spec).unionByName(same)
+    found = matching_pairs(reps, spec)
+    if every_copy:
+        found = _pairs_of_copies(written(found, "matches"), written(copies.select("rep_id", "id"), "copies"), itself)
+    else:
+        same = copies.join(itself, "rep_id").select(F.col("rep_id").alias("a"), F.col("id").alias("b"), "score")
+        found = found.unionByName(same)
     return found.select(F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("score").cast("double").alias("score"))
 
 
+def _pairs_of_copies(matches: DataFrame, copies: DataFrame, itself: DataFrame) -> DataFrame:
+    """(a < b, score) of all items whose representatives are equal or match.
+
+    ``matches``: written (a, b, score) of representatives; ``copies``: written (rep_id, id) without these;
+    ``itself``: (rep_id, score) of a representative with itself. The items of two representatives are dealt out
+    in blocks as in ``candidate_pairs``, so no task holds all pairs of a large group.
+    """
+    sizes = written(copies.groupBy("rep_id").agg((F.count(F.lit(1)) + 1).alias("n")), "copied")
+    size_of = lambda side: sizes.select(F.col("rep_id").alias(side), F.col("n").alias("n" + side))
+    sized = written(matches.join(size_of("a"), "a", "left").join(size_of("b"), "b", "left").na.fill(1, ["na", "nb"])
+                    .select("a", "b", "score", "na", "nb"), "sized-matches")
+    single = F.greatest("na", "nb") == 1
+    own = itself.join(sizes, "rep_id").select(F.col("rep_id").alias("a"), F.col("rep_id").alias("b"), "score",
+                                              F.col("n").alias("na"), F.col("n").alias("nb"))
+    links = written(sized.where(~single).unionByName(own), "links-of-copies")
+    members = copies.unionByName(sizes.select("rep_id", F.col("rep_id").alias("id")))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    x, y = F.coalesce("id", "a"), F.coalesce("id", "b")
+    dealt = lambda item, n: F.pmod(F.xxhash64(item), blocks(n)).cast("int")
+    left = links.join(members.withColumnRenamed("rep_id", "a"), "a", "left").select(
+        "a", "b", "score", x.alias("x"), dealt(x, "na").alias("i"), every("nb").alias("j"))
+    right = links.join(members.withColumnRenamed("rep_id", "b"), "b", "left").select(
+        "a", "b", y.alias("y"), every("na").alias("i"), dealt(y, "nb").alias("j"))
+    pairs = left.hint("merge").join(right, ["a", "b", "i", "j"]).where((F.col("a") != F.col("b")) | (F.col("x") < F.col("y")))
+    return sized.where(single).select("a", "b", "score").unionByName(
+        pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "score"))
+
+
 def matching_pairs(items: DataFrame, spec: Spec) -> DataFrame:
     """(a < b, score) of all matching written ``items`` (id, sig, nf)."""
     if isinstance(spec, ExactEmbeddingSpec):

@@ -28,7 +28,7 @@ def _round(df: DataFrame, col: str = "score") -> DataFrame:
 
 def phash_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sigs = phash_signatures(clone_frames(spark, sf_dir))
-    return _round(similarity_pairs(sigs, PHASH))
+    return _round(similarity_pairs(sigs, PHASH, every_copy=True))
 
 
 def phash_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,9 +303,8 @@ SELECT p.id_a, p.id_b, round(CAST(p.score AS DOUBLE), 6) AS phash_score,
 FROM ppairs p JOIN epairs e ON e.id_a = p.id_a AND e.id_b = p.id_b
 """ + _LISTED.replace("= id_", "= p.id_"),
     "assignment_parts": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))", _MISSING, _PARTS_TAIL),
-    "phash_pairs": f"""WITH {PHASH_PAIRS_CTE}{_REPS}
-SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
-""" + _LISTED,
+    "phash_pairs": f"""WITH {PHASH_PAIRS_CTE}
+SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs""",
     "phash_leaders": _greedy_sql(PHASH_PAIRS_CTE, "arg_min(p.id_a, (p.score, p.id_a))"),
     "embedding_pairs": f"""WITH {EMBED_PAIRS_CTE}{_REPS.replace("list(bits", "list(vec")}
 SELECT id_a, id_b, round(CAST(score AS DOUBLE), 6) AS score FROM pairs
